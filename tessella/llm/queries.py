@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup
-from .common import table
+from . import line_dedup, near_dedup
+from .common import real_id, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -41,3 +41,14 @@ SELECT doc_id, count(*) AS n_lines, count_if(gone)::BIGINT AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id, r
 """
+
+
+@query
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = near_dedup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select(
+        real_id("did").alias("doc_id"),
+        "n_shingles",
+        real_id("component").alias("component_id"),
+        (F.col("did") == F.col("component")).alias("kept"),
+    )
