@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import license_scan, line_dedup, near_dedup, topk, toxicity
+from . import license_scan, line_dedup, near_dedup, substring_dedup, topk, toxicity
 from .common import real_id, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,25 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select(real_id("did").alias("doc_id"), "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+@query
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select(real_id("did").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE["op6_substring_dedup"] = r"""
+WITH docs AS (SELECT doc_id, row_number() OVER () AS r,
+                     list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+starts AS (SELECT doc_id, r, unnest(range(1, len(w) - 48)) AS i, w FROM docs WHERE len(w) >= 50),
+wins AS (SELECT doc_id, r, i, md5(array_to_string(w[i:i + 49], ' ')) AS k FROM starts),
+firsts AS (SELECT k, min(doc_id) AS lead FROM wins GROUP BY k),
+hits AS (SELECT r, i FROM wins JOIN firsts USING (k) WHERE doc_id > lead),
+covered AS (SELECT DISTINCT r, unnest(range(i, i + 50)) AS pos FROM hits),
+words AS (SELECT doc_id, r, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM docs),
+kept AS (SELECT x.r, count(c.pos) AS n_removed, string_agg(word, ' ' ORDER BY x.pos) FILTER (WHERE c.pos IS NULL) AS kept
+         FROM words x LEFT JOIN covered c ON x.r = c.r AND x.pos = c.pos GROUP BY x.r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r)
+"""
