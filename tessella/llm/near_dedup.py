@@ -31,7 +31,8 @@ from .components import components
 SHINGLE, BANDS, ROWS = 5, 32, 4
 #: A link: 100 * intersection >= PERCENT * union.
 PERCENT = 75
-#: Buckets up to this size are compared pair by pair at once; larger ones by this many pivots a round after the first.
+#: Buckets up to this size are compared pair by pair at once; larger ones by one pivot, then this many, eight
+#: times as many in each round after.
 SMALL = 8
 
 
@@ -161,7 +162,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tested = verify(first)
     edges = components(tested.filter("linked").select("a", "b"))
     done = tested.select("a", "b")
-    spent = None
+    spent, slots = None, SMALL
     while True:
         labelled = large.join(edges.select(F.col("a").alias("c"), F.col("b").alias("comp")), "c", "left").select("band", "c", F.coalesce("comp", "c").alias("comp"))
         shares = labelled.groupBy("band", "comp").agg(F.count("*").alias("n"))
@@ -171,8 +172,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         outside = open_.filter(F.col("comp") != F.col("lead")).select("band", F.col("c").alias("pivot"))
         if spent is not None:
             outside = outside.join(spent, ["band", "pivot"], "left_anti")
-        slots = outside.groupBy("band", F.pmod(F.hash("pivot"), F.lit(SMALL)).alias("slot")).agg(F.min("pivot").alias("pivot"))
-        pivots = stored(slots.select("band", "pivot"), "pivots")
+        chosen = outside.groupBy("band", F.pmod(F.hash("pivot"), F.lit(slots)).alias("slot")).agg(F.min("pivot").alias("pivot"))
+        pivots = stored(chosen.select("band", "pivot"), "pivots")
+        slots *= 8  # few rounds, whatever the number of members outside
         if pivots.isEmpty():
             break
         spent = pivots if spent is None else spent.unionByName(pivots)
