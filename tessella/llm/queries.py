@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import license_scan, line_dedup, near_dedup, substring_dedup, topk, toxicity
+from . import license_scan, line_dedup, near_dedup, pii, substring_dedup, topk, toxicity
 from .common import real_id, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +111,20 @@ kept AS (SELECT x.r, count(c.pos) AS n_removed, string_agg(word, ' ' ORDER BY x.
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM docs LEFT JOIN kept USING (r)
 """
+
+
+def _of_kind(kind: str):
+    return lambda s: s["kind"] == kind
+
+
+@query
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.KINDS))
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return out.select(
+        F.col("doc.doc_id").cast("long").alias("doc_id"),
+        *[F.size(F.filter("spans", _of_kind(k))).cast("long").alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
