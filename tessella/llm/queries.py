@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import license_scan, line_dedup, near_dedup, pii, substring_dedup, topk, toxicity
+from . import langid, license_scan, line_dedup, near_dedup, pii, substring_dedup, topk, toxicity
 from .common import real_id, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +128,11 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(joined(base), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
     )
+
+
+@query
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.select("doc_id", "text", "lang"))
+    out = langid.label(docs.select("doc_id", "text"), model)
+    return out.select(F.col("doc.doc_id").cast("long").alias("doc_id"), langid.held_out("doc.doc_id").alias("held_out"), "lang_pred", "score")
