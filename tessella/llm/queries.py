@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, license_scan, line_dedup, near_dedup, pii, substring_dedup, topk, toxicity
+from . import decontaminate, langid, license_scan, line_dedup, near_dedup, pii, substring_dedup, topk, toxicity
 from .common import real_id, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +136,9 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.train(docs.select("doc_id", "text", "lang"))
     out = langid.label(docs.select("doc_id", "text"), model)
     return out.select(F.col("doc.doc_id").cast("long").alias("doc_id"), langid.held_out("doc.doc_id").alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return out.select(real_id("did").alias("doc_id"), F.col("item").alias("item_id"), "start", "cosine", "common")
