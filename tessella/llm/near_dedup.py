@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, ngram_hashes, row_keys, slices, stored, word_hashes
+from .common import NULL_ID, mix, ngram_hashes, row_keys, slices, stored, word_hashes
 from .components import components
 
 SHINGLE, BANDS, ROWS = 5, 32, 4
@@ -191,3 +191,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .join(least, "comp", "left")
         .select("did", "th", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("did")).alias("component"))
     )
+
+
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters) -> DataFrame:
+    """The rows of docs that stay: of each group the one with the smallest id, once; rows without words all stay."""
+    groups = near_duplicates(docs, id_col, text_col, **parameters).dropDuplicates(["did", "th"])
+    # rows that share the smallest id count as one: the one with the least text hash stays
+    first = groups.filter("n_shingles > 0 and did = component").groupBy("component").agg(F.min("th").alias("th")).select(F.col("component").alias("did"), "th")
+    empty = groups.filter("n_shingles = 0").select("did", "th")
+    keyed = docs.select(F.struct(*docs.columns).alias("doc"), F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("did"), F.xxhash64(text_col).alias("th"))
+    kept = keyed.join(first, ["did", "th"], "left_semi").dropDuplicates(["did", "th"]).unionByName(keyed.join(empty, ["did", "th"], "left_semi"))
+    return kept.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])

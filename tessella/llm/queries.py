@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, license_scan, line_dedup, near_dedup, pii, substring_dedup, topk, toxicity
+from . import decontaminate, langid, license_scan, line_dedup, near_dedup, pieces, pii, substring_dedup, topk, toxicity
 from .common import real_id, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,3 +142,15 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return out.select(real_id("did").alias("doc_id"), F.col("item").alias("item_id"), "start", "cosine", "common")
+
+
+@query
+def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pieces.segment(table(spark, sf_dir, "documents").select("doc_id", "text"), with_ids=False, sample_ids=False)
+    return out.select(
+        F.col("doc.doc_id").cast("long").alias("doc_id"),
+        "n_ids",
+        "ids_sha256",
+        "same",
+        F.transform("samples", lambda s: F.struct(s["rank"].alias("rank"), s["n_ids"].alias("n_ids"), s["ids_sha256"].alias("ids_sha256"), s["logp"].alias("logp"), s["perturbed"].alias("perturbed"), s["inclusion"].alias("inclusion"))).alias("samples"),
+    )
