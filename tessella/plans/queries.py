@@ -60,7 +60,7 @@ low AS (SELECT doc_id, min(CASE WHEN len(l) > 0 THEN len(list_distinct(l)) / len
 """
 
 
-@query(sql("SELECT c.doc_id, coalesce(least(m, 1.0), CASE WHEN len(cs) > 0 THEN len(list_distinct(cs)) / len(cs) ELSE 0.0 END) AS min_sliding_uwr FROM con c LEFT JOIN low ON c.doc_id = low.doc_id", "con").replace("\nSELECT c.doc_id", _SLIDE + "SELECT c.doc_id"))
+@query(sql("SELECT c.doc_id, coalesce(m, CASE WHEN len(cs) > 0 THEN len(list_distinct(cs)) / len(cs) ELSE 0.0 END) AS min_sliding_uwr FROM con c LEFT JOIN low ON c.doc_id = low.doc_id", "con").replace("\nSELECT c.doc_id", _SLIDE + "SELECT c.doc_id"))
 def a3_min_sliding_uwr(spark, d):
     return _tokens(spark, d).select("doc_id", repetition.min_sliding_ratio("ws").alias("min_sliding_uwr"))
 
@@ -121,7 +121,7 @@ _CLASS = (
     + _TITLE.replace("flat AS", "flat2 AS").replace("FROM flat)", "FROM flat2)").replace("win AS", "win2 AS").replace("win.doc_id", "win2.doc_id").replace("FROM win ", "FROM win2 ")
     + """, met AS (SELECT c.doc_id, tr.nan OR length(c.full_text) < 10 AS ghost, coalesce(gl.glued, 0) AS glued, coalesce(best > 0.8, false) AS title,
   CASE WHEN len(cs) > 0 THEN len(list_distinct(cs)) / len(cs) ELSE 0.0 END AS g,
-  coalesce(least(low.m, 1.0), CASE WHEN len(cs) > 0 THEN len(list_distinct(cs)) / len(cs) ELSE 0.0 END) AS m,
+  coalesce(low.m, CASE WHEN len(cs) > 0 THEN len(list_distinct(cs)) / len(cs) ELSE 0.0 END) AS m,
   (SELECT CASE WHEN len(t) > 0 THEN len(list_distinct(t)) / len(t) ELSE 0.0 END FROM (SELECT list_filter(list_transform(CASE WHEN len(ws) > 50 THEN ws[-50:] ELSE ws END, lambda x: trim(x, '.,?!;:-')), lambda x: x <> '') AS t)) AS tail,
   CASE WHEN duration > 0 THEN length(c.full_text) / duration ELSE 0.0 END AS cps
   FROM con c JOIN tr USING (doc_id) LEFT JOIN gl USING (doc_id) LEFT JOIN low USING (doc_id) LEFT JOIN hit USING (doc_id)),
