@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..schemas import MANIFEST_ENTRY, REPORT, TRANSCRIPT
 
 
 def _files(spark: SparkSession, root: str) -> DataFrame:
-    schema = T.StructType([*TRANSCRIPT.fields, T.StructField("_corrupt", T.StringType())])
-    raw = spark.read.schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(root)
+    raw = spark.read.schema(f"{TRANSCRIPT}, _corrupt string").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(root)
     return raw.select("*", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_size").alias("file_size"), F.col("_metadata.file_modification_time").alias("modified"))
 
 

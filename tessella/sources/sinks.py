@@ -29,7 +29,8 @@ def read_records(spark, path: str, schema, key: str = "id") -> DataFrame:
 def write_report(rows: DataFrame, path: str) -> None:
     """The audit report with its fixed columns; missing ones are empty."""
     have = set(rows.columns)
-    rows.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in REPORT.fields]).write.mode("overwrite").option("header", True).csv(path)
+    fields = [f.split() for f in REPORT.split(", ")]
+    rows.select(*[(F.col(n) if n in have else F.lit(None)).cast(kind).alias(n) for n, kind in fields]).write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_manifest(manifest: DataFrame, path: str) -> None:
