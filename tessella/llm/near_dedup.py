@@ -7,10 +7,11 @@ most 2t rounds (for sets larger than t log t, mostly after one). The share of eq
 the Jaccard similarity as for t independent samples: a pair at 0.75 misses every one of 32 bands of 4 rows with
 probability 5e-6.
 
-Equal sets are one class; classes meet in band buckets. A bucket is never expanded into all its pairs: a pivot per slot
-meets the other members, links are confirmed on the full sets, components are merged, and buckets that still span
-several components get further pivots until they don't or all their members have been pivots. So no link between the
-members of different components stays untested, whatever the size of a bucket.
+Equal sets are one class; classes meet in band buckets. A large bucket is never expanded into all its pairs: its most
+central member meets the others, links are confirmed on the full sets, and components are merged. Where a bucket still
+spans several components, the members outside its largest one meet those that share one of their rarest shingles, as any
+link must (a prefix filter); these pairs are confirmed on the full sets too. So no link between members of different
+components stays untested, whatever the size of a bucket.
 
 Defined results: null, empty or blank text has an empty set and links to nothing; null doc_id sorts before all others;
 repeated rows fall into one class; rows that share an id but not a set are separate documents.
@@ -31,8 +32,7 @@ from .components import components
 SHINGLE, BANDS, ROWS = 5, 32, 4
 #: A link: 100 * intersection >= PERCENT * union.
 PERCENT = 75
-#: Buckets up to this size are compared pair by pair at once; larger ones by one pivot, then this many, eight
-#: times as many in each round after.
+#: Buckets up to this size are compared pair by pair; larger ones by a pivot, then by rare shingles.
 SMALL = 8
 
 
@@ -137,13 +137,43 @@ def _pairs(buckets: DataFrame, pivots: DataFrame) -> DataFrame:
     return met.select(F.least("c", "pivot").alias("a"), F.greatest("c", "pivot").alias("b")).distinct()
 
 
+def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for x, c in zip(b.column("set"), b.column("c"), strict=True):
+            v = np.frombuffer(x.as_buffer(), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(v), pa.array([c.as_py()] * len(v), pa.binary()), pa.array(np.full(len(v), len(v)))], ["shingle", "c", "n"])
+
+
+def _sharing(sets: DataFrame, open_: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs across components, one of them outside, that can be links: their rarest shingles have one in common.
+
+    With all shingles in one order, two sets of n and m shingles linked at `percent` share one among the first
+    n - ceil(percent * n / 100) + 1 and m - ceil(percent * m / 100) + 1. In order of rarity these are shingles of few
+    sets, so members of a group that differ too much never meet, however large the group is.
+    """
+    rows = sets.join(open_.select("c"), "c", "left_semi").mapInArrow(_shingles, "shingle long, c binary, n long")
+    often = rows.groupBy("shingle").agg(F.count("*").alias("df")).filter("df > 1")
+    common = rows.join(often, "shingle")
+    first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    # shingles of this set alone come first and match nothing; a set's own size bounds what is gathered here
+    own = common.groupBy("c", "n").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("x"))
+    take = first - (F.col("n") - F.size("x"))
+    heads = own.filter(take > 0).select("c", F.explode(F.slice("x", F.lit(1), take.cast("int"))).alias("x")).select("c", "x.shingle")
+    heads = stored(heads.join(open_, "c"), "heads")
+    across = heads.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("outside").alias("out")).filter((F.col("lo") != F.col("hi")) & F.col("out"))
+    heads = heads.join(across.select("shingle"), "shingle", "left_semi")
+    left = heads.filter("outside").select("shingle", F.col("c").alias("x"), F.col("comp").alias("xc"))
+    met = left.join(heads.select("shingle", F.col("c").alias("y"), F.col("comp").alias("yc")), "shingle").filter(F.col("xc") != F.col("yc"))
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS, k: int = SHINGLE) -> DataFrame:
     """(did, th, n_shingles, component) for each row of docs: component is the smallest id of its group, did as in row_keys."""
     keyed = row_keys(docs, id_col, text_col)
     sketched = stored(keyed.mapInArrow(_sketch(bands, rows, k), "did long, th long, n long, c binary, bands array<long>"), "sketches")
     classes = sketched.filter("n > 0").groupBy("c").agg(F.min("did").alias("rep"), F.first("bands").alias("bands"))
     banded = classes.select("c", F.explode("bands").alias("band"))
-    sizes = banded.groupBy("band").agg(F.count("*").alias("size"), F.min("c").alias("first")).filter("size > 1")
+    sizes = banded.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1")
     buckets = stored(banded.join(sizes, "band"), "buckets")
 
     wanted = buckets.select("c").distinct()
@@ -156,33 +186,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         both = pairs.join(sets.select(F.col("c").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("c").alias("b"), F.col("set").alias("sb")), "b")
         return stored(both.mapInArrow(_linked(percent), "a binary, b binary, linked boolean"), "tested")
 
-    small = buckets.filter(F.col("size") <= SMALL)
-    large = buckets.filter(F.col("size") > SMALL).select("band", "c")
-    first = _pairs(small.select("band", "c"), small.select("band", F.col("c").alias("pivot"))).unionByName(_pairs(large, buckets.filter(F.col("size") > SMALL).select("band", F.col("first").alias("pivot")).distinct())).distinct()
-    tested = verify(first)
+    small = buckets.filter(F.col("size") <= SMALL).select("band", "c")
+    large = buckets.filter(F.col("size") > SMALL)
+    # a large bucket's pivot is the member with most company over all its buckets: in a group of copies, their centre
+    company = large.groupBy("c").agg(F.sum("size").alias("company"))
+    pivots = large.join(company, "c").groupBy("band").agg(F.max(F.struct("company", "c")).getField("c").alias("pivot"))
+    large = large.select("band", "c")
+    tested = verify(_pairs(small, small.select("band", F.col("c").alias("pivot"))).unionByName(_pairs(large, pivots)).distinct())
     edges = components(tested.filter("linked").select("a", "b"))
-    done = tested.select("a", "b")
-    spent, slots = None, SMALL
-    while True:
-        labelled = large.join(edges.select(F.col("a").alias("c"), F.col("b").alias("comp")), "c", "left").select("band", "c", F.coalesce("comp", "c").alias("comp"))
-        shares = labelled.groupBy("band", "comp").agg(F.count("*").alias("n"))
-        lead = shares.groupBy("band").agg(F.max(F.struct("n", "comp")).getField("comp").alias("lead"), F.count("*").alias("comps")).filter("comps > 1")
-        open_ = labelled.join(lead, "band")
-        # what lies outside a bucket's largest component meets the whole bucket, a pivot for each slot and round
-        outside = open_.filter(F.col("comp") != F.col("lead")).select("band", F.col("c").alias("pivot"))
-        if spent is not None:
-            outside = outside.join(spent, ["band", "pivot"], "left_anti")
-        chosen = outside.groupBy("band", F.pmod(F.hash("pivot"), F.lit(slots)).alias("slot")).agg(F.min("pivot").alias("pivot"))
-        pivots = stored(chosen.select("band", "pivot"), "pivots")
-        slots *= 8  # few rounds, whatever the number of members outside
-        if pivots.isEmpty():
-            break
-        spent = pivots if spent is None else spent.unionByName(pivots)
-        fresh = verify(_pairs(open_.select("band", "c"), pivots).join(done, ["a", "b"], "left_anti"))
-        done = done.unionByName(fresh.select("a", "b"))
-        links = fresh.filter("linked").select("a", "b")
-        if not links.isEmpty():
-            edges = components(edges.unionByName(links))
+
+    # buckets that still span several components: what lies outside the largest one may link to other members
+    labelled = large.join(edges.select(F.col("a").alias("c"), F.col("b").alias("comp")), "c", "left").select("band", "c", F.coalesce("comp", "c").alias("comp"))
+    lead = labelled.groupBy("band", "comp").agg(F.count("*").alias("n")).groupBy("band").agg(F.max(F.struct("n", "comp")).getField("comp").alias("lead"), F.count("*").alias("comps")).filter("comps > 1")
+    open_ = stored(labelled.join(lead, "band").groupBy("c", "comp").agg(F.max(F.col("comp") != F.col("lead")).alias("outside")), "open")
+    if not open_.isEmpty():
+        found = _sharing(sets, open_, percent).join(tested.select("a", "b"), ["a", "b"], "left_anti")
+        edges = components(edges.unionByName(verify(found).filter("linked").select("a", "b")))
 
     members = sketched.join(classes.select("c", "rep"), "c", "left").join(edges.select(F.col("a").alias("c"), F.col("b").alias("comp")), "c", "left")
     least = classes.join(edges.select(F.col("a").alias("c"), F.col("b").alias("comp")), "c", "left").groupBy(F.coalesce("comp", "c").alias("comp")).agg(F.min("rep").alias("component"))
