@@ -22,7 +22,7 @@ from pyspark.sql.window import Window
 
 from .common import row_keys
 
-SLACK, SHARE = 2, 0.75
+SLACK, SHARE = 2, 0.6
 
 # The base phrases, whose every place is counted, and the templates of the method.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
