@@ -168,7 +168,7 @@ def fit(texts: list[str], toxic: np.ndarray, steps: int = 40) -> Model:
         g[size + 5 :] = [(~y[:, 0] - (1 - pr[:, 0])).sum(), (y[:, 0] - pr[:, 0]).sum()]
         g[:size] -= 0.02 * theta[:size]
         m1, m2 = 0.9 * m1 + 0.1 * g, 0.99 * m2 + 0.01 * g * g
-        theta = theta + 0.4 * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.99**step)) + 1e-8)
+        theta = theta + (0.1 + 0.9 * (1 - step / steps)) * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.99**step)) + 1e-8)
     strong = theta[:size] > 0.5  # words that never got a toxic label act alike: only those that stand out are kept
     model = Model(vocab[known][strong], theta[size] + theta[:size][strong], float(theta[size]), theta[size + 1 : size + 5].reshape(2, 2).copy(), theta[size + 5 :].copy(), 0.0, 1.0)
     x = np.log1p(document_sums(model, h, rows)[keep])
