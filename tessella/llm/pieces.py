@@ -209,8 +209,11 @@ class Lattice:
                 g = np.flatnonzero(np.r_[True, src[1:] != src[:-1]])
                 top = np.maximum.reduceat(v, g)
                 beta[src[g]] = top + np.log(np.add.reduceat(np.exp(v - np.repeat(top, np.diff(np.r_[g, len(e)]))), g))
-        self.logp = np.minimum(weight + beta[self.target] - beta[node[source]], 0.0)
-        p = np.exp(self.logp)
+        # in units of 2**-32: their sums are exact, so they don't depend on what else is in the batch
+        exact = np.minimum(weight + beta[self.target] - beta[node[source]], 0.0)
+        self.fixed = np.rint(exact * 2**32).astype(np.int64)
+        self.logp = self.fixed / 2**32
+        p = np.exp(exact)
         total = np.cumsum(p)
         self.below = total - p - (total - p)[self.edges[node[source]]] if len(p) else p  # probability of the node's earlier pieces
         degree = np.diff(self.edges)[node[source]]
@@ -316,8 +319,9 @@ def draw(lattice: Lattice, key: np.ndarray, k: int) -> tuple[list[Sample], np.nd
                 head_units.append(parent.units[at])
                 head_row.append(np.repeat(rows[on], count[on]))
                 old[on], old_unit[on] = parent.edges[parent.off[rows[on]] + place[on]], parent.units[parent.off[rows[on]] + place[on]]
-                sums = np.bincount(np.repeat(on, count[on]), weights=lattice.logp[parent.edges[at]], minlength=len(rows))
-                before += sums
+                sums = np.r_[0, np.cumsum(lattice.fixed[parent.edges[at]])]
+                ends = np.cumsum(count[on])
+                before[on] = (sums[ends] - sums[ends - count[on]]) / 2**32
             # open the subtrees that still hold several edges: Gumbels of each, given their maximum
             several = np.flatnonzero(edge < 0)
             node = np.searchsorted(lattice.edges, old[several], side="right") - 1
@@ -352,11 +356,11 @@ def draw(lattice: Lattice, key: np.ndarray, k: int) -> tuple[list[Sample], np.nd
             fresh[rows] = place + 1  # what branches off before is open already
         row = np.repeat(np.arange(n_rows), np.diff(off))
         place = np.arange(len(edges)) - off[:-1][row]
-        run = np.r_[0.0, np.cumsum(lattice.logp[edges])]
-        samples.append(Sample(rows, edges, units, off, run[off[1:]] - run[off[:-1]], top))
+        run = np.r_[0, np.cumsum(lattice.fixed[edges])]
+        samples.append(Sample(rows, edges, units, off, (run[off[1:]] - run[off[:-1]]) / 2**32, top))
         on = (place >= fresh[row]) & ~np.isneginf(lattice.others[edges])
         r, p = row[on], place[on]
-        phi = (run[:-1] - run[off[:-1]][row])[on] + lattice.others[edges[on]]
+        phi = (run[:-1] - run[off[:-1]][row])[on] / 2**32 + lattice.others[edges[on]]
         # any k + 1 of a row's subtrees bound what its k + 1 best keys can be; what can't reach the bound stays closed
         first = np.r_[0, np.cumsum(np.bincount(r, minlength=n_rows))][:-1]
         bound = np.full(n_rows, np.inf)
