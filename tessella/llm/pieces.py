@@ -214,11 +214,14 @@ class Lattice:
         self.fixed = np.rint(exact * 2**32).astype(np.int64)
         self.logp = self.fixed / 2**32
         p = np.exp(exact)
-        total = np.cumsum(p)
-        self.below = total - p - (total - p)[self.edges[node[source]]] if len(p) else p  # probability of the node's earlier pieces
-        degree = np.diff(self.edges)[node[source]]
-        rest = np.add.reduceat(p, np.flatnonzero(np.r_[True, np.diff(source) > 0])) if len(source) else p
-        others = np.where(degree > 1, np.maximum(np.repeat(rest, np.diff(np.r_[np.flatnonzero(np.r_[True, np.diff(source) > 0]), len(source)])) - p if len(source) else p, 0), 0)
+        # sums over a node's earlier pieces, and over all its others, without cancellation: pair by pair at each distance
+        self.below, others = np.zeros(len(p)), np.zeros(len(p))
+        on, stop, r = np.arange(len(p)), self.edges[node[source] + 1], 1
+        while len(on := on[on + r < stop[on]]):
+            self.below[on + r] += p[on]
+            others[on + r] += p[on]
+            others[on] += p[on + r]
+            r += 1
         with np.errstate(divide="ignore"):
             self.others = np.log(others)  # log probability of all other pieces there, -inf if there are none
         self.p = p
