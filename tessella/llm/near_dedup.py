@@ -147,9 +147,9 @@ def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sharing(sets: DataFrame, open_: DataFrame, percent: int) -> DataFrame:
     """(a, b): pairs across components, one of them outside, that can be links: their rarest shingles have one in common.
 
-    With all shingles in one order, two sets of n and m shingles linked at `percent` share one among the first
-    n - ceil(percent * n / 100) + 1 and m - ceil(percent * m / 100) + 1. In order of rarity these are shingles of few
-    sets, so members of a group that differ too much never meet, however large the group is.
+    Two sets of n and m shingles linked at `percent` have need = ceil(percent * (n + m) / (100 + percent)) in common. With
+    all shingles in one order, they share one among the first n - need + 1 and m - need + 1. In order of rarity these are
+    shingles of few sets, so members of a group that differ too much never meet, however large the group is.
     """
     rows = sets.join(open_.select("c"), "c", "left_semi").mapInArrow(_shingles, "shingle long, c binary, n long")
     often = rows.groupBy("shingle").agg(F.count("*").alias("df")).filter("df > 1")
@@ -158,12 +158,17 @@ def _sharing(sets: DataFrame, open_: DataFrame, percent: int) -> DataFrame:
     # shingles of this set alone come first and match nothing; a set's own size bounds what is gathered here
     own = common.groupBy("c", "n").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("x"))
     take = first - (F.col("n") - F.size("x"))
-    heads = own.filter(take > 0).select("c", F.explode(F.slice("x", F.lit(1), take.cast("int"))).alias("x")).select("c", "x.shingle")
+    alone = (F.col("n") - F.size("x")).cast("long")
+    heads = own.filter(take > 0).select("c", "n", alone.alias("alone"), F.posexplode(F.slice("x", F.lit(1), take.cast("int"))).alias("at", "x")).select("c", "n", (F.col("alone") + F.col("at")).alias("at"), "x.shingle")
     heads = stored(heads.join(open_, "c"), "heads")
     across = heads.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("outside").alias("out")).filter((F.col("lo") != F.col("hi")) & F.col("out"))
     heads = heads.join(across.select("shingle"), "shingle", "left_semi")
-    left = heads.filter("outside").select("shingle", F.col("c").alias("x"), F.col("comp").alias("xc"))
-    met = left.join(heads.select("shingle", F.col("c").alias("y"), F.col("comp").alias("yc")), "shingle").filter(F.col("xc") != F.col("yc"))
+    left = heads.filter("outside").select("shingle", F.col("c").alias("x"), F.col("comp").alias("xc"), F.col("n").alias("xn"), F.col("at").alias("xat"))
+    right = heads.select("shingle", F.col("c").alias("y"), F.col("comp").alias("yc"), F.col("n").alias("yn"), F.col("at").alias("yat"), F.col("outside").alias("yout"))
+    need = F.ceil((F.col("xn") + F.col("yn")) * percent / (100 + percent))
+    early = (F.col("xat") <= F.col("xn") - need) & (F.col("yat") <= F.col("yn") - need)
+    once = ~F.col("yout") | (F.col("x") < F.col("y"))
+    met = left.join(right, "shingle").filter((F.col("xc") != F.col("yc")) & early & once)
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
