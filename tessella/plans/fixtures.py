@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -11,6 +14,20 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+_own: dict[str, str] = {}
+
+
+def work_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the folder all executors share (spark.checkpoint.dir); a local one only where that is unset."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root:
+        app = spark.sparkContext.applicationId
+        if app not in _own:
+            _own[app] = "file://" + tempfile.mkdtemp(prefix="tessella-")
+        root = _own[app]
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def transcripts(spark: SparkSession, d: str) -> DataFrame:
     """documents as transcripts: one segment with a declared end; every 97th has a NaN log probability."""
     seconds = F.col("n_chars") / (5 + F.col("doc_id") % 15)

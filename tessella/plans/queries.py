@@ -10,8 +10,9 @@ from pyspark.sql.window import Window
 
 from ..functions import text as tx
 from ..operators import export, glossary, lifecycle, repetition, retrieval, speech
-from ..schemas import CATEGORIES, CORRECTIONS, VERDICT
+from ..schemas import CATEGORIES, CORRECTIONS
 from ..sources import readers, sinks
+from ..streaming import streams
 from . import fixtures as fx
 from .fixtures import sql, table
 
@@ -595,20 +596,20 @@ def l5_shuffle(spark, d):
     return c.withColumn("place", F.row_number().over(Window.orderBy(F.xxhash64("source", F.lit(42)), "source")))
 
 
-@query(sql("SELECT doc_id, in_escrow IS NOT TRUE AS omega_certified, category AS omega_merge_notes, CASE WHEN in_escrow THEN category END AS omega_quarantine_reason FROM man", "man"))
+@query(sql("SELECT doc_id, in_escrow IS NOT TRUE AS certified, category AS notes, CASE WHEN in_escrow THEN category END AS quarantine_reason FROM man", "man"))
 def k8_k9_stamps(spark, d):
     m = fx.manifest(spark, d).select("doc_id", "category", "in_escrow", F.struct(F.lit(False).alias("omega_certified"), F.lit(None).cast("string").alias("omega_quarantine_reason")).alias("metadata"))
     done = lifecycle.stamp_certified(F.col("metadata"), F.lit("2025-01-01T00:00:00"), F.col("category"))
     held = lifecycle.stamp_quarantine(F.col("metadata").withField("omega_timestamp", F.lit(None).cast("string")).withField("omega_merge_notes", F.col("category")), F.col("category"))
     m = m.withColumn("a", done).withColumn("b", held)
     pick = lambda c: F.when(F.col("in_escrow"), F.col(f"b.{c}")).otherwise(F.col(f"a.{c}"))
-    return m.select("doc_id", *[pick(c).alias(c) for c in ("omega_certified", "omega_merge_notes", "omega_quarantine_reason")])
+    return m.select("doc_id", *[pick(c).alias(n) for n, c in (("certified", "omega_certified"), ("notes", "omega_merge_notes"), ("quarantine_reason", "omega_quarantine_reason"))])
 
 
 @query(sql("SELECT d.doc_id, d.source FROM documents d LEFT JOIN man m ON d.doc_id = m.doc_id WHERE NOT coalesce(category = 'SUCCESS', false)", "man"))
 def p1_skip_certified(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "source").join(fx.manifest(spark, d).select("doc_id", (F.col("category") == "SUCCESS").alias("omega_certified")), "doc_id", "left")
-    return docs.filter(~F.coalesce("omega_certified", F.lit(False))).select("doc_id", "source")
+    docs = table(spark, d, "documents").select("doc_id", "source").join(fx.manifest(spark, d).select("doc_id", (F.col("category") == "SUCCESS").alias("certified")), "doc_id", "left")
+    return docs.filter(~F.coalesce("certified", F.lit(False))).select("doc_id", "source")
 
 
 @query(sql("SELECT doc_id, in_escrow::VARCHAR AS in_escrow, category, in_escrow OR category <> 'SUCCESS' AS p11 FROM man", "man"))
@@ -633,5 +634,62 @@ def x1_event_windows(spark, d):
     return e.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count("*").alias("n")).select(F.col("w.start").cast("timestamp_ntz").alias("start"), "event_type", "n")
 
 
+# ------------------------------------------------- files written and read again
+
+
+@query(sql("SELECT g.doc_id::VARCHAR AS id, tr.source, n::BIGINT AS word_count FROM g JOIN tr USING (doc_id) WHERE g.full_text <> '' AND n >= 30 AND u >= 0.35", "con").replace("\nSELECT g.doc_id", _GATED + "SELECT g.doc_id"))
+def k1_k3_k4_records_round_trip(spark, d):
+    """Training rows written as JSON lines, appended again, and read with each id once."""
+    path, rows = fx.work_path(spark, "records"), _records(spark, d)
+    sinks.overwrite_records(rows, path)
+    sinks.append_records(rows, path)
+    return sinks.read_records(spark, path, rows.schema).select("id", "source", "word_count")
+
+
+@query(sql("SELECT doc_id::VARCHAR AS vid_id, category, in_escrow FROM man", "man"))
+def k5_s7_report_round_trip(spark, d):
+    path = fx.work_path(spark, "report")
+    m = fx.manifest(spark, d)
+    sinks.write_report(m.select(F.col("doc_id").cast("string").alias("vid_id"), "category", F.initcap(F.col("in_escrow").cast("string")).alias("in_escrow")), path)
+    return readers.scan_report(spark, path).select("vid_id", "category", "in_escrow")
+
+
+@query(sql("SELECT upper(event_type) AS status, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, user_id::VARCHAR AS id, props AS extra FROM events", "lg"))
+def k11_s9_log_round_trip(spark, d):
+    path = fx.work_path(spark, "log")
+    sinks.append_log(fx.log(spark, d).select("value"), path)
+    return readers.scan_log(spark, path)
+
+
+@query(sql("SELECT doc_id::VARCHAR AS video_id, category, in_escrow FROM man", "man"))
+def s4_k2_manifest_round_trip(spark, d):
+    """The manifest as JSON maps, one for each channel of ids, read back to rows."""
+    path = fx.work_path(spark, "manifest")
+    entry = F.struct("category", "in_escrow")
+    maps = fx.manifest(spark, d).groupBy((F.col("doc_id") % 50).alias("part")).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(F.col("doc_id").cast("string"), entry)))).alias("value"))
+    maps.select("value").repartition(4).write.text(path)
+    rows = spark.read.text(path).select(F.explode(F.from_json("value", "map<string, struct<category: string, in_escrow: boolean>>")).alias("video_id", "e"))
+    return rows.select("video_id", "e.category", "e.in_escrow")
+
+
+@query("SELECT doc_id::VARCHAR AS id FROM labels WHERE toxic = 1")
+def s8_queue_list(spark, d):
+    """Id lists written as JSON arrays and read back."""
+    path = fx.work_path(spark, "queue")
+    ids = table(spark, d, "labels").filter("toxic = 1").select(F.col("doc_id").cast("string").alias("id"), (F.col("doc_id") % 20).alias("part"))
+    ids.groupBy("part").agg(F.to_json(F.collect_list("id")).alias("value")).select("value").write.text(path)
+    return spark.read.text(path).select(F.explode(F.from_json("value", "array<string>")).alias("id"))
+
+
+@query("SELECT DISTINCT user_id, event_type FROM events")
+def r1_r4_unseen_stream(spark, d):
+    """Events read as a stream, each (user, type) once, micro-batches appended to a table; the checkpoint is the resume state."""
+    source, path, state = (fx.work_path(spark, n) for n in ("events", "unseen", "state"))
+    e = table(spark, d, "events").select(F.concat_ws("/", F.col("user_id").cast("string"), "event_type").alias("k"), "user_id", "event_type", F.col("ts").cast("timestamp").alias("at"))
+    e.repartition(4).write.parquet(source)
+    stream = streams.unseen(spark.readStream.schema(e.schema).parquet(source), "k", "at", "10000 days")
+    streams.work_queue(stream, lambda batch, _: batch.select("user_id", "event_type").write.mode("append").parquet(path), state).awaitTermination()
+    return spark.read.schema("user_id long, event_type string").parquet(path)
+
+
 ENTRY = p5_p9_classify
-_ = VERDICT

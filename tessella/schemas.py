@@ -4,6 +4,7 @@ from __future__ import annotations
 
 SEGMENT = "struct<id: int, start: double, end: double, text: string, avg_logprob: double>"
 METRICS = "struct<global_uwr: double, tail_uwr: double, cps: double, glued_count: int, min_sliding_uwr: double, prompt_contamination: boolean, error: string>"
+# The field names of stored documents.
 METADATA = (
     "struct<video_id: string, title: string, channel: string, duration: double, timestamp: string, omega_certified: boolean, omega_timestamp: string, omega_merge_notes: string,"
     " omega_quarantine_reason: string, omega_original_text_len: bigint, omega_golden_text_len: bigint, audit_verified: boolean, audit_timestamp: string>"
