@@ -46,10 +46,10 @@ def scan_rebuild(spark: SparkSession, root: str) -> DataFrame:
 
 
 def corrupt_files(spark: SparkSession, root: str) -> DataFrame:
-    """(path, problem) of temporary, empty and unparsable files."""
+    """(path, problem) of temporary, blank and unparsable files. Files of no bytes hold no rows: Spark's scans skip them."""
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length", "content")
     text = F.col("content").cast("string")
-    bad = F.when(F.col("path").endswith(".tmp"), "temporary").when(F.col("length") == 0, "empty").when(F.col("path").endswith(".json") & F.try_parse_json(text).isNull(), "unparsable")
+    bad = F.when(F.col("path").endswith(".tmp"), "temporary").when(F.trim(text) == "", "blank").when(F.col("path").endswith(".json") & F.try_parse_json(text).isNull(), "unparsable")
     return listed.select("path", bad.alias("problem")).filter("problem is not null")
 
 
