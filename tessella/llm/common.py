@@ -60,13 +60,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # ---------------------------------------------------------------- inside tasks
 
 
-def slices(batches: Iterator[pa.RecordBatch], text_col: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut batches so that each holds about SLICE_BYTES of text (or one longer row)."""
+def slices(batches: Iterator[pa.RecordBatch], text_col: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that each holds about `size` bytes of text (or one longer row)."""
     for b in batches:
         if not b.num_rows:
             continue
         sizes = pc.fill_null(pc.binary_length(b.column(text_col)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        block = np.cumsum(sizes) // SLICE_BYTES
+        block = np.cumsum(sizes) // size
         cuts = np.r_[0, np.flatnonzero(np.diff(block)) + 1, b.num_rows]
         for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
             if hi > lo:

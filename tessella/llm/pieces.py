@@ -21,6 +21,7 @@ spelt in byte pieces; a text that holds U+2581 itself doesn't decode to itself (
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,6 +36,10 @@ from .common import mix, slices, text_bytes
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ALPHA, SAMPLES = 1.5, 2
+#: UTF-8 bytes of text whose lattices are held at once.
+LATTICE_BYTES = 1 << 18
+#: Pieces that the lattices of known units may hold before they are forgotten.
+STORE_EDGES = 1_000_000
 SPACE, BREAK = 0x2581, 10
 _B = np.uint64(0xD1342543DE82EF95)
 _loaded: dict[str, Vocabulary] = {}
@@ -47,6 +52,7 @@ class Vocabulary:
         import sentencepiece
 
         self.processor = sp = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.space = sp.piece_to_id("\u2581")
         self.bytes = np.zeros(256, np.int64)
         known: dict[int, int] = {}
         self.longest = 1
@@ -116,9 +122,26 @@ _MOST = 36.8
 
 
 class Lattice:
-    """Units of the texts, and for each distinct unit the pieces that can follow each place, with exact probabilities."""
+    """Units of the texts, and for each distinct unit the pieces that can follow each place, with exact probabilities.
+
+    A lattice can take another slice of texts with read(): units it knows already are kept, until they hold STORE_EDGES.
+    """
 
     def __init__(self, text: pa.Array, vocab: Vocabulary, alpha: float):
+        self.vocab, self.alpha = vocab, alpha
+        self._forget()
+        self.read(text)
+
+    def _forget(self) -> None:
+        z = np.zeros(0, np.int64)
+        self.hashes, self.numbers = np.zeros(0, np.uint64), z
+        self.begin, self.last, self.edges = z, z, np.zeros(1, np.int64)
+        self.piece, self.target, self.tokens = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int8)
+        self.fixed, self.p, self.below, self.others = z, np.zeros(0), np.zeros(0), np.zeros(0)
+        self.ids, self.id_off = np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    def read(self, text: pa.Array) -> None:
+        """Take these texts: rows, unit (the number of each unit in order)."""
         data, off = text_bytes(text)
         codes = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
         points = np.r_[0, np.cumsum((data & 0xC0) != 0x80)][off]
@@ -143,18 +166,31 @@ class Lattice:
             for j in range(int(size.max(initial=0))):
                 todo = todo[size[todo] > j]
                 h[todo] = h[todo] * _B + value[starts[todo] + j]
-        _, index, self.unit = np.unique(mix(h, 5) ^ mix(size.astype(np.uint64), 6), return_index=True, return_inverse=True)
-        s, k = starts[index], size[index]
+        names, index, self.unit = np.unique(mix(h, 5) ^ mix(size.astype(np.uint64), 6), return_index=True, return_inverse=True)
+        if len(self.piece) > STORE_EDGES:
+            self._forget()
+        at = np.minimum(np.searchsorted(self.hashes, names), max(len(self.hashes) - 1, 0))
+        new = self.hashes[at] != names if len(self.hashes) else np.ones(len(names), bool)
+        if new.any():
+            fresh = len(self.begin) + np.arange(int(new.sum()))
+            self._add(codes, starts[index[new]], size[index[new]])
+            order = np.argsort(every := np.r_[self.hashes, names[new]], kind="stable")
+            self.hashes, self.numbers = every[order], np.r_[self.numbers, fresh][order]
+        self.unit = self.numbers[np.searchsorted(self.hashes, names)][self.unit]
+
+    def _add(self, codes: np.ndarray, s: np.ndarray, k: np.ndarray) -> None:
+        """Lattices and encodings of units (starts s, sizes k in codes) that aren't known yet."""
+        vocab, alpha = self.vocab, self.alpha
+        self._encode(codes, s, k)
         base = np.cumsum(k) - k
         where = np.repeat(s - base, k) + np.arange(int(k.sum()))
-        code, value = codes[where], value[where]
+        code = codes[where]
+        value = mix(code.astype(np.uint64), 9)
         left = np.repeat(base + k, k) - np.arange(len(code))  # characters to the end of the unit
         # nodes: one for each character and one for each unit's end
         shift = np.repeat(np.arange(len(k)), k)
         node = np.arange(len(code)) + shift
-        self.begin = base + np.arange(len(k))
-        self.last = self.begin + k
-        nodes = len(code) + len(k)
+        begin, nodes, old, known = base + np.arange(len(k)), len(code) + len(k), len(self.edges) - 1, len(self.piece)
         source, length, piece = [], [], []
         active, h = np.arange(len(code)), np.zeros(len(code), np.uint64)
         single = np.zeros(len(code), bool)
@@ -192,10 +228,8 @@ class Lattice:
             lo += size
         source, length, piece = source[order], length[order], piece[order]
         weight = np.where(piece >= 0, per[np.maximum(piece, 0)], per[vocab.bytes[0]] * width[source])
-        self.piece, self.target = piece, node[source] + length
-        self.tokens = np.where(piece >= 0, 1, width[source])
-        self.edges = np.zeros(nodes + 1, np.int64)
-        self.edges[1:] = np.cumsum(np.bincount(node[source], minlength=nodes))
+        target = node[source] + length
+        edges = np.r_[0, np.cumsum(np.bincount(node[source], minlength=nodes))]
         # sums over all ways from a node to its unit's end, by the distance to it
         beta = np.zeros(nodes)
         far = left[source]
@@ -204,27 +238,51 @@ class Lattice:
         for lo, hi in zip(cut[:-1], cut[1:], strict=True):
             if hi > lo:
                 e = by[lo:hi]
-                v = weight[e] + beta[self.target[e]]
+                v = weight[e] + beta[target[e]]
                 src = node[source[e]]
                 g = np.flatnonzero(np.r_[True, src[1:] != src[:-1]])
                 top = np.maximum.reduceat(v, g)
                 beta[src[g]] = top + np.log(np.add.reduceat(np.exp(v - np.repeat(top, np.diff(np.r_[g, len(e)]))), g))
         # in units of 2**-32: their sums are exact, so they don't depend on what else is in the batch
-        exact = np.minimum(weight + beta[self.target] - beta[node[source]], 0.0)
-        self.fixed = np.rint(exact * 2**32).astype(np.int64)
-        self.logp = self.fixed / 2**32
+        exact = np.minimum(weight + beta[target] - beta[node[source]], 0.0)
         p = np.exp(exact)
         # sums over a node's earlier pieces, and over all its others, without cancellation: pair by pair at each distance
-        self.below, others = np.zeros(len(p)), np.zeros(len(p))
-        on, stop, r = np.arange(len(p)), self.edges[node[source] + 1], 1
+        below, others = np.zeros(len(p)), np.zeros(len(p))
+        on, stop, r = np.arange(len(p)), edges[node[source] + 1], 1
         while len(on := on[on + r < stop[on]]):
-            self.below[on + r] += p[on]
+            below[on + r] += p[on]
             others[on + r] += p[on]
             others[on] += p[on + r]
             r += 1
         with np.errstate(divide="ignore"):
-            self.others = np.log(others)  # log probability of all other pieces there, -inf if there are none
-        self.p = p
+            others = np.log(others)  # log probability of all other pieces there, -inf if there are none
+        join = lambda x, y: np.concatenate([x, y.astype(x.dtype)])
+        self.begin, self.last = join(self.begin, begin + old), join(self.last, begin + k + old)
+        self.edges = join(self.edges, edges[1:] + known)
+        self.piece, self.target = join(self.piece, piece), join(self.target, target + old)
+        self.tokens = join(self.tokens, np.where(piece >= 0, 1, width[source]))
+        # in units of 2**-32: their sums are exact, so they don't depend on what else is in the batch
+        self.fixed = join(self.fixed, np.rint(exact * 2**32).astype(np.int64))
+        self.p, self.below, self.others = join(self.p, p), join(self.below, below), join(self.others, others)
+
+    def _encode(self, codes: np.ndarray, s: np.ndarray, k: np.ndarray) -> None:
+        """The vocabulary's own encoding of each unit: no merge crosses units, so a text's encoding is theirs end to end.
+
+        The encoder puts a space first. It is part of a unit that starts with one; before others a line break keeps it
+        apart, and the two are taken off again.
+        """
+        whole = codes.astype("<u4").tobytes().decode("utf-32-le")
+        spaced = (codes[s] == SPACE).tolist()
+        ids = self.vocab.processor.encode([whole[a + 1 : a + n] if x else "\n" + whole[a : a + n] for a, n, x in zip(s.tolist(), k.tolist(), spaced, strict=True)], num_threads=1)
+        # a unit of one space alone is encoded as nothing
+        ids = [(i or [self.vocab.space]) if x else i[2:] for i, x in zip(ids, spaced, strict=True)]
+        self.ids = np.concatenate([self.ids, np.fromiter(itertools.chain.from_iterable(ids), np.int32)])
+        self.id_off = np.concatenate([self.id_off, self.id_off[-1] + np.cumsum([len(i) for i in ids])])
+
+    def encoded(self) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, n+1 offsets by row) of the texts' encodings."""
+        n = self.id_off[self.unit + 1] - self.id_off[self.unit]
+        return self.ids[_gather(self.id_off, self.unit, n)], np.r_[0, np.cumsum(n)][self.rows]
 
     def choose(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
         """An edge of each node by its probability."""
@@ -332,7 +390,7 @@ def draw(lattice: Lattice, key: np.ndarray, k: int) -> tuple[list[Sample], np.nd
             child = _gather(lattice.edges, node, size)
             of = np.repeat(several, size)
             child, of = child[child != old[of]], of[child != old[of]]
-            g = before[of] + lattice.logp[child] - np.log(-np.log(uniform(placed(key[rows[of]], (place[of] << 20) + child - lattice.edges[np.searchsorted(lattice.edges, child, side="right") - 1]), -2 - turn)))
+            g = before[of] + lattice.fixed[child] / 2**32 - np.log(-np.log(uniform(placed(key[rows[of]], (place[of] << 20) + child - lattice.edges[np.searchsorted(lattice.edges, child, side="right") - 1]), -2 - turn)))
             peak = np.full(len(rows), -np.inf)
             np.maximum.at(peak, of, g)
             won = np.flatnonzero(g == peak[of])
@@ -396,12 +454,15 @@ def digest(ids: np.ndarray) -> str:
 
 def _segment(path: str, alpha: float, k: int, with_ids: bool, sample_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = vocabulary(path)
+        vocab, lattice = vocabulary(path), None
         one = pa.struct([("rank", pa.int32()), ("n_ids", pa.int64()), ("ids_sha256", pa.string()), ("logp", pa.float64()), ("perturbed", pa.float64()), ("inclusion", pa.float64()), ("ids", pa.list_(pa.int32()))])
-        for b in slices(batches):
+        for b in slices(batches, size=LATTICE_BYTES):
             text = b.column("text")
             key = mix(b.column("key").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64), 12)
-            lattice = Lattice(text, vocab, alpha)
+            if lattice is None:
+                lattice = Lattice(text, vocab, alpha)
+            else:
+                lattice.read(text)
             samples, kappa = draw(lattice, key, k)
             known = text.is_valid().to_numpy(zero_copy_only=False)
             out: list[list] = [[] for _ in range(b.num_rows)]
@@ -414,12 +475,13 @@ def _segment(path: str, alpha: float, k: int, with_ids: bool, sample_ids: bool):
                     x = ids[off[r] : off[r + 1]]
                     out[r].append({"rank": rank + 1, "n_ids": len(x), "ids_sha256": digest(x), "logp": float(sample.logp[r]), "perturbed": float(sample.key[r]), "inclusion": float(inclusion[r]), "ids": x if sample_ids else None})
             codes, same, ids_out = [], [], []
+            ids, off = lattice.encoded()
             for lo in range(0, b.num_rows, 64):
                 texts = text.slice(lo, 64).to_pylist()
-                ids = vocab.processor.encode([t or "" for t in texts])
-                for t, x, back in zip(texts, ids, vocab.processor.decode(ids), strict=True):
-                    same.append(None if t is None else back == t)
-                    x = np.array(x, "<i4")
+                parts = [ids[off[r] : off[r + 1]] for r in range(lo, lo + len(texts))]
+                back = vocab.processor.decode([x.tolist() for x in parts], num_threads=1)
+                for t, x, y in zip(texts, parts, back, strict=True):
+                    same.append(None if t is None else y == t)
                     codes.append((len(x), digest(x)))
                     ids_out.append(x if with_ids and t is not None else None)
             doc = [b.column(c) for c in b.schema.names if c not in ("text", "key")]
