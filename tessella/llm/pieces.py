@@ -132,8 +132,19 @@ class Lattice:
         self._forget()
         self.read(text)
 
+    def _append(self, name: str, values: np.ndarray) -> None:
+        """Lengthen one of the stored arrays; its buffer doubles, so most calls copy the new values only."""
+        old = getattr(self, name)
+        n, buffer = len(old) + len(values), self._buffers.get(name)
+        if buffer is None or n > len(buffer):
+            buffer = self._buffers[name] = np.empty(2 * n, old.dtype)
+            buffer[: len(old)] = old
+        buffer[len(old) : n] = values
+        setattr(self, name, buffer[:n])
+
     def _forget(self) -> None:
         z = np.zeros(0, np.int64)
+        self._buffers: dict[str, np.ndarray] = {}
         self.hashes, self.numbers = np.zeros(0, np.uint64), z
         self.begin, self.last, self.edges = z, z, np.zeros(1, np.int64)
         self.piece, self.target, self.tokens = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int8)
@@ -256,14 +267,13 @@ class Lattice:
             r += 1
         with np.errstate(divide="ignore"):
             others = np.log(others)  # log probability of all other pieces there, -inf if there are none
-        join = lambda x, y: np.concatenate([x, y.astype(x.dtype)])
-        self.begin, self.last = join(self.begin, begin + old), join(self.last, begin + k + old)
-        self.edges = join(self.edges, edges[1:] + known)
-        self.piece, self.target = join(self.piece, piece), join(self.target, target + old)
-        self.tokens = join(self.tokens, np.where(piece >= 0, 1, width[source]))
-        # in units of 2**-32: their sums are exact, so they don't depend on what else is in the batch
-        self.fixed = join(self.fixed, np.rint(exact * 2**32).astype(np.int64))
-        self.p, self.below, self.others = join(self.p, p), join(self.below, below), join(self.others, others)
+        # in units of 2**-32 the sums of log probabilities are exact, so they don't depend on what else is in the batch
+        fixed = np.rint(exact * 2**32).astype(np.int64)
+        for name, values in (
+            ("begin", begin + old), ("last", begin + k + old), ("edges", edges[1:] + known), ("piece", piece), ("target", target + old),
+            ("tokens", np.where(piece >= 0, 1, width[source])), ("fixed", fixed), ("p", p), ("below", below), ("others", others),
+        ):
+            self._append(name, values)
 
     def _encode(self, codes: np.ndarray, s: np.ndarray, k: np.ndarray) -> None:
         """The vocabulary's own encoding of each unit: no merge crosses units, so a text's encoding is theirs end to end.
@@ -276,8 +286,8 @@ class Lattice:
         ids = self.vocab.processor.encode([whole[a + 1 : a + n] if x else "\n" + whole[a : a + n] for a, n, x in zip(s.tolist(), k.tolist(), spaced, strict=True)], num_threads=1)
         # a unit of one space alone is encoded as nothing
         ids = [(i or [self.vocab.space]) if x else i[2:] for i, x in zip(ids, spaced, strict=True)]
-        self.ids = np.concatenate([self.ids, np.fromiter(itertools.chain.from_iterable(ids), np.int32)])
-        self.id_off = np.concatenate([self.id_off, self.id_off[-1] + np.cumsum([len(i) for i in ids])])
+        self._append("ids", np.fromiter(itertools.chain.from_iterable(ids), np.int32))
+        self._append("id_off", self.id_off[-1] + np.cumsum([len(i) for i in ids]))
 
     def encoded(self) -> tuple[np.ndarray, np.ndarray]:
         """(ids, n+1 offsets by row) of the texts' encodings."""
