@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 #: Stand-in for a null doc_id, so that such rows sort first and join like any other.
 NULL_ID = -(2**63)
 #: UTF-8 bytes of text handled at once inside a task.
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 2 << 20
 
 _own_dir: dict[str, str] = {}
 
