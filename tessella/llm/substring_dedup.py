@@ -4,10 +4,10 @@ A window is `width` consecutive words. Round 1 finds where equal windows can be:
 among its word k-grams (equal windows have equal names), runs of windows with one name are one segment, and a name that
 several documents hold sends their segments to its leader, the segment in the smallest document. Leaders' segments are
 the reference: dealt by document and block into shards of bounded size, each turned into a suffix automaton (states carry
-the least document id that ends there). Segments of other documents stream through the automaton of their leader's shard;
+the least document id that ends there). All other segments stream through the automaton of their leader's shard;
 wherever the match reaches `width` words in a document with a smaller id, the window repeats. Round 2 does the same for
-windows that their leader doesn't hold but other documents do (names are then the windows' own hashes), so no repeated
-window is missed and nothing is compared outside its shard.
+windows that their leader doesn't hold but other documents do, or the leader's document in its other segments of the name
+(names are then the windows' own hashes), so no repeated window is missed and nothing is compared outside its shard.
 
 Skew: a name is aggregated, never gathered; the segments sent to a heavy shard are spread over salts, each with its own
 copy of the shard's reference. Automata read 64-bit word hashes, and a shard's memory is bounded by `SHARD_WORDS`.
@@ -257,7 +257,9 @@ def _resolve(segments: DataFrame, source: DataFrame, of_text: bool, width: int)
     shards = max(1, int(total) // SHARD_WORDS)
     home = F.pmod(F.xxhash64("lead.did", "lead.th", F.floor(F.col("lead.start") / BLOCK_WORDS)), F.lit(shards))
     leaders = leaders.withColumn("home", home)
-    sent = segments.join(leaders, "name").filter(F.col("did") > F.col("lead.did"))
+    # in round 1 a name stands for many windows: the leading document's other segments of it may hold some that the leader lacks
+    other = (F.col("start") != F.col("lead.start")) | (F.col("th") != F.col("lead.th"))
+    sent = segments.join(leaders, "name").filter((F.col("did") > F.col("lead.did")) | (other if of_text else F.lit(False)))
     probes = stored(sent.select("home", *at, "start", "n"), "probes")
     # only shards above the bound are named here: fewer than all streamed words / SALT_WORDS
     heavy = {r.home: -(-r.words // SALT_WORDS) for r in probes.groupBy("home").agg(F.sum(F.col("n") + 8).alias("words")).filter(F.col("words") > SALT_WORDS).toLocalIterator()}

@@ -119,6 +119,18 @@ def test_substrings(spark, monkeypatch):
     assert sum(w[2] > 0 for w in want) > 20
 
 
+def test_substrings_held_by_another_segment_of_the_leader(spark):
+    rows = []
+    for i in range(0, 120, 3):  # the smallest document holds p twice, the next ones repeat its second place only
+        w = iter([f"v{i}x{n}" for n in range(60)])
+        u1, p, u2, u3 = ([next(w) for _ in range(n)] for n in (12, 6, 12, 12))
+        rows += [(i, " ".join(u1 + p + u2 + p + u3)), (i + 1, " ".join(p + u3[:5])), (i + 2, " ".join(p + u3))]
+    rows += [(500, "a b c d e f g h i j k"), (500, "z y a b c d e f g h q r"), (501, "y a b c d e f g h q r"), (502, "b c d e f g h i j k")]
+    got = substring_dedup.dedup_substrings(table(spark, rows), width=10, gram=4)
+    have = sorted([(r.did, r.n_words, r.n_removed, r.kept) for r in got.collect()], key=str)
+    assert have == brute_windows(rows, 10)
+
+
 def brute_near(rows, percent=75, k=5):
     sets = []
     for _, t in rows:
