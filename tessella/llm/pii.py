@@ -8,8 +8,9 @@ with both counts taken over all documents. Terms over the threshold, and seen ne
 is a span: of kind `reveal`, which is removed, where its disclosure exceeds the upper threshold, else of kind `quasi`,
 which is generalised to `[term]`. Entities become `[kind]`.
 
-Counting is one map-side combined aggregation over (term) with a row per distinct term and batch. The terms sent to the
-tasks are at most `max_terms`, those with the highest disclosure: the bound is a parameter and acts as a threshold.
+Counting is one map-side combined aggregation over (term) with a row per distinct term and batch. Up to `max_terms`
+sensitive terms are sent to every task; more are joined to the distinct words near the entities of each text, so that a
+row brings its own terms along. The result is the same.
 
 Defined results: null text is empty text; ids may be null; repeated rows are each counted and each returned; offsets are
 code points, end exclusive; spans of one kind don't overlap.
@@ -33,6 +34,8 @@ from .common import slices, span_hashes, stored, text_bytes, word_bounds
 KINDS = ("email", "ip", "card", "phone")
 ALL_KINDS = (*KINDS, "quasi", "reveal")
 REACH, MIN_PMI, REMOVE_PMI, MIN_NEAR, MAX_TERMS = 4, 4.0, 7.0, 20, 100_000
+#: Shares of a term's texts where terms are joined to texts.
+SALTS = 16
 
 # The base patterns. An email is searched from its @ and extended to the left, which is linear.
 _AT = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -137,37 +140,87 @@ def sensitive_terms(docs: DataFrame, text_col: str = "text", reach: int = REACH,
 _SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
 
 
-def _find(reach: int, terms: np.ndarray, reveals: np.ndarray):
+def _near_terms(reach: int):
+    """(th, term): the distinct words near the entities of each text."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             found = _entities(b)
-            if len(terms) and any(found):
-                data, off = text_bytes(b.column("text"))
-                starts, ends, rows = word_bounds(data, off)
-                near = _words_near(data, starts, ends, rows, off, found, reach)
-                h = span_hashes(data, starts[near], ends[near], lower=True)
-                near, reveal = near[np.isin(h, terms)], np.isin(h[np.isin(h, terms)], reveals)
-                kind = dict(zip(near.tolist(), np.where(reveal, "reveal", "quasi").tolist(), strict=True))
-                for r in np.unique(np.searchsorted(rows, near, side="right") - 1).tolist():
-                    points = np.cumsum((data[off[r] : off[r + 1]] & 0xC0) != 0x80)
-                    for w in near[(near >= rows[r]) & (near < rows[r + 1])].tolist():
-                        a, z = starts[w] - off[r], ends[w] - off[r]
-                        found[r].append((kind[w], int(points[a] - 1), int(points[z - 1])))
-                    found[r].sort(key=lambda x: (ALL_KINDS.index(x[0]), x[1]))
-            keep = [c for c in b.schema.names if c != "text"]
-            lists = pa.array([[{"kind": k, "start": a, "end": z} for k, a, z in x] for x in found], pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])))
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), lists], [*keep, "spans"])
+            if not any(found):
+                continue
+            data, off = text_bytes(b.column("text"))
+            starts, ends, rows = word_bounds(data, off)
+            near = _words_near(data, starts, ends, rows, off, found, reach)
+            h = span_hashes(data, starts[near], ends[near], lower=True).view(np.int64)
+            th = b.column("th").to_numpy()[np.searchsorted(rows, near, side="right") - 1]
+            pairs = np.unique(np.stack([th, h], axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["th", "term"])
 
     return run
 
 
+def _own_terms(docs: DataFrame, terms: DataFrame, text_col: str, reach: int, remove_pmi: float) -> DataFrame:
+    """(th, own): the sensitive terms near the entities of each text, by the text's hash; bounded by the text's length.
+
+    Texts with equal hashes share their terms, which adds none: whatever is in a set is sensitive wherever it is near.
+    """
+    keyed = docs.select(F.xxhash64(F.col(text_col)).alias("th"), F.col(text_col).alias("text"))
+    pairs = keyed.mapInArrow(_near_terms(reach), "th long, term long").distinct().withColumn("salt", F.pmod("th", F.lit(SALTS)).cast("int"))
+    spread = terms.select("term", (F.col("pmi") >= remove_pmi).alias("reveal"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    return pairs.join(spread, ["term", "salt"]).groupBy("th").agg(F.collect_list(F.struct("term", "reveal")).alias("own"))
+
+
+def _find(reach: int, terms: np.ndarray, reveals: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            yield _spans(b, _entities(b), reach, terms, reveals)
+
+    return run
+
+
+def _find_own(reach: int):
+    """As _find, with the terms that the rows bring along."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            own = pc.list_flatten(b.column("own"))
+            terms, reveal = own.field(0).to_numpy().view(np.uint64), own.field(1).to_numpy(zero_copy_only=False).astype(bool)
+            yield _spans(b.drop_columns(["own"]), _entities(b), reach, np.unique(terms), np.unique(terms[reveal]))
+
+    return run
+
+
+def _spans(b: pa.RecordBatch, found: list, reach: int, terms: np.ndarray, reveals: np.ndarray) -> pa.RecordBatch:
+    """The rows of b with their spans: the entities found, then the terms near them."""
+    if len(terms) and any(found):
+        data, off = text_bytes(b.column("text"))
+        starts, ends, rows = word_bounds(data, off)
+        near = _words_near(data, starts, ends, rows, off, found, reach)
+        h = span_hashes(data, starts[near], ends[near], lower=True)
+        near, reveal = near[np.isin(h, terms)], np.isin(h[np.isin(h, terms)], reveals)
+        kind = dict(zip(near.tolist(), np.where(reveal, "reveal", "quasi").tolist(), strict=True))
+        for r in np.unique(np.searchsorted(rows, near, side="right") - 1).tolist():
+            points = np.cumsum((data[off[r] : off[r + 1]] & 0xC0) != 0x80)
+            for w in near[(near >= rows[r]) & (near < rows[r + 1])].tolist():
+                a, z = starts[w] - off[r], ends[w] - off[r]
+                found[r].append((kind[w], int(points[a] - 1), int(points[z - 1])))
+            found[r].sort(key=lambda x: (ALL_KINDS.index(x[0]), x[1]))
+    keep = [c for c in b.schema.names if c != "text"]
+    lists = pa.array([[{"kind": k, "start": a, "end": z} for k, a, z in x] for x in found], pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])))
+    return pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), lists], [*keep, "spans"])
+
+
 def find(docs: DataFrame, text_col: str = "text", reach: int = REACH, min_pmi: float = MIN_PMI, min_near: int = MIN_NEAR, remove_pmi: float = REMOVE_PMI, max_terms: int = MAX_TERMS) -> DataFrame:
     """(doc, spans): the input row as a struct, its base spans by kind and start, then its term spans."""
     terms = sensitive_terms(docs, text_col, reach, min_pmi, min_near)
-    rows = list(terms.orderBy(F.desc("pmi"), "term").limit(max_terms).toLocalIterator())
-    known, reveals = (np.sort(np.array([r.term for r in rows if r.pmi >= bar], np.int64)).view(np.uint64) for bar in (min_pmi, remove_pmi))
     sent = docs.select(F.struct(*docs.columns).alias("doc"), F.col(text_col).alias("text"))
-    return sent.mapInArrow(_find(reach, known, reveals), T.StructType([sent.schema["doc"], T.StructField("spans", _SPANS)]))
+    schema = T.StructType([sent.schema["doc"], T.StructField("spans", _SPANS)])
+    if terms.count() > max_terms:
+        own = _own_terms(docs, terms, text_col, reach, remove_pmi)
+        return sent.withColumn("th", F.xxhash64("text")).join(own, "th", "left").select("doc", "text", "own").mapInArrow(_find_own(reach), schema)
+    rows = list(terms.toLocalIterator())
+    known, reveals = (np.sort(np.array([r.term for r in rows if r.pmi >= bar], np.int64)).view(np.uint64) for bar in (min_pmi, remove_pmi))
+    return sent.mapInArrow(_find(reach, known, reveals), schema)
 
 
 def sanitise(docs: DataFrame, text_col: str = "text", **parameters) -> DataFrame:

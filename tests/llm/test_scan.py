@@ -131,6 +131,27 @@ def test_disclosing_terms(spark):
     assert pii.find(docs(spark, [])).count() == 0
 
 
+def test_terms_beyond_the_bound_of_a_task(spark):
+    rng = random.Random(2)
+    noise = [f"n{k}" for k in range(300)]
+    rows = []
+    for i in range(200):
+        w = [rng.choice(noise) for _ in range(300)]
+        if i % 2:
+            w[30:30] = [f"Label{i % 4}", f"é{i}@mail.com", "Dr."]
+        rows.append((i, " ".join(w)))
+    rows += [(None, None), (None, None), (500, ""), (3, rows[3][1]), (3, rows[3][1]), (501, "Label1 nobody"), (502, "é x@mail.com\tLABEL3")]
+    df = docs(spark, rows)
+    have = lambda **p: sorted([(r.doc, [tuple(s) for s in r.spans]) for r in pii.find(df, **p).collect()], key=str)
+    want = have()
+    terms = {t[a:z] for d, spans in want for k, a, z in spans if k not in pii.KINDS for t in [d.text]}
+    assert terms == {"Label1", "Label3", "LABEL3", "Dr."}
+    for most in (0, 1, 2):
+        assert have(max_terms=most) == want
+    bars = {"min_pmi": 4.0, "remove_pmi": 5.0}
+    assert have(max_terms=1, **bars) == have(**bars)
+
+
 # --------------------------------------------------------------------------- op1
 
 
