@@ -32,9 +32,9 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document's piece ids, and two sampled segmentations with their inclusion scores."""
-    out = pieces.segment(docs, sample_ids=False)
-    return out.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns if c != "text"], "n_ids", "ids", "ids_sha256", "same", F.transform("samples", lambda s: s.dropFields("ids")).alias("samples"))
+    """Each document's piece ids, and two sampled segmentations with their piece ids and inclusion scores."""
+    out = pieces.segment(docs)
+    return out.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns if c != "text"], "n_ids", "ids", "ids_sha256", "same", "samples")
 
 
 STAGES = [

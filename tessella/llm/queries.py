@@ -146,11 +146,12 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = pieces.segment(table(spark, sf_dir, "documents").select("doc_id", "text"), with_ids=False, sample_ids=False)
+    out = pieces.segment(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select(
         F.col("doc.doc_id").cast("long").alias("doc_id"),
         "n_ids",
+        "ids",
         "ids_sha256",
         "same",
-        F.transform("samples", lambda s: F.struct(s["rank"].alias("rank"), s["n_ids"].alias("n_ids"), s["ids_sha256"].alias("ids_sha256"), s["logp"].alias("logp"), s["perturbed"].alias("perturbed"), s["inclusion"].alias("inclusion"))).alias("samples"),
+        "samples",
     )

@@ -195,3 +195,23 @@ def test_queries_on_the_small_tables(spark):
     n = spark.read.parquet(f"{SMALL}/documents.parquet").count()
     for name in ("op9_pieces", "op10_toxicity"):
         assert queries.QUERIES[name](spark, SMALL).count() == n
+
+
+def test_queries_return_the_segmentations(spark):
+    import sentencepiece
+
+    import corpus_pipeline
+    from tessella.llm.common import table
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    texts = {r.doc_id: r.text for r in table(spark, SMALL, "documents").collect()}
+    for out in (queries.QUERIES["op9_pieces"](spark, SMALL), corpus_pipeline.encode_pieces(spark, table(spark, SMALL, "documents"), SMALL)):
+        rows = out.collect()
+        assert len(rows) == len(texts)
+        for r in rows:
+            assert list(r["ids"]) == sp.encode(texts[r.doc_id])
+            assert [s["rank"] for s in r["samples"]] == list(range(1, len(r["samples"]) + 1))
+            for s in [r, *r["samples"]]:
+                assert len(s["ids"]) == s["n_ids"]
+                assert pieces.digest(np.array(s["ids"])) == s["ids_sha256"]
+                assert sp.decode(list(s["ids"])) == sp.decode(list(r["ids"]))
