@@ -120,7 +120,7 @@ _P = 0x9E3779B97F4A7C15
 _tables: dict[str, np.ndarray] = {}
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of an odd number modulo 2**64, and of its inverse."""
     if len(_tables.get("up", ())) < n:
         m = max(n, SLICE_BYTES + (1 << 16))
@@ -136,7 +136,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: b
     """64-bit hash of the bytes of each span, by one running polynomial sum over all of them."""
     value = mix(np.arange(256, dtype=np.uint64), 1000 + seed)
     value = value[LOWER] if lower else value
-    up, down = _powers(len(data) + 1)
+    up, down = powers(len(data) + 1)
     with np.errstate(over="ignore"):
         run = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(value[data] * up[: len(data)], out=run[1:])

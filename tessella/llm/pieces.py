@@ -21,7 +21,6 @@ spelt in byte pieces; a text that holds U+2581 itself doesn't decode to itself (
 from __future__ import annotations
 
 import hashlib
-import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,17 +31,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import mix, slices, text_bytes
+from .common import mix, powers, slices, text_bytes
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ALPHA, SAMPLES = 1.5, 2
 #: UTF-8 bytes of text whose lattices are held at once.
-LATTICE_BYTES = 1 << 18
-#: Pieces that the lattices of known units may hold before they are forgotten.
-STORE_EDGES = 1_000_000
+LATTICE_BYTES = 1 << 19
+#: Pieces that the lattices of known units may hold; beyond it the units met least often are forgotten.
+STORE_EDGES = 4_000_000
+#: New units that the vocabulary encodes in one call.
+ENCODED_AT_ONCE = 1024
+#: One in units of the summed probabilities: sums of 64-bit integers are exact in any order.
+ONE = 2.0**62
+_NONE = np.iinfo(np.int32).min
 SPACE, BREAK = 0x2581, 10
 _B = np.uint64(0xD1342543DE82EF95)
 _loaded: dict[str, Vocabulary] = {}
+_lattices: dict[tuple[str, float], Lattice] = {}
 
 
 class Vocabulary:
@@ -52,7 +57,7 @@ class Vocabulary:
         import sentencepiece
 
         self.processor = sp = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.space = sp.piece_to_id("\u2581")
+        self.line_break = sp.encode("\n")[-1]
         self.bytes = np.zeros(256, np.int64)
         known: dict[int, int] = {}
         self.longest = 1
@@ -66,7 +71,7 @@ class Vocabulary:
                 with np.errstate(over="ignore"):
                     for n, v in enumerate(mix(codes, 9)):
                         h = h * _B + v
-                        known[int(h)] = i if n == len(codes) - 1 else known.get(int(h), -1)
+                        known[int(h)] = i if n == len(codes) - 1 else known.get(int(h), _NONE)
         self.keys = np.array(list(known), np.uint64)
         self.ids = np.array(list(known.values()), np.int64)
         self.rank = np.maximum(0, np.array([-sp.get_score(i) for i in range(sp.get_piece_size())]))
@@ -117,39 +122,60 @@ def uniform(key: np.ndarray, draw: int) -> np.ndarray:
     return ((h >> np.uint64(12)).astype(np.float64) + 0.5) / 2.0**52
 
 
-#: -log(-log(u)) of the numbers that uniform() can give, at most; and its -log(u).
-_MOST = 36.8
-
-
 class Lattice:
     """Units of the texts, and for each distinct unit the pieces that can follow each place, with exact probabilities.
 
-    A lattice can take another slice of texts with read(): units it knows already are kept, until they hold STORE_EDGES.
+    A lattice can take another slice of texts with read(): units it knows already are kept, the most frequent half of them
+    once they hold STORE_EDGES pieces. What is known changes no result, only the time taken.
     """
 
-    def __init__(self, text: pa.Array, vocab: Vocabulary, alpha: float):
-        self.vocab, self.alpha = vocab, alpha
-        self._forget()
-        self.read(text)
+    #: Stored arrays by what their entries are.
+    EDGES = {"piece": np.int32, "target": np.int32, "tokens": np.int8, "fixed": np.int64, "mass": np.int64, "others": np.float64}
+    UNITS = {"begin": np.int64, "last": np.int64, "uses": np.int64, "whole": np.bool_}
+
+    def __init__(self, vocab: Vocabulary, alpha: float):
+        self.vocab = vocab
+        self.per = -alpha * np.log(2 + vocab.rank)  # weight of each piece
+        self.per[vocab.bytes] = -alpha * np.log(2 + len(vocab.rank))
+        self._buffers: dict[str, np.ndarray] = {}
+        for name, kind in (self.EDGES | self.UNITS | {"ids": np.int32}).items():
+            setattr(self, name, np.zeros(0, kind))
+        self.edges, self.id_off = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.hashes, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
     def _append(self, name: str, values: np.ndarray) -> None:
         """Lengthen one of the stored arrays; its buffer doubles, so most calls copy the new values only."""
         old = getattr(self, name)
         n, buffer = len(old) + len(values), self._buffers.get(name)
         if buffer is None or n > len(buffer):
-            buffer = self._buffers[name] = np.empty(2 * n, old.dtype)
+            buffer = self._buffers[name] = np.empty(max(2 * n, STORE_EDGES * 5 // 4 if name in self.EDGES else 0), old.dtype)
             buffer[: len(old)] = old
         buffer[len(old) : n] = values
         setattr(self, name, buffer[:n])
 
     def _forget(self) -> None:
-        z = np.zeros(0, np.int64)
-        self._buffers: dict[str, np.ndarray] = {}
-        self.hashes, self.numbers = np.zeros(0, np.uint64), z
-        self.begin, self.last, self.edges = z, z, np.zeros(1, np.int64)
-        self.piece, self.target, self.tokens = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int8)
-        self.fixed, self.p, self.below, self.others = z, np.zeros(0), np.zeros(0), np.zeros(0)
-        self.ids, self.id_off = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        """Keep the units met most often, as many as hold half of STORE_EDGES."""
+        size = self.edges[self.last + 1] - self.edges[self.begin]
+        order = np.argsort(-self.uses, kind="stable")
+        keep = np.sort(order[: np.searchsorted(np.cumsum(size[order]), STORE_EDGES // 2, side="right")])
+        nodes = self.last[keep] - self.begin[keep] + 1
+        at = np.repeat(self.begin[keep] - (np.cumsum(nodes) - nodes), nodes) + np.arange(int(nodes.sum()))
+        e = _gather(self.edges[self.begin], keep, size[keep])
+        begin = np.cumsum(nodes) - nodes
+        words = self.id_off[keep + 1] - self.id_off[keep]
+        new = {c: getattr(self, c)[e] for c in self.EDGES} | {c: getattr(self, c)[keep] for c in self.UNITS} | {"ids": self.ids[_gather(self.id_off, keep, words)]}
+        new["target"] = (new["target"] + np.repeat(begin - self.begin[keep], size[keep])).astype(np.int32)
+        new |= {"begin": begin, "last": begin + nodes - 1, "uses": new["uses"] // 2}
+        degree = np.diff(self.edges)[at]
+        self._buffers = {}
+        for c, v in new.items():
+            setattr(self, c, v[:0])
+            self._append(c, v)
+        self.edges, self.id_off = np.r_[0, np.cumsum(degree)], np.r_[0, np.cumsum(words)]
+        number = np.full(int(self.numbers.max()) + 1, -1)
+        number[keep] = np.arange(len(keep))
+        on = number[self.numbers] >= 0
+        self.hashes, self.numbers = self.hashes[on], number[self.numbers[on]]
 
     def read(self, text: pa.Array) -> None:
         """Take these texts: rows, unit (the number of each unit in order)."""
@@ -159,6 +185,8 @@ class Lattice:
         n = np.diff(points)
         # a space before each text, as the encoder has it
         at = np.flatnonzero(n > 0)
+        marked = np.r_[0, np.cumsum(codes == SPACE)]
+        self.marks = marked[points[1:]] > marked[points[:-1]]  # rows that hold the mark itself
         codes = np.insert(codes, points[:-1][at], 32).astype(np.int64)
         codes[codes == 32] = SPACE
         bounds = points + np.r_[0, np.cumsum(n > 0)]
@@ -169,15 +197,12 @@ class Lattice:
         self.rows = np.searchsorted(starts, bounds)  # units of each row
         ends = np.r_[starts[1:], len(codes)]
         # distinct units
-        value = mix(codes.astype(np.uint64), 9)
-        h = np.zeros(len(starts), np.uint64)
         size = ends - starts
+        up, down = powers(len(codes) + 1)
         with np.errstate(over="ignore"):
-            todo = np.arange(len(starts))
-            for j in range(int(size.max(initial=0))):
-                todo = todo[size[todo] > j]
-                h[todo] = h[todo] * _B + value[starts[todo] + j]
-        names, index, self.unit = np.unique(mix(h, 5) ^ mix(size.astype(np.uint64), 6), return_index=True, return_inverse=True)
+            run = np.r_[np.uint64(0), np.cumsum(mix(codes, 9) * up[: len(codes)])]
+            h = mix((run[ends] - run[starts]) * down[starts] + size.astype(np.uint64), 5)
+        names, index, self.unit = np.unique(h, return_index=True, return_inverse=True)
         if len(self.piece) > STORE_EDGES:
             self._forget()
         at = np.minimum(np.searchsorted(self.hashes, names), max(len(self.hashes) - 1, 0))
@@ -187,119 +212,133 @@ class Lattice:
             self._add(codes, starts[index[new]], size[index[new]])
             order = np.argsort(every := np.r_[self.hashes, names[new]], kind="stable")
             self.hashes, self.numbers = every[order], np.r_[self.numbers, fresh][order]
-        self.unit = self.numbers[np.searchsorted(self.hashes, names)][self.unit]
+        numbers = self.numbers[np.searchsorted(self.hashes, names)]
+        self.uses[numbers] += np.bincount(self.unit, minlength=len(names))
+        self.unit = numbers[self.unit]
 
     def _add(self, codes: np.ndarray, s: np.ndarray, k: np.ndarray) -> None:
         """Lattices and encodings of units (starts s, sizes k in codes) that aren't known yet."""
-        vocab, alpha = self.vocab, self.alpha
-        self._encode(codes, s, k)
+        vocab = self.vocab
         base = np.cumsum(k) - k
         where = np.repeat(s - base, k) + np.arange(int(k.sum()))
         code = codes[where]
+        self._encode(code, k)
         value = mix(code.astype(np.uint64), 9)
         left = np.repeat(base + k, k) - np.arange(len(code))  # characters to the end of the unit
         # nodes: one for each character and one for each unit's end
         shift = np.repeat(np.arange(len(k)), k)
         node = np.arange(len(code)) + shift
         begin, nodes, old, known = base + np.arange(len(k)), len(code) + len(k), len(self.edges) - 1, len(self.piece)
-        source, length, piece = [], [], []
         active, h = np.arange(len(code)), np.zeros(len(code), np.uint64)
-        single = np.zeros(len(code), bool)
+        # the piece of each length at each place, the longest first
+        found = np.full((len(code), vocab.longest), _NONE, np.int32)
         with np.errstate(over="ignore"):
             for n in range(1, vocab.longest + 1):
                 h = h * _B + value[active + n - 1]
-                found = vocab.find(h)
-                ok = found >= 0
-                active, h, found = active[ok], h[ok], found[ok]
-                whole = vocab.ids[found] >= 0
-                source.append(active[whole])
-                length.append(np.full(int(whole.sum()), n))
-                piece.append(vocab.ids[found[whole]])
-                if n == 1:
-                    single[active[whole]] = True
+                at = vocab.find(h)
+                ok = at >= 0
+                active, h = active[ok], h[ok]
+                found[active, vocab.longest - n] = vocab.ids[at[ok]]
                 more = left[active] > n
                 active, h = active[more], h[more]
-        spelt = np.flatnonzero(~single)
-        source.append(spelt)
-        length.append(np.ones(len(spelt), np.int64))
-        piece.append(np.where(code[spelt] < 128, vocab.bytes[np.minimum(code[spelt], 127)], -code[spelt] - 1))  # a character in byte pieces
-        sizes = [len(x) for x in source]
-        source, length, piece = map(np.concatenate, (source, length, piece))
+        single = found[:, -1]
+        spelt = np.flatnonzero(single == _NONE)
+        single[spelt] = np.where(code[spelt] < 128, vocab.bytes[np.minimum(code[spelt], 127)], -code[spelt] - 1)  # a character in byte pieces
+        flat = np.flatnonzero(found.ravel() != _NONE)
+        piece = found.ravel()[flat]
+        source = flat // vocab.longest
+        length = vocab.longest - (flat - source * vocab.longest)
         width = 1 + (code > 0x7F).astype(np.int64) + (code > 0x7FF) + (code > 0xFFFF)
-        per = -alpha * np.log(2 + vocab.rank)
-        per[vocab.bytes] = -alpha * np.log(2 + len(vocab.rank))
-        # in the order of their places, without a sort: a place's pieces were found one length after another
+        weight = self.per[np.maximum(piece, 0)]
+        rare = np.flatnonzero(piece < 0)
+        weight[rare] = self.per[vocab.bytes[0]] * width[source[rare]]
         degree = np.bincount(source, minlength=len(code))
-        slot = np.cumsum(degree) - degree
-        order = np.empty(len(source), np.int64)
-        lo = 0
-        for size in sizes:
-            order[slot[source[lo : lo + size]]] = np.arange(lo, lo + size)
-            slot[source[lo : lo + size]] += 1
-            lo += size
-        source, length, piece = source[order], length[order], piece[order]
-        weight = np.where(piece >= 0, per[np.maximum(piece, 0)], per[vocab.bytes[0]] * width[source])
-        target = node[source] + length
-        edges = np.r_[0, np.cumsum(np.bincount(node[source], minlength=nodes))]
+        own = np.repeat(node, degree)
+        target = own + length
+        edges = np.zeros(nodes, np.int64)
+        edges[node] = degree
+        edges = np.r_[0, np.cumsum(edges)]
         # sums over all ways from a node to its unit's end, by the distance to it
         beta = np.zeros(nodes)
-        far = left[source]
+        far = np.repeat(left, degree)
         by = np.argsort(far.astype(np.int16) if far.max(initial=0) < 2**15 else far, kind="stable")
         cut = np.searchsorted(far[by], np.arange(1, int(far.max(initial=0)) + 2))
         for lo, hi in zip(cut[:-1], cut[1:], strict=True):
             if hi > lo:
                 e = by[lo:hi]
                 v = weight[e] + beta[target[e]]
-                src = node[source[e]]
+                src = own[e]
                 g = np.flatnonzero(np.r_[True, src[1:] != src[:-1]])
                 top = np.maximum.reduceat(v, g)
                 beta[src[g]] = top + np.log(np.add.reduceat(np.exp(v - np.repeat(top, np.diff(np.r_[g, len(e)]))), g))
-        # in units of 2**-32: their sums are exact, so they don't depend on what else is in the batch
-        exact = np.minimum(weight + beta[target] - beta[node[source]], 0.0)
-        p = np.exp(exact)
-        # sums over a node's earlier pieces, and over all its others, without cancellation: pair by pair at each distance
-        below, others = np.zeros(len(p)), np.zeros(len(p))
-        on, stop, r = np.arange(len(p)), edges[node[source] + 1], 1
-        while len(on := on[on + r < stop[on]]):
-            below[on + r] += p[on]
-            others[on + r] += p[on]
-            others[on] += p[on + r]
-            r += 1
+        exact = np.minimum(weight + beta[target] - beta[own], 0.0)
+        # sums over a node's earlier pieces and over all its others: in integers, so without cancellation
+        share = np.maximum(np.rint(np.exp(exact) * ONE).astype(np.int64), 1)
+        ends = np.cumsum(share)  # modulo 2**64: differences within a node are right
+        first = np.cumsum(degree) - degree
+        before = (ends - share)[first]
+        mass = ends - np.repeat(before, degree)
+        whole = np.repeat(ends[first + degree - 1] - before, degree)
         with np.errstate(divide="ignore"):
-            others = np.log(others)  # log probability of all other pieces there, -inf if there are none
+            others = np.log((whole - share) / ONE)  # log probability of all other pieces there, -inf if there are none
+        tokens = np.ones(len(piece), np.int8)
+        tokens[rare] = width[source[rare]]
         # in units of 2**-32 the sums of log probabilities are exact, so they don't depend on what else is in the batch
         fixed = np.rint(exact * 2**32).astype(np.int64)
         for name, values in (
-            ("begin", begin + old), ("last", begin + k + old), ("edges", edges[1:] + known), ("piece", piece), ("target", target + old),
-            ("tokens", np.where(piece >= 0, 1, width[source])), ("fixed", fixed), ("p", p), ("below", below), ("others", others),
+            ("begin", begin + old), ("last", begin + k + old), ("uses", np.zeros(len(k), np.int64)), ("edges", edges[1:] + known), ("piece", piece), ("target", target + old),
+            ("tokens", tokens), ("fixed", fixed), ("mass", mass), ("others", others),
         ):
             self._append(name, values)
 
-    def _encode(self, codes: np.ndarray, s: np.ndarray, k: np.ndarray) -> None:
+    def _encode(self, code: np.ndarray, k: np.ndarray) -> None:
         """The vocabulary's own encoding of each unit: no merge crosses units, so a text's encoding is theirs end to end.
 
-        The encoder puts a space first. It is part of a unit that starts with one; before others a line break keeps it
-        apart, and the two are taken off again.
+        Many units are encoded in one call, a line break before each. Does it decode to the unit, too?
         """
-        whole = codes.astype("<u4").tobytes().decode("utf-32-le")
-        spaced = (codes[s] == SPACE).tolist()
-        ids = self.vocab.processor.encode([whole[a + 1 : a + n] if x else "\n" + whole[a : a + n] for a, n, x in zip(s.tolist(), k.tolist(), spaced, strict=True)], num_threads=1)
-        # a unit of one space alone is encoded as nothing
-        ids = [(i or [self.vocab.space]) if x else i[2:] for i, x in zip(ids, spaced, strict=True)]
-        self._append("ids", np.fromiter(itertools.chain.from_iterable(ids), np.int32))
-        self._append("id_off", self.id_off[-1] + np.cumsum([len(i) for i in ids]))
+        sp = self.vocab.processor
+        base = np.cumsum(k) - k
+        plain = (k > 1) | (code[base] != BREAK)  # a line break is a unit of its own
+        count, good, found = np.ones(len(k), np.int64), np.ones(len(k), bool), []
+        chars = np.where(code == SPACE, 32, code)[np.repeat(plain, k)]
+        units, at = np.flatnonzero(plain), np.r_[0, np.cumsum(k[plain])]
+        for lo in range(0, len(units), ENCODED_AT_ONCE):
+            part = units[lo : lo + ENCODED_AT_ONCE]
+            x, y = at[lo], at[lo + len(part)]
+            text = np.insert(chars[x:y], at[lo : lo + len(part)] - x, BREAK).astype("<u4").tobytes().decode("utf-32-le")
+            ids = np.asarray(sp.encode(text, return_type="numpy", num_threads=1), np.int32)[1:]  # without the encoder's own space
+            cut = np.flatnonzero(ids == self.vocab.line_break)
+            if len(cut) != len(part):
+                raise ValueError("the vocabulary must keep line breaks apart")
+            count[part] = np.diff(np.r_[cut, len(ids)]) - 1
+            found.append(np.delete(ids, cut))
+            if sp.decode(ids) != text:
+                good[part] = [sp.decode(i) == "\n" + t for i, t in zip(np.split(ids, cut[1:]), text[1:].split("\n"), strict=True)]
+        off = np.r_[0, np.cumsum(count)]
+        out = np.full(int(off[-1]), self.vocab.line_break, np.int32)
+        if found:
+            out[np.repeat(plain, count)] = np.concatenate(found)
+        self._append("whole", good)
+        self._append("ids", out)
+        self._append("id_off", self.id_off[-1] + off[1:])
 
     def encoded(self) -> tuple[np.ndarray, np.ndarray]:
         """(ids, n+1 offsets by row) of the texts' encodings."""
         n = self.id_off[self.unit + 1] - self.id_off[self.unit]
         return self.ids[_gather(self.id_off, self.unit, n)], np.r_[0, np.cumsum(n)][self.rows]
 
+    def decoded(self) -> np.ndarray:
+        """Does the encoding of each row decode to its text?"""
+        bad = np.r_[0, np.cumsum(~self.whole[self.unit])]
+        return (bad[self.rows[1:]] == bad[self.rows[:-1]]) & ~self.marks
+
     def choose(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
         """An edge of each node by its probability."""
         edge, stop = self.edges[node].copy(), self.edges[node + 1] - 1
+        u = (u * ONE).astype(np.int64)
         on = np.flatnonzero(edge < stop)
         while len(on):
-            on = on[u[on] >= self.below[edge[on] + 1]]
+            on = on[u[on] >= self.mass[edge[on]]]
             edge[on] += 1
             on = on[edge[on] < stop[on]]
         return edge
@@ -328,6 +367,19 @@ def _truncated(phi: np.ndarray, top: np.ndarray, u: np.ndarray) -> np.ndarray:
     return np.where(np.isneginf(phi), -np.inf, phi - np.log(np.exp(np.clip(phi - top, -700, 700)) - np.log(u)))
 
 
+def _best(v: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
+    """Positions of the n largest values of each row (rows in order), and of their equals."""
+    if not len(v):
+        return np.zeros(0, np.int64)
+    first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+    size, v, out = np.diff(np.r_[first, len(v)]), v.copy(), []
+    for _ in range(n):
+        hit = np.flatnonzero((v == np.repeat(np.maximum.reduceat(v, first), size)) & (v > -np.inf))
+        v[hit] = -np.inf
+        out.append(hit)
+    return np.sort(np.concatenate(out))
+
+
 @dataclass
 class Sample:
     """One segmentation of each of `rows`: decisions (edges and their units) by row, log p and perturbed log p."""
@@ -425,22 +477,22 @@ def draw(lattice: Lattice, key: np.ndarray, k: int) -> tuple[list[Sample], np.nd
                 filled += n
             fresh = np.zeros(n_rows, np.int64)
             fresh[rows] = place + 1  # what branches off before is open already
-        row = np.repeat(np.arange(n_rows), np.diff(off))
-        place = np.arange(len(edges)) - off[:-1][row]
+        size = np.diff(off)
+        base = np.repeat(off[:-1], size)
         run = np.r_[0, np.cumsum(lattice.fixed[edges])]
-        samples.append(Sample(rows, edges, units, off, (run[off[1:]] - run[off[:-1]]) / 2**32, top))
-        on = (place >= fresh[row]) & ~np.isneginf(lattice.others[edges])
-        r, p = row[on], place[on]
-        phi = (run[:-1] - run[off[:-1]][row])[on] / 2**32 + lattice.others[edges[on]]
-        # any k + 1 of a row's subtrees bound what its k + 1 best keys can be; what can't reach the bound stays closed
-        first = np.r_[0, np.cumsum(np.bincount(r, minlength=n_rows))][:-1]
-        bound = np.full(n_rows, np.inf)
-        few = np.arange(len(r)) - first[r] <= k
-        np.minimum.at(bound, r[few], phi[few] - np.log(np.exp(np.minimum(phi[few] - top[r[few]], 700)) + _MOST))
-        bound[np.bincount(r, minlength=n_rows) <= k + 1] = -np.inf
-        able = phi + _MOST >= bound[r]
-        r, p, phi = r[able], p[able], phi[able]
-        add(row=r, v=_truncated(phi, top[r], uniform(placed(key[r], p), -1000 - turn)), sample=np.full(len(r), turn), place=p, edge=np.full(len(r), -1))
+        logp = (run[off[1:]] - run[off[:-1]]) / 2**32
+        samples.append(Sample(rows, edges, units, off, logp, top))
+        others = lattice.others[edges]
+        able = others > -np.inf
+        if turn:
+            able &= np.arange(len(edges)) - base >= np.repeat(fresh, size)
+        on = np.flatnonzero(able)
+        row = np.repeat(np.arange(n_rows), size)[on]
+        place = on - base[on]
+        phi = (run[on] - run[base[on]]) / 2**32 + others[on]
+        v = _truncated(phi, top[row], uniform(placed(key[row], place), -1000 - turn))
+        keep = _best(v, row, k - turn)  # at most so many of a row's subtrees can still be opened or give the key after the last
+        add(row=row[keep], v=v[keep], sample=np.full(len(keep), turn), place=place[keep], edge=np.full(len(keep), -1))
     kappa = np.full(n_rows, -np.inf)
     for r, v in zip(open_["row"], open_["v"], strict=True):
         np.maximum.at(kappa, r, v)
@@ -457,47 +509,54 @@ def token_ids(lattice: Lattice, vocab: Vocabulary, sample: Sample) -> tuple[np.n
     return ids, np.r_[0, ends][sample.off]
 
 
-def digest(ids: np.ndarray) -> str:
-    """sha256 of the ids as little-endian 32-bit numbers."""
-    return hashlib.sha256(np.ascontiguousarray(ids, "<i4").tobytes()).hexdigest()
+def lattice_of(path: str, alpha: float) -> Lattice:
+    """A worker's lattice: it knows the units of the texts that this worker has met before."""
+    if (path, alpha) not in _lattices:
+        _lattices[path, alpha] = Lattice(vocabulary(path), alpha)
+    return _lattices[path, alpha]
+
+
+def _lists(values: np.ndarray, off: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The entries of these rows end to end, and their n+1 offsets."""
+    n = off[rows + 1] - off[rows]
+    return values[_gather(off, rows, n)], np.r_[0, np.cumsum(n)].astype(np.int32)
 
 
 def _segment(path: str, alpha: float, k: int, with_ids: bool, sample_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, lattice = vocabulary(path), None
-        one = pa.struct([("rank", pa.int32()), ("n_ids", pa.int64()), ("ids_sha256", pa.string()), ("logp", pa.float64()), ("perturbed", pa.float64()), ("inclusion", pa.float64()), ("ids", pa.list_(pa.int32()))])
+        vocab, lattice = vocabulary(path), lattice_of(path, alpha)
         for b in slices(batches, size=LATTICE_BYTES):
             text = b.column("text")
             key = mix(b.column("key").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64), 12)
-            if lattice is None:
-                lattice = Lattice(text, vocab, alpha)
-            else:
-                lattice.read(text)
+            lattice.read(text)
             samples, kappa = draw(lattice, key, k)
             known = text.is_valid().to_numpy(zero_copy_only=False)
-            out: list[list] = [[] for _ in range(b.num_rows)]
+            got: dict[str, list[np.ndarray]] = {c: [] for c in ("row", "rank", "n", "logp", "key", "inclusion", "ids")}
+            hashes: list[str] = []
             for rank, sample in enumerate(samples):
-                ids, off = token_ids(lattice, vocab, sample)
-                ids = ids.astype("<i4")
-                with np.errstate(over="ignore"):
-                    inclusion = -np.expm1(-np.exp(np.clip(sample.logp - kappa, -700, 700)))
-                for r in sample.rows[known[sample.rows]].tolist():
-                    x = ids[off[r] : off[r + 1]]
-                    out[r].append({"rank": rank + 1, "n_ids": len(x), "ids_sha256": digest(x), "logp": float(sample.logp[r]), "perturbed": float(sample.key[r]), "inclusion": float(inclusion[r]), "ids": x if sample_ids else None})
-            codes, same, ids_out = [], [], []
+                rows = sample.rows[known[sample.rows]]
+                ids, off = _lists(*token_ids(lattice, vocab, sample), rows)
+                raw = memoryview(ids.astype("<i4").tobytes())
+                hashes += [hashlib.sha256(raw[4 * x : 4 * y]).hexdigest() for x, y in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
+                inclusion = -np.expm1(-np.exp(np.clip(sample.logp[rows] - kappa[rows], -700, 700)))
+                for c, v in (("row", rows), ("rank", np.full(len(rows), rank + 1, np.int32)), ("n", np.diff(off)), ("logp", sample.logp[rows]), ("key", sample.key[rows]), ("inclusion", inclusion), ("ids", ids)):
+                    got[c].append(v)
+            flat = {c: np.concatenate(v) for c, v in got.items()}
+            order = np.argsort(flat["row"], kind="stable")
+            at = np.r_[0, np.cumsum(flat["n"])]
+            ids, off = _lists(flat["ids"], at, order)
+            one = pa.StructArray.from_arrays(
+                [pa.array(flat["rank"][order]), pa.array(flat["n"][order].astype(np.int64)), pa.array(hashes, pa.string()).take(pa.array(order)), *(pa.array(flat[c][order]) for c in ("logp", "key", "inclusion")), pa.ListArray.from_arrays(pa.array(off), pa.array(ids, pa.int32())) if sample_ids else pa.nulls(len(order), pa.list_(pa.int32()))],
+                ["rank", "n_ids", "ids_sha256", "logp", "perturbed", "inclusion", "ids"],
+            )
+            out = pa.ListArray.from_arrays(pa.array(np.searchsorted(flat["row"][order], np.arange(b.num_rows + 1)).astype(np.int32)), one)
             ids, off = lattice.encoded()
-            for lo in range(0, b.num_rows, 64):
-                texts = text.slice(lo, 64).to_pylist()
-                parts = [ids[off[r] : off[r + 1]] for r in range(lo, lo + len(texts))]
-                back = vocab.processor.decode([x.tolist() for x in parts], num_threads=1)
-                for t, x, y in zip(texts, parts, back, strict=True):
-                    same.append(None if t is None else y == t)
-                    codes.append((len(x), digest(x)))
-                    ids_out.append(x if with_ids and t is not None else None)
-            doc = [b.column(c) for c in b.schema.names if c not in ("text", "key")]
+            raw = memoryview(ids.astype("<i4").tobytes())
+            hashes = [hashlib.sha256(raw[4 * x : 4 * y]).hexdigest() for x, y in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
+            lists = pa.ListArray.from_arrays(pa.array(off.astype(np.int32), mask=np.r_[~known, False]), pa.array(ids, pa.int32())) if with_ids else pa.nulls(b.num_rows, pa.list_(pa.int32()))
             names = [c for c in b.schema.names if c not in ("text", "key")]
             yield pa.RecordBatch.from_arrays(
-                [*doc, pa.array([c[0] for c in codes], pa.int64()), pa.array([c[1] for c in codes]), pa.array(same, pa.bool_()), pa.array(ids_out, pa.list_(pa.int32())), pa.array(out, pa.list_(one))],
+                [*(b.column(c) for c in names), pa.array(np.diff(off)), pa.array(hashes, pa.string()), pa.array(lattice.decoded(), mask=~known), lists, out],
                 [*names, "n_ids", "ids_sha256", "same", "ids", "samples"],
             )
 
