@@ -5,16 +5,18 @@
    and return partial sums of A'(A O) for a random O, which are added up as a tree; an orthonormal basis of the sum and
    a small eigenproblem give the right singular vectors, up to RANK of them.
 3. Every window of SPAN words of every document (a new one each STEP words) is projected and compared with all reference
-   passages by matrix products. Candidates have a cosine and a coverage (their share of the reference's
-   own length along it) over the thresholds.
+   passages by matrix products. Candidates have a cosine (less by the square root of the share of the window that a
+   shorter reference can fill) and a coverage (their share of the reference's own length along it) over the thresholds.
 4. For a candidate, the longest common subsequence of words with the reference decides: over `exact`, it is a leak; over
    `loose`, it is one if the window also holds the answer, the reference's rarest terms.
 
 The reference is handled in blocks of BLOCK passages, so what is sent to the tasks has a fixed size however long the
 benchmark is. Documents are read once for the counts and once for each block; nothing of them is shuffled but term counts and matches.
 
-Defined results: null or empty texts match nothing, on either side; ids may be null or repeated, a match is returned for each row;
-a document shorter than SPAN is one window; equal benchmark items each match.
+Defined results: null or empty texts match nothing, on either side; ids may be null or repeated, equal rows (one id, one
+text) are returned once; a document shorter than SPAN is one window; equal benchmark items each match; of windows that
+share as many words the one with the higher cosine is returned, then the first; a very long text is a row of windows like
+any other; empty tables give no matches; extra columns of either table are not read.
 """
 
 from __future__ import annotations
@@ -108,24 +110,22 @@ def tree_sum(parts: DataFrame, fan_in: int = 16) -> np.ndarray:
     return np.frombuffer(left.first()["part"], np.float64)
 
 
-def _vectors(words: list[np.ndarray], vocab: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(words), len(vocab)), np.float64)
-    for i, w in enumerate(words):
-        _, num = lookup(vocab, w)
-        np.add.at(out[i], num, 1)
-    out = np.log1p(out) * weight
-    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
+def _vector(words: np.ndarray, vocab: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """A passage's terms, their shares of its unit TF-IDF vector, and the length it had before."""
+    terms, count = np.unique(lookup(vocab, words)[1], return_counts=True)
+    v = np.log1p(count) * weight[terms]
+    length = float(np.sqrt((v * v).sum()))
+    return terms, v / max(length, 1e-12), length
 
 
 def _project_sum(vocab: np.ndarray, weight: np.ndarray, basis: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
         for b in batches:
-            words = [np.asarray(w, np.int64).view(np.uint64) for w in b.column("words").to_pylist()]
-            for lo in range(0, len(words), 256):
-                a = _vectors(words[lo : lo + 256], vocab, weight)
-                z = a.T @ (a @ basis)
-                total = z if total is None else total + z
+            for words in b.column("words"):
+                terms, v, _ = _vector(words.values.to_numpy().view(np.uint64), vocab, weight)
+                total = np.zeros(basis.shape) if total is None else total
+                total[terms] += np.outer(v, v @ basis[terms])
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["part"])
 
@@ -162,13 +162,15 @@ def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
 
 def _search(vocab, weight, vectors, refs, items, answers, span, step, cosine, coverage, exact, loose, answer):
     """vectors: terms x rank; refs: the references' word hashes; answers: the hashes of each one's rarest terms."""
-    own = _vectors(refs, vocab, weight) @ vectors if refs else np.zeros((0, vectors.shape[1]))
+    sparse = [_vector(w, vocab, weight) for w in refs]
+    own = np.array([v @ vectors[t] for t, v, _ in sparse]).reshape(len(refs), vectors.shape[1])
     length = np.linalg.norm(own, axis=1)
     latent = vectors.astype(np.float32)
     unit = (own / np.maximum(length, 1e-12)[:, None]).astype(np.float32)
     # a reference's unscaled length, which windows are measured against
-    raw = np.array([np.linalg.norm(np.log1p(np.unique(lookup(vocab, w)[1], return_counts=True)[1]) * weight[np.unique(lookup(vocab, w)[1])]) for w in refs])
-    need = (coverage * raw * length).astype(np.float32)
+    need = (coverage * np.array([n for _, _, n in sparse]) * length).astype(np.float32)
+    # a window of `span` words that holds a shorter reference has other words besides
+    bar = (cosine * np.sqrt([min(1.0, len(w) / span) for w in refs])).astype(np.float32)
     terms = weight > 0
     blocks = span // step
     scaled = (latent * weight[:, None].astype(np.float32) * np.float32(np.log(2))).astype(np.float32)
@@ -187,7 +189,11 @@ def _search(vocab, weight, vectors, refs, items, answers, span, step, cosine, co
                 block = base[row] + (pos - rows[row]) // step
                 live, inverse = np.unique(block, return_inverse=True)
                 first = np.flatnonzero(np.r_[True, np.diff(inverse) > 0])
-                sums = np.add.reduceat(scaled[num], first, axis=0)
+                count = np.diff(np.r_[first, len(num)])
+                sums = scaled[num[first]]
+                for j in range(1, int(count.max())):  # a block's terms, one after another for all blocks
+                    on = np.flatnonzero(count > j)
+                    sums[on] += scaled[num[first[on] + j]]
                 block_row = row[first]
                 # windows that start at a block that holds a term, or up to span words before it
                 begin = np.unique((live[:, None] - np.arange(blocks)).ravel())
@@ -204,7 +210,7 @@ def _search(vocab, weight, vectors, refs, items, answers, span, step, cosine, co
                         x[hit] += sums[at[hit]]
                     dots = x @ unit.T
                     size = np.maximum(np.linalg.norm(x, axis=1), 1e-12)
-                    i, q = np.nonzero((dots >= need) & (dots >= cosine * size[:, None]))
+                    i, q = np.nonzero((dots >= need) & (dots >= bar * size[:, None]))
                     for i, q in zip(i.tolist(), q.tolist(), strict=True):
                         d = int(r[i])
                         start = int(rows[d] + (w[i] - base[d]) * step)
@@ -224,7 +230,7 @@ _MATCH = "did long, th long, item long, start long, cosine double, common double
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", rank: int = RANK, cosine: float = COSINE, coverage: float = COVERAGE, exact: float = EXACT, loose: float = LOOSE, answer: float = ANSWER, block: int = BLOCK) -> DataFrame:
-    """(did, th, item, start, cosine, common): for each row and benchmark item it holds, the best window."""
+    """(did, th, item, start, cosine, common): for each distinct row and benchmark item it holds, the best window."""
     keyed = row_keys(docs, id_col, text_col)
     passages = stored(reference_passages(benchmark, item_col, item_text), "references")
     total = passages.count()
