@@ -2,17 +2,20 @@
 
 The network reads windows of STEPS bytes in both directions (hidden size HIDDEN each way), labels every position with a
 distribution over the learnt languages, and a document's probabilities are the mean over its letter positions. Training
-is backpropagation through time in numpy on the driver, from a bounded sample: at most `max_docs` documents of each
-language (the least by a hash of their id) and `max_windows` windows of each. Labelling is one pass over whole
-texts without a shuffle: numpy runs a few thousand windows side by side, so memory per task is bounded.
+is backpropagation through time in numpy, from a bounded sample: about `max_docs` documents of each language (those whose
+id has a small hash), at most `per_doc` evenly spaced windows of each document and `max_windows` of each language. Tasks
+cut the windows, one task fits the network. Labelling is one pass over whole texts without a shuffle: numpy runs a few
+thousand windows side by side, so memory per task is bounded.
 
 Defined results: text that is null or has no letter is `und` with score 0.0; a null id is not held out; rows with a null
-language are never learnt from; with no learnable row every text is `und`; ties go to the language first in
-alphabetical order.
+language are never learnt from; with no learnable row (an empty table too) every text is `und`; ties go to the language
+first in alphabetical order; repeated rows are each labelled, and learnt from once; extra columns are carried in `doc` and
+never read; a very long text is labelled whole.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,7 +30,7 @@ from .common import slices, text_bytes
 from .toxicity import held_out
 
 STEPS, HIDDEN, SIDE = 64, 8, 4096
-MAX_LANGS, MAX_DOCS, MAX_WINDOWS = 200, 400, 1600
+MAX_DOCS, PER_DOC, MAX_WINDOWS = 400, 16, 1600
 UNKNOWN = "und"
 #: Bytes that are part of a letter: ASCII letters and all bytes of non-ASCII characters.
 LETTER = np.array([b >= 128 or chr(b).isalpha() for b in range(256)])
@@ -149,31 +152,45 @@ def fit(x: np.ndarray, real: np.ndarray, y: np.ndarray, langs: list[str], epochs
     return Model(langs, p["inputs"], p["hidden"], p["out"], p["bias"])
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_langs: int = MAX_LANGS, max_docs: int = MAX_DOCS, max_windows: int = MAX_WINDOWS) -> Model | None:
-    """Fit on rows outside the held-out fold; the sample is bounded by the three parameters (languages, documents and windows of each)."""
-    known = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col).cast("string")).alias("h")).filter(F.col("id").isNotNull() & F.col("lang").isNotNull()).filter(~held_out("id"))
-    langs = sorted(r.lang for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect())
-    if not langs:
-        return None
-    picks = [known.filter(F.col("lang") == g).orderBy("h").limit(max_docs) for g in langs]
-    chosen = picks[0]
-    for extra in picks[1:]:
-        chosen = chosen.unionByName(extra)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).join(F.broadcast(chosen.select("id", "lang").distinct()), ["id", "lang"])
-    rows = texts.filter("text is not null").groupBy("id", "lang").agg(F.min("text").alias("text")).collect()
-    rows.sort(key=lambda r: (r.lang, r.id))
-    xs, reals, ys = [], [], []
-    rng = np.random.default_rng(3)
-    for n, lang in enumerate(langs):
-        data, off = text_bytes(pa.array([r.text for r in rows if r.lang == lang], pa.large_string()))
-        x, real, _ = byte_windows(data, off)
-        pick = rng.permutation(len(x))[:max_windows]
-        xs.append(x[pick])
-        reals.append(real[pick])
-        ys.append(np.full(len(pick), n))
-    if not sum(map(len, xs)):
-        return None
-    return fit(np.concatenate(xs), np.concatenate(reals), np.concatenate(ys), langs)
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_docs: int = MAX_DOCS, per_doc: int = PER_DOC, max_windows: int = MAX_WINDOWS) -> Model | None:
+    """Fit on rows outside the held-out fold; the sample is bounded by the three parameters, for each language."""
+    known = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter("id is not null and lang is not null and text is not null").filter(~held_out("id"))
+    shares = known.groupBy("lang").agg(F.least(F.lit(1.0), max_docs / F.count("*")).alias("share"))
+    place = F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(1 << 30)) / float(1 << 30)
+    sample = known.join(F.broadcast(shares), "lang").filter(place < F.col("share")).select("lang", "id", "text")
+    cut = sample.mapInArrow(_windows(per_doc), sample.drop("text").schema.add("windows", "binary")).dropDuplicates(["lang", "id", "windows"])
+    fitted = cut.repartition(1).sortWithinPartitions("lang", "id", "windows").mapInArrow(_fit(max_windows), "model binary").first()
+    return pickle.loads(fitted.model) if fitted else None
+
+
+def _windows(per_doc: int):
+    """Rows with evenly spaced windows of their text, STEPS bytes each; the last may be padded with zeros."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            x, _, row = byte_windows(*text_bytes(b.column("text")))
+            at = np.searchsorted(row, np.arange(b.num_rows + 1))
+            out = [x[lo + np.unique(np.linspace(0, hi - lo - 1, min(hi - lo, per_doc)).astype(np.int64))].astype(np.uint8).tobytes() if hi > lo else b"" for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+            keep = [c for c in b.schema.names if c != "text"]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(out, pa.binary())], [*keep, "windows"])
+
+    return run
+
+
+def _fit(max_windows: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: dict[str, list[np.ndarray]] = {}
+        for b in batches:
+            for lang, w in zip(b.column("lang").to_pylist(), b.column("windows"), strict=True):
+                parts.setdefault(lang, []).append(np.frombuffer(w.as_buffer(), np.uint8).reshape(-1, STEPS))
+        langs, rng = sorted(parts), np.random.default_rng(3)
+        picked = [x[rng.permutation(len(x))[:max_windows]] for x in (np.concatenate(parts[g]) for g in langs)]
+        if sum(map(len, picked)):
+            x = np.concatenate(picked)
+            model = fit(x, x != 0, np.repeat(np.arange(len(langs)), [len(p) for p in picked]), langs)
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    return run
 
 
 def _label(model: Model | None):

@@ -1,7 +1,8 @@
 """Toxic spans by a linear-chain conditional random field, learnt from document labels.
 
-Training reads a bounded sample (at most `max_toxic` and `max_clean` labelled rows, the least by a hash of their id) and
-runs on the driver in numpy. Near copies in the sample count once (one document per least shingle hash). A token of a
+Training reads a bounded sample: at most `max_toxic` and `max_clean` labelled rows, the least by a hash of their id, and of
+each at most `max_chains` chains of WINDOW tokens, evenly spaced over the whole text. Tasks send the tokens' hashes; one task
+fits the model in numpy and returns its few arrays, so the driver holds no text. Near copies in the sample count once (one document per least shingle hash). A token of a
 toxic document is labelled toxic if its word is much more frequent among toxic than among clean documents; all other
 tokens are clean. The chain has two states, an emission weight per word and four transitions, fitted by gradient ascent
 on the conditional likelihood (forward-backward). A document's score is a logistic function of the sum of its squared
@@ -9,13 +10,15 @@ toxic marginals (squares keep many tiny ones of a long text from adding up), fit
 
 Scoring is one pass over whole texts without a shuffle; chains are cut every WINDOW tokens, so memory is bounded.
 
-Defined results: null, empty or wordless text has no toxic token and gets the score of such documents; ids and
+Defined results: extra columns are carried in `doc` and never read; a very long text is scored whole, chain by chain; an empty
+table gives an empty result; null, empty or wordless text has no toxic token and gets the score of such documents; ids and
 labels may be null (such labels are left out) or repeated (a document is toxic if any of its labels is); without
 labelled rows of both kinds every score is the share of toxic ones among the labelled (0.0 if there are none).
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,7 +31,7 @@ from pyspark.sql import types as T
 from .common import mix, ngram_hashes, slices, span_hashes, text_bytes, word_bounds
 
 WINDOW = 128
-MAX_TOXIC, MAX_CLEAN = 800, 1200
+MAX_TOXIC, MAX_CLEAN, MAX_CHAINS = 800, 1200, 64
 #: Bytes between words: all ASCII but letters and digits.
 BETWEEN = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
@@ -120,24 +123,30 @@ def _sigmoid(x):
 
 
 def fit(texts: list[str], toxic: np.ndarray, steps: int = 40) -> Model:
-    """Train on documents in memory (bounded by the caller)."""
+    """Train on texts in memory (bounded by the caller)."""
+    h, _, _, rows, _ = tokens(pa.array(texts, pa.large_string()))
+    return fit_tokens(h, rows, toxic, steps)
+
+
+def fit_tokens(h: np.ndarray, rows: np.ndarray, toxic: np.ndarray, steps: int = 40) -> Model:
+    """Train on documents as token hashes h with row offsets (bounded by the caller)."""
+    count = len(rows) - 1
     toxic = np.asarray(toxic, bool)
     share = float(toxic.mean()) if len(toxic) else 0.0
     none = Model(np.zeros(0, np.uint64), np.zeros(0), -8.0, np.zeros((2, 2)), np.zeros(2), float(np.log(max(share, 1e-12) / max(1 - share, 1e-12))), 0.0)
     if not 0 < share < 1:
         return none
-    h, _, _, rows, _ = tokens(pa.array(texts, pa.large_string()))
     # near copies count once: the first document of each least shingle hash
     grams = ngram_hashes(h, 5)
     least = np.array([grams[a : max(a + 1, b - 4)].min(initial=2**64 - 1) if b - a >= 5 else mix(np.array([i], np.uint64))[0] for i, (a, b) in enumerate(zip(rows[:-1], rows[1:], strict=True))], np.uint64)
     keep = np.sort(np.unique(least, return_index=True)[1])
-    row = np.repeat(np.arange(len(texts)), np.diff(rows))
+    row = np.repeat(np.arange(count), np.diff(rows))
     on = np.isin(row, keep)
     vocab, word = np.unique(h[on], return_inverse=True)
-    pairs = np.unique(word.astype(np.int64) * len(texts) + row[on])
-    is_toxic = toxic[pairs % len(texts)]
-    p = np.bincount(pairs[is_toxic] // len(texts), minlength=len(vocab))
-    q = np.bincount(pairs[~is_toxic] // len(texts), minlength=len(vocab))
+    pairs = np.unique(word.astype(np.int64) * count + row[on])
+    is_toxic = toxic[pairs % count]
+    p = np.bincount(pairs[is_toxic] // count, minlength=len(vocab))
+    q = np.bincount(pairs[~is_toxic] // count, minlength=len(vocab))
     n_p, n_q = toxic[keep].sum(), (~toxic[keep]).sum()
     odds = (p + 0.5) / (n_p + 1) * (n_q + 1) / (q + 0.5)
     marked = (p >= max(4, 0.03 * n_p)) & (odds >= 20)
@@ -220,14 +229,43 @@ def _score(model: Model):
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN) -> Model:
-    """Fit on labelled rows outside the held-out fold: at most max_toxic and max_clean of them, chosen by a hash of the id."""
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN, max_chains: int = MAX_CHAINS) -> Model:
+    """Fit on labelled rows outside the held-out fold: at most max_toxic and max_clean of them, chosen by a hash of the id, and max_chains chains of each."""
     known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max(label_col).cast("int").alias("y"))
     known = known.filter(~held_out(id_col)).withColumn("h", F.xxhash64(F.col(id_col).cast("long")))
     chosen = known.filter("y = 1").orderBy("h").limit(max_toxic).unionByName(known.filter("y = 0").orderBy("h").limit(max_clean))
-    rows = docs.select(F.col(id_col), F.col(text_col).alias("t")).join(F.broadcast(chosen.select(id_col, "y")), id_col).groupBy(id_col, "y").agg(F.min("t").alias("t")).filter("t is not null").collect()
-    rows.sort(key=lambda r: r[id_col])
-    return fit([r.t for r in rows], np.array([r.y for r in rows]) == 1)
+    # one text of each id, as the hashes of its tokens
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen.select(F.col(id_col).alias("id"), "y")), "id").filter("text is not null")
+    sample = texts.mapInArrow(_sampled(max_chains), texts.drop("text").schema.add("tokens", "binary")).groupBy("id", "y").agg(F.min("tokens").alias("tokens"))
+    fitted = sample.repartition(1).sortWithinPartitions("id").mapInArrow(_fit, "model binary").first()
+    return pickle.loads(fitted.model) if fitted else fit_tokens(np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, bool))
+
+
+def _sampled(max_chains: int):
+    """Rows with the token hashes of their text, of longer texts those of evenly spaced chains."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            h, _, _, rows, _ = tokens(b.column("text"))
+            out = []
+            for lo, hi in zip(rows[:-1].tolist(), rows[1:].tolist(), strict=True):
+                chains = -(-(hi - lo) // WINDOW)
+                take = np.unique(np.linspace(0, chains - 1, min(chains, max_chains)).astype(np.int64))
+                out.append(b"".join(h[lo + c * WINDOW : min(lo + (c + 1) * WINDOW, hi)].tobytes() for c in take.tolist()))
+            keep = [c for c in b.schema.names if c != "text"]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(out, pa.binary())], [*keep, "tokens"])
+
+    return run
+
+
+def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parts, toxic = [], []
+    for b in batches:
+        parts += [np.frombuffer(x.as_buffer(), np.uint64) for x in b.column("tokens")]
+        toxic += b.column("y").to_pylist()
+    if parts:
+        model = fit_tokens(np.concatenate(parts), np.r_[0, np.cumsum([len(x) for x in parts])], np.array(toxic) == 1)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
