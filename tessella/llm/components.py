@@ -10,13 +10,13 @@ from .common import stored
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    least = stored(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
     return both.filter(F.col("b") > F.col("a")).join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter(F.col("a") != F.col("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    least = stored(down.groupBy("a").agg(F.min("b").alias("m")), "least")
     moved = down.join(least, "a").filter(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
@@ -28,7 +28,8 @@ def _mark(edges: DataFrame) -> tuple:
 def components(edges: DataFrame) -> DataFrame:
     """(a, b): each node that has a link, and the smallest node of its component (that node itself has no row).
 
-    Each round is written to the shared folder. Hot nodes are aggregated before the shuffle and joined, never gathered.
+    Each round is written to the shared folder. Hot nodes are aggregated before the shuffle and joined, never gathered; the
+    least neighbours are written before the join, so that Spark can split what one hub's rows make too large.
     """
     edges = stored(_small_star(edges), "links")
     before = _mark(edges)

@@ -3,15 +3,18 @@
 Every rolling word pair of every document is hashed and joined to the pairs of the license templates (a fixed, small
 table). A match at document word p and template word t votes for diagonal p - t: an undisturbed copy of a template puts
 all its votes on one diagonal, and an inserted or missing word moves the rest to a neighbouring one. Votes are
-aggregated per document, template and diagonal as a bit set of template positions; diagonals at most `SLACK` apart
-are merged; a span is verified by its words (the join compares the words themselves, not only the hashes) and by the
-share of the template's pairs it holds.
+aggregated per document, template and diagonal; diagonals at most `slack` apart are merged into one run, but no run drifts
+by more than a quarter of its template. A run is verified: the words themselves were compared (not only the hashes), it
+holds `share` of the template's voting pairs, among them all pairs that tell the license from its relatives (NEED), and
+its span is no longer than the template and the drift allow.
 
 Nothing is gathered per phrase: the only shuffles are on (document, template) with a handful of rows for each document
 that holds license words, so a phrase in a third of all documents spreads like the documents.
 
 Defined results: null or empty text has no words and no labels; ids may be null; repeated rows each get the result of
-their text; the words are runs of ASCII letters and digits and of all other non-ASCII characters, A-Z as a-z.
+their text; the words are runs of ASCII letters and digits and of all other non-ASCII characters, A-Z as a-z; of several
+copies with one label the label is given once; `score` is the largest share of a verified run (1.0 for base phrases), 0.0
+without one; a very long text is scanned whole; an empty table gives an empty result; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -24,39 +27,72 @@ from .common import row_keys
 
 SLACK, SHARE = 2, 0.6
 
-# The base phrases, whose every place is counted, and the templates of the method.
+# The base phrases, whose every place is counted.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
-TEMPLATES = [
-    ("apache-2.0", "licensed under the apache license version 2 0"),
-    ("mit", "released under the mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
-    ("gpl-3.0", "licensed under the gnu general public license version 3"),
-    ("lgpl", "gnu lesser general public license"),
-    ("mpl-2.0", "mozilla public license version 2 0"),
-    ("cc-by-nc", "licensed under cc by nc 4 0"),
-    ("cc-by-sa", "licensed under cc by sa 4 0"),
-    ("unlicense", "this is free and unencumbered software released into the public domain"),
-]
-COMMON = {"a", "any", "are", "by", "for", "in", "is", "of", "or", "the", "this", "to", "under", "and", "with"}
-
-
-def _templates() -> list[tuple[int, str, bool, int, str]]:
-    """(template, label, base, position, pair); pairs of two common words don't vote outside base phrases."""
+# Notices of public licenses, with the word pairs that tell each from its relatives.
+_GPL = "this program is free software you can redistribute it and or modify it under the terms of the gnu {0}general public license as published by the free software foundation either version {1} of the license or at your option any later version"
+_CC = "this work is licensed under a creative commons attribution {0}4 0 international license"
+TEMPLATES: list[tuple[str, str, tuple[str, ...]]] = [
+    ("apache-2.0", "licensed under the apache license version 2 0", ("the apache", "2 0")),
+    ("apache-2.0", "apache license version 2 0 january 2004", ("apache license", "2 0")),
+    ("apache-2.0", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at", ("the apache", "2 0")),
+    ("mit", "released under the mit license", ("mit license",)),
+    ("mit", "licensed under the mit license", ("mit license",)),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software", ("hereby granted", "granted free")),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies", ("without fee",)),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", ("binary forms",)),
+    ("bsd", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission", ("promote products",)),
+    ("gpl-2.0", "licensed under the gnu general public license version 2", ("gnu general", "version 2")),
+    ("gpl-3.0", "licensed under the gnu general public license version 3", ("gnu general", "version 3")),
+    ("gpl-2.0", _GPL.format("", 2), ("gnu general", "version 2")),
+    ("gpl-3.0", _GPL.format("", 3), ("gnu general", "version 3")),
+    ("lgpl", "gnu lesser general public license", ("gnu lesser", "lesser general")),
+    ("agpl", "gnu affero general public license", ("gnu affero", "affero general")),
+    ("mpl-2.0", "mozilla public license version 2 0", ("mozilla public", "2 0")),
+    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file you can obtain one at", ("mozilla public", "2 0")),
+    ("epl-2.0", "eclipse public license version 2 0", ("eclipse public", "2 0")),
+    *((label, f"licensed under cc {kind} {version} 0", (*need, f"{kind.split()[-1]} {version}")) for version in (3, 4) for label, kind, need in (
+        ("cc-by", "by", ("cc by",)), ("cc-by-nc", "by nc", ("by nc",)), ("cc-by-sa", "by sa", ("by sa",)), ("cc-by-nd", "by nd", ("by nd",)),
+        ("cc-by-nc-sa", "by nc sa", ("by nc", "nc sa")), ("cc-by-nc-nd", "by nc nd", ("by nc", "nc nd")),
+    )),
+    ("cc-by", _CC.format(""), ("attribution 4",)),
+    ("cc-by-nc", _CC.format("noncommercial "), ("attribution noncommercial", "noncommercial 4")),
+    ("cc-by-sa", _CC.format("sharealike "), ("attribution sharealike", "sharealike 4")),
+    ("cc-by-nc-sa", _CC.format("noncommercial sharealike "), ("attribution noncommercial", "noncommercial sharealike", "sharealike 4")),
+    ("cc0", "cc0 1 0 universal public domain dedication", ("cc0 1", "public domain")),
+    ("unlicense", "this is free and unencumbered software released into the public domain", ("unencumbered software",)),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software", ("express or", "held liable")),
+]
+COMMON = {"a", "any", "are", "as", "at", "by", "for", "in", "is", "it", "may", "of", "or", "the", "this", "to", "under", "and", "with", "you"}
+
+
+def templates() -> list[tuple[int, str, bool, list[str], dict[int, str], list[int], int]]:
+    """(number, label, base, words, voting pairs by position, positions that must be held, drift) of each template.
+
+    Pairs of two common words don't vote outside base phrases, unless they tell the license.
+    """
     out = []
-    every = [(label, phrase, True) for phrase, label in BASE.items()] + [(label, phrase, False) for label, phrase in TEMPLATES]
-    for number, (label, phrase, base) in enumerate(every):
+    every = [(label, phrase, None) for phrase, label in BASE.items()] + TEMPLATES
+    for number, (label, phrase, need) in enumerate(every):
         words = phrase.split()
-        out += [(number, label, base, t, f"{a} {b}") for t, (a, b) in enumerate(zip(words, words[1:], strict=False)) if base or not {a, b} <= COMMON]
+        pairs = {t: f"{a} {b}" for t, (a, b) in enumerate(zip(words, words[1:], strict=False))}
+        if need is not None:
+            pairs = {t: x for t, x in pairs.items() if x in need or not set(x.split()) <= COMMON}
+        must = [t for t, x in pairs.items() if need is None or x in need]
+        out.append((number, label, need is None, words, pairs, must, 0 if need is None else max(2, len(words) // 4)))
     return out
 
 
 def template_pairs(spark: SparkSession) -> DataFrame:
-    """(template, label, base, t, size, pair): one row for each voting word pair of each template."""
-    rows = _templates()
-    size = {n: sum(r[0] == n for r in rows) for n, *_ in rows}
-    values = ", ".join(f"({n}, '{label}', {str(base).lower()}, {t}, {size[n]}, '{pair}')" for n, label, base, t, pair in rows)
-    return spark.sql(f"SELECT * FROM VALUES {values} AS x(template, label, base, t, size, pair)")
+    """(template, t, pair): one row for each voting word pair of each template."""
+    values = ", ".join(f"({n}, {t}, '{pair}')" for n, _, _, _, pairs, _, _ in templates() for t, pair in pairs.items())
+    return spark.sql(f"SELECT * FROM VALUES {values} AS x(template, t, pair)")
+
+
+def template_table(spark: SparkSession) -> DataFrame:
+    """(template, label, base, length, size, must, drift): words and voting pairs of each template."""
+    values = ", ".join(f"({n}, '{label}', {str(base).lower()}, {len(words)}, {len(pairs)}, array({', '.join(map(str, must))}), {drift})" for n, label, base, words, pairs, must, drift in templates())
+    return spark.sql(f"SELECT * FROM VALUES {values} AS x(template, label, base, length, size, must, drift)")
 
 
 def words_of(text: Column) -> Column:
@@ -65,30 +101,38 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(low, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), lambda w: w != "")
 
 
-def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slack: int = SLACK) -> DataFrame:
+def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slack: int = SLACK, share: float = SHARE) -> DataFrame:
     """(did, th, label, base, start, end, share): verified template copies; base ones are exact places."""
+    spark = docs.sparkSession
     words = row_keys(docs, id_col, text_col).select("did", "th", words_of(F.col("text")).alias("words"))
     pairs = words.select("did", "th", F.posexplode(F.transform("words", lambda w, i: F.concat_ws(" ", w, F.get("words", i + 1)))).alias("p", "pair"))
-    votes = pairs.withColumn("h", F.xxhash64("pair")).join(F.broadcast(template_pairs(docs.sparkSession).withColumn("h", F.xxhash64("pair"))), ["h", "pair"])
-    diagonals = votes.groupBy("did", "th", "template", "label", "base", "size", (F.col("p") - F.col("t")).alias("d")).agg(F.bit_or(F.expr("shiftleft(1L, t)")).alias("seen"), F.min("p").alias("lo"), F.max("p").alias("hi"))
+    votes = pairs.withColumn("h", F.xxhash64("pair")).join(F.broadcast(template_pairs(spark).withColumn("h", F.xxhash64("pair"))), ["h", "pair"])
+    # a template's position votes once on a diagonal, so a set is no longer than the template
+    diagonals = votes.groupBy("did", "th", "template", (F.col("p") - F.col("t")).alias("d")).agg(F.collect_set("t").alias("seen")).join(F.broadcast(template_table(spark)), "template")
     place = Window.partitionBy("did", "th", "template").orderBy("d")
-    # base phrases count place by place; other templates merge neighbouring diagonals
+    # base phrases count place by place; other templates merge neighbouring diagonals, as far as their drift
     fresh = F.coalesce((F.col("d") - F.lag("d").over(place) > slack) | F.col("base"), F.lit(True))
-    merged = diagonals.withColumn("run", F.sum(fresh.cast("int")).over(place)).groupBy("did", "th", "template", "label", "base", "size", "run").agg(F.bit_or("seen").alias("seen"), F.min("lo").alias("start"), (F.max("hi") + 2).alias("end"))
-    return merged.select("did", "th", "label", "base", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), (F.bit_count("seen") / F.col("size")).alias("share"))
+    runs = diagonals.withColumn("run", F.sum(fresh.cast("int")).over(place))
+    first = F.min("d").over(Window.partitionBy("did", "th", "template", "run"))
+    runs = runs.withColumn("part", F.floor((F.col("d") - first) / (F.col("drift") + 1)))
+    merged = runs.groupBy("did", "th", "template", "label", "base", "length", "size", "must", "drift", "run", "part").agg(
+        F.array_distinct(F.flatten(F.collect_list("seen"))).alias("seen"), F.min(F.col("d") + F.array_min("seen")).alias("start"), F.max(F.col("d") + F.array_max("seen") + 2).alias("end")
+    )
+    whole = (F.size(F.array_except("must", "seen")) == 0) & (F.size("seen") >= share * F.col("size")) & (F.col("end") - F.col("start") <= F.col("length") + F.col("drift"))
+    return merged.filter(whole).select("did", "th", "label", "base", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), (F.size("seen") / F.col("size")).alias("share"))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: float = SHARE) -> DataFrame:
     """(did, th, n_words, n_base, first_word, last_word, base_labels, labels, score) for each row of docs."""
-    found = spans(docs, id_col, text_col)
-    whole = F.col("base") & (F.col("share") == 1)
+    found = spans(docs, id_col, text_col, share=share)
     joined = lambda on: F.array_join(F.array_sort(F.collect_set(F.when(on, F.col("label")))), ",")
+    base = F.col("base")
     per_doc = found.groupBy("did", "th").agg(
-        F.count_if(whole).alias("n_base"),
-        F.min(F.when(whole, F.col("start"))).alias("first_word"),
-        F.max(F.when(whole, F.col("start"))).alias("last_word"),
-        joined(whole).alias("base_labels"),
-        joined(whole | (~F.col("base") & (F.col("share") >= share))).alias("labels"),
+        F.count_if(base).alias("n_base"),
+        F.min(F.when(base, F.col("start"))).alias("first_word"),
+        F.max(F.when(base, F.col("start"))).alias("last_word"),
+        joined(base).alias("base_labels"),
+        joined(F.lit(True)).alias("labels"),
         F.max("share").alias("score"),
     )
     rows = row_keys(docs, id_col, text_col).select("did", "th", F.size(words_of(F.col("text"))).cast("long").alias("n_words"))

@@ -13,8 +13,13 @@ spans several components, the members outside its largest one meet those that sh
 link must (a prefix filter); these pairs are confirmed on the full sets too. So no link between members of different
 components stays untested, whatever the size of a bucket.
 
+Hot keys: a class of many equal documents, a bucket, a pivot, a shingle or a component may hold a share of all rows. They
+are counted with map-side partial sums, and the table of counts is written before it is joined: both sides of such a join
+are then plain shuffles of small rows, which Spark splits by size where one key stands out (skew join).
+
 Defined results: null, empty or blank text has an empty set and links to nothing; null doc_id sorts before all others;
-repeated rows fall into one class; rows that share an id but not a set are separate documents.
+repeated rows fall into one class; rows that share an id but not a set are separate documents; a very long text is one set
+like any other (a task holds one such set at a time); an empty table gives an empty result; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -152,7 +157,7 @@ def _sharing(sets: DataFrame, open_: DataFrame, percent: int) -> DataFrame:
     shingles of few sets, so members of a group that differ too much never meet, however large the group is.
     """
     rows = sets.join(open_.select("c"), "c", "left_semi").mapInArrow(_shingles, "shingle long, c binary, n long")
-    often = rows.groupBy("shingle").agg(F.count("*").alias("df")).filter("df > 1")
+    often = stored(rows.groupBy("shingle").agg(F.count("*").alias("df")).filter("df > 1"), "often")
     common = rows.join(often, "shingle")
     first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     # shingles of this set alone come first and match nothing; a set's own size bounds what is gathered here
@@ -162,7 +167,7 @@ def _sharing(sets: DataFrame, open_: DataFrame, percent: int) -> DataFrame:
     heads = own.filter(take > 0).select("c", "n", alone.alias("alone"), F.posexplode(F.slice("x", F.lit(1), take.cast("int"))).alias("at", "x")).select("c", "n", (F.col("alone") + F.col("at")).alias("at"), "x.shingle")
     heads = stored(heads.join(open_, "c"), "heads")
     across = heads.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("outside").alias("out")).filter((F.col("lo") != F.col("hi")) & F.col("out"))
-    heads = heads.join(across.select("shingle"), "shingle", "left_semi")
+    heads = heads.join(stored(across.select("shingle"), "across"), "shingle", "left_semi")
     left = heads.filter("outside").select("shingle", F.col("c").alias("x"), F.col("comp").alias("xc"), F.col("n").alias("xn"), F.col("at").alias("xat"))
     right = heads.select("shingle", F.col("c").alias("y"), F.col("comp").alias("yc"), F.col("n").alias("yn"), F.col("at").alias("yat"), F.col("outside").alias("yout"))
     need = F.ceil((F.col("xn") + F.col("yn")) * percent / (100 + percent))
@@ -176,14 +181,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(did, th, n_shingles, component) for each row of docs: component is the smallest id of its group, did as in row_keys."""
     keyed = row_keys(docs, id_col, text_col)
     sketched = stored(keyed.mapInArrow(_sketch(bands, rows, k), "did long, th long, n long, c binary, bands array<long>"), "sketches")
-    classes = sketched.filter("n > 0").groupBy("c").agg(F.min("did").alias("rep"), F.first("bands").alias("bands"))
-    banded = classes.select("c", F.explode("bands").alias("band"))
-    sizes = banded.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1")
+    # one row of each class: its least (did, th)
+    reps = stored(sketched.filter("n > 0").groupBy("c").agg(F.min(F.struct("did", "th")).alias("k")).select("c", "k.did", "k.th"), "classes")
+    banded = sketched.filter("n > 0").groupBy("c").agg(F.first("bands").alias("bands")).select("c", F.explode("bands").alias("band"))
+    sizes = stored(banded.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1"), "sizes")
     buckets = stored(banded.join(sizes, "band"), "buckets")
 
-    wanted = buckets.select("c").distinct()
-    # one row of each class that has company: its least (did, th)
-    source = sketched.join(wanted, "c", "left_semi").groupBy("c").agg(F.min(F.struct("did", "th")).alias("k")).select("c", "k.did", "k.th")
+    source = reps.join(buckets.select("c").distinct(), "c", "left_semi")
     texts = keyed.join(source, ["did", "th"]).select("c", "text")
     sets = stored(texts.mapInArrow(_sets(k), "c binary, set binary").dropDuplicates(["c"]), "sets")
 
@@ -195,7 +199,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     large = buckets.filter(F.col("size") > SMALL)
     # a large bucket's pivot is the member with most company over all its buckets: in a group of copies, their centre
     company = large.groupBy("c").agg(F.sum("size").alias("company"))
-    pivots = large.join(company, "c").groupBy("band").agg(F.max(F.struct("company", "c")).getField("c").alias("pivot"))
+    pivots = stored(large.join(company, "c").groupBy("band").agg(F.max(F.struct("company", "c")).getField("c").alias("pivot")), "pivots")
     large = large.select("band", "c")
     tested = verify(_pairs(small, small.select("band", F.col("c").alias("pivot"))).unionByName(_pairs(large, pivots)).distinct())
     edges = components(tested.filter("linked").select("a", "b"))
@@ -203,18 +207,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # buckets that still span several components: what lies outside the largest one may link to other members
     labelled = large.join(edges.select(F.col("a").alias("c"), F.col("b").alias("comp")), "c", "left").select("band", "c", F.coalesce("comp", "c").alias("comp"))
     lead = labelled.groupBy("band", "comp").agg(F.count("*").alias("n")).groupBy("band").agg(F.max(F.struct("n", "comp")).getField("comp").alias("lead"), F.count("*").alias("comps")).filter("comps > 1")
+    lead = stored(lead.select("band", "lead"), "lead")
     open_ = stored(labelled.join(lead, "band").groupBy("c", "comp").agg(F.max(F.col("comp") != F.col("lead")).alias("outside")), "open")
     if not open_.isEmpty():
         found = _sharing(sets, open_, percent).join(tested.select("a", "b"), ["a", "b"], "left_anti")
         edges = components(edges.unionByName(verify(found).filter("linked").select("a", "b")))
 
-    members = sketched.join(classes.select("c", "rep"), "c", "left").join(edges.select(F.col("a").alias("c"), F.col("b").alias("comp")), "c", "left")
-    least = classes.join(edges.select(F.col("a").alias("c"), F.col("b").alias("comp")), "c", "left").groupBy(F.coalesce("comp", "c").alias("comp")).agg(F.min("rep").alias("component"))
-    return (
-        members.withColumn("comp", F.coalesce("comp", "c"))
-        .join(least, "comp", "left")
-        .select("did", "th", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("did")).alias("component"))
-    )
+    comp = stored(reps.join(edges.select(F.col("a").alias("c"), F.col("b").alias("comp")), "c", "left").select("c", "did", F.coalesce("comp", "c").alias("comp")), "members")
+    least = stored(comp.groupBy("comp").agg(F.min("did").alias("component")), "least")
+    groups = stored(comp.join(least, "comp").select("c", "component"), "groups")
+    return sketched.join(groups, "c", "left").select("did", "th", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("did")).alias("component"))
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters) -> DataFrame:

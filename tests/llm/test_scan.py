@@ -68,6 +68,55 @@ def test_license_scan(spark):
     assert labels[7] == "mit"
     assert labels[12] == "apache-2.0"
     assert all(0 <= r.score <= 1 for r in got)
+    assert license_scan.scan(docs(spark, [])).count() == 0
+
+
+def brute_labels(text, slack=license_scan.SLACK, share=license_scan.SHARE):
+    """Every template against every place of the text, run by run."""
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+    labels, score = set(), 0.0
+    for _, label, base, words, pairs, must, drift in license_scan.templates():
+        hits = {}
+        for p in range(len(w) - 1):
+            for t, pair in pairs.items():
+                if pair == f"{w[p]} {w[p + 1]}":
+                    hits.setdefault(p - t, set()).add(t)
+        groups, before = [], None
+        for d in sorted(hits):
+            if base or before is None or d - before > slack:
+                groups.append([])
+            groups[-1].append(d)
+            before = d
+        for g in groups:
+            for k in {(d - g[0]) // (drift + 1) for d in g}:
+                part = [d for d in g if (d - g[0]) // (drift + 1) == k]
+                seen = set().union(*(hits[d] for d in part))
+                length = max(d + max(hits[d]) for d in part) + 2 - min(d + min(hits[d]) for d in part)
+                if set(must) <= seen and len(seen) >= share * len(pairs) and length <= len(words) + drift:
+                    labels.add(label)
+                    score = max(score, len(seen) / len(pairs))
+    return ",".join(sorted(labels)), score
+
+
+def test_license_labels_tell_relatives_apart(spark):
+    rng = random.Random(5)
+    notices = {
+        "Licensed under the Apache License, Version 2.0.": "apache-2.0", "Licensed under CC BY 4.0.": "cc-by", "Licensed under CC BY-NC 4.0.": "cc-by,cc-by-nc", "Licensed under CC BY-SA 4.0.": "cc-by,cc-by-sa",
+        "Licensed under CC BY-NC-SA 3.0.": "cc-by,cc-by-nc-sa", "Mozilla Public License, Version 2.0": "mpl-2.0", "This work is licensed under the GNU General Public License, version 3.": "gpl,gpl-3.0",
+        "This work is licensed under the GNU General Public License, version 2.": "gpl,gpl-2.0", "under the GNU Lesser General Public License": "gpl,lgpl", "the GNU Affero General Public License": "agpl,gpl", "Released under the MIT License.": "mit", "version 2 0 of the license": "",
+    }
+    texts = list(notices)
+    for _, text, _ in license_scan.TEMPLATES:  # whole notices, and with words lost, added and changed
+        w = text.split()
+        texts += [text, " ".join(x for x in w if rng.random() > 0.1), " ".join(y for x in w for y in ([x, "zzz"] if rng.random() < 0.1 else [x])), " ".join(w) + " " + " ".join(w[: len(w) // 2])]
+    pool = sorted({x for _, text, _ in license_scan.TEMPLATES for x in text.split()})
+    texts += [" ".join(rng.choice(pool) for _ in range(400)) for _ in range(30)] + ["mit license " * 500, "word " * 30000 + "mozilla public license version 2 0"]
+    got = {r.did: (r.labels, r.score) for r in license_scan.scan(docs(spark, list(enumerate(texts)))).collect()}
+    for i, t in enumerate(texts):
+        want = brute_labels(t)
+        assert got[i][0] == want[0], t
+        assert abs(got[i][1] - want[1]) < 1e-12
+        assert t not in notices or want[0] == notices[t], t
 
 
 def test_license_scan_has_no_python(spark):
