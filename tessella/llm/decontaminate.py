@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_keys, slices, stored
+from .common import lookup, row_keys, slices, stored
 from .toxicity import tokens
 
 SPAN, STEP, RANK, BLOCK = 48, 16, 192, 2048
@@ -58,18 +58,6 @@ def reference_passages(benchmark: DataFrame, id_col: str = "item_id", text_col:
     return benchmark.select(F.col(id_col).cast("long").alias("item"), F.col(text_col).alias("text")).mapInArrow(run, "item long, nth int, words array<long>")
 
 
-def lookup(vocab: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(positions in h, numbers in the sorted vocab) of the hashes that are in it."""
-    if not len(vocab) or not len(h):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    seen = np.zeros(1 << 20, bool)
-    seen[(vocab & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-    maybe = np.flatnonzero(seen[(h & np.uint64((1 << 20) - 1)).astype(np.int64)])
-    at = np.minimum(np.searchsorted(vocab, h[maybe]), len(vocab) - 1)
-    hit = vocab[at] == h[maybe]
-    return maybe[hit], at[hit]
-
-
 def _frequencies(vocab: np.ndarray, step: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, blocks = np.zeros(len(vocab), np.int64), 0

@@ -1,19 +1,25 @@
 """Sanitisation by disclosure: base patterns, and terms that reveal the protected entities.
 
 Protected entities are the personal data that four patterns find (email, ip, card, phone). The corpus tells which other
-terms give them away: a term's exposure is how often it stands within `reach` words of an entity, its use is how often
-it stands anywhere, and its disclosure is the pointwise mutual information log2(P(entity near | term) / P(entity near)),
-with both counts taken over all documents. Terms over the threshold, and seen near entities often enough to be sure
-(a lower confidence bound on the exposure rate), are sensitive. Near an entity (within `reach` words) a sensitive term
-is a span: of kind `reveal`, which is removed, where its disclosure exceeds the upper threshold, else of kind `quasi`,
-which is generalised to `[term]`. Entities become `[kind]`.
+terms give them away, kind by kind: a term's exposure is how often it stands within `reach` words of an entity of the kind,
+its use is how often it stands anywhere, both counted over all documents. Its pointwise mutual information with the kind is
+log2(P(entity near | term) / P(entity near)), with the lower confidence bound of the exposure rate in the numerator, and
+its disclosure is the share of the entity's own information, -log2 P(entity near), that this takes away: 0 for a term that
+tells nothing, 1 for one that stands only beside entities. A term counts if its exposure can't be chance: the evidence of
+its counts in bits (use times the divergence of its rate from the kind's) must exceed what the most exposed of all the
+corpus's terms would show by chance, log2(terms x kinds), by `sure` bits. Both bars are relative, so they mean the same on
+small and on large corpora.
+
+A term of disclosure `remove` or more is a span of kind `reveal` wherever it stands, and is removed; one of `generalise` or
+more is a span of kind `quasi`, generalised to `[term]`. Entities become `[kind]`.
 
 Counting is one map-side combined aggregation over (term) with a row per distinct term and batch. Up to `max_terms`
-sensitive terms are sent to every task; more are joined to the distinct words near the entities of each text, so that a
-row brings its own terms along. The result is the same.
+sensitive terms are sent to every task; more are joined to the distinct words of each text, so that a row brings its own
+terms along. The result is the same.
 
 Defined results: null text is empty text; ids may be null; repeated rows are each counted and each returned; offsets are
-code points, end exclusive; spans of one kind don't overlap.
+code points, end exclusive; spans of one kind don't overlap, and a term inside an entity is no span of its own; an empty
+table gives an empty result; extra columns are carried in `doc`; a very long text is read whole, with a table of its words.
 """
 
 from __future__ import annotations
@@ -29,11 +35,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices, span_hashes, stored, text_bytes, word_bounds
+from .common import lookup, slices, span_hashes, stored, text_bytes, word_bounds
 
 KINDS = ("email", "ip", "card", "phone")
 ALL_KINDS = (*KINDS, "quasi", "reveal")
-REACH, MIN_PMI, REMOVE_PMI, MIN_NEAR, MAX_TERMS = 4, 4.0, 7.0, 20, 100_000
+REACH, GENERALISE, REMOVE, SURE, MAX_TERMS = 4, 0.7, 0.85, 10.0, 100_000
+#: Standard errors of the confidence bound.
+BOUND = 2.0
 #: Shares of a term's texts where terms are joined to texts.
 SALTS = 16
 
@@ -90,21 +98,21 @@ def _entities(b: pa.RecordBatch) -> list[list[tuple[str, int, int]]]:
     return [base_spans(text[i].as_py()) if on else [] for i, on in enumerate(maybe)]
 
 
-def _words_near(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows: np.ndarray, off: np.ndarray, found: list, reach: int) -> np.ndarray:
-    """Numbers of the words within reach of an entity of their row, entities' own words left out."""
-    near, own = np.zeros(len(starts) + 1, np.int64), np.zeros(len(starts), bool)
+def _words_near(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows: np.ndarray, off: np.ndarray, found: list, reach: int) -> tuple[np.ndarray, np.ndarray]:
+    """(kinds x words: is one of that kind within reach in the word's row; is the word part of an entity)."""
+    near, own = np.zeros((len(KINDS), len(starts) + 1), np.int64), np.zeros(len(starts), bool)
     for r, spans in enumerate(found):
         if not spans:
             continue
         at = np.flatnonzero((data[off[r] : off[r + 1]] & 0xC0) != 0x80)
         at = np.r_[at, off[r + 1] - off[r]] + off[r]
-        for _, lo, hi in spans:
+        for kind, lo, hi in spans:
             a = np.searchsorted(ends, at[lo], side="right")
             z = np.searchsorted(starts, at[hi], side="left")
             own[a:z] = True
-            near[max(rows[r], a - reach)] += 1
-            near[min(rows[r + 1], z + reach)] -= 1
-    return np.flatnonzero((np.cumsum(near)[:-1] > 0) & ~own)
+            near[KINDS.index(kind), max(rows[r], a - reach)] += 1
+            near[KINDS.index(kind), min(rows[r + 1], z + reach)] -= 1
+    return (np.cumsum(near, axis=1)[:, :-1] > 0) & ~own, own
 
 
 def _count(reach: int):
@@ -114,113 +122,124 @@ def _count(reach: int):
             data, off = text_bytes(b.column("text"))
             starts, ends, rows = word_bounds(data, off)
             h = span_hashes(data, starts, ends, lower=True)
-            near = np.zeros(len(h), np.int64)
-            near[_words_near(data, starts, ends, rows, off, found, reach)] = 1
             order = np.argsort(h, kind="stable")
-            h, near = h[order], near[order]
-            first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(h[first].view(np.int64)), pa.array(np.diff(np.r_[first, len(h)])), pa.array(np.add.reduceat(near, first) if len(first) else near)], ["term", "uses", "near"])
+            sorted_ = h[order]
+            first = np.flatnonzero(np.r_[True, sorted_[1:] != sorted_[:-1]]) if len(h) else np.zeros(0, np.int64)
+            exposed = np.zeros((len(KINDS), len(first)), np.int64)
+            if any(found) and len(first):
+                near, _ = _words_near(data, starts, ends, rows, off, found, reach)
+                exposed = np.add.reduceat(near[:, order].astype(np.int64), first, axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(sorted_[first].view(np.int64)), pa.array(np.diff(np.r_[first, len(h)])), *(pa.array(x) for x in exposed)], ["term", "uses", *KINDS])
 
     return run
 
 
-def sensitive_terms(docs: DataFrame, text_col: str = "text", reach: int = REACH, min_pmi: float = MIN_PMI, min_near: int = MIN_NEAR) -> DataFrame:
-    """(term, pmi): hashes of the terms whose presence discloses an entity, from counts over all rows; stored."""
-    counts = stored(docs.select(F.col(text_col).alias("text")).mapInArrow(_count(reach), "term long, uses long, near long").groupBy("term").agg(F.sum("uses").alias("uses"), F.sum("near").alias("near")), "terms")
-    totals = counts.agg(F.sum("uses").alias("u"), F.sum("near").alias("n")).first()
-    if not totals.n:
-        return counts.limit(0).select("term", F.lit(0.0).alias("pmi"))
-    # lower bound of the exposure rate: two standard errors below it
-    rate = F.col("near") / F.col("uses")
-    low = rate - 2 * F.sqrt(rate * (1 - rate) / F.col("uses"))
-    pmi = F.log2(F.greatest(low, F.lit(1e-12)) / F.lit(totals.n / totals.u))
-    return stored(counts.filter(F.col("near") >= min_near).select("term", pmi.alias("pmi")).filter(F.col("pmi") >= min_pmi), "sensitive")
+def term_counts(docs: DataFrame, text_col: str = "text", reach: int = REACH) -> DataFrame:
+    """(term, uses, and for each kind the uses near an entity of it), over all rows; terms are hashes; stored."""
+    counts = docs.select(F.col(text_col).alias("text")).mapInArrow(_count(reach), "term long, uses long, " + ", ".join(f"{k} long" for k in KINDS))
+    return stored(counts.groupBy("term").agg(*[F.sum(c).alias(c) for c in ("uses", *KINDS)]), "terms")
 
 
-_SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
+def disclosures(counts: DataFrame, sure: float = SURE) -> DataFrame:
+    """(term, disclosure) of the terms whose exposure to some kind is no chance: the highest over the kinds."""
+    total = counts.agg(F.count("*").alias("terms"), *[F.sum(c).alias(c) for c in ("uses", *KINDS)]).first()
+    uses, bars = F.col("uses").cast("double"), []
+    for kind in KINDS:
+        base = (total[kind] or 0) / max(total.uses or 0, 1)
+        if not 0 < base < 1:
+            continue
+        rate = F.col(kind) / uses
+        part = lambda r, b: F.when(r > 0, r * F.log2(r / b)).otherwise(0.0)
+        evidence = uses * (part(rate, base) + part(1 - rate, 1 - base)) - float(np.log2(total.terms * len(KINDS)))
+        # Wilson's lower bound of the rate
+        z2 = BOUND**2
+        low = (rate + z2 / (2 * uses) - BOUND * F.sqrt(rate * (1 - rate) / uses + z2 / (4 * uses * uses))) / (1 + z2 / uses)
+        disclosure = F.log2(F.greatest(low, F.lit(1e-12)) / base) / -float(np.log2(base))
+        bars.append(F.when((rate > base) & (evidence >= sure), disclosure))
+    return counts.select("term", F.array_max(F.array(F.lit(None).cast("double"), *bars)).alias("disclosure")).filter("disclosure is not null")
 
 
-def _near_terms(reach: int):
-    """(th, term): the distinct words near the entities of each text."""
+def sensitive_terms(docs: DataFrame, text_col: str = "text", reach: int = REACH, generalise: float = GENERALISE, sure: float = SURE) -> DataFrame:
+    """(term, disclosure): hashes of the terms whose presence discloses an entity; stored."""
+    return stored(disclosures(term_counts(docs, text_col, reach), sure).filter(F.col("disclosure") >= generalise), "sensitive")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
-            found = _entities(b)
-            if not any(found):
-                continue
-            data, off = text_bytes(b.column("text"))
-            starts, ends, rows = word_bounds(data, off)
-            near = _words_near(data, starts, ends, rows, off, found, reach)
-            h = span_hashes(data, starts[near], ends[near], lower=True).view(np.int64)
-            th = b.column("th").to_numpy()[np.searchsorted(rows, near, side="right") - 1]
-            pairs = np.unique(np.stack([th, h], axis=1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["th", "term"])
 
-    return run
+_SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
 
 
-def _own_terms(docs: DataFrame, terms: DataFrame, text_col: str, reach: int, remove_pmi: float) -> DataFrame:
-    """(th, own): the sensitive terms near the entities of each text, by the text's hash; bounded by the text's length.
+def _distinct_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(th, term): the distinct words of each text."""
+    for b in slices(batches):
+        data, off = text_bytes(b.column("text"))
+        starts, ends, rows = word_bounds(data, off)
+        h = span_hashes(data, starts, ends, lower=True).view(np.int64)
+        th = np.repeat(b.column("th").to_numpy(), np.diff(rows))
+        order = np.lexsort((h, th))
+        h, th = h[order], th[order]
+        new = np.r_[True, (h[1:] != h[:-1]) | (th[1:] != th[:-1])] if len(h) else np.zeros(0, bool)
+        yield pa.RecordBatch.from_arrays([pa.array(th[new]), pa.array(h[new])], ["th", "term"])
+
 
-    Texts with equal hashes share their terms, which adds none: whatever is in a set is sensitive wherever it is near.
+def _own_terms(docs: DataFrame, terms: DataFrame, text_col: str, remove: float) -> DataFrame:
+    """(th, own): the sensitive terms of each text, by the text's hash; bounded by the text's length.
+
+    Texts with equal hashes share their terms, which adds none: whatever is in a set is sensitive wherever it stands.
     """
-    keyed = docs.select(F.xxhash64(F.col(text_col)).alias("th"), F.col(text_col).alias("text"))
-    pairs = keyed.mapInArrow(_near_terms(reach), "th long, term long").distinct().withColumn("salt", F.pmod("th", F.lit(SALTS)).cast("int"))
-    spread = terms.select("term", (F.col("pmi") >= remove_pmi).alias("reveal"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    keyed = docs.select(F.xxhash64(F.col(text_col)).alias("th"), F.col(text_col).alias("text")).filter("text is not null")
+    pairs = keyed.mapInArrow(_distinct_terms, "th long, term long").distinct().withColumn("salt", F.pmod("th", F.lit(SALTS)).cast("int"))
+    spread = terms.select("term", (F.col("disclosure") >= remove).alias("reveal"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     return pairs.join(spread, ["term", "salt"]).groupBy("th").agg(F.collect_list(F.struct("term", "reveal")).alias("own"))
 
 
-def _find(reach: int, terms: np.ndarray, reveals: np.ndarray):
+def _find(terms: np.ndarray, reveals: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            yield _spans(b, _entities(b), reach, terms, reveals)
+            yield _spans(b, _entities(b), terms, reveals)
 
     return run
 
 
-def _find_own(reach: int):
+def _find_own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """As _find, with the terms that the rows bring along."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
-            own = pc.list_flatten(b.column("own"))
-            terms, reveal = own.field(0).to_numpy().view(np.uint64), own.field(1).to_numpy(zero_copy_only=False).astype(bool)
-            yield _spans(b.drop_columns(["own"]), _entities(b), reach, np.unique(terms), np.unique(terms[reveal]))
-
-    return run
+    for b in slices(batches):
+        own = pc.list_flatten(b.column("own"))
+        terms, reveal = own.field(0).to_numpy().view(np.uint64), own.field(1).to_numpy(zero_copy_only=False).astype(bool)
+        yield _spans(b.drop_columns(["own"]), _entities(b), np.unique(terms), np.unique(terms[reveal]))
 
 
-def _spans(b: pa.RecordBatch, found: list, reach: int, terms: np.ndarray, reveals: np.ndarray) -> pa.RecordBatch:
-    """The rows of b with their spans: the entities found, then the terms near them."""
-    if len(terms) and any(found):
+def _spans(b: pa.RecordBatch, found: list, terms: np.ndarray, reveals: np.ndarray) -> pa.RecordBatch:
+    """The rows of b with their spans: the entities found, then the sensitive terms outside them. terms: sorted."""
+    if len(terms):
         data, off = text_bytes(b.column("text"))
         starts, ends, rows = word_bounds(data, off)
-        near = _words_near(data, starts, ends, rows, off, found, reach)
-        h = span_hashes(data, starts[near], ends[near], lower=True)
-        near, reveal = near[np.isin(h, terms)], np.isin(h[np.isin(h, terms)], reveals)
-        kind = dict(zip(near.tolist(), np.where(reveal, "reveal", "quasi").tolist(), strict=True))
-        for r in np.unique(np.searchsorted(rows, near, side="right") - 1).tolist():
+        at, number = lookup(terms, span_hashes(data, starts, ends, lower=True))
+        if len(at) and any(found):
+            own = _words_near(data, starts, ends, rows, off, found, 0)[1]
+            at, number = at[~own[at]], number[~own[at]]
+        kind = np.where(np.isin(terms, reveals)[number], "reveal", "quasi")
+        row = np.searchsorted(rows, at, side="right") - 1
+        for r in np.unique(row).tolist():
             points = np.cumsum((data[off[r] : off[r + 1]] & 0xC0) != 0x80)
-            for w in near[(near >= rows[r]) & (near < rows[r + 1])].tolist():
-                a, z = starts[w] - off[r], ends[w] - off[r]
-                found[r].append((kind[w], int(points[a] - 1), int(points[z - 1])))
+            for i in np.flatnonzero(row == r).tolist():
+                a, z = starts[at[i]] - off[r], ends[at[i]] - off[r]
+                found[r].append((str(kind[i]), int(points[a] - 1), int(points[z - 1])))
             found[r].sort(key=lambda x: (ALL_KINDS.index(x[0]), x[1]))
     keep = [c for c in b.schema.names if c != "text"]
     lists = pa.array([[{"kind": k, "start": a, "end": z} for k, a, z in x] for x in found], pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])))
     return pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), lists], [*keep, "spans"])
 
 
-def find(docs: DataFrame, text_col: str = "text", reach: int = REACH, min_pmi: float = MIN_PMI, min_near: int = MIN_NEAR, remove_pmi: float = REMOVE_PMI, max_terms: int = MAX_TERMS) -> DataFrame:
+def find(docs: DataFrame, text_col: str = "text", reach: int = REACH, generalise: float = GENERALISE, remove: float = REMOVE, sure: float = SURE, max_terms: int = MAX_TERMS) -> DataFrame:
     """(doc, spans): the input row as a struct, its base spans by kind and start, then its term spans."""
-    terms = sensitive_terms(docs, text_col, reach, min_pmi, min_near)
+    terms = sensitive_terms(docs, text_col, reach, generalise, sure)
     sent = docs.select(F.struct(*docs.columns).alias("doc"), F.col(text_col).alias("text"))
     schema = T.StructType([sent.schema["doc"], T.StructField("spans", _SPANS)])
     if terms.count() > max_terms:
-        own = _own_terms(docs, terms, text_col, reach, remove_pmi)
-        return sent.withColumn("th", F.xxhash64("text")).join(own, "th", "left").select("doc", "text", "own").mapInArrow(_find_own(reach), schema)
+        own = _own_terms(docs, terms, text_col, remove)
+        return sent.withColumn("th", F.xxhash64("text")).join(own, "th", "left").select("doc", "text", "own").mapInArrow(_find_own, schema)
     rows = list(terms.toLocalIterator())
-    known, reveals = (np.sort(np.array([r.term for r in rows if r.pmi >= bar], np.int64)).view(np.uint64) for bar in (min_pmi, remove_pmi))
-    return sent.mapInArrow(_find(reach, known, reveals), schema)
+    known, reveals = (np.sort(np.array([r.term for r in rows if r.disclosure >= bar], np.int64).view(np.uint64)) for bar in (generalise, remove))
+    return sent.mapInArrow(_find(known, reveals), schema)
 
 
 def sanitise(docs: DataFrame, text_col: str = "text", **parameters) -> DataFrame:

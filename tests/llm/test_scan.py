@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 
@@ -161,7 +162,7 @@ def test_disclosing_terms(spark):
         if i % 2:
             w[30:30] = ["Contact", f"é{i}@mail.com", "Dr."]
         rows.append((i, " ".join(w)))
-    rows += [(None, None), (500, ""), (3, rows[3][1]), (501, "Contact nobody")]
+    rows += [(None, None), (500, ""), (3, rows[3][1]), (501, "Contact nobody"), (502, "rare a@mail.com word")]
     df = docs(spark, rows)
     found = pii.find(df)
     got = [(r.doc.doc_id, [(s.kind, s.start, s.end) for s in r.spans]) for r in found.collect()]
@@ -171,11 +172,12 @@ def test_disclosing_terms(spark):
         t = texts.get(i) or ""
         assert [s for s in spans if s[0] in pii.KINDS] == brute_pii(t)
         extra = {t[a:z] for k, a, z in spans if k not in pii.KINDS}
-        assert extra == ({"Contact", "Dr."} if i is not None and i < 200 and i % 2 else set())
+        assert extra == ({"Contact", "Dr."} if i is not None and i < 200 and i % 2 else {"Contact"} if i == 501 else set())
     clean = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
     assert "mail.com" not in clean[1]
     assert "Contact" not in clean[1]
-    assert clean[501] == "Contact nobody"
+    assert clean[501] == " nobody"  # a revealing term goes wherever it stands
+    assert clean[502] == "rare [email] word"  # one sighting beside an entity is no evidence
     assert pii.sanitise(df).columns == df.columns
     assert pii.find(docs(spark, [])).count() == 0
 
@@ -197,10 +199,60 @@ def test_terms_beyond_the_bound_of_a_task(spark):
     assert terms == {"Label1", "Label3", "LABEL3", "Dr."}
     for most in (0, 1, 2):
         assert have(max_terms=most) == want
-    bars = {"min_pmi": 4.0, "remove_pmi": 5.0}
+    bars = {"generalise": 0.5, "remove": 0.9}
     assert have(max_terms=1, **bars) == have(**bars)
 
 
+def test_counts_disclosures_and_spans_by_brute_force(spark):
+    rng = random.Random(6)
+    texts = []
+    for i in range(300):
+        w = [rng.choice("abcdefgh") + str(rng.randrange(40)) for _ in range(rng.randrange(60))]
+        if i % 5 == 0:
+            w[7:7] = [rng.choice(["Mr.", "Mme"]), f"p{i % 15}@x.org"]
+        if i % 7 == 0:
+            w += ["Host", f"10.0.0.{i % 9}", rng.choice(["up", "Mme"])]
+        texts.append(" ".join(w))
+    texts += ["Mme and Mr. and host alone", "p@q.rs", "", "a\xa0b 1.2.3.4\thost"]
+    words = [[(m.start(), m.end(), m[0].translate(LOWER)) for m in re.finditer(r"[^\x20\x09-\x0D]+", t)] for t in texts]
+    uses, near = {}, {}
+    for t, ws in zip(texts, words, strict=True):
+        spans = brute_pii(t)
+        own = {j for j, (a, z, _) in enumerate(ws) for _, lo, hi in spans if a < hi and z > lo}
+        for j, (_, _, w) in enumerate(ws):
+            uses[w] = uses.get(w, 0) + 1
+        for kind in pii.KINDS:
+            close = set()
+            for k, lo, hi in spans:
+                inside = [j for j, (a, z, _) in enumerate(ws) if a < hi and z > lo]
+                if k == kind:
+                    close |= set(range(max(0, min(inside) - pii.REACH), min(len(ws), max(inside) + 1 + pii.REACH)))
+            for j in close - own:
+                near[kind, ws[j][2]] = near.get((kind, ws[j][2]), 0) + 1
+    counts = {r.term: r for r in pii.term_counts(docs(spark, list(enumerate(texts)))).collect()}
+    assert sorted((r.uses, *(r[k] for k in pii.KINDS)) for r in counts.values()) == sorted((n, *(near.get((k, w), 0) for k in pii.KINDS)) for w, n in uses.items())
+    all_uses, want = sum(uses.values()), {}
+    for w, n in uses.items():
+        for kind in pii.KINDS:
+            base = sum(v for (k, _), v in near.items() if k == kind) / all_uses
+            x = near.get((kind, w), 0)
+            if x and x / n > base:
+                rate = x / n
+                bits = x * math.log2(rate / base) + ((n - x) * math.log2((1 - rate) / (1 - base)) if x < n else 0)
+                low = (rate + 2 / n - 2 * math.sqrt(rate * (1 - rate) / n + 1 / n**2)) / (1 + 4 / n)
+                if bits - math.log2(len(uses) * 4) >= pii.SURE:
+                    want[w] = max(want.get(w, -9), math.log2(low / base) / -math.log2(base))
+    assert {"host", "mr.", "mme"} <= set(want)
+    got = sorted(r.disclosure for r in pii.disclosures(pii.term_counts(docs(spark, list(enumerate(texts))))).collect())
+    assert np.allclose(got, sorted(want.values()))
+    for bars in ((0.7, 0.85), (0.1, 0.5)):
+        for r in pii.find(docs(spark, list(enumerate(texts))), generalise=bars[0], remove=bars[1]).collect():
+            t, ws = r.doc.text, words[r.doc.doc_id]
+            spans = brute_pii(t)
+            extra = [("reveal" if want[w] >= bars[1] else "quasi", a, z) for a, z, w in ws if want.get(w, -9) >= bars[0] and not any(a < hi and z > lo for _, lo, hi in spans)]
+            assert [tuple(x) for x in r.spans] == spans + sorted(extra)
+
+
 # --------------------------------------------------------------------------- op1
 
 
