@@ -9,11 +9,17 @@ wherever the match reaches `width` words in a document with a smaller id, the wi
 windows that their leader doesn't hold but other documents do, or the leader's document in its other segments of the name
 (names are then the windows' own hashes), so no repeated window is missed and nothing is compared outside its shard.
 
-Skew: a name is aggregated, never gathered; the segments sent to a heavy shard are spread over salts, each with its own
-copy of the shard's reference. Automata read 64-bit word hashes, and a shard's memory is bounded by `SHARD_WORDS`.
+The reference is the whole corpus, so its automata can't be sent to every task; a document's segments stream to the shards
+that can hold them, where the automaton stands ready.
+
+Skew: a name is aggregated, never gathered, and joined as two written tables, whose larger partitions Spark splits; the
+segments sent to a heavy shard are spread over salts, each with its own copy of the shard's reference. Automata read 64-bit
+word hashes. Segments end at every BLOCK_WORDS words, so a shard holds `SHARD_WORDS` of reference on average whatever the
+texts, and a region of REGION_WORDS words is streamed at once.
 
 Defined results: null text has no words; null doc_id sorts before all ids; rows that share a doc_id are one document
-(they don't remove each other's words); repeated rows each get the result of their text; words are never changed.
+(they don't remove each other's words); repeated rows each get the result of their text; words are never changed; a very
+long text is cut into blocks as above; an empty table gives an empty result; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -30,6 +36,8 @@ from .common import NULL_ID, mix, ngram_hashes, row_keys, slices, stored, text_b
 WIDTH, GRAM = 50, 20
 #: Words of reference in one shard (on average), of a block of one document, and words streamed per salt of a shard.
 SHARD_WORDS, BLOCK_WORDS, SALT_WORDS = 8192, 4096, 1 << 15
+#: Words of one streamed region, about.
+REGION_WORDS = 1 << 16
 
 
 def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
@@ -144,7 +152,8 @@ def _segments(width: int, gram: int):
             name, row, at = name[inside], row[inside], np.flatnonzero(inside)
             if not len(at):
                 continue
-            first = np.flatnonzero(np.r_[True, (name[1:] != name[:-1]) | (row[1:] != row[:-1])])
+            block = (at - off[row]) // BLOCK_WORDS
+            first = np.flatnonzero(np.r_[True, (name[1:] != name[:-1]) | (row[1:] != row[:-1]) | (block[1:] != block[:-1])])
             n = np.diff(np.r_[first, len(at)])
             r = row[first]
             yield pa.RecordBatch.from_arrays(
@@ -189,7 +198,7 @@ def _cut(width: int, of_text: bool):
                         out[c].append(v)  # noqa: B023
 
                 for i in range(len(shard)):
-                    if group and (shard[i] != shard[i - 1] or salt[i] != salt[i - 1] or ref[i] != ref[i - 1] or start[i] > reach):
+                    if group and (shard[i] != shard[i - 1] or salt[i] != salt[i - 1] or ref[i] != ref[i - 1] or start[i] > reach or reach - group[0][0] > REGION_WORDS):
                         emit(i - 1)
                         group = []
                     reach = max(reach, start[i] + n[i]) if group else start[i] + n[i]
@@ -261,17 +270,16 @@ def _resolve(segments: DataFrame, source: DataFrame, of_text: bool, width: int)
     other = (F.col("start") != F.col("lead.start")) | (F.col("th") != F.col("lead.th"))
     sent = segments.join(leaders, "name").filter((F.col("did") > F.col("lead.did")) | (other if of_text else F.lit(False)))
     probes = stored(sent.select("home", *at, "start", "n"), "probes")
-    # only shards above the bound are named here: fewer than all streamed words / SALT_WORDS
-    heavy = {r.home: -(-r.words // SALT_WORDS) for r in probes.groupBy("home").agg(F.sum(F.col("n") + 8).alias("words")).filter(F.col("words") > SALT_WORDS).toLocalIterator()}
-    spark = segments.sparkSession
-    spread = spark.createDataFrame(sorted(heavy.items()) or [(-1, 1)], "home long, salts long")
     salts = F.coalesce("salts", F.lit(1))
-    asks = probes.join(F.broadcast(spread), "home", "left").select(*at, F.struct(F.col("home").alias("shard"), F.pmod(F.xxhash64("did", "th"), salts).alias("salt"), F.lit(False).alias("ref"), "start", "n").alias("w"))
+    # shards above the bound, written; Spark broadcasts the table only if it is small
+    spread = probes.groupBy("home").agg(F.sum(F.col("n") + 8).alias("words")).filter(F.col("words") > SALT_WORDS).select("home", F.ceil(F.col("words") / SALT_WORDS).alias("salts"))
+    spread = stored(spread, "spread")
+    asks = probes.join(spread, "home", "left").select(*at, F.struct(F.col("home").alias("shard"), F.pmod(F.xxhash64("did", "th", F.floor(F.col("start") / BLOCK_WORDS)), salts).alias("salt"), F.lit(False).alias("ref"), "start", "n").alias("w"))
     copies = F.transform(
         F.sequence(F.lit(0).cast("long"), salts - 1),
         lambda s: F.struct(F.col("home").alias("shard"), s.alias("salt"), F.lit(True).alias("ref"), F.col("lead.start").alias("start"), F.col("lead.n").alias("n")),
     )
-    refs = leaders.join(F.broadcast(spread), "home", "left").select(*[F.col(f"lead.{c}").alias(c) for c in at], F.explode(copies).alias("w"))
+    refs = leaders.join(spread, "home", "left").select(*[F.col(f"lead.{c}").alias(c) for c in at], F.explode(copies).alias("w"))
     # what one document is asked for is bounded by its length; equal rows ask for the same
     want = asks.unionByName(refs).groupBy(*at).agg(F.collect_set("w").alias("want"))
     cut = source.join(want, at)

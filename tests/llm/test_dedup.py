@@ -119,6 +119,13 @@ def test_substrings(spark, monkeypatch):
     assert sum(w[2] > 0 for w in want) > 20
 
 
+def test_substrings_of_one_very_long_repetitive_text(spark):
+    n = 1_000_000
+    got = {r.did: r for r in substring_dedup.dedup_substrings(table(spark, [(1, "rep " * n), (2, "a b " + "rep " * 3000 + "c")])).collect()}
+    assert (got[1].n_words, got[1].n_removed, len(got[1].kept)) == (n, 0, 4 * n - 1)
+    assert (got[2].n_words, got[2].n_removed, got[2].kept) == (3003, 3000, "a b c")
+
+
 def test_substrings_held_by_another_segment_of_the_leader(spark):
     rows = []
     for i in range(0, 120, 3):  # the smallest document holds p twice, the next ones repeat its second place only
