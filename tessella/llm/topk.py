@@ -1,15 +1,19 @@
 """Exact top-k search by tiles.
 
-Candidate vectors are packed into shards and queries into blocks (one row each, a binary matrix). Each block meets each
-shard once; the tile is one matrix product, of which only the k best scores of a query are kept (partial selection). The
-lists of a query are then merged as a tree of fan-in 16 over the shards.
+Candidate vectors are packed into shards and queries into blocks (one row each, a binary matrix of the narrowest integer
+type). The queries are sent to the tasks in groups of bounded size (GROUP_BYTES, GROUP_QUERIES), one pass over the shards
+for each group: a task reads its shards one by one, and each meets the group's blocks in matrix products, of which only the
+k best scores of a query are kept (partial selection) and merged with what the task has so far. Nothing but these top
+lists is shuffled; the lists of a query are then merged as a tree of fan-in 16.
 
 Every tile has a bounded size, so memory per task is fixed; the number of tiles is queries x vectors / tile, which is the
-search itself. Scores are exact: products run in float64 while every partial sum is below 2**53, else in Python integers.
+search itself. Scores are exact: products run in float32 or float64 while every partial sum is an exact integer there, else
+in Python integers.
 
 Defined results: vectors that are null, empty, or hold a null or non-finite component take no part, neither as query nor as candidate;
 ties go to the smaller id; a vector whose length differs from the query's is no candidate of it; repeated rows each
-count as a candidate, and a query id given twice gets the list of each of its rows merged; null ids take no part.
+count as a candidate, and a query id given twice gets the list of each of its rows merged; null ids take no part; an empty
+table of either side gives an empty result; extra columns are not read; a pack of very long vectors holds fewer of them.
 """
 
 from __future__ import annotations
@@ -18,17 +22,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
 
 SHARD_ROWS, BLOCK_ROWS, FAN_IN = 2048, 512, 16
-_PACK = "part long, dim int, ids binary, vectors binary"
+#: Components of one pack, and what one pass sends to the tasks.
+PACK_CELLS, GROUP_BYTES, GROUP_QUERIES = 1 << 22, 32 << 20, 1 << 16
+_LISTS = "query_id long, part long, ids array<long>, scores array<long>"
+_PACK = "dim int, width int, ids binary, vectors binary"
+
+
+def narrow(m: np.ndarray) -> np.ndarray:
+    """m in the smallest integer type that holds it."""
+    lo, hi = int(m.min(initial=0)), int(m.max(initial=0))
+    return m.astype(next(t for t in (np.int8, np.int16, np.int32, np.int64) if np.iinfo(t).min <= lo and hi <= np.iinfo(t).max))
 
 
 def _pack(limit: int):
-    """Rows (id, v) to packed rows of at most `limit` vectors of one length; `part` is the id of the pack."""
+    """Rows (id, v) to packed rows of at most `limit` vectors of one length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -39,15 +53,19 @@ def _pack(limit: int):
             size = np.diff(off)
             for dim in np.unique(size):
                 at = np.flatnonzero(size == dim)
-                for lo in range(0, len(at), limit):
-                    rows = at[lo : lo + limit]
-                    m = flat[off[rows][:, None] + np.arange(dim)]
-                    part = int(ids[rows[0]]) * 2654435761 % (2**31)
-                    yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([int(dim)], pa.int32()), pa.array([ids[rows].tobytes()], pa.binary()), pa.array([m.tobytes()], pa.binary())], ["part", "dim", "ids", "vectors"])
+                rows_at_once = max(1, min(limit, PACK_CELLS // int(dim)))
+                for lo in range(0, len(at), rows_at_once):
+                    rows = at[lo : lo + rows_at_once]
+                    m = narrow(flat[off[rows][:, None] + np.arange(dim)])
+                    yield pa.RecordBatch.from_arrays([pa.array([int(dim)], pa.int32()), pa.array([m.itemsize], pa.int32()), pa.array([ids[rows].tobytes()], pa.binary()), pa.array([m.tobytes()], pa.binary())], ["dim", "width", "ids", "vectors"])
 
     return run
 
 
+def _unpack(dim: int, width: int, ids: bytes, vectors: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(ids, np.int64), np.frombuffer(vectors, f"i{width}").reshape(-1, dim)
+
+
 def best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The k highest scores, ties to smaller ids, best first; a partial selection precedes the sort."""
     if len(ids) > k:
@@ -60,32 +78,51 @@ def best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.nd
 
 def products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     """Exact integer products of the rows of q and c."""
-    top = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * max(1, q.shape[1])
+    top = float(np.abs(q.astype(np.float64)).max(initial=0)) * float(np.abs(c.astype(np.float64)).max(initial=0)) * max(1, q.shape[1])
     if top < 2**53:
-        return (q.astype(np.float64) @ c.astype(np.float64).T).astype(np.int64)
+        kind = np.float32 if top < 2**24 else np.float64
+        return (q.astype(kind) @ c.astype(kind).T).astype(np.int64)
     return (q.astype(object) @ c.astype(object).T).astype(np.int64)
 
 
-def _tiles(k: int):
+def _tiles(k: int, blocks: Broadcast):
+    """The k best candidates of each query among the shards of a task."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for b in batches:
-            for r in range(b.num_rows):
-                dim = b.column("dim")[r].as_py()
-                get = lambda c: np.frombuffer(b.column(c)[r].as_py(), np.int64)  # noqa: B023, E731
-                qid, cid = get("qids"), get("cids")
-                s = products(get("qvectors").reshape(-1, dim), get("cvectors").reshape(-1, dim))
-                out_q, out_i, out_s = [], [], []
-                for j, q in enumerate(qid.tolist()):
-                    i, v = best(cid[cid != q], s[j][cid != q], k) if (cid == q).any() else best(cid, s[j], k)
-                    out_q.append(q)
-                    out_i.append(i)
-                    out_s.append(v)
-                part = pa.array([b.column("part")[r].as_py()] * len(out_q), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(out_q, pa.int64()), part, pa.array(out_i, pa.list_(pa.int64())), pa.array(out_s, pa.list_(pa.int64()))], ["query_id", "part", "ids", "scores"])
+            for row in range(b.num_rows):
+                dim = b.column("dim")[row].as_py()
+                cid, c = _unpack(dim, *(b.column(x)[row].as_py() for x in ("width", "ids", "vectors")))
+                for qid, q in blocks.value.get(dim, ()):
+                    s = products(q, c)
+                    for j, i in enumerate(qid.tolist()):
+                        ids, scores = best(cid[cid != i], s[j][cid != i], k) if (cid == i).any() else best(cid, s[j], k)
+                        if i in held:
+                            ids, scores = best(np.r_[held[i][0], ids], np.r_[held[i][1], scores], k)
+                        held[i] = ids, scores
+        if held:
+            part = TaskContext.get().partitionId()
+            yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array([part] * len(held), pa.int64()), pa.array([x for x, _ in held.values()], pa.list_(pa.int64())), pa.array([x for _, x in held.values()], pa.list_(pa.int64()))], ["query_id", "part", "ids", "scores"])
 
     return run
 
 
+def _groups(blocks: DataFrame) -> Iterator[dict[int, list]]:
+    """The query blocks by dimension, as many at once as the bounds allow."""
+    group: dict[int, list] = {}
+    size = queries = 0
+    for r in blocks.toLocalIterator():
+        n = len(r.ids) // 8
+        if group and (size + len(r.vectors) > GROUP_BYTES or queries + n > GROUP_QUERIES):
+            yield group
+            group, size, queries = {}, 0, 0
+        group.setdefault(r.dim, []).append(_unpack(r.dim, r.width, r.ids, r.vectors))
+        size, queries = size + len(r.vectors), queries + n
+    if group:
+        yield group
+
+
 def _merge(lists: DataFrame, keys: list[str], k: int) -> DataFrame:
     """One list per key: a bounded number of lists of k meet in each group."""
     one = F.transform(F.arrays_zip("ids", "scores"), lambda x: F.struct((-x["scores"]).alias("s"), x["ids"].alias("i")))
@@ -102,14 +139,14 @@ def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> D
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     """(query_id, rank, vec_id, score) of integer vectors (id, v): the k best inner products of each query over all other rows."""
+    spark = vectors.sparkSession
     shards = stored(vectors.mapInArrow(_pack(SHARD_ROWS), _PACK), "shards")
     blocks = stored(queries.mapInArrow(_pack(BLOCK_ROWS), _PACK), "blocks")
-    parts = shards.select(F.col("part"), F.col("dim")).distinct()
-    # each block goes to each shard's part by key: the tile grid of a stated query set
-    sent = blocks.select("dim", F.col("ids").alias("qids"), F.col("vectors").alias("qvectors")).join(parts, "dim")
-    tiles = sent.join(shards.select("part", "dim", F.col("ids").alias("cids"), F.col("vectors").alias("cvectors")), ["part", "dim"])
-    lists = tiles.mapInArrow(_tiles(k), "query_id long, part long, ids array<long>, scores array<long>")
-    width = parts.count()
+    lists = spark.createDataFrame([], _LISTS)
+    for group in _groups(blocks):  # a pass over the shards for each bounded group of queries
+        found = shards.mapInArrow(_tiles(k, spark.sparkContext.broadcast(group)), _LISTS)
+        lists = lists.unionByName(stored(found, "lists"))
+    width = shards.count()  # at least the number of tasks that hold shards
     while width > FAN_IN:  # a level of the tree: about FAN_IN lists of a query meet in each group
         width = -(-width // FAN_IN)
         lists = _merge(lists.withColumn("part", F.pmod(F.hash("part", F.lit(width)), F.lit(width))), ["query_id", "part"], k)

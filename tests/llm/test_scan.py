@@ -26,7 +26,7 @@ def docs(spark, rows):
 
 
 def test_topk(spark, monkeypatch):
-    for name, value in (("SHARD_ROWS", 7), ("BLOCK_ROWS", 3), ("FAN_IN", 2)):
+    for name, value in (("SHARD_ROWS", 7), ("BLOCK_ROWS", 3), ("FAN_IN", 2), ("GROUP_QUERIES", 4)):
         monkeypatch.setattr(topk, name, value)
     rng = random.Random(4)
     rows = [(i, [rng.choice([-1.0, 0.0, 0.5, 0.51]) for _ in range(4)]) for i in range(120)]
@@ -41,11 +41,16 @@ def test_topk(spark, monkeypatch):
         best = sorted(((-sum(a * b for a, b in zip(good[q], e, strict=True)), i) for i, e in good.items() if i != q and len(e) == len(good[q])))[:5]
         assert [got.get(q, {}).get(n + 1) for n in range(len(best))] == [(i, -s) for s, i in best]
         assert len(got.get(q, {})) == len(best)
+    assert topk.top_k(v.filter("id < 0"), v, 5).count() == 0
+    assert topk.top_k(v, v.filter("id < 0"), 5).count() == 0
 
 
 def test_products_stay_exact():
     q = np.array([[2**40, 3]])
     assert topk.products(q, np.array([[2**20, 1]]))[0, 0] == 2**60 + 3
+    for top in (1, 100, 2**20, 2**40):
+        a, b = (np.random.default_rng(top).integers(-top, top + 1, (5, 33)) for _ in range(2))
+        assert (topk.products(topk.narrow(a), topk.narrow(b)) == a.astype(object) @ b.astype(object).T).all()
 
 
 # --------------------------------------------------------------------------- op7
