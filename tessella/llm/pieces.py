@@ -34,11 +34,11 @@ from pyspark.sql import types as T
 from .common import mix, powers, slices, text_bytes
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-ALPHA, SAMPLES = 1.5, 2
+ALPHA, SAMPLES = 1.5, 3
 #: UTF-8 bytes of text whose lattices are held at once.
 LATTICE_BYTES = 1 << 19
 #: Pieces that the lattices of known units may hold; beyond it the units met least often are forgotten.
-STORE_EDGES = 4_000_000
+STORE_EDGES = 3_000_000
 #: New units that the vocabulary encodes in one call.
 ENCODED_AT_ONCE = 1024
 #: One in units of the summed probabilities: sums of 64-bit integers are exact in any order.

@@ -187,7 +187,7 @@ def test_segment_round_trip_and_partitions(spark):
         for s in r.samples:
             assert VOCAB.processor.decode(s.ids) == t.replace("▁", " ")
             assert 0 <= s.inclusion <= 1
-        assert len({tuple(s.ids) for s in r.samples}) == len(r.samples) == (2 if t.strip() else len(r.samples))
+        assert len({tuple(s.ids) for s in r.samples}) == len(r.samples) == (3 if t.strip() else len(r.samples))
     back = pieces.decode(pieces.segment(df).select("ids", "same", F.col("doc.text").alias("was"))).filter("same").collect()
     assert back and all(r.text == r.was for r in back)
     assert pieces.segment(docs(spark, [])).count() == 0
