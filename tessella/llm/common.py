@@ -18,13 +18,16 @@ NULL_ID = -(2**63)
 SLICE_BYTES = 2 << 20
 
 _own_dir: dict[str, str] = {}
+_written: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (spark.checkpoint.dir); a local one only where that is unset."""
+    """The folder all executors share (spark.checkpoint.dir); one of its own only where that is unset on a local master."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_dir:
         _own_dir[app] = "file://" + tempfile.mkdtemp(prefix="tessella-")
@@ -32,13 +35,26 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame, name: str, partitions: int | None = None) -> DataFrame:
-    """Write df as Parquet to the shared folder and read it back: lineage ends there, lost executors cost nothing."""
+    """Write df as Parquet to the shared folder and read it back: lineage ends there, lost executors cost nothing.
+
+    The files stay until clear_stored(), since results that are not written yet read them.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tessella-{name}-{uuid.uuid4().hex}"
+    _written.append(path)
     (df if partitions is None else df.coalesce(partitions)).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear_stored(spark: SparkSession) -> int:
+    """Delete the intermediate tables of this process; call it once the results that need them are written."""
+    count = 0
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        count += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return count
+
+
 def row_keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(did, th, text): id with nulls replaced, a hash of the text to tell apart rows that share an id, and the text."""
     return docs.select(

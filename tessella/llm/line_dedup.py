@@ -11,7 +11,8 @@ of heavy shards are spread over salts, each with its own copy of that shard's ar
 
 Defined results: null text is one empty line; a null doc_id sorts before all others and its rows count as one document;
 rows that share a doc_id count as one document and all of them keep the lines for which that id is the largest; repeated
-rows are each returned; columns besides id and text pass through untouched; an empty table gives an empty result.
+rows are each returned; columns besides id and text pass through untouched; an empty table gives an empty result; a very
+long line is one key, a very long text is split like any other.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ _WS = np.isin(np.arange(256), [32, *range(9, 14)])
 
 
 def build_mph(keys: np.ndarray, gamma: float = 1.6) -> list[np.ndarray]:
-    """Bit levels (as packed bytes) of a minimal perfect hash over distinct 64-bit keys."""
+    """Bit levels (as packed bytes) of a minimal perfect hash over distinct 64-bit keys (it ends only for distinct ones)."""
     levels, left, level = [], keys, 0
     while len(left):
         size = max(64, int(gamma * len(left)) // 8 * 8 + 8)
@@ -120,13 +121,14 @@ def _build(groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def finish() -> pa.RecordBatch:
         t = pa.Table.from_batches(held).combine_chunks()
         low, high = (t.column(c).to_numpy().view(np.uint64) for c in ("low", "high"))
-        levels = build_mph(mix(low, 1) ^ high)
-        at = probe_mph(levels, mix(low, 1) ^ high)
+        seed = next(s for s in range(1, 1000) if len(np.unique(mix(low, s) ^ high)) == len(low))  # 128-bit hashes are distinct
+        levels = build_mph(mix(low, seed) ^ high)
+        at = probe_mph(levels, mix(low, seed) ^ high)
         mark, count, top = np.zeros(len(low), np.uint32), np.zeros(len(low), np.int64), np.zeros(len(low), np.int64)
         mark[at], count[at], top[at] = (high >> np.uint64(32)).astype(np.uint32), t.column("n_docs").to_numpy(), t.column("top").to_numpy()
         return pa.RecordBatch.from_arrays(
-            [pa.array([t.column("shard")[0].as_py()], pa.int64()), pa.array([np.array([len(x) for x in levels], np.int64).tobytes()], pa.binary()), pa.array([b"".join(x.tobytes() for x in levels)], pa.binary()), *(pa.array([x.tobytes()], pa.binary()) for x in (mark, np.minimum(count, 2**32 - 1).astype(np.uint32), top)), pa.array([int(count.sum())], pa.int64())],
-            ["shard", "sizes", "bits", "mark", "count", "top", "refs"],
+            [pa.array([t.column("shard")[0].as_py()], pa.int64()), pa.array([seed], pa.int32()), pa.array([np.array([len(x) for x in levels], np.int64).tobytes()], pa.binary()), pa.array([b"".join(x.tobytes() for x in levels)], pa.binary()), *(pa.array([x.tobytes()], pa.binary()) for x in (mark, np.minimum(count, 2**32 - 1).astype(np.uint32), top)), pa.array([int(count.sum())], pa.int64())],
+            ["shard", "seed", "sizes", "bits", "mark", "count", "top", "refs"],
         )
 
     for b in groups:
@@ -143,7 +145,7 @@ def _build(groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield finish()
 
 
-_INDEX = "shard long, sizes binary, bits binary, mark binary, count binary, top binary, refs long"
+_INDEX = "shard long, seed int, sizes binary, bits binary, mark binary, count binary, top binary, refs long"
 
 
 def build_index(rows: DataFrame, min_chars: int = MIN_CHARS, shard_keys: int = SHARD_KEYS) -> tuple[DataFrame, int]:
@@ -192,12 +194,12 @@ def _blocks(min_chars: int, shards: int, salts: dict[int, int]):
 def _probe(min_docs: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows sorted so that a shard's arrays come before its blocks; one shard is held at a time."""
-        arrays, levels, held = {}, [], None
+        arrays, levels, held, seed = {}, [], None, 1
         for b in batches:
             for r in range(b.num_rows):
                 get = lambda c: b.column(c)[r].as_py()  # noqa: B023, E731
                 if get("kind") == 0:
-                    held = get("shard")
+                    held, seed = get("shard"), get("seed")
                     sizes, bits = np.frombuffer(get("sizes"), np.int64), np.frombuffer(get("bits"), np.uint8)
                     levels = np.split(bits, np.cumsum(sizes)[:-1])
                     arrays = {"mark": np.frombuffer(get("mark"), np.uint32), "count": np.frombuffer(get("count"), np.uint32), "top": np.frombuffer(get("top"), np.int64)}
@@ -205,7 +207,7 @@ def _probe(min_docs: int):
                 if get("shard") != held:
                     continue
                 low, high = (np.frombuffer(get(c), np.uint64) for c in ("low", "high"))
-                at = probe_mph(levels, mix(low, 1) ^ high)
+                at = probe_mph(levels, mix(low, seed) ^ high)
                 known = (at >= 0) & (arrays["mark"][at] == (high >> np.uint64(32)).astype(np.uint32))
                 often = known & (arrays["count"][at] >= min_docs)
                 times = np.frombuffer(get("times"), np.int64)
@@ -228,28 +230,28 @@ def dropped_lines(rows: DataFrame, index: DataFrame, shards: int, min_chars: int
     salts = {r.shard: -(-r.refs // salt_refs) for r in index.filter(F.col("refs") > salt_refs).select("shard", "refs").toLocalIterator()}
     blocks = rows.mapInArrow(_blocks(min_chars, shards, salts), "shard long, salt long, kind int, low binary, high binary, times binary, did binary, th binary, number binary")
     arrays = index.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(1), F.ceil(F.col("refs") / salt_refs)).cast("long") - 1)))
-    both = blocks.unionByName(arrays.select("shard", "salt", F.lit(0).alias("kind"), "sizes", "bits", "mark", "count", "top"), allowMissingColumns=True)
+    both = blocks.unionByName(arrays.select("shard", "salt", F.lit(0).alias("kind"), "seed", "sizes", "bits", "mark", "count", "top"), allowMissingColumns=True)
     hits = both.repartition("shard", "salt").sortWithinPartitions("shard", "salt", "kind").mapInArrow(_probe(min_docs), "did long, th long, gone array<int>")
     # equal rows give equal lists, which the set merges; a document's own lines bound what one key gathers
     return hits.groupBy("did", "th").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("gone")))).alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """docs with text reduced, plus `_n_lines`, `_n_dropped` (long; extra columns of those names are replaced).
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, counts: bool = True) -> DataFrame:
+    """docs with text reduced; with counts also `_n_lines`, `_n_dropped` (long; extra columns of those names are replaced).
 
     A key found in min_docs documents keeps its lines only in the largest id that holds it.
     """
     keys = row_keys(docs, id_col, text_col)
     index, shards = build_index(keys.select("did", "text"), min_chars)
     gone = dropped_lines(keys, index, shards, min_chars, min_docs)
-    kept_cols = [c for c in docs.columns if c not in ("_n_lines", "_n_dropped")]
+    kept_cols = [c for c in docs.columns if not counts or c not in ("_n_lines", "_n_dropped")]
     tagged = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("did"), F.xxhash64(text_col).alias("th"), F.struct(*kept_cols).alias("doc"))
     joined = tagged.join(gone, ["did", "th"], "left")
     was = F.col("doc").getField(text_col)
     text = F.coalesce(was, F.lit(""))
     kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda x, i: ~F.array_contains("gone", i)), "\n")
-    return joined.select(
-        *[(F.when(F.col("gone").isNull(), was).otherwise(kept) if c == text_col else F.col("doc").getField(c)).alias(c) for c in kept_cols],
+    tallies = [
         (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long").alias("_n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("_n_dropped"),
-    )
+    ]
+    return joined.select(*[(F.when(F.col("gone").isNull(), was).otherwise(kept) if c == text_col else F.col("doc").getField(c)).alias(c) for c in kept_cols], *tallies[: 2 * counts])

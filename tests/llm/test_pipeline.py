@@ -49,3 +49,21 @@ def test_stages_and_run(spark):
     out = {r.doc_id: r for r in corpus_pipeline.run(spark, SF).collect()}
     sp = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
     assert {i: list(r["ids"]) for i, r in out.items()} == {i: sp.encode(t) for i, t in texts(docs)}
+
+
+def test_hostile_rows_and_clashing_columns(spark):
+    rows = [(None, None, "a"), (1, "", "b"), (2, "short text", "c"), (2, "short text", "c"), (3, "word " * 30000, "d"), (4, "é\n\n \n", "e")]
+    schema = "doc_id long, text string, ids string, did int, th string, _n_lines int, n_ids int, score string, doc string, samples string"
+    full = [(i, t, x, 1, "t", 7, 8, "s", "d", "m") for i, t, x in rows]
+    docs = spark.createDataFrame(full, schema)
+    columns = docs.columns
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stored(stage(spark, docs, SF), "hostile")
+        assert docs.columns == columns
+    assert sorted([(r.doc_id, r.ids, r["_n_lines"]) for r in docs.collect()], key=str) == sorted([(None, "a", 7), (1, "b", 7), (2, "c", 7), (3, "d", 7), (4, "e", 7)], key=str)
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    assert len(set(last.columns)) == len(last.columns)
+    assert {r.doc_id: r.n_ids for r in last.collect()}[1] == 0
+    empty = spark.createDataFrame([], schema)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, SF).count() == 0
