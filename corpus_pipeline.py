@@ -1,4 +1,10 @@
-"""The document pipeline: each stage is written as Parquet and reread as the next one's documents."""
+"""The document pipeline: each stage is written as Parquet and reread as the next one's documents.
+
+Defined results: documents with null or empty text pass every stage (they score as the toxicity model scores wordless text,
+have one empty line, no shingles, no leaks and no pieces); null ids stay; of repeated rows one stays, as of any near copies;
+an empty table gives an empty result with the same columns; columns besides doc_id and text pass through, but the last
+stage's own columns (ENCODED) replace input columns of their names.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +15,10 @@ from tessella.llm import decontaminate, line_dedup, near_dedup, pieces, toxicity
 from tessella.llm.common import stored, table
 
 
+#: What the last stage adds.
+ENCODED = ("n_ids", "ids", "ids_sha256", "same", "samples")
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below one half stay; the model learns from the labels outside the held-out fold."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -18,7 +28,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that five or more documents share, but for the largest id's."""
-    return line_dedup.dedup_lines(docs).select(*docs.columns)
+    return line_dedup.dedup_lines(docs, counts=False)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,9 +42,9 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document's piece ids, and two sampled segmentations with their piece ids and inclusion scores."""
+    """Each document's piece ids, and its sampled segmentations with their piece ids and inclusion scores."""
     out = pieces.segment(docs)
-    return out.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns if c != "text"], "n_ids", "ids", "ids_sha256", "same", "samples")
+    return out.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns if c not in ("text", *ENCODED)], *ENCODED)
 
 
 STAGES = [
