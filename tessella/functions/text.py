@@ -17,6 +17,11 @@ SUFFIXES = [
 ]
 
 
+def let(value: Column, body) -> Column:
+    """body of a value that is computed once a row, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def words(text: Column) -> Column:
     """White-space tokens, in order; none for null."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != "")
@@ -34,8 +39,7 @@ def content(tokens: Column) -> Column:
 
 def distinct_ratio(tokens: Column) -> Column:
     """Distinct share of the content tokens; 0.0 if there are none."""
-    c = content(tokens)
-    return F.when(F.size(c) > 0, F.size(F.array_distinct(c)) / F.size(c)).otherwise(F.lit(0.0))
+    return let(content(tokens), lambda c: F.when(F.size(c) > 0, F.size(F.array_distinct(c)) / F.size(c)).otherwise(F.lit(0.0)))
 
 
 def raw_ratio(tokens: Column) -> Column:
@@ -81,9 +85,7 @@ def deglue(text: Column) -> Column:
     return F.regexp_replace(text, r"(?d)(.{2,20}?)\1{2,}", "$1")
 
 
-def normal_suffix(word: Column) -> Column:
-    """A stripped word with the first matching suffix replaced."""
-    s = strip(word)
+def _suffix(s: Column) -> Column:
     out = None
     for old, new in SUFFIXES:
         changed = F.concat(F.substring(s, F.lit(1), F.length(s) - len(old)), F.lit(new))
@@ -91,15 +93,21 @@ def normal_suffix(word: Column) -> Column:
     return out.otherwise(s)
 
 
+def normal_suffix(word: Column) -> Column:
+    """A stripped word with the first matching suffix replaced."""
+    return let(strip(word), _suffix)
+
+
 def cap_runs(tokens: Column) -> Column:
     """At most two of a run of tokens that are equal once stripped."""
-    at = lambda i: strip(F.get(tokens, i))
-    return F.filter(tokens, lambda w, i: ~F.coalesce((i >= 2) & (strip(w) == at(i - 1)) & (at(i - 1) == at(i - 2)), F.lit(False)))
+    run = lambda s, i: (i >= 2) & (F.get(s, i) == F.get(s, i - 1)) & (F.get(s, i - 1) == F.get(s, i - 2))
+    return let(F.transform(tokens, strip), lambda s: F.filter(tokens, lambda _, i: ~F.coalesce(run(s, i), F.lit(False))))
 
 
 def drop_variants(tokens: Column) -> Column:
     """Tokens but those whose normal form is that of the token before (unless it is empty)."""
-    return F.filter(tokens, lambda w, i: (i == 0) | (normal_suffix(w) != normal_suffix(F.get(tokens, i - 1))) | (normal_suffix(w) == ""))
+    forms = F.transform(F.transform(tokens, strip), _suffix)
+    return let(forms, lambda f: F.filter(tokens, lambda _, i: (i == 0) | (F.get(f, i) != F.get(f, i - 1)) | (F.get(f, i) == "")))
 
 
 def channel_of(url: Column) -> Column:

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,90 +14,124 @@ from ..functions import text as tx
 WINDOW, TITLE_WINDOW, TITLE_SHARE = 100, 50, 0.8
 
 
-def _window_counts(codes: np.ndarray, width: int, counted: np.ndarray) -> np.ndarray:
-    """Distinct counted codes in each full window: a position adds to the windows in which it is its word's last."""
+def _coded(tokens: pa.ListArray, strip: bool) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """All rows' tokens end to end as numbers of distinct words, the n+1 row offsets, and the words."""
+    off = np.r_[0, np.cumsum(pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False))].astype(np.int64)
+    coded = pc.fill_null(tokens.flatten(), "").dictionary_encode()
+    codes, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+    if strip:  # each distinct word once
+        stripped = pc.utf8_trim(words, characters=tx.EDGES).dictionary_encode()
+        codes, words = stripped.indices.to_numpy().astype(np.int64)[codes], stripped.dictionary
+    return codes, off, words
+
+
+def _window_counts(codes: np.ndarray, off: np.ndarray, row: np.ndarray, width: int, counted: np.ndarray) -> np.ndarray:
+    """Distinct counted codes in the window from each position: a position adds to the windows in which it is its word's last."""
     n = len(codes)
-    order = np.argsort(codes, kind="stable")
-    later = np.full(n, n)
-    same = codes[order][1:] == codes[order][:-1]
+    key = row * (int(codes.max(initial=0)) + 1) + codes
+    order = np.argsort(key, kind="stable")
+    later = np.full(n, n + width)
+    same = key[order][1:] == key[order][:-1]
     later[order[:-1][same]] = order[1:][same]
     at = np.flatnonzero(counted)
-    lo, hi = np.maximum(at - width + 1, 0), at
-    # not in windows that also hold the word's next place
-    hi = np.minimum(hi, later[at] - width)
+    # not in windows that also hold the word's next place, nor in those of the row before
+    lo, hi = np.maximum(at - width + 1, off[row[at]]), np.minimum(at, later[at] - width)
     ok = hi >= lo
-    delta = np.zeros(n + 2, np.int64)
-    np.add.at(delta, lo[ok], 1)
-    np.add.at(delta, hi[ok] + 1, -1)
-    return np.cumsum(delta)[: n - width + 1]
-
-
-def _codes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    stripped = np.array([w.strip(tx.EDGES) for w in words], dtype=object)
-    codes, _ = pd.factorize(stripped)
-    return codes, np.array([w != "" for w in stripped], bool)
+    return np.cumsum(np.bincount(lo[ok], minlength=n + 1) - np.bincount(hi[ok] + 1, minlength=n + 1))[:n]
+
+
+def _rows(off: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The row of each position, and the positions that start a full window."""
+    row = np.repeat(np.arange(len(off) - 1), np.diff(off))
+    return row, np.flatnonzero(np.arange(len(row)) + width <= off[row + 1])
+
+
+def min_ratios(tokens: pa.ListArray, width: int = WINDOW) -> np.ndarray:
+    """Least distinct share over each row's windows, linear in the number of words; a window of punctuation counts 0.0."""
+    codes, off, words = _coded(tokens, strip=True)
+    row, start = _rows(off, width)
+    full = (pc.binary_length(words).to_numpy(zero_copy_only=False) > 0)[codes] if len(codes) else np.zeros(0, bool)
+    # rows shorter than a window: their own distinct share
+    seen = np.unique(row[full] * (int(codes.max(initial=0)) + 1) + codes[full]) // (int(codes.max(initial=0)) + 1)
+    count = np.bincount(row[full], minlength=len(off) - 1)
+    out = np.bincount(seen, minlength=len(off) - 1) / np.maximum(count, 1)
+    if len(start):
+        total = np.r_[0, np.cumsum(full)]
+        total = total[start + width] - total[start]
+        ratio = np.where(total > 0, _window_counts(codes, off, row, width, full)[start] / np.maximum(total, 1), 0.0)
+        first = np.flatnonzero(np.r_[True, np.diff(row[start]) > 0])
+        out[row[start][first]] = np.minimum(1.0, np.minimum.reduceat(ratio, first))
+    return out
+
+
+def title_matches(tokens: pa.ListArray, titles: list[str | None], width: int = TITLE_WINDOW, share: float = TITLE_SHARE) -> np.ndarray:
+    """Has some window of each row a word set whose Jaccard similarity with the row's title is over `share`?"""
+    codes, off, words = _coded(tokens, strip=True)
+    row, start = _rows(off, width)
+    out = np.zeros(len(off) - 1, bool)
+    if not len(start):
+        return out
+    number = {t: i for i, t in enumerate(dict.fromkeys(titles))}
+    wanted = [sorted({w.strip(tx.EDGES) for w in (t or "").split()} - {""}) for t in number]
+    known = [pc.index_in(pa.array(w, words.type), words).drop_null().to_numpy() for w in wanted]
+    base = len(words) + 1
+    pairs = np.sort(np.concatenate([i * base + k.astype(np.int64) for i, k in enumerate(known)]))
+    title = np.array([number[t] for t in titles])
+    full = (pc.binary_length(words).to_numpy(zero_copy_only=False) > 0)[codes]
+    mine = title[row] * base + codes
+    at = np.minimum(np.searchsorted(pairs, mine), max(len(pairs) - 1, 0))
+    inside = pairs[at] == mine if len(pairs) else np.zeros(len(mine), bool)
+    distinct, both = (_window_counts(codes, off, row, width, on)[start] for on in (full, full & inside))
+    size = np.array([len(w) for w in wanted])[title][row[start]]
+    hit = (size > 0) & (distinct > 0) & (both / np.maximum(distinct + size - both, 1) > share)
+    out[row[start][hit]] = True
+    return out
+
+
+def collapse_all(tokens: pa.ListArray) -> pa.ListArray:
+    """Adjacent repeats of phrases of 8 down to 3 words, once; each length's repeats are found as runs of w[i] == w[i + n]."""
+    codes, off, words = _coded(tokens, strip=False)
+    row = np.repeat(np.arange(len(off) - 1), np.diff(off))
+    for n in range(8, 2, -1):
+        same = np.r_[False, (codes[:-n] == codes[n:]) & (row[:-n] == row[n:]), False]
+        starts, ends = np.flatnonzero(~same[:-1] & same[1:]), np.flatnonzero(same[:-1] & ~same[1:])
+        long = ends - starts >= n
+        gone, free = np.zeros(len(codes), bool), 0
+        for a, b in zip(starts[long].tolist(), ends[long].tolist(), strict=True):
+            a = max(a, free)
+            if b - a >= n:
+                free = a + n * (1 + (b - a) // n)
+                gone[a + n : free] = True
+        codes, row = codes[~gone], row[~gone]
+    new = np.r_[0, np.cumsum(np.bincount(row, minlength=len(off) - 1))].astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(new, mask=np.r_[tokens.is_null().to_numpy(zero_copy_only=False), False]), words.take(pa.array(codes)).cast(pa.string()))
 
 
 def min_ratio(words: list[str], width: int = WINDOW) -> float:
-    """Least distinct share over the windows, linear in the number of words; a window of punctuation counts 0.0."""
-    if len(words) == 0:
-        return 0.0
-    codes, full = _codes(list(words))
-    if len(words) < width:
-        return len(np.unique(codes[full])) / int(full.sum()) if full.any() else 0.0
-    total = np.r_[0, np.cumsum(full)]
-    total = total[width:] - total[:-width]
-    ratio = np.where(total > 0, _window_counts(codes, width, full) / np.maximum(total, 1), 0.0)
-    return float(min(1.0, ratio.min()))
+    return float(min_ratios(pa.array([list(words)], pa.list_(pa.string())), width)[0])
 
 
 def title_match(words: list[str], title: str | None, width: int = TITLE_WINDOW, share: float = TITLE_SHARE) -> bool:
-    """Some window's word set has a Jaccard similarity over `share` with the title's."""
-    wanted = {w.strip(tx.EDGES) for w in (title or "").split()} - {""}
-    if not wanted or len(words) < width:
-        return False
-    words = list(words)
-    codes, full = _codes(words)
-    distinct = _window_counts(codes, width, full)
-    both = _window_counts(codes, width, full & np.array([w.strip(tx.EDGES) in wanted for w in words], bool))
-    union = distinct + len(wanted) - both
-    return bool(((distinct > 0) & (both / np.maximum(union, 1) > share)).any())
+    return bool(title_matches(pa.array([list(words)], pa.list_(pa.string())), [title], width, share)[0])
 
 
-@F.pandas_udf(T.DoubleType())
-def min_sliding_ratio(tokens: pd.Series) -> pd.Series:
-    return tokens.map(lambda x: min_ratio(x) if x is not None else 0.0).astype("float64")
+def collapse(words: list[str]) -> list[str]:
+    return collapse_all(pa.array([list(words)], pa.list_(pa.string())))[0].as_py()
 
 
-@F.pandas_udf(T.BooleanType())
-def title_contamination(tokens: pd.Series, title: pd.Series) -> pd.Series:
-    return pd.Series([title_match(w if w is not None else [], t) for w, t in zip(tokens, title, strict=True)], dtype=bool)
+@F.arrow_udf(T.DoubleType())
+def min_sliding_ratio(tokens: pa.Array) -> pa.Array:
+    return pa.array(min_ratios(tokens))
 
 
-def collapse(words: list[str]) -> list[str]:
-    """Adjacent repeats of phrases of 8 down to 3 words, once; each length's repeats are found as runs of w[i] == w[i + n]."""
-    words = list(words)
-    if len(words) < 6:
-        return words
-    for n in range(8, 2, -1):
-        if len(words) < 2 * n:
-            continue
-        codes, _ = pd.factorize(np.array(words, dtype=object))
-        same = np.r_[False, codes[:-n] == codes[n:], False]
-        starts, ends = np.flatnonzero(~same[:-1] & same[1:]), np.flatnonzero(same[:-1] & ~same[1:])
-        gone, free = np.zeros(len(words), bool), 0
-        for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
-            a = max(a, free)
-            if b - a >= n:
-                free = a + n * (1 + (b - a) // n)
-                gone[a + n : free] = True
-        words = [w for w, g in zip(words, gone, strict=True) if not g]
-    return words
+@F.arrow_udf(T.BooleanType())
+def title_contamination(tokens: pa.Array, title: pa.Array) -> pa.Array:
+    return pa.array(title_matches(tokens, title.to_pylist()))
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def collapse_phrases(tokens: pd.Series) -> pd.Series:
-    return tokens.map(lambda x: collapse(x) if x is not None else None)
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def collapse_phrases(tokens: pa.Array) -> pa.Array:
+    return collapse_all(tokens)
 
 
 def denoise(df: DataFrame, text_col: str, out: str = "denoised") -> DataFrame:

@@ -10,8 +10,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+#: Bytes of one input split below which a small table is dealt out again.
+SPLIT_BYTES = 4 << 20
+
+
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    """A table of texts that has less than a split for each core (often one row group, so one task) is spread over them."""
+    df, cores = spark.read.parquet(f"{d}/{name}.parquet"), spark.sparkContext.defaultParallelism
+    small = name in ("documents", "pages", "conversations") and int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < SPLIT_BYTES * cores
+    return df.repartition(cores) if small else df
 
 
 _own: dict[str, str] = {}
