@@ -55,6 +55,12 @@ def head(tokens: Column, n: int) -> Column:
     return F.slice(tokens, 1, n)
 
 
+def cut_words(text: Column, n: int = 2000) -> Column:
+    """(head, suffix): a text of more than n tokens cut after them, both parts joined by single blanks; else the text and ''."""
+    parts = lambda w: F.when(F.size(w) > n, F.struct(F.array_join(F.slice(w, 1, n), " ").alias("head"), F.array_join(F.slice(w, n + 1, F.size(w)), " ").alias("suffix"))).otherwise(F.struct(text.alias("head"), F.lit("").alias("suffix")))
+    return let(words(text), parts)
+
+
 def chars_per_second(text: Column, segments: Column) -> Column:
     """Code points over the last segment's end (by position); 0.0 without one or where it isn't positive."""
     end = F.try_element_at(segments, F.lit(-1)).getField("end")

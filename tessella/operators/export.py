@@ -16,10 +16,10 @@ def gate(text: Column) -> Column:
     return (F.coalesce(text, F.lit("")) != "") & (F.size(tx.content(w)) >= MIN_WORDS) & (tx.distinct_ratio(w) >= MIN_RATIO)
 
 
-def spoken_segments(segments: Column) -> Column:
-    """Segments with text, stripped, times rounded to two digits."""
-    kept = F.filter(F.transform(segments, lambda s: F.struct(F.round(s["start"], 2).alias("start"), F.round(s["end"], 2).alias("end"), F.trim(s["text"]).alias("text"))), lambda s: s["text"] != "")
-    return kept
+def spoken_segments(segments: Column, digits: int | None = 2) -> Column:
+    """Segments with text, stripped; times rounded to so many digits (None: as they are)."""
+    time = lambda c: c if digits is None else F.round(c, digits)
+    return F.filter(F.transform(segments, lambda s: F.struct(time(s["start"]).alias("start"), time(s["end"]).alias("end"), F.trim(s["text"]).alias("text"))), lambda s: s["text"] != "")
 
 
 def training_records(docs: DataFrame, language: str = "ta", domain: str = "vedic_astrology") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text as tx
+from .repetition import denoise
 
 #: Retry parameters by diagnosed failure; the last row is the default.
 RETRIES = [
@@ -82,6 +83,18 @@ def final_attempt(attempts: DataFrame, limit: int = 2) -> DataFrame:
     return tried.join(best, ["doc", "attempt"]).withColumn("category", F.when(F.col("looped"), "HALLUCINATION_LOOP").otherwise(F.col("category")))
 
 
+def retry_results(attempts: DataFrame) -> DataFrame:
+    """(doc, full_text, segments) of second attempts (doc, video_id, problem, text, segments), loops removed from the text and from
+    each segment; null where the attempt failed (a problem, or no id)."""
+    failed = F.col("video_id").isNull() | (F.col("video_id") == "") | F.col("problem").isNotNull()
+    texts = denoise(attempts.withColumn("_failed", failed), "text", "full_text")
+    parts = attempts.filter(~failed).select("doc", F.posexplode("segments").alias("pos", "s")).select("doc", "pos", "s", F.col("s.text").alias("t"))
+    parts = denoise(parts, "t", "clean").select("doc", F.struct("pos", F.col("s").withField("text", F.coalesce("clean", F.lit(""))).alias("s")).alias("x"))
+    segments = parts.groupBy("doc").agg(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["s"]).alias("found"))
+    out = texts.select("doc", "_failed", "full_text", F.col("segments").alias("was")).join(segments, "doc", "left")
+    return out.select("doc", F.when(~F.col("_failed"), F.coalesce("full_text", F.lit(""))).alias("full_text"), F.when(~F.col("_failed"), F.coalesce("found", "was")).alias("segments"))
+
+
 def judge_route(verdict: Column, golden: Column, original: Column) -> Column:
     """(route, text, original_len, golden_len) of a consensus."""
     take = F.coalesce((verdict != "STABLE") & (F.length(golden) > 50), F.lit(False))

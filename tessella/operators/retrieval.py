@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+# Separators from coarse to fine.
 SEPARATORS = ["\n\n", "\n", ".", " ", ""]
 
 
@@ -60,17 +61,29 @@ def cosine(a, b):
     return F.try_divide(dot, norm(a) * norm(b))
 
 
+#: Queries sent to the tasks at once.
+QUERY_BLOCK = 1024
+
+
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 7) -> DataFrame:
-    """(query_id, rank, id, similarity): exact cosine top-k of a stated, small query set over all vectors.
+    """(query_id, rank, id, similarity): exact cosine top-k of a stated query set (id, v) over all vectors.
 
-    Every vector row meets the queries in place (an array of them is broadcast) and only each partition's best k leave it.
+    The queries go to the tasks in blocks of about QUERY_BLOCK, a pass over the vectors for each; a vector meets the block
+    in place and only each partition's best k leave it.
     """
-    packed = queries.agg(F.collect_list(F.struct(F.col("id").alias("query_id"), F.col("v").alias("q"))).alias("qs"))
-    met = vectors.join(F.broadcast(packed)).select("id", "v", F.explode("qs").alias("x"))
-    scored = met.select("x.query_id", "id", cosine(F.col("v"), F.col("x.q")).alias("similarity")).filter("similarity is not null")
+    blocks = -(-max(1, queries.count()) // QUERY_BLOCK)
     best = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "id")
-    # row_number <= k becomes a group limit before the shuffle, so a query's list has k rows a partition
-    return scored.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "id", "similarity")
+    out = None
+    for n in range(blocks):
+        block = queries.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == n)
+        packed = block.agg(F.collect_list(F.struct(F.col("id").alias("query_id"), F.col("v").alias("q"))).alias("qs"))
+        # only (query, similarity) pairs are exploded, not the vectors
+        pairs = F.transform("qs", lambda x: F.struct(x["query_id"].alias("query_id"), cosine(F.col("v"), x["q"]).alias("similarity")))
+        scored = vectors.join(F.broadcast(packed)).select("id", F.explode(pairs).alias("x")).select("x.query_id", "id", "x.similarity").filter("similarity is not null")
+        # row_number <= k becomes a group limit before the shuffle, so a query's list has k rows a partition
+        top = scored.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "id", "similarity")
+        out = top if out is None else out.unionByName(top)
+    return out
 
 
 def distinct_sources(hits: DataFrame) -> DataFrame:

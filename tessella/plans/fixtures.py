@@ -25,9 +25,11 @@ _own: dict[str, str] = {}
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder all executors share (spark.checkpoint.dir); a local one only where that is unset."""
+    """A fresh path in the folder all executors share (spark.checkpoint.dir); one of its own only where that is unset on a local master."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         if app not in _own:
             _own[app] = "file://" + tempfile.mkdtemp(prefix="tessella-")
@@ -45,9 +47,11 @@ def transcripts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def titled(spark: SparkSession, d: str) -> DataFrame:
-    """transcripts with a benchmark item (by number) as title."""
-    items = table(spark, d, "benchmark").select((F.col("item_id") % 40).alias("k"), F.col("text").alias("title"), "item_id").filter("item_id < 40").drop("item_id")
-    return transcripts(spark, d).withColumn("k", F.col("doc_id") % 40).join(F.broadcast(items), "k", "left").drop("k")
+    """transcripts with a benchmark item (by number, over the whole benchmark) as title."""
+    items = table(spark, d, "benchmark").select(F.col("item_id").alias("k"), F.col("text").alias("title"))
+    count = items.agg((F.max("k") + 1).alias("count"))
+    docs = transcripts(spark, d).join(F.broadcast(count)).withColumn("k", F.col("doc_id") % F.col("count"))
+    return docs.join(items, "k", "left").drop("k", "count")
 
 
 def segments(spark: SparkSession, d: str) -> DataFrame:

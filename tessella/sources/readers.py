@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import caption_text
+from ..operators.lifecycle import prefer
 from ..schemas import MANIFEST_ENTRY, REPORT, TRANSCRIPT
 
 
@@ -19,7 +21,7 @@ def _folder(path: str = "path"):
 
 def scan_docs(spark: SparkSession, root: str, limit: int | None = None) -> DataFrame:
     """Transcripts not yet certified, outside review folders; the manifest itself is no transcript. A limit takes the first paths."""
-    docs = _files(spark, root).filter(~F.lower(_folder()).contains("review") & F.col("_corrupt").isNull() & (F.col("file_name") != "manifest.json"))
+    docs = _files(spark, root).filter(~_folder().contains("review") & F.col("_corrupt").isNull() & (F.col("file_name") != "manifest.json"))
     docs = docs.filter(~F.coalesce("metadata.omega_certified", F.lit(False)))
     return docs if limit is None else docs.orderBy("path").limit(limit)
 
@@ -29,15 +31,15 @@ def scan_export(spark: SparkSession, root: str) -> DataFrame:
 
 
 def scan_rebuild(spark: SparkSession, root: str) -> DataFrame:
-    """Manifest entries rebuilt from the files: id from the metadata, else the file name's part after the last underscore."""
-    skip = F.lower(_folder()).contains("backup") | F.lower(_folder()).contains("review") | (F.col("file_name") == "manifest.json") | F.col("file_name").startswith("REJECTED_")
-    docs = _files(spark, root).filter(~skip & F.col("_corrupt").isNull())
+    """Manifest entries rebuilt from the files: the id is the file name's part after the last underscore; names without one are no entries."""
+    skip = _folder().contains("backup") | _folder().contains("review") | (F.col("file_name") == "manifest.json") | F.col("file_name").startswith("REJECTED_")
+    docs = _files(spark, root).filter(~skip & F.col("_corrupt").isNull() & F.col("file_name").contains("_"))
     from_name = F.regexp_replace(F.substring_index("file_name", "_", -1), r"\.json$", "")
     return docs.select(
-        F.coalesce("metadata.video_id", from_name).alias("video_id"),
+        from_name.alias("video_id"),
         F.col("modified").cast("double").alias("timestamp"),
         F.col("path").alias("filepath"),
-        F.col("metadata.title").alias("title"),
+        F.coalesce("metadata.title", F.lit("Unknown")).alias("title"),
         F.coalesce("audit.category", F.lit("SUCCESS")).alias("category"),
         F.coalesce("metadata.duration", F.lit(0.0)).alias("duration"),
         F.lit(False).alias("in_escrow"),
@@ -45,19 +47,38 @@ def scan_rebuild(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def _listed(spark: SparkSession, root: str) -> list[tuple[str, str]]:
+    """(path, problem) of temporary and empty files, from the file system's listing: Spark's scans skip files of no bytes."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    found, bad = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True), []
+    while found.hasNext():
+        f = found.next()
+        name = f.getPath().toString()
+        if name.endswith(".tmp"):
+            bad.append((name, "temporary"))
+        elif f.getLen() == 0 and name.endswith(".json"):
+            bad.append((name, "empty"))
+    return bad
+
+
 def corrupt_files(spark: SparkSession, root: str) -> DataFrame:
-    """(path, problem) of temporary, blank and unparsable files. Files of no bytes hold no rows: Spark's scans skip them."""
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length", "content")
-    text = F.col("content").cast("string")
-    bad = F.when(F.col("path").endswith(".tmp"), "temporary").when(F.trim(text) == "", "blank").when(F.col("path").endswith(".json") & F.try_parse_json(text).isNull(), "unparsable")
-    return listed.select("path", bad.alias("problem")).filter("problem is not null")
+    """(path, problem) of temporary, empty, blank and unparsable files. Only JSON files are read; nothing is deleted."""
+    listed = spark.createDataFrame(_listed(spark, root), "path string, problem string")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").load(root).select("path", F.col("content").cast("string").alias("text"))
+    problem = F.when(F.trim("text") == "", "blank").when(F.try_parse_json("text").isNull(), "unparsable")
+    return listed.unionByName(files.select("path", problem.alias("problem")).filter("problem is not null"))
+
+
+def _values(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """The JSON values of text files: a file is one value, or has one on each line."""
+    raw = spark.read.option("wholetext", True).text(path)
+    whole = F.from_json("value", kind)
+    return raw.select(F.explode(F.when(whole.isNotNull(), F.array("value")).otherwise(F.split("value", "\n"))).alias("value")).select(F.from_json("value", kind).alias("x")).filter("x is not null")
 
 
 def scan_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Manifest rows; an empty or invalid file gives none."""
-    raw = spark.read.option("wholetext", True).text(path)
-    entries = raw.select(F.explode(F.from_json("value", f"map<string, {MANIFEST_ENTRY}>")).alias("video_id", "e"))
-    return entries.select("video_id", "e.*")
+    return _values(spark, path, f"map<string, {MANIFEST_ENTRY}>").select(F.explode("x").alias("video_id", "e")).select("video_id", "e.*")
 
 
 def scan_by_manifest(manifest: DataFrame, docs: DataFrame, key: str = "filepath") -> DataFrame:
@@ -71,7 +92,14 @@ def scan_report(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_id_list(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("wholetext", True).text(path).select(F.explode(F.from_json("value", "array<string>")).alias("id"))
+    return _values(spark, path, "array<string>").select(F.explode("x").alias("id"))
+
+
+def choose_captions(tracks: DataFrame, key: str = "video_id", langs: tuple[str, ...] = ("ta", "ta-IN")) -> DataFrame:
+    """(key, text): of each video's tracks (key, lang, auto, text) the first with words, by language in this order, manual before automatic."""
+    place = F.array_position(F.array(*[F.lit(x) for x in langs]), F.col("lang"))
+    spoken = tracks.select(key, (place * 2 + F.col("auto").cast("int")).alias("priority"), caption_text(F.col("text")).alias("text"), place.alias("place"))
+    return prefer(spoken.filter((F.col("place") > 0) & (F.col("text") != "")), key, "text", "priority")
 
 
 def parse_log(lines: DataFrame) -> DataFrame:

@@ -33,9 +33,27 @@ def write_report(rows: DataFrame, path: str) -> None:
     rows.select(*[(F.col(n) if n in have else F.lit(None)).cast(kind).alias(n) for n, kind in fields]).write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_manifest(manifest: DataFrame, path: str) -> None:
-    """A snapshot, one JSON row an entry."""
-    manifest.write.mode("overwrite").json(path)
+#: Entries of one JSON map or array, on average.
+ENTRIES = 10_000
+
+
+def _bounded(rows: DataFrame, key: str) -> tuple[DataFrame, str]:
+    """rows with a group number by a hash of the key, so that a group holds about ENTRIES rows however many there are."""
+    groups = max(1, -(-rows.count() // ENTRIES))
+    return rows.withColumn("_group", F.pmod(F.xxhash64(key), F.lit(groups))), "_group"
+
+
+def write_manifest(manifest: DataFrame, path: str, key: str = "video_id") -> None:
+    """A snapshot as JSON maps from key to entry, a line each."""
+    rows, group = _bounded(manifest, key)
+    entry = F.struct(*[c for c in manifest.columns if c != key])
+    rows.groupBy(group).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(key, entry)))).alias("value")).select("value").write.mode("overwrite").text(path)
+
+
+def write_id_list(ids: DataFrame, path: str, key: str = "id") -> None:
+    """Ids as JSON arrays, a line each."""
+    rows, group = _bounded(ids, key)
+    rows.groupBy(group).agg(F.to_json(F.collect_list(key)).alias("value")).select("value").write.mode("overwrite").text(path)
 
 
 def log_line(status: Column, ts: Column, key: Column, extra: Column) -> Column:

@@ -26,6 +26,33 @@ def heartbeat_age(beats: DataFrame, now, stale: int = 120) -> DataFrame:
     return last.select(age.alias("age"), (age > stale).alias("stale"))
 
 
+def heartbeat_ages(beats: DataFrame, key: str, now: DataFrame, stale: int = 120) -> DataFrame:
+    """(key, age, stale): seconds from each key's last beat (`at`) to `now`, a one-row table."""
+    last = beats.groupBy(key).agg(F.max("at").alias("last")).join(F.broadcast(now))
+    age = F.unix_timestamp("now") - F.unix_timestamp("last")
+    return last.select(key, age.alias("age"), (age > stale).alias("stale"))
+
+
+def watchdog(beats: DataFrame, key: str, path: str, checkpoint: str, now: DataFrame | None = None, stale: int = 120, most: int = 5, every: str | None = None):
+    """A stream of beats (key, at) watched: each micro-batch adds (key, action) of its keys to the table at `path`.
+
+    A key whose beat is stale is restarted, at most `most` times in its life, then stopped. Decisions are written by batch
+    number, so a batch that runs again after a failure replaces its own.
+    """
+    schema = f"{key} string, action string, batch long"
+
+    def handle(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        spark.createDataFrame([], schema).drop("batch").write.mode("overwrite").parquet(f"{path}/batch=-1")  # the table exists
+        past = spark.read.schema(schema).parquet(path).filter((F.col("batch") < number) & (F.col("action") == "restart")).groupBy(key).agg(F.count("*").alias("times"))
+        clock = spark.range(1).select(F.current_timestamp().alias("now")) if now is None else now
+        ages = heartbeat_ages(batch.withColumn(key, F.col(key).cast("string")), key, clock, stale).join(past, key, "left")
+        action = F.when(~F.col("stale"), "ok").when(F.coalesce("times", F.lit(0)) < most, "restart").otherwise("stop")
+        ages.select(key, action.alias("action")).write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return work_queue(beats, handle, checkpoint, every)
+
+
 def event_windows(events: DataFrame, ts: str, width: str, slide: str | None = None, late: str = "10 minutes", *keys: str) -> DataFrame:
     """Tumbling or sliding counts by event time (an extension)."""
     w = F.window(ts, width, slide) if slide else F.window(ts, width)

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tessella.functions import text as tx
 from tessella.functions.text import EDGES
 from tessella.operators import glossary, lifecycle, repetition, retrieval, speech
 
@@ -73,6 +75,44 @@ def test_denoise(spark):
     assert [r.denoised for r in repetition.denoise(d, "t").collect()] == ["one two three end", "", None]
 
 
+def brute_denoise(text):
+    """The four stages, one after another, token by token."""
+    if not text:
+        return text
+    text = re.sub(r"(.{2,20}?)\1{2,}", r"\1", text)
+    words = text.split()
+    if not words:
+        return text
+    if len(words) >= 6:
+        words = greedy(words)
+    bare = [w.strip(tx.EDGES) for w in words]
+    words = [w for i, w in enumerate(words) if not (i >= 2 and bare[i] == bare[i - 1] == bare[i - 2])]
+
+    def form(w):
+        w = w.strip(tx.EDGES)
+        return next((w[: len(w) - len(old)] + new for old, new in tx.SUFFIXES if w.endswith(old)), w)
+
+    return " ".join(w for i, w in enumerate(words) if i == 0 or form(w) != form(words[i - 1]) or form(w) == "")
+
+
+def test_denoise_equals_the_brute_force_model(spark):
+    rng = random.Random(3)
+    parts = ["a", "b", "a.", ",b", "...", "abab", "நிநி", *(f"x{s}" for pair in tx.SUFFIXES for s in pair)]
+    texts = [rng.choice(["", " "]).join("".join(rng.choice("ab \n") for _ in range(rng.randrange(3))) + rng.choice(parts) for _ in range(rng.randrange(30))) for _ in range(400)]
+    texts += [" ".join(rng.choice("abc") for _ in range(rng.randrange(60))) for _ in range(400)] + [None, "", " ", "\n"]
+    d = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    for r in repetition.denoise(d, "t").collect():
+        assert r.denoised == brute_denoise(texts[r.i]), texts[r.i]
+
+
+def test_retry_results(spark):
+    seg = lambda *t: [(float(i), x) for i, x in enumerate(t)]
+    rows = [(1, "v", None, "end end end", seg("no no no no", None, "x")), (2, None, None, "t", seg("y")), (3, "v", "HTTP_429", "t", []), (4, "v", None, None, [])]
+    d = spark.createDataFrame(rows, "doc int, video_id string, problem string, text string, segments array<struct<start: double, text: string>>")
+    got = {r.doc: (r.full_text, r.segments and [s.text for s in r.segments]) for r in lifecycle.retry_results(d).collect()}
+    assert got == {1: ("end", ["no", "", "x"]), 2: (None, None), 3: (None, None), 4: ("", [])}
+
+
 def test_classifier_edges(spark):
     nan = float("nan")
     many = " ".join(f"w{i}" for i in range(60))

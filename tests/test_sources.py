@@ -34,11 +34,12 @@ def test_scans(spark, tmp_path):
     ids = lambda df: sorted(r.i for r in df.select(F.col("metadata.video_id").alias("i")).collect() if r.i)
     assert ids(readers.scan_docs(spark, str(root))) == ["a_1", "b", "e"]
     assert ids(readers.scan_export(spark, str(root))) == ["a_1", "e"]
-    rebuilt = {r.video_id: r.category for r in readers.scan_rebuild(spark, str(root)).filter("title is not null").collect()}
-    assert rebuilt == {"a_1": "GHOST", "d": "GHOST"}
+    write(root / "a" / "no title_x9.json", {"full_text": "t"})
+    rebuilt = {r.video_id: (r.title, r.category) for r in readers.scan_rebuild(spark, str(root)).collect()}
+    assert rebuilt == {"1": ("a_1", "GHOST"), "x9": ("Unknown", "SUCCESS")}  # names without an underscore have no id
     assert readers.scan_docs(spark, str(root), 1).count() == 1
     bad = {r.path.rsplit("/", 1)[1]: r.problem for r in readers.corrupt_files(spark, str(root)).collect()}
-    assert bad == {"bad.json": "unparsable", "z.tmp": "temporary"}  # Spark's scans skip files of no bytes
+    assert bad == {"bad.json": "unparsable", "empty.json": "empty", "z.tmp": "temporary"}
 
 
 def test_nan_survives_json(spark, tmp_path):
@@ -102,3 +103,15 @@ def test_heartbeat(spark):
     beats = spark.createDataFrame([(870,), (850,)], "s int").select(F.timestamp_seconds("s").alias("ts"))
     assert tuple(streams.heartbeat_age(beats, now).first()) == (130, True)
     assert tuple(streams.heartbeat_age(beats.limit(0), now).first()) == (-1, False)
+
+
+def test_watchdog_restarts_then_stops(spark, tmp_path):
+    now = spark.range(1).select(F.timestamp_seconds(F.lit(1000)).alias("now"))
+    beats = lambda n: spark.createDataFrame([("old", 10), ("new", 990)], "k string, s int").select("k", F.timestamp_seconds("s").alias("at")).coalesce(1).write.parquet(str(tmp_path / "in" / str(n)))
+    for n in range(4):
+        beats(n)
+        stream = spark.readStream.schema("k string, at timestamp").option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+        streams.watchdog(stream, "k", str(tmp_path / "out"), str(tmp_path / "cp"), now, most=2).awaitTermination()
+    done = spark.read.schema("k string, action string, batch long").parquet(str(tmp_path / "out")).orderBy("batch").collect()
+    assert [r.action for r in done if r.k == "old"] == ["restart", "restart", "stop", "stop"]
+    assert {r.action for r in done if r.k == "new"} == {"ok"}
