@@ -15,7 +15,9 @@ Work is one pass without a shuffle; numpy handles all texts of a slice together.
 
 Defined results: null text has no pieces and no samples; empty text has the empty segmentation with probability one; if
 there are fewer than k segmentations, all are returned, then inclusion is 1.0; characters without a piece are
-spelt in byte pieces; a text that holds U+2581 itself doesn't decode to itself (`same` is false); a null key counts as 0.
+spelt in byte pieces; a text that holds U+2581 itself doesn't decode to itself (`same` is false); a null key counts as 0;
+repeated rows get the same samples; an empty table gives an empty result; extra columns are carried in `doc`; a very long
+text is one slice, whose lattice is held whole.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ from pyspark.sql import types as T
 from .common import mix, powers, slices, text_bytes
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-ALPHA, SAMPLES = 1.5, 3
+ALPHA, SAMPLES = 1.5, 2
 #: UTF-8 bytes of text whose lattices are held at once.
 LATTICE_BYTES = 1 << 19
 #: Pieces that the lattices of known units may hold; beyond it the units met least often are forgotten.
@@ -522,9 +524,25 @@ def _lists(values: np.ndarray, off: np.ndarray, rows: np.ndarray) -> tuple[np.nd
     return values[_gather(off, rows, n)], np.r_[0, np.cumsum(n)].astype(np.int32)
 
 
-def _segment(path: str, alpha: float, k: int, with_ids: bool, sample_ids: bool):
+def id_type(pieces: int) -> str:
+    """Packed ids: little-endian numbers of 16 bits, of 32 for larger vocabularies."""
+    return "<u2" if pieces <= 1 << 16 else "<i4"
+
+
+def _column(ids: np.ndarray, off: np.ndarray, null: np.ndarray, packed: str | None) -> pa.Array:
+    """Rows of ids as lists, or packed: one binary value a row, which Spark passes on as it is."""
+    if packed is None:
+        return pa.ListArray.from_arrays(pa.array(off.astype(np.int32), mask=np.r_[null, False]), pa.array(ids, pa.int32()))
+    data = ids.astype(packed)
+    ends = (off * data.itemsize).astype(np.int32)
+    valid = np.packbits(~null, bitorder="little")
+    return pa.Array.from_buffers(pa.binary(), len(null), [pa.py_buffer(valid.tobytes()), pa.py_buffer(ends.tobytes()), pa.py_buffer(data.tobytes())])
+
+
+def _segment(path: str, alpha: float, k: int, packed: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab, lattice = vocabulary(path), lattice_of(path, alpha)
+        kind = id_type(len(vocab.rank)) if packed else None
         for b in slices(batches, size=LATTICE_BYTES):
             text = b.column("text")
             key = mix(b.column("key").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64), 12)
@@ -546,14 +564,14 @@ def _segment(path: str, alpha: float, k: int, with_ids: bool, sample_ids: bool):
             at = np.r_[0, np.cumsum(flat["n"])]
             ids, off = _lists(flat["ids"], at, order)
             one = pa.StructArray.from_arrays(
-                [pa.array(flat["rank"][order]), pa.array(flat["n"][order].astype(np.int64)), pa.array(hashes, pa.string()).take(pa.array(order)), *(pa.array(flat[c][order]) for c in ("logp", "key", "inclusion")), pa.ListArray.from_arrays(pa.array(off), pa.array(ids, pa.int32())) if sample_ids else pa.nulls(len(order), pa.list_(pa.int32()))],
+                [pa.array(flat["rank"][order]), pa.array(flat["n"][order].astype(np.int64)), pa.array(hashes, pa.string()).take(pa.array(order)), *(pa.array(flat[c][order]) for c in ("logp", "key", "inclusion")), _column(ids, off, np.zeros(len(order), bool), kind)],
                 ["rank", "n_ids", "ids_sha256", "logp", "perturbed", "inclusion", "ids"],
             )
             out = pa.ListArray.from_arrays(pa.array(np.searchsorted(flat["row"][order], np.arange(b.num_rows + 1)).astype(np.int32)), one)
             ids, off = lattice.encoded()
             raw = memoryview(ids.astype("<i4").tobytes())
             hashes = [hashlib.sha256(raw[4 * x : 4 * y]).hexdigest() for x, y in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
-            lists = pa.ListArray.from_arrays(pa.array(off.astype(np.int32), mask=np.r_[~known, False]), pa.array(ids, pa.int32())) if with_ids else pa.nulls(b.num_rows, pa.list_(pa.int32()))
+            lists = _column(ids, off, ~known, kind)
             names = [c for c in b.schema.names if c not in ("text", "key")]
             yield pa.RecordBatch.from_arrays(
                 [*(b.column(c) for c in names), pa.array(np.diff(off)), pa.array(hashes, pa.string()), pa.array(lattice.decoded(), mask=~known), lists, out],
@@ -563,14 +581,17 @@ def _segment(path: str, alpha: float, k: int, with_ids: bool, sample_ids: bool):
     return run
 
 
-_OUT = "n_ids long, ids_sha256 string, same boolean, ids array<int>, samples array<struct<rank: int, n_ids: long, ids_sha256: string, logp: double, perturbed: double, inclusion: double, ids: array<int>>>"
+_OUT = "n_ids long, ids_sha256 string, same boolean, ids {0}, samples array<struct<rank: int, n_ids: long, ids_sha256: string, logp: double, perturbed: double, inclusion: double, ids: {0}>>"
+
 
+def segment(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = MODEL, alpha: float = ALPHA, k: int = SAMPLES, packed: bool = False) -> DataFrame:
+    """(doc, n_ids, ids_sha256, same, ids, samples): the encoding of each text, whether it decodes to it, and k samples.
 
-def segment(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = MODEL, alpha: float = ALPHA, k: int = SAMPLES, with_ids: bool = True, sample_ids: bool = True) -> DataFrame:
-    """(doc, n_ids, ids_sha256, same, ids, samples): the encoding of each text, whether it decodes to it, and k samples."""
+    packed: ids are binary (see id_type) instead of arrays, as training data stores them; decode reads both.
+    """
     sent = docs.select(F.struct(*docs.columns).alias("doc"), F.xxhash64(F.coalesce(F.col(id_col).cast("long"), F.lit(0))).alias("key"), F.col(text_col).alias("text"))
-    schema = T.StructType([sent.schema["doc"], *T.StructType.fromDDL(_OUT).fields])
-    return sent.mapInArrow(_segment(path, alpha, k, with_ids, sample_ids), schema)
+    schema = T.StructType([sent.schema["doc"], *T.StructType.fromDDL(_OUT.format("binary" if packed else "array<int>")).fields])
+    return sent.mapInArrow(_segment(path, alpha, k, packed), schema)
 
 
 def decode(ids: DataFrame, ids_col: str = "ids", path: str = MODEL) -> DataFrame:
@@ -578,7 +599,8 @@ def decode(ids: DataFrame, ids_col: str = "ids", path: str = MODEL) -> DataFrame
 
     @F.pandas_udf("string")
     def text(x: pd.Series) -> pd.Series:
-        sp = vocabulary(path).processor
-        return pd.Series([None if v is None else sp.decode([int(i) for i in v]) for v in x], dtype=object)
+        vocab = vocabulary(path)
+        read = lambda v: np.frombuffer(v, id_type(len(vocab.rank))) if isinstance(v, bytes) else v
+        return pd.Series([None if v is None else vocab.processor.decode([int(i) for i in read(v)]) for v in x], dtype=object)
 
     return ids.withColumn("text", text(ids_col))

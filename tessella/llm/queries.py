@@ -146,7 +146,8 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = pieces.segment(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """ids are packed: little-endian numbers of 16 bits."""
+    out = pieces.segment(table(spark, sf_dir, "documents").select("doc_id", "text"), packed=True)
     return out.select(
         F.col("doc.doc_id").cast("long").alias("doc_id"),
         "n_ids",
