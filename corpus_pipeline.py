@@ -42,8 +42,8 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document's piece ids, and its sampled segmentations with their piece ids and inclusion scores."""
-    out = pieces.segment(docs)
+    """Each document's piece ids, and its sampled segmentations with their piece ids (packed) and inclusion scores."""
+    out = pieces.segment(docs, packed=True)
     return out.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns if c not in ("text", *ENCODED)], *ENCODED)
 
 
