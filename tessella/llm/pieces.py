@@ -40,7 +40,7 @@ ALPHA, SAMPLES = 1.5, 2
 #: UTF-8 bytes of text whose lattices are held at once.
 LATTICE_BYTES = 1 << 19
 #: Pieces that the lattices of known units may hold; beyond it the units met least often are forgotten.
-STORE_EDGES = 3_000_000
+STORE_EDGES = 2_000_000
 #: New units that the vocabulary encodes in one call.
 ENCODED_AT_ONCE = 1024
 #: One in units of the summed probabilities: sums of 64-bit integers are exact in any order.
@@ -49,7 +49,6 @@ _NONE = np.iinfo(np.int32).min
 SPACE, BREAK = 0x2581, 10
 _B = np.uint64(0xD1342543DE82EF95)
 _loaded: dict[str, Vocabulary] = {}
-_lattices: dict[tuple[str, float], Lattice] = {}
 
 
 class Vocabulary:
@@ -511,13 +510,6 @@ def token_ids(lattice: Lattice, vocab: Vocabulary, sample: Sample) -> tuple[np.n
     return ids, np.r_[0, ends][sample.off]
 
 
-def lattice_of(path: str, alpha: float) -> Lattice:
-    """A worker's lattice: it knows the units of the texts that this worker has met before."""
-    if (path, alpha) not in _lattices:
-        _lattices[path, alpha] = Lattice(vocabulary(path), alpha)
-    return _lattices[path, alpha]
-
-
 def _lists(values: np.ndarray, off: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The entries of these rows end to end, and their n+1 offsets."""
     n = off[rows + 1] - off[rows]
@@ -541,7 +533,8 @@ def _column(ids: np.ndarray, off: np.ndarray, null: np.ndarray, packed: str | No
 
 def _segment(path: str, alpha: float, k: int, packed: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, lattice = vocabulary(path), lattice_of(path, alpha)
+        vocab = vocabulary(path)
+        lattice = Lattice(vocab, alpha)  # of this task: its memory is given back at the end
         kind = id_type(len(vocab.rank)) if packed else None
         for b in slices(batches, size=LATTICE_BYTES):
             text = b.column("text")
