@@ -11,6 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 #: Stand-in for a null doc_id, so that such rows sort first and join like any other.
 NULL_ID = -(2**63)
@@ -55,6 +56,21 @@ def clear_stored(spark: SparkSession) -> int:
     return count
 
 
+def ranked(df: DataFrame, group: list[str], order: list[str], name: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, starts): df dealt by ranges of (group, order) and written sorted, and (*group, _part, _rows, _shift) of each part.
+
+    A row's place within its group is `_at` + `_shift` of its group and part. However large a group is, no task has to hold
+    or number it: only the counts of its parts are summed. Equal rows are dealt apart as well.
+    """
+    keys = [*group, *order, "_tie"]
+    dealt = df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_tie")
+    rows = stored(dealt.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}), name)
+    parts = rows.groupBy(*group, "_part").agg(F.count("*").alias("_rows"), F.min("_at").alias("_first"))
+    before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")
+    return rows, stored(parts.select(*group, "_part", "_rows", shift.alias("_shift")), f"{name}-starts")
+
+
 def row_keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(did, th, text): id with nulls replaced, a hash of the text to tell apart rows that share an id, and the text."""
     return docs.select(

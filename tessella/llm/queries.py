@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, license_scan, line_dedup, near_dedup, pieces, pii, substring_dedup, topk, toxicity
+from . import decontaminate, langid, license_scan, line_dedup, merkle, near_dedup, pieces, pii, substring_dedup, topk, toxicity
 from .common import real_id, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,3 +156,65 @@ def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
         "same",
         "samples",
     )
+
+
+@query
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    altered = F.when(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0, F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")).otherwise(F.col("text"))
+    out = merkle.manifest(table(spark, sf_dir, "documents"), shown={"text": altered})
+    out = out.withColumn("folded_root", merkle.folded(F.col("presented"), F.col("path")))
+    return out.select(
+        F.col("key").cast("long").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof(F.col("path")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def _merkle_sql(fanout: int = 16, levels: int = 5) -> str:
+    """Trees of up to fanout ** levels leaves: every level groups the runs of trees that have several nodes; a last tree takes the roots."""
+    field = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c} END"
+    leaf = lambda text: "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    crc = (
+        "xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)), "
+        "lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: xor(a >> 1, 3988292384 * (a & 1)))))"
+    )
+    parts = [
+        f"d AS (SELECT *, CASE WHEN {crc} % 5 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS shown FROM documents)",
+        f"l AS MATERIALIZED (SELECT doc_id, source, {leaf('text')} AS leaf, {leaf('shown')} AS presented FROM d)",
+        "a0 AS MATERIALIZED (SELECT coalesce('s' || source, '') AS t, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY source) AS n, leaf AS h, doc_id, presented FROM l)",
+    ]
+    for tree in "ab":
+        if tree == "b":
+            parts.append(f"b0 AS MATERIALIZED (SELECT 0 AS t, row_number() OVER (ORDER BY encode(t)) - 1 AS i, count(*) OVER () AS n, h, t AS g FROM a{levels})")
+        for k in range(levels):
+            parts.append(f"{tree}{k + 1} AS MATERIALIZED (SELECT t, i // {fanout} AS i, max((n + {fanout - 1}) // {fanout}) AS n, CASE WHEN max(n) = 1 THEN max(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h FROM {tree}{k} GROUP BY t, i // {fanout})")
+            parts.append(f"{tree}p{k} AS MATERIALIZED (SELECT x.t, x.i, max(x.n) AS n, coalesce(string_agg(y.h, '' ORDER BY y.i) FILTER (WHERE y.i < x.i), '') AS lo, coalesce(string_agg(y.h, '' ORDER BY y.i) FILTER (WHERE y.i > x.i), '') AS hi FROM {tree}{k} x JOIN {tree}{k} y ON x.t = y.t AND x.i // {fanout} = y.i // {fanout} GROUP BY x.t, x.i)")
+    steps, joins, fold = [], "", "presented"
+    for tree in "ab":
+        key, at = ("a0.t", "a0.i") if tree == "a" else ("0", "b0.i")
+        joins += " JOIN b0 ON b0.g = a0.t" if tree == "b" else ""
+        for k in range(levels):
+            p = f"{tree}p{k}"
+            joins += f" JOIN {p} ON {p}.t = {key} AND {p}.i = {at} // {fanout**k}"
+            steps.append(f"{p}.lo || {p}.hi")
+            fold = f"CASE WHEN {p}.n = 1 THEN f{len(steps) - 1} ELSE sha256({p}.lo || f{len(steps) - 1} || {p}.hi) END AS f{len(steps)}"
+            steps[-1] = (steps[-1], fold)
+    folds = ", ".join(f for _, f in steps)
+    body = (
+        f"SELECT doc_id, leaf, subroot, root, proof_sha256, f{len(steps)} AS folded_root, f{len(steps)} = root AS verified FROM (SELECT *, {folds} FROM (SELECT a0.doc_id, a0.h AS leaf, a0.presented AS f0, b0.h AS subroot, r.h AS root, sha256({' || '.join(s for s, _ in steps)}) AS proof_sha256, "
+        + ", ".join(f"{t}p{k}.{c} AS {t}p{k}_{c}" for t in "ab" for k in range(levels) for c in ("lo", "hi", "n"))
+        + f" FROM a0{joins} JOIN b{levels} r ON r.t = 0))"
+    )
+    for t in "ab":
+        for k in range(levels):
+            for c in ("lo", "hi", "n"):
+                head, tail = body.split(" FROM (SELECT a0.doc_id", 1)
+                body = head.replace(f"{t}p{k}.{c}", f"{t}p{k}_{c}") + " FROM (SELECT a0.doc_id" + tail
+    return "WITH " + ",\n".join(parts) + "\n" + body
+
+
+ORACLE["op12_merkle"] = _merkle_sql()
