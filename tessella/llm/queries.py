@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, license_scan, line_dedup, merkle, near_dedup, pieces, pii, substring_dedup, topk, toxicity
+from . import decontaminate, hard_negatives, langid, license_scan, line_dedup, merkle, near_dedup, pieces, pii, substring_dedup, topk, toxicity
 from .common import real_id, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -218,3 +218,22 @@ def _merkle_sql(fanout: int = 16, levels: int = 5) -> str:
 
 
 ORACLE["op12_merkle"] = _merkle_sql()
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "embeddings").withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    v = hard_negatives.labelled(e, "vec_id", "embedding", "label", 256)
+    return hard_negatives.mine(v, v.filter(F.col("id") % 50 == 0))
+
+
+ORACLE["op13_hard_negatives"] = """
+WITH v AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS MATERIALIZED (SELECT a.id AS anchor_id, c.id, a.label = c.label AS same, list_inner_product(a.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score FROM v a JOIN v c ON a.id % 50 = 0 AND a.id <> c.id),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS r FROM s WHERE same) WHERE r <= 5),
+n AS (SELECT p.anchor_id, p.id AS positive_id, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+             row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id)::INTEGER AS rank
+      FROM p JOIN s n ON p.anchor_id = n.anchor_id AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score)
+SELECT * FROM n WHERE rank <= 3
+"""
