@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, hard_negatives, langid, license_scan, line_dedup, merkle, near_dedup, pieces, pii, substring_dedup, topk, toxicity
+from . import decontaminate, hard_negatives, langid, license_scan, line_dedup, merkle, near_dedup, packing, pieces, pii, substring_dedup, topk, toxicity
 from .common import real_id, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -237,3 +237,9 @@ n AS (SELECT p.anchor_id, p.id AS positive_id, n.id AS negative_id, p.score AS p
       FROM p JOIN s n ON p.anchor_id = n.anchor_id AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score)
 SELECT * FROM n WHERE rank <= 3
 """
+
+
+@query
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_ids=False)
+    return out.select(F.col("doc_id").cast("long").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
