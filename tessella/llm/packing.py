@@ -11,8 +11,8 @@ Pieces then find their places by themselves: a piece's number among those of its
 over the tasks before) leads to a pattern, a copy of it and a slot. Texts are tokenised once, in one pass; only
 lengths are counted, and pieces meet the counts of their own task, so a hot length is as even as its tasks.
 
-A text is tokenised word by word, words being cut at ASCII white space, which no token of the vocabulary crosses; a batch's
-distinct words are encoded once.
+A text is tokenised unit by unit: no token of the vocabulary crosses white space or what its rules split. Distinct units are
+encoded once and kept by the worker.
 
 Defined results: null and empty texts are one piece that holds the end mark only; null ids stay null; repeated rows are packed each;
 a very long text is cut like any other and is tokenised in one task; an empty table gives an empty result; extra columns are not read.
@@ -24,6 +24,7 @@ import os
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -33,58 +34,105 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import IS_SPACE, slices, stored, text_bytes, word_bounds
+from .common import IS_SPACE, LOWER, slices, stored, text_bytes, word_bounds
 
 CAPACITY, END_ID = 4096, 1
 VOCABULARY = "word_bpe_49k.json"
-#: Words whose ids a task remembers, and the longest of them in bytes.
-WORDS, LONGEST = 1 << 18, 64
+#: Units whose ids a worker remembers, and the longest of them in characters.
+WORDS, LONGEST = 1 << 20, 64
 
 # ------------------------------------------------------------------------ tokens
 
 
 class Words:
-    """Ids of words; those met often are kept."""
+    """Ids of units; those met often are kept, end to end, as long as there are less than WORDS.
+
+    A unit is a run of ASCII letters (in lower case), one digit or a run of other visible ASCII characters, which the
+    vocabulary's own rules split off alike, so the model takes it as it is; or a whole word with any other character, an
+    apostrophe or "<" (contractions and special tokens), which goes through all of the tokenizer's steps.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
-
-    def encode(self, words: list[str]) -> list[np.ndarray]:
-        new = [w for w in words if w not in self.known]
-        ids = {w: np.array(e.ids, np.uint32) for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True)} if new else {}
-        out = [self.known[w] if w in self.known else ids[w] for w in words]
-        if len(self.known) + len(ids) > WORDS:
-            self.known = {}
-        self.known.update((w, i) for w, i in ids.items() if len(w) <= LONGEST)
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[str, int] = {}
+        self.size, self.first, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def numbers(self, units: list[str], odd: np.ndarray) -> np.ndarray:
+        """Numbers of distinct units in `size`, `first` and `flat`; numbers given before may be void afterwards."""
+        if len(self.number) > WORDS:
+            self.clear()
+        known = self.number
+        out = np.fromiter(map(known.get, units, repeat(-1)), np.int64, len(units))
+        new = np.flatnonzero(out < 0)
+        if len(new):
+            whole = iter(self.tokenizer.encode_batch_fast([units[i] for i in new[odd[new]].tolist()], add_special_tokens=False))
+            ids = [next(whole).ids if strange else [t.id for t in self.model.tokenize(units[i])] for i, strange in zip(new.tolist(), odd[new].tolist(), strict=True)]
+            size = np.array([len(x) for x in ids], np.int64)
+            out[new] = len(self.size) + np.arange(len(new))
+            known.update((units[i], n) for i, n in zip(new.tolist(), out[new].tolist(), strict=True) if len(units[i]) <= LONGEST)
+            self.first = np.r_[self.first, len(self.flat) + np.cumsum(size) - size]
+            self.size, self.flat = np.r_[self.size, size], np.r_[self.flat, np.array([x for i in ids for x in i], np.uint32)]
         return out
 
 
+_loaded: dict[str, Words] = {}
+
+
+def words_of(path: str) -> Words:
+    """One for each worker process: units stay known from task to task."""
+    if path not in _loaded:
+        _loaded[path] = Words(path)
+    return _loaded[path]
+
+
 def vocabulary_path(name: str = VOCABULARY) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
 
 
+#: Kinds of bytes: 0 white space, 1 letters, 2 digits, 3 other visible ASCII, 4 what the tokenizer has to see as it is.
+_KIND = np.full(256, 4, np.int8)
+_KIND[33:127] = 3
+_KIND[[*range(65, 91), *range(97, 123)]] = 1
+_KIND[48:58] = 2
+_KIND[[ord("'"), ord("<")]] = 4
+_KIND[IS_SPACE] = 0
+
+
 def token_ids(text: pa.Array, words: Words, end: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all texts end to end, an end mark after each, and the n+1 offsets."""
     data, off = text_bytes(text)
     starts, ends, rows = word_bounds(data, off)
-    size = ends - starts
     solid = data[~IS_SPACE[data]]
-    column = pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(np.r_[0, np.cumsum(size)].astype(np.int64)), pa.py_buffer(solid))
+    kind, size = _KIND[solid], ends - starts
+    first = np.cumsum(size) - size
+    odd = np.maximum.reduceat(kind, first) == 4 if len(first) else np.zeros(0, bool)
+    strange = np.repeat(odd, size)
+    begins = np.r_[True, kind[1:] != kind[:-1]] | (kind == 2) if len(kind) else np.zeros(0, bool)
+    begins &= ~strange
+    begins[first] = True
+    at = np.flatnonzero(begins)
+    lowered = np.where(strange, solid, LOWER[solid])
+    column = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(np.r_[at, len(solid)].astype(np.int64)), pa.py_buffer(lowered))
     coded = column.dictionary_encode()
-    code = coded.indices.to_numpy().astype(np.int64)
-    # the end mark is one more word, after each text's words
-    known = [*words.encode(coded.dictionary.to_pylist()), np.array([end], np.uint32)]
-    code = np.insert(code, rows[1:], len(known) - 1)
-    count = np.array([len(k) for k in known], np.int64)
-    flat, first = np.concatenate(known), np.r_[0, np.cumsum(count)]
-    n = count[code]
-    ids = flat[np.repeat(first[code] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
-    return ids, np.r_[0, np.cumsum(n)][np.r_[0, rows[1:] + np.arange(1, len(rows))]]
+    code, units = coded.indices.to_numpy(), coded.dictionary
+    seen = np.zeros(len(units), bool)
+    seen[code[strange[at]]] = True
+    unit = words.numbers(units.to_numpy(zero_copy_only=False).tolist(), seen)[code]
+    count = words.size[unit]
+    row = np.searchsorted(at, np.r_[first, len(solid)][rows])  # units before each text
+    total = np.r_[0, np.cumsum(count)]
+    ids = words.flat[np.repeat(words.first[unit] - total[:-1], count) + np.arange(int(total[-1]))]
+    bounds = total[row]
+    return np.insert(ids, bounds[1:], np.uint32(end)), bounds + np.arange(len(bounds))
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, end: int = END_ID, keep_ids: bool = True) -> DataFrame:
@@ -96,7 +144,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id", te
     names = ["id", "piece", "start", "length", "ids_crc32", *(["ids"] if keep_ids else []), "_task", "_nth"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, seen, task = Words(path), np.zeros(capacity + 1, np.int64), TaskContext.get().partitionId()
+        words, seen, task = words_of(path), np.zeros(capacity + 1, np.int64), TaskContext.get().partitionId()
         for b in slices(batches, "text"):
             ids, off = token_ids(b.column("text"), words, end)
             total = np.diff(off)
