@@ -64,30 +64,35 @@ def min_ratios(tokens: pa.ListArray, width: int = WINDOW) -> np.ndarray:
     return out
 
 
-def title_matches(tokens: pa.ListArray, titles: list[str | None], width: int = TITLE_WINDOW, share: float = TITLE_SHARE) -> np.ndarray:
-    """Has some window of each row a word set whose Jaccard similarity with the row's title is over `share`?"""
+def title_ratios(tokens: pa.ListArray, wanted: list[list[str]], title: np.ndarray, width: int = TITLE_WINDOW) -> np.ndarray:
+    """The best Jaccard similarity of a window's word set with the row's title; title[i] numbers row i's title in `wanted` (distinct words)."""
     codes, off, words = _coded(tokens, strip=True)
     row, start = _rows(off, width)
-    out = np.zeros(len(off) - 1, bool)
+    out = np.zeros(len(off) - 1)
     if not len(start):
         return out
-    number = {t: i for i, t in enumerate(dict.fromkeys(titles))}
-    wanted = [sorted({w.strip(tx.EDGES) for w in (t or "").split()} - {""}) for t in number]
     known = [pc.index_in(pa.array(w, words.type), words).drop_null().to_numpy() for w in wanted]
     base = len(words) + 1
     pairs = np.sort(np.concatenate([i * base + k.astype(np.int64) for i, k in enumerate(known)]))
-    title = np.array([number[t] for t in titles])
     full = (pc.binary_length(words).to_numpy(zero_copy_only=False) > 0)[codes]
     mine = title[row] * base + codes
     at = np.minimum(np.searchsorted(pairs, mine), max(len(pairs) - 1, 0))
     inside = pairs[at] == mine if len(pairs) else np.zeros(len(mine), bool)
     distinct, both = (_window_counts(codes, off, row, width, on)[start] for on in (full, full & inside))
     size = np.array([len(w) for w in wanted])[title][row[start]]
-    hit = (size > 0) & (distinct > 0) & (both / np.maximum(distinct + size - both, 1) > share)
-    out[row[start][hit]] = True
+    ratio = np.where((size > 0) & (distinct > 0), both / np.maximum(distinct + size - both, 1), 0.0)
+    first = np.flatnonzero(np.r_[True, np.diff(row[start]) > 0])
+    out[row[start][first]] = np.maximum.reduceat(ratio, first)
     return out
 
 
+def title_matches(tokens: pa.ListArray, titles: list[str | None], width: int = TITLE_WINDOW, share: float = TITLE_SHARE) -> np.ndarray:
+    """Has some window of each row a word set whose Jaccard similarity with the row's title is over `share`?"""
+    number = {t: i for i, t in enumerate(dict.fromkeys(titles))}
+    wanted = [sorted({w.strip(tx.EDGES) for w in (t or "").split()} - {""}) for t in number]
+    return title_ratios(tokens, wanted, np.array([number[t] for t in titles], np.int64), width) > share
+
+
 def collapse_all(tokens: pa.ListArray) -> pa.ListArray:
     """Adjacent repeats of phrases of 8 down to 3 words, once; each length's repeats are found as runs of w[i] == w[i + n]."""
     codes, off, words = _coded(tokens, strip=False)

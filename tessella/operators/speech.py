@@ -32,13 +32,16 @@ def padded_offsets(chunks: DataFrame, pad: int = PAD) -> DataFrame:
 def remap(segments: DataFrame, offsets: DataFrame) -> DataFrame:
     """Segment times (doc, seg, at, until: merged samples) on the original clock: the first chunk that ends after `at`, or the last.
 
-    An equi join on doc with a range filter; the last chunk's range is open.
+    Chunks lie end to end, so that is the last chunk that begins at or before `at` (the first one for times before it): an as-of
+    pass over both tables together, which a document's rows go through once, in order, without a join.
     """
-    last = Window.partitionBy("doc")
-    spans = offsets.withColumn("_last", F.max("chunk").over(last)).select("doc", "chunk", "lo", F.col("merged_start").alias("from"), F.when(F.col("chunk") == F.col("_last"), F.lit(2**62)).otherwise(F.col("merged_start") + F.col("length")).alias("to"))
-    hit = segments.join(spans, "doc").filter((F.col("at") >= F.col("from")) & (F.col("at") < F.col("to")))
-    move = F.col("lo") - F.col("from")
-    return hit.select("doc", "seg", "chunk", (F.col("at") + move).alias("start_s"), (F.col("until") + move).alias("end_s"))
+    chunk = F.struct(F.col("chunk").cast("long").alias("chunk"), F.col("lo").cast("long").alias("lo"), F.col("merged_start").cast("long").alias("from"))
+    starts = offsets.select("doc", F.col("merged_start").cast("long").alias("time"), F.lit(0).alias("kind"), chunk.alias("c"), F.lit(None).alias("seg"), F.lit(None).cast("long").alias("at"), F.lit(None).cast("long").alias("until"))
+    seg = segments.select("doc", F.greatest(F.col("at"), F.lit(0)).cast("long").alias("time"), F.lit(1).alias("kind"), F.lit(None).alias("c"), "seg", F.col("at").cast("long").alias("at"), F.col("until").cast("long").alias("until"))
+    so_far = Window.partitionBy("doc").orderBy("time", "kind", "c.chunk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hit = starts.unionByName(seg).withColumn("c", F.last("c", ignorenulls=True).over(so_far)).filter((F.col("kind") == 1) & F.col("c").isNotNull())
+    move = F.col("c.lo") - F.col("c.from")
+    return hit.select("doc", "seg", F.col("c.chunk").alias("chunk"), (F.col("at") + move).alias("start_s"), (F.col("until") + move).alias("end_s"))
 
 
 def frame_starts(length, frame: int = FRAME):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions.glossary import CORE_TERMS, GLOSSARY
-from ..operators import export, glossary, lifecycle, repetition, retrieval, speech
+from ..operators import export, glossary, lifecycle, names, repetition, retrieval, speech, titles
 from ..schemas import CATEGORIES, CORRECTIONS
 from ..sources import readers, sinks
 from ..streaming import streams
@@ -80,6 +80,21 @@ def a4_j7_prompt_contamination(spark, d):
     return fx.titled(spark, d).select("doc_id", repetition.title_contamination(tx.words(F.col("full_text")), F.col("title")).alias("prompt_contamination"))
 
 
+_PAIRS = """, ti AS (SELECT item_id, list_distinct(list_filter(list_transform(regexp_split_to_array(text, '\\s+'), lambda x: trim(x, '.,?!;:-')), lambda x: x <> '')) AS ts FROM benchmark),
+flat AS MATERIALIZED (SELECT doc_id, trim(raw, '.,?!;:-') AS w, pos, n FROM (SELECT doc_id, unnest(ws) AS raw, generate_subscripts(ws, 1) AS pos, len(ws) AS n FROM tok WHERE len(ws) >= 50)),
+may AS MATERIALIZED (SELECT doc_id, item_id, any_value(ts) AS ts FROM (SELECT DISTINCT doc_id, w FROM flat) JOIN (SELECT item_id, ts, unnest(ts) AS w FROM ti) USING (w) GROUP BY doc_id, item_id HAVING count(*) > 0.8 * len(any_value(ts))),
+win AS (SELECT doc_id, pos, n, list_distinct(list(w) FILTER (WHERE w <> '') OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)) AS l FROM flat WHERE doc_id IN (SELECT doc_id FROM may)),
+j AS (SELECT win.doc_id, item_id, len(list_intersect(l, ts)) AS x, len(l) AS n_w, len(ts) AS n_t FROM win JOIN may USING (doc_id) WHERE pos <= n - 49 AND len(l) > 0)
+"""
+
+
+@query(sql("SELECT doc_id, item_id, max(x / (n_w + n_t - x)) AS similarity FROM j GROUP BY doc_id, item_id HAVING max(x / (n_w + n_t - x)) > 0.8", "tok").replace("\nSELECT doc_id, item_id", _PAIRS + "SELECT doc_id, item_id"))
+def j7_title_pairs(spark, d):
+    """Every document against every benchmark item as title: the pairs over the contamination share."""
+    items = table(spark, d, "benchmark").select(F.col("item_id").alias("title_id"), F.col("text").alias("title"))
+    return titles.title_pairs(fx.transcripts(spark, d).select(F.col("doc_id").alias("id"), "full_text"), items).select(F.col("id").alias("doc_id"), F.col("title_id").alias("item_id"), "similarity")
+
+
 @query(sql("SELECT x.doc_id, count(*) AS glued FROM (SELECT doc_id, c, pos, pos - row_number() OVER (PARTITION BY doc_id, c ORDER BY pos) AS g FROM (SELECT doc_id, unnest(string_split(full_text, '')) AS c, generate_subscripts(string_split(full_text, ''), 1) AS pos FROM tr) WHERE c <> chr(10)) x GROUP BY x.doc_id, c, g HAVING count(*) >= 5", "tr").replace("SELECT x.doc_id, count(*) AS glued", "SELECT doc_id, count(*)::INTEGER AS glued_count FROM (SELECT x.doc_id") + ") GROUP BY doc_id")
 def a14_glued_hits(spark, d):
     n = tx.glued_count(F.col("full_text"))
@@ -263,10 +278,18 @@ def j3_apply_corrections(spark, d):
 
 @query("SELECT DISTINCT page_id FROM pages, (SELECT DISTINCT lang FROM documents) q WHERE contains(url, '/' || q.lang) OR contains(url, q.lang || '.')")
 def j5_k12_name_contains(spark, d):
-    """Names that contain one of a short list of ids: matched in place against the packed list."""
-    ids = table(spark, d, "documents").select("lang").distinct().agg(F.collect_set("lang").alias("ids"))
-    hit = F.exists("ids", lambda i: F.contains(F.col("url"), F.concat(F.lit("/"), i)) | F.contains(F.col("url"), F.concat(i, F.lit("."))))
-    return table(spark, d, "pages").join(F.broadcast(ids)).filter(hit).select("page_id").distinct()
+    """Names that contain one of a list of ids, each with its border: after a slash or before a full stop."""
+    lang = table(spark, d, "documents").select("lang").distinct()
+    ids = lang.select(F.explode(F.array(F.concat(F.lit("/"), "lang"), F.concat("lang", F.lit(".")))).alias("id"))
+    return names.names_with_ids(table(spark, d, "pages").select(F.col("page_id").alias("key"), F.col("url").alias("name")), ids).select(F.col("key").alias("page_id")).distinct()
+
+
+@query("SELECT p.page_id, i.id FROM pages p, (SELECT DISTINCT '/' || doc_id || CASE WHEN doc_id % 3 = 0 THEN '.html' WHEN doc_id % 3 = 1 THEN '?' ELSE '' END AS id FROM labels) i WHERE contains(p.url, i.id)")
+def j5_names_with_ids(spark, d):
+    """All pages and queued ids where the address contains the id: ids of a dozen lengths, the usual ones by substrings, the others by automata."""
+    n = F.col("doc_id") % 3
+    ids = table(spark, d, "labels").select(F.concat(F.lit("/"), F.col("doc_id").cast("string"), F.when(n == 0, ".html").when(n == 1, "?").otherwise("")).alias("id"))
+    return names.names_with_ids(table(spark, d, "pages").select(F.col("page_id").alias("key"), F.col("url").alias("name")), ids).select(F.col("key").alias("page_id"), "id")
 
 
 @query(sql("SELECT doc_id, CASE WHEN category = 'SUCCESS' OR in_escrow THEN NULL ELSE 'LOOP_HARVEST' END AS dest, CASE WHEN category = 'GHOST' THEN doc_id || '.json' ELSE 'REJECTED_' || doc_id || '.json' END AS name FROM man", "man"))
