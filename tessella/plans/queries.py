@@ -762,24 +762,46 @@ def s8_queue_list(spark, d):
 
 @query("SELECT DISTINCT user_id, event_type FROM events")
 def r1_r4_unseen_stream(spark, d):
-    """Events read as a stream, each (user, type) once, micro-batches appended to a table; the checkpoint is the resume state."""
+    """Events read as a stream, each (user, type) once, appended to a table; known keys are on disk (RocksDB), the checkpoint is the resume state."""
     source, path, state = (fx.work_path(spark, n) for n in ("events", "unseen", "state"))
     e = table(spark, d, "events").select(F.concat_ws("/", F.col("user_id").cast("string"), "event_type").alias("k"), "user_id", "event_type", F.col("ts").cast("timestamp").alias("at"))
     e.repartition(4).write.parquet(source)
     stream = streams.unseen(spark.readStream.schema(e.schema).parquet(source), "k", "at", "10000 days")
-    streams.work_queue(stream, lambda batch, _: batch.select("user_id", "event_type").write.mode("append").parquet(path), state).awaitTermination()
+    streams.append_stream(stream.select("user_id", "event_type"), path, state).awaitTermination()
     return spark.read.schema("user_id long, event_type string").parquet(path)
 
 
-@query("SELECT user_id::VARCHAR AS user_id, CASE WHEN floor(epoch((SELECT max(ts) FROM events)))::BIGINT - floor(epoch(max(ts)))::BIGINT > 120 THEN 'restart' ELSE 'ok' END AS action FROM events GROUP BY user_id")
-def r2_watchdog_stream(spark, d):
-    """Events as beats, watched as a stream at the time of the last one."""
-    source, path, state = (fx.work_path(spark, n) for n in ("beats", "actions", "watch"))
+def _beats(spark: SparkSession, d: str) -> DataFrame:
+    """Events written as beats and read as a stream."""
+    source = fx.work_path(spark, "beats")
     beats = table(spark, d, "events").select("user_id", F.col("ts").cast("timestamp").alias("at"))
     beats.repartition(4).write.parquet(source)
-    now = beats.agg(F.max("at").alias("now"))
-    streams.watchdog(spark.readStream.schema(beats.schema).parquet(source), "user_id", path, state, now).awaitTermination()
-    return spark.read.schema("user_id string, action string, batch long").parquet(path).select("user_id", "action")
+    return spark.readStream.schema(beats.schema).parquet(source)
+
+
+_SILENT = """WITH b AS (SELECT DISTINCT user_id, epoch_us(ts) // 1000 AS ms FROM events), w AS (SELECT max(ms) AS w FROM b),
+g AS (SELECT user_id, ms, (coalesce(lead(ms) OVER (PARTITION BY user_id ORDER BY ms), w) - ms - 1) // 120000 AS n FROM b, w),
+t AS (SELECT user_id, ms + 120000 * unnest(range(1, least(n, 6) + 1)) AS ms FROM g WHERE n > 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ms) AS k FROM t)
+"""
+
+
+@query(_SILENT + "SELECT user_id, make_timestamp(ms * 1000) AS decided, CASE WHEN k <= 5 THEN 'restart' ELSE 'stop' END AS action FROM r WHERE k <= 6")
+def r2_watchdog_stream(spark, d):
+    """Events as beats, watched as a stream with keyed state: what is done at every 120 seconds of a user's silence, until it is stopped."""
+    path, state = fx.work_path(spark, "actions"), fx.work_path(spark, "watch")
+    streams.append_stream(streams.watchdog(_beats(spark, d), "user_id"), path, state).awaitTermination()
+    done = spark.read.schema("user_id long, at timestamp, action string").parquet(path)
+    return done.filter("action <> 'ok'").select("user_id", F.col("at").cast("timestamp_ntz").alias("decided"), "action")
+
+
+@query(_SILENT + "SELECT user_id, make_timestamp(max(ms) * 1000) AS last, max(w) - max(ms) > 120000 AS stale FROM b, w GROUP BY user_id")
+def r3_stale_by_timer(spark, d):
+    """Every user's last beat, and whether silence alone, by a timer, has made it stale."""
+    path, state = fx.work_path(spark, "statuses"), fx.work_path(spark, "timers")
+    streams.append_stream(streams.heartbeats(_beats(spark, d), "user_id"), path, state).awaitTermination()
+    done = spark.read.schema("user_id long, at timestamp, status string").parquet(path)
+    return done.groupBy("user_id").agg(F.max("at").cast("timestamp_ntz").alias("last"), (F.max_by("status", F.struct("at", "status")) == "stale").alias("stale"))
 
 
 ENTRY = p5_p9_classify

@@ -105,13 +105,70 @@ def test_heartbeat(spark):
     assert tuple(streams.heartbeat_age(beats.limit(0), now).first()) == (-1, False)
 
 
-def test_watchdog_restarts_then_stops(spark, tmp_path):
-    now = spark.range(1).select(F.timestamp_seconds(F.lit(1000)).alias("now"))
-    beats = lambda n: spark.createDataFrame([("old", 10), ("new", 990)], "k string, s int").select("k", F.timestamp_seconds("s").alias("at")).coalesce(1).write.parquet(str(tmp_path / "in" / str(n)))
-    for n in range(4):
-        beats(n)
-        stream = spark.readStream.schema("k string, at timestamp").option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
-        streams.watchdog(stream, "k", str(tmp_path / "out"), str(tmp_path / "cp"), now, most=2).awaitTermination()
-    done = spark.read.schema("k string, action string, batch long").parquet(str(tmp_path / "out")).orderBy("batch").collect()
-    assert [r.action for r in done if r.k == "old"] == ["restart", "restart", "stop", "stop"]
-    assert {r.action for r in done if r.k == "new"} == {"ok"}
+def beats_into(spark, folder, number, rows):
+    spark.createDataFrame(rows, "k string, s int").select("k", F.timestamp_seconds("s").alias("at")).coalesce(1).write.parquet(str(folder / str(number)))
+
+
+def watched(spark, tmp_path, make):
+    """Run what is there of the beats in tmp_path/in and return all rows so far."""
+    stream = spark.readStream.schema("k string, at timestamp").option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+    streams.append_stream(make(stream), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    return sorted([(r[0], int(r[1].timestamp()), r[2]) for r in spark.read.parquet(str(tmp_path / "out")).collect()], key=lambda r: (r[1], r[2]))
+
+
+def test_watchdog_restarts_by_silence_alone_then_stops(spark, tmp_path):
+    make = lambda s: streams.watchdog(s, "k", stale=100, most=3)
+    beats_into(spark, tmp_path / "in", 0, [("quiet", 1000), ("busy", 1000), ("gap", 900), ("gap", 1200), (None, 5)])
+    done = watched(spark, tmp_path, make)
+    assert {r for r in done if r[2] != "ok"} == {("gap", 1000, "restart"), ("gap", 1100, "restart"), ("quiet", 1100, "restart"), ("busy", 1100, "restart")}
+    beats_into(spark, tmp_path / "in", 1, [("busy", 1290), ("busy", 1291)])  # no event of the quiet key: its timer is enough
+    done = watched(spark, tmp_path, make)
+    assert [r for r in done if r[0] == "quiet"] == [("quiet", 1000, "ok"), ("quiet", 1100, "restart"), ("quiet", 1200, "restart")]
+    beats_into(spark, tmp_path / "in", 2, [("busy", 1900)])
+    done = watched(spark, tmp_path, make)
+    assert [r[1:] for r in done if r[0] == "quiet"] == [(1000, "ok"), (1100, "restart"), (1200, "restart"), (1300, "restart"), (1400, "stop")]
+    assert [r[2] for r in done if r[0] == "gap"][-2:] == ["restart", "stop"]  # two in its first gap, one of its life left
+    assert len([r for r in done if r[2] == "stop"]) == 3  # busy was silent too long as well
+    beats_into(spark, tmp_path / "in", 3, [("quiet", 2000), ("busy", 2500)])
+    assert len([r for r in watched(spark, tmp_path, make) if r[0] == "quiet"]) == 5  # stopped for good
+
+
+def test_batches_give_what_one_batch_gives(spark, tmp_path):
+    import random
+
+    rng = random.Random(1)
+    rows = sorted([(rng.choice("abc"), rng.randint(0, 3000)) for _ in range(60)], key=lambda r: r[1])
+    make = lambda s: streams.watchdog(s, "k", stale=60, most=30)
+    for n in range(3):
+        beats_into(spark, tmp_path / "many" / "in", n, rows[n * 20 : n * 20 + 20])
+        many = watched(spark, tmp_path / "many", make)
+    beats_into(spark, tmp_path / "one" / "in", 0, rows)
+    one = watched(spark, tmp_path / "one", make)
+    assert sorted(r for r in many if r[2] != "ok") == sorted(r for r in one if r[2] != "ok")
+
+
+def test_heartbeats_turn_stale_by_a_timer(spark, tmp_path):
+    make = lambda s: streams.heartbeats(s, "k", stale=120)
+    beats_into(spark, tmp_path / "in", 0, [("a", 1000), ("b", 1000)])
+    assert sorted(watched(spark, tmp_path, make)) == [("a", 1000, "alive"), ("b", 1000, "alive")]
+    beats_into(spark, tmp_path / "in", 1, [("b", 1121)])
+    assert [r for r in watched(spark, tmp_path, make) if r[0] == "a"] == [("a", 1000, "alive"), ("a", 1000, "stale")]
+    beats_into(spark, tmp_path / "in", 2, [("a", 1130)])
+    assert ("a", 1130, "alive") in watched(spark, tmp_path, make)
+
+
+def test_beats_are_written(spark, tmp_path):
+    q = streams.beat(spark, "harvest", str(tmp_path / "beats"), str(tmp_path / "cp"), "1 second")
+    try:
+        import time
+
+        for _ in range(60):
+            time.sleep(1)
+            if (tmp_path / "beats").exists() and spark.read.schema("name string, at timestamp").parquet(str(tmp_path / "beats")).count() >= 2:
+                break
+    finally:
+        q.stop()
+    rows = spark.read.parquet(str(tmp_path / "beats")).collect()
+    assert len(rows) >= 2
+    assert {r.name for r in rows} == {"harvest"}
+    assert len({r.at for r in rows}) == len(rows)
