@@ -257,3 +257,24 @@ def peak_normal(samples: Column) -> Column:
 def jaccard(a: Column, b: Column) -> Column:
     union = F.size(F.array_union(a, b))
     return F.when(union > 0, F.size(F.array_intersect(a, b)) / union).otherwise(F.lit(0.0))
+
+
+def round_half_even(x: Column, digits: int) -> Column:
+    """A double rounded by its exact binary value, exact ties to the even digit: 2.675 to 2.67, 0.125 to 0.12.
+
+    The product with the power of ten is taken with its rounding error (x split in halves whose products are exact), so a
+    product that looks like a tie is decided by the error's sign. Where the power takes a number beyond 2**53 the number's own
+    spacing is coarser than the digits, and it stays.
+    """
+    scale = float(10**digits)
+
+    def exact(v: Column) -> Column:
+        head = v * 134217729.0 - (v * 134217729.0 - v)
+        p = v * scale
+        error = (head * scale - p) + (v - head) * scale
+        whole = F.rint(p)
+        off = p - whole
+        up, down = (off == 0.5) & (error > 0), (off == -0.5) & (error < 0)
+        return F.when(up, whole + 1).when(down, whole - 1).otherwise(whole) / scale
+
+    return F.when(F.abs(x * scale) < 2.0**53, exact(x)).otherwise(x)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -545,6 +546,12 @@ def t15_harvest_estimate(spark, d):
     return table(spark, d, "events").select("event_id", tx.harvest_days((1 + F.col("event_id") % 20).cast("double")).alias("e")).select("event_id", "e.days", "e.hours")
 
 
+@query("SELECT event_id, (n // 10 + CASE WHEN n % 10 > 5 OR n % 10 = 5 AND n // 10 % 2 = 1 THEN 1 ELSE 0 END) / 100 AS rounded FROM (SELECT event_id, (event_id % 100000) * 125 AS n FROM events)")
+def t13_rounding(spark, d):
+    """Eighths rounded to two digits: every fourth is an exact tie, which goes to the even digit."""
+    return table(spark, d, "events").select("event_id", tx.round_half_even((F.col("event_id") % 100000) / 8, 2).alias("rounded"))
+
+
 @query("SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS iso, strftime(ts, '%Y-%m-%d %H:%M:%S') AS stamp FROM events")
 def t17_timestamps(spark, d):
     e = table(spark, d, "events")
@@ -593,8 +600,7 @@ _GATED = ", g AS (SELECT c.doc_id, c.full_text, len(cs) AS n, CASE WHEN len(cs)
 
 @query(sql("SELECT doc_id, n::BIGINT AS word_count FROM g WHERE full_text <> '' AND n >= 30 AND u >= 0.35", "con").replace("\nSELECT doc_id, n", _GATED + "SELECT doc_id, n"))
 def p4_export_gate(spark, d):
-    t = fx.transcripts(spark, d).filter(export.gate(F.col("full_text")))
-    return t.select("doc_id", F.size(tx.content(tx.words(F.col("full_text")))).cast("long").alias("word_count"))
+    return export.gated(fx.transcripts(spark, d)).select("doc_id", "word_count")
 
 
 def _records(spark: SparkSession, d: str) -> DataFrame:
@@ -660,6 +666,25 @@ def l1_context(spark, d):
     return retrieval.context(_hits(spark, d).join(e, "id"))
 
 
+def _hashed(texts: list[str]) -> list[list[float]]:
+    """An embedder for tests: two numbers of the text's hash."""
+    names = [hashlib.md5(t.encode()).hexdigest() for t in texts]
+    return [[int(n[:4], 16) / 65536, int(n[4:8], 16) / 65536] for n in names]
+
+
+@query(
+    "WITH n AS (SELECT conv_id || '_chunk_' || turn // 2 AS id, max_by(text, turn) AS document FROM conversations WHERE conv_id % 3 <> 0 AND text IS NOT NULL GROUP BY 1), "
+    "o AS (SELECT conv_id || '_chunk_' || turn AS id, role AS document FROM conversations WHERE id NOT IN (SELECT id FROM n)), a AS (SELECT * FROM n UNION ALL SELECT * FROM o) "
+    "SELECT id, document, ('0x' || md5(document)[1:4])::BIGINT / 65536 AS a, ('0x' || md5(document)[5:8])::BIGINT / 65536 AS b FROM a"
+)
+def k6_batched_upsert(spark, d):
+    """Turns as chunks in two versions, embedded fifty at a time, put in place of what the store holds under their ids."""
+    c = table(spark, d, "conversations")
+    store = retrieval.embedded(c.select(F.concat(F.col("conv_id").cast("string"), F.lit("_chunk_"), F.col("turn").cast("string")).alias("id"), F.lit(-1).cast("long").alias("turn"), F.col("role").alias("document")), _hashed)
+    new = c.filter((F.col("conv_id") % 3 != 0) & F.col("text").isNotNull()).select(F.concat(F.col("conv_id").cast("string"), F.lit("_chunk_"), F.floor(F.col("turn") / 2).cast("string")).alias("id"), "turn", F.col("text").alias("document"))
+    return retrieval.upsert_chunks(store, new, _hashed, "turn").select("id", "document", F.col("embedding")[0].alias("a"), F.col("embedding")[1].alias("b"))
+
+
 # ---------------------------------------------------------------- limits, stamps
 
 
