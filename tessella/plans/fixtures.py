@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..sources import sinks
+from ..sources.shared import work_path  # noqa: F401
+
 
 #: Bytes of one input split below which a small table is dealt out again.
 SPLIT_BYTES = 4 << 20
@@ -21,22 +21,6 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return df.repartition(cores) if small else df
 
 
-_own: dict[str, str] = {}
-
-
-def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder all executors share (spark.checkpoint.dir); one of its own only where that is unset on a local master."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        app = spark.sparkContext.applicationId
-        if app not in _own:
-            _own[app] = "file://" + tempfile.mkdtemp(prefix="tessella-")
-        root = _own[app]
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def transcripts(spark: SparkSession, d: str) -> DataFrame:
     """documents as transcripts: one segment with a declared end; every 97th has a NaN log probability."""
     seconds = F.col("n_chars") / (5 + F.col("doc_id") % 15)
@@ -100,3 +84,16 @@ def sql(body: str, *names: str) -> str:
     for n in names:
         order += [x for x in [*_NEEDS.get(n, []), n] if x not in order]
     return "WITH " + ",\n".join(SQL[n] for n in order) + "\n" + body
+
+
+def tree(spark: SparkSession, d: str, root: str) -> None:
+    """documents written as files of their own in a folder a source: of every dozen, one lies under review, one in a backup, one is
+    rejected, one certified, one temporary, one empty, one blank and one no JSON."""
+    n = F.col("doc_id") % 12
+    folder = F.when(n == 0, "review/").when(n == 3, "backup/").otherwise("")
+    name = F.concat(F.when(n == 1, "REJECTED_").otherwise(""), F.lit("t_"), F.col("doc_id").cast("string"), F.when(n == 4, ".json.tmp").otherwise(".json"))
+    meta = F.struct(F.col("doc_id").cast("string").alias("video_id"), F.concat(F.lit("title "), "lang").alias("title"), (F.col("n_chars") / 4).alias("duration"), (n == 2).alias("omega_certified"))
+    value = F.to_json(F.struct(meta.alias("metadata"), F.col("text").alias("full_text"), F.struct(F.when(n == 8, "GHOST").otherwise("SUCCESS").alias("category")).alias("audit")))
+    content = F.when(n == 5, "").when(n == 6, " \n").when(n == 7, F.concat(F.lit("{"), value)).otherwise(value)
+    files = table(spark, d, "documents").select(F.concat("source", F.lit("/"), folder, name).alias("path"), content.alias("content"))
+    sinks.write_files(files, root).write.format("noop").mode("overwrite").save()

@@ -745,6 +745,83 @@ def x1_event_windows(spark, d):
 # ------------------------------------------------- files written and read again
 
 
+def _tree(spark: SparkSession, d: str) -> str:
+    root = fx.work_path(spark, "tree")
+    fx.tree(spark, d, root)
+    return root
+
+
+_NAME = "source || '/' || CASE doc_id % 12 WHEN 0 THEN 'review/' WHEN 3 THEN 'backup/' ELSE '' END || CASE WHEN doc_id % 12 = 1 THEN 'REJECTED_' ELSE '' END || 't_' || doc_id || CASE WHEN doc_id % 12 = 4 THEN '.json.tmp' ELSE '.json' END"
+
+
+@query("SELECT doc_id::VARCHAR AS video_id, 'title ' || lang AS title, length(text)::INTEGER AS n FROM documents WHERE doc_id % 12 IN (1, 3, 8, 9, 10, 11)")
+def s1_scan_docs(spark, d):
+    """A tree of document files: what is not certified, under review or no JSON."""
+    return readers.scan_docs(spark, _tree(spark, d)).select("metadata.video_id", "metadata.title", F.length("full_text").alias("n"))
+
+
+@query(f"SELECT doc_id::VARCHAR AS video_id FROM (SELECT * FROM documents WHERE doc_id % 12 IN (1, 3, 8, 9, 10, 11) ORDER BY encode({_NAME}) LIMIT 30)")
+def l2_scan_docs_limit(spark, d):
+    """The first thirty paths of a scan (the operator's limit)."""
+    return readers.scan_docs(spark, _tree(spark, d), 30).select("metadata.video_id")
+
+
+@query("SELECT doc_id::VARCHAR AS video_id, length(text)::INTEGER AS n FROM documents WHERE doc_id % 12 IN (3, 8, 9, 10, 11)")
+def s2_scan_export(spark, d):
+    return readers.scan_export(spark, _tree(spark, d)).select("metadata.video_id", F.length("full_text").alias("n"))
+
+
+@query("SELECT doc_id::VARCHAR AS video_id, 'title ' || lang AS title, CASE WHEN doc_id % 12 = 8 THEN 'GHOST' ELSE 'SUCCESS' END AS category, n_chars / 4 AS duration FROM documents WHERE doc_id % 12 IN (2, 8, 9, 10, 11)")
+def s3_scan_rebuild(spark, d):
+    """A manifest rebuilt from the names and contents of document files."""
+    return readers.scan_rebuild(spark, _tree(spark, d)).select("video_id", "title", "category", "duration")
+
+
+@query(f"SELECT {_NAME} AS file, CASE doc_id % 12 WHEN 4 THEN 'temporary' WHEN 5 THEN 'empty' WHEN 6 THEN 'blank' ELSE 'unparsable' END AS problem FROM documents WHERE doc_id % 12 IN (4, 5, 6, 7)")
+def s14_corrupt_files(spark, d):
+    """The files of a tree that a clean start would have to remove, and why; nothing is removed."""
+    root = _tree(spark, d)
+    return readers.corrupt_files(spark, root).select(F.regexp_replace(F.col("path"), "^.*?/tree-[0-9a-f]+/", "").alias("file"), "problem")
+
+
+@query("SELECT doc_id::VARCHAR AS video_id, length(text)::INTEGER AS n FROM documents")
+def s6_l4_queue_files(spark, d):
+    """Document files as a queue that a stream works off, some files a trigger; each is handled once."""
+    root, out, state = fx.work_path(spark, "queue-files"), fx.work_path(spark, "handled"), fx.work_path(spark, "queue-state")
+    docs = table(spark, d, "documents")
+    value = F.to_json(F.struct(F.struct(F.col("doc_id").cast("string").alias("video_id")).alias("metadata"), F.col("text").alias("full_text")))
+    sinks.write_files(docs.select(F.concat(F.col("doc_id").cast("string"), F.lit(".json")).alias("path"), value.alias("content")), root).write.format("noop").mode("overwrite").save()
+    files = readers.queue_stream(spark, root, per_trigger=max(5, docs.count() // 4))
+    streams.append_stream(files.select("metadata.video_id", F.length("full_text").alias("n")), out, state).awaitTermination()
+    return spark.read.schema("video_id string, n int").parquet(out)
+
+
+@query(sql("SELECT doc_id, CASE WHEN category = 'GHOST' THEN 'NULL_HARVEST' ELSE 'LOOP_HARVEST' END AS dest, CASE WHEN category = 'GHOST' THEN '' ELSE 'REJECTED_' END || doc_id || '.json' AS name FROM (SELECT doc_id, in_escrow, CASE WHEN category <> 'SUCCESS' AND doc_id % 5 = 0 THEN 'GHOST' ELSE category END AS category FROM man) WHERE category <> 'SUCCESS' AND NOT in_escrow", "man"))
+def k7_routed_files(spark, d):
+    """Rejected documents written to a folder each destination, and what the folders hold when read again."""
+    path = fx.work_path(spark, "routed")
+    m = fx.manifest(spark, d).withColumn("category", F.when((F.col("category") != "SUCCESS") & (F.col("doc_id") % 5 == 0), "GHOST").otherwise(F.col("category")))
+    name = lifecycle.reject_name(F.col("category"), F.concat(F.col("doc_id").cast("string"), F.lit(".json")))
+    sinks.write_routed(m.select("doc_id", name.alias("name"), lifecycle.reject_route(F.col("category"), F.col("in_escrow")).alias("dest")), path)
+    return spark.read.schema("doc_id long, name string, dest string").json(path)
+
+
+@query(sql("SELECT doc_id::VARCHAR AS video_id, category, in_escrow FROM man", "man"))
+def s4_manifest_files(spark, d):
+    """A manifest as other writers leave it: in part files of one map over many lines, in part a map a line, with broken files between."""
+    path = fx.work_path(spark, "manifests")
+    m = fx.manifest(spark, d).select(F.col("doc_id").cast("string").alias("video_id"), F.struct("category", "in_escrow").alias("e"))
+    entry = F.concat(F.lit('  "'), "video_id", F.lit('": '), F.to_json("e"))
+    group = (F.col("video_id").cast("long") / 64).cast("long")
+    maps = m.groupBy(group.alias("g")).agg(F.array_join(F.collect_list(entry), ",\n").alias("text"))
+    wide = F.concat(F.lit("{\n"), "text", F.lit("\n}\n"))
+    flat = F.concat(F.lit("{"), F.replace("text", F.lit("\n"), F.lit(" ")), F.lit("}\n\n"))
+    good = maps.select(F.concat(F.lit("m"), F.col("g").cast("string"), F.lit(".json")).alias("path"), F.when(F.col("g") % 2 == 0, wide).otherwise(flat).alias("content"))
+    bad = maps.filter("g % 7 = 0").select(F.concat(F.lit("bad"), F.col("g").cast("string"), F.lit(".json")).alias("path"), F.concat(F.lit("{\n"), "text", F.lit(",\n")).alias("content"))
+    sinks.write_files(good.unionByName(bad), path).write.format("noop").mode("overwrite").save()
+    return readers.scan_manifest(spark, path).select("video_id", "category", "in_escrow")
+
+
 @query(sql("SELECT g.doc_id::VARCHAR AS id, tr.source, n::BIGINT AS word_count FROM g JOIN tr USING (doc_id) WHERE g.full_text <> '' AND n >= 30 AND u >= 0.35", "con").replace("\nSELECT g.doc_id", _GATED + "SELECT g.doc_id"))
 def k1_k3_k4_records_round_trip(spark, d):
     """Training rows written as JSON lines, appended again, and read with each id once."""

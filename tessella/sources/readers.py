@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
+import codecs
+import contextlib
+import json
+import re
+from collections.abc import Iterator
+from functools import reduce
+from itertools import islice
+from urllib.parse import quote
+
+import pyarrow as pa
+from pyarrow.fs import FileSelector, FileSystem, FileType
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import caption_text
 from ..operators.lifecycle import prefer
 from ..schemas import MANIFEST_ENTRY, REPORT, TRANSCRIPT
+from .shared import work_path
 
 
 def _files(spark: SparkSession, root: str) -> DataFrame:
@@ -47,33 +59,165 @@ def scan_rebuild(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def _listed(spark: SparkSession, root: str) -> list[tuple[str, str]]:
-    """(path, problem) of temporary and empty files, from the file system's listing: Spark's scans skip files of no bytes."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    found, bad = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True), []
-    while found.hasNext():
-        f = found.next()
-        name = f.getPath().toString()
-        if name.endswith(".tmp"):
-            bad.append((name, "temporary"))
-        elif f.getLen() == 0 and name.endswith(".json"):
-            bad.append((name, "empty"))
-    return bad
+def list_files(spark: SparkSession, root: str) -> DataFrame:
+    """(path, size) of all files below root, also those of no bytes, which Spark's scans skip.
+
+    The folders of one depth are dealt to tasks that list them; the driver learns how many there are at the next depth.
+    """
+    kind = "path string, size long"
+    level, found = spark.createDataFrame([(root if ":" in root else f"file://{root}",)], "path string"), []
+    while True:
+        at = work_path(spark, "listing")
+        level.repartition("path").mapInArrow(_list, kind).write.parquet(at)
+        seen = spark.read.schema(kind).parquet(at)
+        found.append(seen.filter("size is not null"))
+        level = seen.filter("size is null").select("path")
+        if level.isEmpty():
+            return reduce(DataFrame.unionByName, found)
+
+
+def _list(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for folder in b.column("path").to_pylist():
+            files, at = FileSystem.from_uri(folder)
+            rows = files.get_file_info(FileSelector(at))
+            base = folder.rstrip("/")
+            yield pa.RecordBatch.from_arrays([pa.array([f"{base}/{quote(x.base_name)}" for x in rows], pa.string()), pa.array([x.size if x.type == FileType.File else None for x in rows], pa.int64())], ["path", "size"])
+
+
+def _problem(path: str) -> str | None:
+    files, at = FileSystem.from_uri(path)
+    with files.open_input_stream(at) as f:
+        content = f.read()
+    try:
+        text = content.decode("utf-8")
+        if not text.strip():
+            return "blank"
+        json.loads(text)
+    except ValueError:
+        return "unparsable"
 
 
 def corrupt_files(spark: SparkSession, root: str) -> DataFrame:
-    """(path, problem) of temporary, empty, blank and unparsable files. Only JSON files are read; nothing is deleted."""
-    listed = spark.createDataFrame(_listed(spark, root), "path string, problem string")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").load(root).select("path", F.col("content").cast("string").alias("text"))
-    problem = F.when(F.trim("text") == "", "blank").when(F.try_parse_json("text").isNull(), "unparsable")
-    return listed.unionByName(files.select("path", problem.alias("problem")).filter("problem is not null"))
+    """(path, problem) of temporary, empty, blank and unparsable files. Only JSON files are read, one at a time; nothing is deleted."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [(p, _problem(p)) for p in b.column("path").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in rows], pa.string()), pa.array([x for _, x in rows], pa.string())], ["path", "problem"])
+
+    files = list_files(spark, root)
+    known = F.when(F.col("path").endswith(".tmp"), "temporary").when(F.col("path").endswith(".json") & (F.col("size") == 0), "empty")
+    content = files.filter(F.col("path").endswith(".json") & (F.col("size") > 0)).select("path").repartition("path").mapInArrow(read, "path string, problem string")
+    return files.select("path", known.alias("problem")).unionByName(content).filter("problem is not null")
+
+
+#: Bytes of a file read at once.
+BLOCK = 1 << 20
+_MARKS = re.compile(r'["{}\[\],]')
+_TEXT_END = re.compile(r'["\\]')
+
+
+def split_value(blocks: Iterator[str]) -> Iterator[str]:
+    """The entries of one JSON object or array, each as a value of its own with one entry; ValueError if it is none.
+
+    It holds one entry and one block of the text, whatever the size of the whole.
+    """
+    depth, inside, skip, entry, closed, opening = 0, False, False, [], False, ""
+
+    def done() -> str:
+        text = "".join(entry).strip()
+        entry.clear()
+        json.loads(value := opening + text + {"{": "}", "[": "]"}[opening])
+        return value if text else ""
+
+    more = False  # a comma promises another entry
+    for block in blocks:
+        at = start = 0
+        if skip and block:  # an escaped character
+            at, skip = 1, False
+        while m := (_TEXT_END if inside else _MARKS).search(block, at):
+            c, at = m[0], m.end()
+            if inside:
+                if c == '"':
+                    inside = False
+                elif at < len(block):
+                    at += 1
+                else:
+                    skip = True
+            elif c == '"':
+                inside = True
+                if not depth:
+                    raise ValueError("not an object or an array")
+            elif c in "{[":
+                if not depth:
+                    if closed or block[start : at - 1].strip() or "".join(entry).strip():
+                        raise ValueError("text around the value")
+                    opening, start = c, at
+                    entry.clear()
+                depth += 1
+            elif c in "}]":
+                depth -= 1
+                if depth < 0:
+                    raise ValueError("closed too often")
+                if not depth:
+                    entry.append(block[start : at - 1])
+                    value, start, closed = done(), at, True
+                    if c != {"{": "}", "[": "]"}[opening] or more and not value:
+                        raise ValueError("closed wrongly")
+                    if value:
+                        yield value
+            elif depth == 1:
+                entry.append(block[start : at - 1])
+                start, more = at, True
+                if not (value := done()):
+                    raise ValueError("an entry is missing")
+                yield value
+        entry.append(block[start:])
+    if not closed or depth or "".join(entry).strip():
+        raise ValueError("no whole value")
+
+
+def _blocks(path: str) -> Iterator[str]:
+    decode = codecs.getincrementaldecoder("utf-8")().decode
+    files, at = FileSystem.from_uri(path)
+    with files.open_input_stream(at) as f:
+        while block := f.read(BLOCK):
+            yield decode(block)
+    yield decode(b"", True)
+
+
+def _whole_values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of these files those that are one value, over several lines: read once for that, holding nothing."""
+    for b in batches:
+        good = []
+        for path in b.column("file").to_pylist():
+            with contextlib.suppress(ValueError):
+                for _ in split_value(_blocks(path)):
+                    pass
+                good.append(path)
+        yield pa.RecordBatch.from_arrays([pa.array(good, pa.string())], ["file"])
+
+
+def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for path in b.column("file").to_pylist():
+            values = split_value(_blocks(path))
+            while part := list(islice(values, 1000)):
+                yield pa.RecordBatch.from_arrays([pa.array(part, pa.string())], ["value"])
 
 
 def _values(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """The JSON values of text files: a file is one value, or has one on each line."""
-    raw = spark.read.option("wholetext", True).text(path)
-    whole = F.from_json("value", kind)
-    return raw.select(F.explode(F.when(whole.isNotNull(), F.array("value")).otherwise(F.split("value", "\n"))).alias("value")).select(F.from_json("value", kind).alias("x")).filter("x is not null")
+    """The JSON values of text files: a file has one on each line, or is one, over several lines.
+
+    Files are read by lines, which Spark splits; only a file with a line that is no value is looked at as a whole, by a task
+    that streams through it. If it is no value either, its other lines count.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.from_json("value", kind).alias("x"))
+    odd = lines.filter(F.col("x").isNull() & (F.trim("value") != "")).select("file").distinct()
+    whole = odd.mapInArrow(_whole_values, "file string")
+    entries = whole.mapInArrow(_entries, "value string").select(F.from_json("value", kind).alias("x"))
+    return lines.join(whole, "file", "left_anti").select("x").unionByName(entries).filter("x is not null")
 
 
 def scan_manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -112,6 +256,9 @@ def scan_log(spark: SparkSession, path: str) -> DataFrame:
     return parse_log(spark.read.text(path))
 
 
-def queue_stream(spark: SparkSession, folder: str, per_trigger: int = 5) -> DataFrame:
-    """A folder as a work queue, a few files at a time."""
-    return spark.readStream.schema(TRANSCRIPT).option("maxFilesPerTrigger", per_trigger).option("multiLine", True).option("pathGlobFilter", "*.json").json(folder)
+def queue_stream(spark: SparkSession, folder: str, per_trigger: int = 5, archive: str | None = None) -> DataFrame:
+    """A folder as a work queue, a few files at a time, one document a file; handled files are moved to `archive`, if there is one."""
+    r = spark.readStream.schema(TRANSCRIPT).option("maxFilesPerTrigger", per_trigger).option("multiLine", True).option("pathGlobFilter", "*.json").option("recursiveFileLookup", True)
+    if archive is not None:
+        r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    return r.json(folder)

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow.fs import FileSystem
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +18,36 @@ def write_documents(docs: DataFrame, path: str, by: str | None = None) -> None:
     (w.partitionBy(by) if by else w).json(path)
 
 
+def write_files(files: DataFrame, root: str) -> DataFrame:
+    """(path, size) of files (path below root, content) written, a file each, by the tasks that hold them.
+
+    A file appears under its name whole or not at all: it is written under a name of the task's own and then renamed, so a task
+    that runs again replaces its files.
+    """
+    base = (root if ":" in root else f"file://{root}").rstrip("/")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        target, top = FileSystem.from_uri(base)
+        made = set()
+        for b in batches:
+            sizes = []
+            for path, content in zip(b.column("path").to_pylist(), b.column("content").to_pylist(), strict=True):
+                full = f"{top}/{path}"
+                folder, name = full.rsplit("/", 1)
+                if folder not in made:
+                    target.create_dir(folder, recursive=True)
+                    made.add(folder)
+                own = f"{folder}/.{name}.{uuid.uuid4().hex}"
+                data = (content or "").encode()
+                with target.open_output_stream(own) as f:
+                    f.write(data)
+                target.move(own, full)
+                sizes.append(len(data))
+            yield pa.RecordBatch.from_arrays([b.column("path"), pa.array(sizes, pa.int64())], ["path", "size"])
+
+    return files.select("path", "content").mapInArrow(run, "path string, size long")
+
+
 def append_records(records: DataFrame, path: str) -> None:
     records.write.mode("append").json(path)
 

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import json
 
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tessella.schemas import TRANSCRIPT
@@ -172,3 +175,61 @@ def test_beats_are_written(spark, tmp_path):
     assert len(rows) >= 2
     assert {r.name for r in rows} == {"harvest"}
     assert len({r.at for r in rows}) == len(rows)
+
+
+_JSON = st.recursive(st.none() | st.booleans() | st.integers() | st.text(alphabet='a"\\\\{}[],: é\n', max_size=6), lambda x: st.lists(x, max_size=3) | st.dictionaries(st.text(alphabet='k"\\\\,}', max_size=3), x, max_size=3), max_leaves=12)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(_JSON, max_size=5) | st.dictionaries(st.text(max_size=3), _JSON, max_size=5), st.integers(1, 9), st.sampled_from([None, 1]))
+def test_values_are_split_wherever_blocks_end(value, size, indent):
+    text = " " + json.dumps(value, indent=indent, ensure_ascii=False) + "\n"
+    parts = [json.loads(x) for x in readers.split_value(text[i : i + size] for i in range(0, len(text), size))]
+    want = [{k: v} for k, v in value.items()] if isinstance(value, dict) else [[v] for v in value]
+    assert parts == want
+
+
+@pytest.mark.parametrize("text", ["", " ", "1", '"a"', "[1", "[1,]", "[,1]", "[1]]", "[1] x", "[1] [2]", '{"a": 1', '{"a"}', '{"a": 1]', "x [1]", "[1}", "[nope]", '["a]', "[1],"])
+def test_what_is_no_whole_value_is_refused(text):
+    with pytest.raises(ValueError):
+        list(readers.split_value(iter([text])))
+
+
+def test_large_values_are_read_in_pieces(spark, tmp_path):
+    big = {f"v{i}": {"category": "SUCCESS", "title": 'a "quoted", [odd] {title}\n' * 20} for i in range(5000)}
+    (tmp_path / "m").mkdir()
+    (tmp_path / "m" / "wide.json").write_text(json.dumps(big, indent=2))
+    (tmp_path / "m" / "lines.json").write_text('{"x1": {"category": "GHOST"}}\n\n{"x2": {"category": "GHOST"}}\nbroken\n')
+    (tmp_path / "m" / "broken.json").write_text(json.dumps({"y": {"category": "GHOST"}}, indent=2)[:-1])
+    (tmp_path / "m" / "empty.json").write_text("")
+    got = {r.video_id: (r.category, r.title) for r in readers.scan_manifest(spark, str(tmp_path / "m")).collect()}
+    assert got == {k: (v["category"], v["title"]) for k, v in big.items()} | {"x1": ("GHOST", None), "x2": ("GHOST", None)}
+    (tmp_path / "q.json").write_text(json.dumps([f"id {i}" for i in range(300)], indent=1))
+    assert sorted(r.id for r in readers.scan_id_list(spark, str(tmp_path / "q.json")).collect()) == sorted(f"id {i}" for i in range(300))
+
+
+def test_listing_and_file_sink(spark, tmp_path):
+    rows = [("a/b c/é 1.json", "{}"), ("a/empty.json", ""), ("top.json", None), ("a/x.tmp", "z")]
+    out = sinks.write_files(spark.createDataFrame(rows, "path string, content string").repartition(3), str(tmp_path / "t"))
+    assert {r.path: r.size for r in out.collect()} == {p: len(c or "") for p, c in rows}
+    found = {r.path.split("/t/", 1)[1]: r.size for r in readers.list_files(spark, str(tmp_path / "t")).collect()}
+    assert found == {"a/b%20c/%C3%A9%201.json": 2, "a/empty.json": 0, "top.json": 0, "a/x.tmp": 1}
+    assert {(r.path.rsplit("/", 1)[1], r.problem) for r in readers.corrupt_files(spark, str(tmp_path / "t")).collect()} == {("empty.json", "empty"), ("top.json", "empty"), ("x.tmp", "temporary")}
+    (tmp_path / "none").mkdir()
+    assert readers.list_files(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_handled_files_are_set_aside(spark, tmp_path):
+    for i in range(12):
+        write(tmp_path / "in" / f"{i:02}.json", doc(f"d{i}"))
+    sizes = []
+
+    def handle(batch, number):
+        sizes.append(batch.count())
+
+    for _ in range(2):  # what one run has handled is moved when the next ones are listed
+        streams.work_queue(readers.queue_stream(spark, f"file://{tmp_path}/in", 5, archive=f"file://{tmp_path}/done"), handle, str(tmp_path / "cp")).awaitTermination()
+    assert [n for n in sizes if n] == [5, 5, 2]
+    left, moved = list((tmp_path / "in").glob("*.json")), list((tmp_path / "done").rglob("*.json"))
+    assert len(left) + len(moved) == 12
+    assert moved
