@@ -17,7 +17,7 @@ Defined results: null text has no pieces and no samples; empty text has the empt
 there are fewer than k segmentations, all are returned, then inclusion is 1.0; characters without a piece are
 spelt in byte pieces; a text that holds U+2581 itself doesn't decode to itself (`same` is false); a null key counts as 0;
 repeated rows get the same samples; an empty table gives an empty result; extra columns are carried in `doc`; a very long
-text is one slice, whose lattice is held whole.
+text is one slice, whose lattice is held whole (some 200 bytes a character, 600 without spaces), in time linear in it.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from .common import mix, powers, slices, text_bytes
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-ALPHA, SAMPLES = 1.5, 2
+ALPHA, SAMPLES = 1.5, 3
 #: UTF-8 bytes of text whose lattices are held at once.
 LATTICE_BYTES = 1 << 19
 #: Pieces that the lattices of known units may hold; beyond it the units met least often are forgotten.
@@ -116,10 +116,11 @@ def placed(key: np.ndarray, place: np.ndarray) -> np.ndarray:
         return mix(key + place.astype(np.uint64) * _C1, 90)
 
 
-def uniform(key: np.ndarray, draw: int) -> np.ndarray:
+def uniform(key: np.ndarray, draw: int | np.ndarray) -> np.ndarray:
     """Numbers in (0, 1), hashed from a key and the number of the draw."""
     with np.errstate(over="ignore"):
-        h = mix(key + np.uint64((draw + 1) % 2**64) * _C2, 91)
+        n = (draw + 1).astype(np.uint64) if isinstance(draw, np.ndarray) else np.uint64((draw + 1) % 2**64)
+        h = mix(key + n * _C2, 91)
     return ((h >> np.uint64(12)).astype(np.float64) + 0.5) / 2.0**52
 
 
@@ -142,6 +143,7 @@ class Lattice:
         for name, kind in (self.EDGES | self.UNITS | {"ids": np.int32}).items():
             setattr(self, name, np.zeros(0, kind))
         self.edges, self.id_off = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.cut = np.zeros(0, np.bool_)  # of each node: every way through its unit passes it
         self.hashes, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
     def _append(self, name: str, values: np.ndarray) -> None:
@@ -167,6 +169,7 @@ class Lattice:
         new = {c: getattr(self, c)[e] for c in self.EDGES} | {c: getattr(self, c)[keep] for c in self.UNITS} | {"ids": self.ids[_gather(self.id_off, keep, words)]}
         new["target"] = (new["target"] + np.repeat(begin - self.begin[keep], size[keep])).astype(np.int32)
         new |= {"begin": begin, "last": begin + nodes - 1, "uses": new["uses"] // 2}
+        new |= {"cut": self.cut[at]}
         degree = np.diff(self.edges)[at]
         self._buffers = {}
         for c, v in new.items():
@@ -259,20 +262,31 @@ class Lattice:
         edges = np.zeros(nodes, np.int64)
         edges[node] = degree
         edges = np.r_[0, np.cumsum(edges)]
-        # sums over all ways from a node to its unit's end, by the distance to it
-        beta = np.zeros(nodes)
-        far = np.repeat(left, degree)
+        # places within a unit that no piece covers: every way passes them, so what lies between two is a lattice of its own
+        covers = np.zeros(len(code) + 1, np.int64)
+        wide = length > 1
+        np.add.at(covers, source[wide] + 1, 1)
+        np.add.at(covers, (source + length)[wide], -1)
+        passed = np.flatnonzero(np.cumsum(covers)[:-1] == 0)
+        stop = np.r_[passed, len(code)][np.searchsorted(passed, np.arange(len(code)), side="right")]
+        narrow = np.zeros(nodes, bool)
+        narrow[node[passed]] = True
+        narrow[begin] = False
+        # sums over all ways from a node to the next such place, by the distance to it
+        beta = np.zeros(nodes + 1)
+        far = np.repeat(stop - np.arange(len(code)), degree)
+        inner = np.where(source + length == stop[source], nodes, target)  # at the place itself: 0
         by = np.argsort(far.astype(np.int16) if far.max(initial=0) < 2**15 else far, kind="stable")
         cut = np.searchsorted(far[by], np.arange(1, int(far.max(initial=0)) + 2))
         for lo, hi in zip(cut[:-1], cut[1:], strict=True):
             if hi > lo:
                 e = by[lo:hi]
-                v = weight[e] + beta[target[e]]
+                v = weight[e] + beta[inner[e]]
                 src = own[e]
                 g = np.flatnonzero(np.r_[True, src[1:] != src[:-1]])
                 top = np.maximum.reduceat(v, g)
                 beta[src[g]] = top + np.log(np.add.reduceat(np.exp(v - np.repeat(top, np.diff(np.r_[g, len(e)]))), g))
-        exact = np.minimum(weight + beta[target] - beta[own], 0.0)
+        exact = np.minimum(weight + beta[inner] - beta[own], 0.0)
         # sums over a node's earlier pieces and over all its others: in integers, so without cancellation
         share = np.maximum(np.rint(np.exp(exact) * ONE).astype(np.int64), 1)
         ends = np.cumsum(share)  # modulo 2**64: differences within a node are right
@@ -287,7 +301,7 @@ class Lattice:
         # in units of 2**-32 the sums of log probabilities are exact, so they don't depend on what else is in the batch
         fixed = np.rint(exact * 2**32).astype(np.int64)
         for name, values in (
-            ("begin", begin + old), ("last", begin + k + old), ("uses", np.zeros(len(k), np.int64)), ("edges", edges[1:] + known), ("piece", piece), ("target", target + old),
+            ("begin", begin + old), ("last", begin + k + old), ("uses", np.zeros(len(k), np.int64)), ("cut", narrow), ("edges", edges[1:] + known), ("piece", piece), ("target", target + old),
             ("tokens", tokens), ("fixed", fixed), ("mass", mass), ("others", others),
         ):
             self._append(name, values)
@@ -345,22 +359,41 @@ class Lattice:
         return edge
 
     def walk(self, node: np.ndarray, last: np.ndarray, key: np.ndarray, number: np.ndarray, turn: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ancestral draws from each node to its unit's end: (edges, n+1 offsets), in order."""
-        step, on, chosen, owner = 0, np.flatnonzero(node < last), [], []
-        at, key = node.copy(), placed(key, number)
+        """Ancestral draws from each node to its unit's end: (edges, n+1 offsets), in order.
+
+        What lies between two places that every way passes is drawn beside the rest, so a long unit takes as many steps as
+        its longest such stretch has pieces. A draw is named by its distance to the unit's end.
+        """
+        places = np.flatnonzero(self.cut)
+        lo = np.searchsorted(places, node, side="right")
+        more = np.searchsorted(places, last, side="left") - lo
+        more[node >= last] = 0
+        size = more + 1
+        first = np.cumsum(size) - size
+        owner = np.repeat(np.arange(len(node)), size)
+        at = np.empty(len(owner), np.int64)
+        at[first] = node
+        inner = np.ones(len(owner), bool)
+        inner[first] = False
+        at[inner] = places[np.repeat(lo - (np.cumsum(more) - more), more) + np.arange(int(more.sum()))]
+        end, stop = last[owner], np.empty(len(owner), np.int64)
+        stop[:-1] = at[1:]
+        stop[first + size - 1] = last
+        key = placed(key, number)[owner]
+        step, on, chosen, walker = 0, np.flatnonzero(at < stop), [], []
         while len(on):
-            e = self.choose(at[on], uniform(key[on], (turn << 32) + step))
+            e = self.choose(at[on], uniform(key[on], (turn << 32) + end[on] - at[on]))
             chosen.append(e)
-            owner.append(on)
+            walker.append(on)
             at[on] = self.target[e]
-            on = on[at[on] < last[on]]
+            on = on[at[on] < stop[on]]
             step += 1
-        count = np.bincount(np.concatenate(owner), minlength=len(node)) if owner else np.zeros(len(node), np.int64)
+        count = np.bincount(np.concatenate(walker), minlength=len(owner)) if walker else np.zeros(len(owner), np.int64)
         offsets = np.r_[0, np.cumsum(count)]
         out = np.zeros(int(offsets[-1]), np.int64)
-        for j, (e, o) in enumerate(zip(chosen, owner, strict=True)):
+        for j, (e, o) in enumerate(zip(chosen, walker, strict=True)):
             out[offsets[o] + j] = e
-        return out, offsets
+        return out, offsets[np.r_[first, len(owner)]]
 
 
 def _truncated(phi: np.ndarray, top: np.ndarray, u: np.ndarray) -> np.ndarray:

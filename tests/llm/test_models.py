@@ -173,6 +173,21 @@ def test_samples_are_distinct_exact_and_fair(text):
                 assert abs(second.get(g, 0) / n - want) < 0.05
 
 
+def test_text_without_spaces_takes_seconds():
+    import time
+
+    rng = np.random.default_rng(1)
+    for text in ("".join(map(chr, rng.choice([*range(48, 58), *range(65, 91), *range(97, 123)], 1_000_000))), "".join(map(chr, rng.integers(0x4E00, 0x5600, 500_000)))):
+        began = time.process_time()
+        lattice = pieces.Lattice(VOCAB, pieces.ALPHA)
+        lattice.read(pa.array([text]))
+        samples, _ = pieces.draw(lattice, np.array([7], np.uint64), pieces.SAMPLES)
+        assert time.process_time() - began < 40
+        ids = [pieces.token_ids(lattice, VOCAB, s)[0].tolist() for s in samples if len(s.rows)]
+        assert len(set(map(tuple, ids))) == len(ids) == (pieces.SAMPLES if text[0] < "z" else 1)  # no piece joins two of the others
+        assert all(VOCAB.processor.decode(x) == text for x in ids)
+
+
 def test_segment_round_trip_and_partitions(spark):
     rows = [(i, f"Line {i}  with\ttabs\nand é🙂 " + "x" * (i % 40)) for i in range(30)] + [(100, None), (101, ""), (102, " "), (103, "a▁b"), (None, "null id"), (3, "repeated"), (3, "repeated"), (104, "y" * 3000)]
     df = docs(spark, rows)
@@ -187,7 +202,7 @@ def test_segment_round_trip_and_partitions(spark):
         for s in r.samples:
             assert VOCAB.processor.decode(s.ids) == t.replace("▁", " ")
             assert 0 <= s.inclusion <= 1
-        assert len({tuple(s.ids) for s in r.samples}) == len(r.samples) == (2 if t.strip() else len(r.samples))
+        assert len({tuple(s.ids) for s in r.samples}) == len(r.samples) == (pieces.SAMPLES if t.strip() else len(r.samples))
     back = pieces.decode(pieces.segment(df).select("ids", "same", F.col("doc.text").alias("was"))).filter("same").collect()
     assert back and all(r.text == r.was for r in back)
     packed = pieces.decode(pieces.segment(df, packed=True).select("ids", "same", "samples", F.col("doc.text").alias("was")))
