@@ -249,7 +249,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     joined = tagged.join(gone, ["did", "th"], "left")
     was = F.col("doc").getField(text_col)
     text = F.coalesce(was, F.lit(""))
-    kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda x, i: ~F.array_contains("gone", i)), "\n")
+    # linear in the lines: the numbers that stay by one pass over a set, and each line by its number
+    stay = lambda lines: F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "gone"), lambda i: F.get(lines, i))
+    kept = F.array_join(F.get(F.transform(F.array(F.split(text, "\n", -1)), stay), F.lit(0)), "\n")
     tallies = [
         (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long").alias("_n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("_n_dropped"),

@@ -209,3 +209,15 @@ def test_sketch_share_is_near_the_similarity():
     assert abs((s[0] == s[1]).mean() - 0.5) < 0.08
 
 
+
+
+def test_lines_of_long_documents_are_dropped_in_linear_time(spark):
+    import time
+
+    lines = [f"{i:09} a line that five documents share, long enough" for i in range(200_000)]
+    text = "\n".join([*lines[:100_000], "own line", *lines[100_000:]])
+    df = spark.createDataFrame([(i, text) for i in range(5)], "doc_id long, text string").repartition(5)
+    began = time.time()
+    got = {r.doc_id: (r._n_lines, r._n_dropped, r.text if r.doc_id < 4 else len(r.text)) for r in line_dedup.dedup_lines(df).collect()}
+    assert time.time() - began < 120
+    assert got == {i: (200_001, 200_000, "own line") for i in range(4)} | {4: (200_001, 0, len(text))}
