@@ -168,11 +168,10 @@ def mine(vectors: DataFrame, anchors: DataFrame, positives: int = POSITIVES, neg
     A positive's window is low to high percent of its score.
     """
     shards = stored_packs(vectors, SHARD_ROWS, True, "columns")
-    parts = parts_of(shards)
+    parts, width = parts_of(shards)  # an anchor has a list for each shard at most
     # an anchor is a distinct row
     asked = stored(anchors.withColumn("version", F.xxhash64("label", "v")).dropDuplicates(["id", "version"]), "anchors")
     blocks = stored_packs(asked, BLOCK_ROWS, False, "anchor-blocks", ("version",))
-    width = shards.count()  # an anchor has a list for each shard at most
     lists = tiled(shards, blocks, parts, _positives(positives), "anchor long, version long, ids array<long>, scores array<long>")
     first = stored(merged(stored(lists, "positive-lists"), ["anchor", "version"], positives, width), "positives")
     # the whole numbers of each window; places without a positive, and negative scores, have an empty one

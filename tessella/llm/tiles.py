@@ -56,9 +56,10 @@ def cells(width: int, data: bytes, shape: tuple[int, int]) -> np.ndarray:
     return np.frombuffer(data, f"i{width}").reshape(shape)
 
 
-def parts_of(shards: DataFrame) -> int:
-    """Number of parts for so many shards."""
-    return max(1, -(-shards.count() // PART_SHARDS))
+def parts_of(shards: DataFrame) -> tuple[int, int]:
+    """(parts, shards): parts of PART_SHARDS shards, or as many as there are cores or shards if that is more."""
+    count = shards.count()
+    return max(1, -(-count // PART_SHARDS), min(count, shards.sparkSession.sparkContext.defaultParallelism)), count
 
 
 def tiled(shards: DataFrame, blocks: DataFrame, parts: int, search: Callable[[Iterator[dict]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
@@ -68,6 +69,8 @@ def tiled(shards: DataFrame, blocks: DataFrame, parts: int, search: Callable[[It
     """
     right = shards.select(F.pmod(F.xxhash64("ids", "cells"), F.lit(parts)).alias("part"), F.col("dim").alias("s_dim"), *[F.col(c).alias(f"s_{c}") for c in shards.columns if c != "dim"])
     left = blocks.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
+    # dealt by number, so that small tables aren't gathered in one task: the work is in the products, not in the bytes
+    right, left = right.repartition(2 * parts, "part", "s_dim"), left.repartition(2 * parts, "part", "dim")
     joined = left.join(right.hint("merge"), (left["part"] == right["part"]) & (left["dim"] == right["s_dim"]))
     names = [*blocks.columns, *[f"s_{c}" for c in shards.columns if c != "dim"]]
 
