@@ -216,6 +216,7 @@ class Lattice:
             self._add(codes, starts[index[new]], size[index[new]])
             order = np.argsort(every := np.r_[self.hashes, names[new]], kind="stable")
             self.hashes, self.numbers = every[order], np.r_[self.numbers, fresh][order]
+        self.places, self.before = np.flatnonzero(self.cut), np.r_[0, np.cumsum(self.cut)]  # the places, and how many come before each node
         numbers = self.numbers[np.searchsorted(self.hashes, names)]
         self.uses[numbers] += np.bincount(self.unit, minlength=len(names))
         self.unit = numbers[self.unit]
@@ -364,9 +365,8 @@ class Lattice:
         What lies between two places that every way passes is drawn beside the rest, so a long unit takes as many steps as
         its longest such stretch has pieces. A draw is named by its distance to the unit's end.
         """
-        places = np.flatnonzero(self.cut)
-        lo = np.searchsorted(places, node, side="right")
-        more = np.searchsorted(places, last, side="left") - lo
+        places, lo = self.places, self.before[node + 1]
+        more = self.before[last] - lo
         more[node >= last] = 0
         size = more + 1
         first = np.cumsum(size) - size
