@@ -155,9 +155,5 @@ def restarts(polls: DataFrame, by: str, order: str, down: str, limit: int = 5) -
     return polls.withColumn("restarts", F.least(F.sum(F.col(down).cast("long")).over(w), F.lit(limit).cast("long")))
 
 
-def audit_or_stored(docs: DataFrame, stored: str, measured: str) -> Column:
-    return F.coalesce(F.col(stored), F.col(measured))
-
-
 def sample_words(tokens: Column, n: int) -> Column:
     return F.array_join(tx.head(tokens, n), " ")

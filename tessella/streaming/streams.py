@@ -203,11 +203,6 @@ def event_windows(events: DataFrame, ts: str, width: str, slide: str | None = No
     return events.withWatermark(ts, late).groupBy(w, *keys).count()
 
 
-def event_sessions(events: DataFrame, ts: str, gap: str, late: str, *keys: str) -> DataFrame:
-    """Session counts by event time (an extension)."""
-    return events.withWatermark(ts, late).groupBy(F.session_window(ts, gap), *keys).count()
-
-
 def run_once(stream: DataFrame, name: str, checkpoint: str, mode: str = "append") -> DataFrame:
     """Process what is there into a memory table and return it; for tests and small results."""
     q = stream.writeStream.format("memory").queryName(name).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start()
