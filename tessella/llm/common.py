@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -99,6 +101,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # ---------------------------------------------------------------- inside tasks
 
 
+def give_back() -> None:
+    """Return what this worker has freed to the system: workers outlive their tasks, and the C library keeps freed memory for itself."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], text_col: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each holds about `size` bytes of text (or one longer row)."""
     for b in batches:

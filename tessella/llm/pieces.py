@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import mix, powers, slices, text_bytes
+from .common import give_back, mix, powers, slices, text_bytes
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ALPHA, SAMPLES = 1.5, 3
@@ -603,6 +603,8 @@ def _segment(path: str, alpha: float, k: int, packed: bool):
                 [*(b.column(c) for c in names), pa.array(np.diff(off)), pa.array(hashes, pa.string()), pa.array(lattice.decoded(), mask=~known), lists, out],
                 [*names, "n_ids", "ids_sha256", "same", "ids", "samples"],
             )
+        del lattice
+        give_back()
 
     return run
 
