@@ -3,10 +3,11 @@
 Training reads a bounded sample: at most `max_toxic` and `max_clean` labelled rows, the least by a hash of their id, and of
 each at most `max_chains` chains of WINDOW tokens, evenly spaced over the whole text. Tasks send the tokens' hashes; one task
 fits the model in numpy and returns its few arrays, so the driver holds no text. Near copies in the sample count once (one document per least shingle hash). A token of a
-toxic document is labelled toxic if its word is much more frequent among toxic than among clean documents; all other
-tokens are clean. The chain has two states, an emission weight per word and four transitions, fitted by gradient ascent
+toxic document is labelled toxic if its word is much more frequent among toxic than among clean documents (`toxic_words`);
+all other tokens are clean. The chain has two states, an emission weight per word and four transitions, fitted by gradient ascent
 on the conditional likelihood (forward-backward). A document's score is a logistic function of the sum of its squared
-toxic marginals (squares keep many tiny ones of a long text from adding up), fitted to the document labels; runs of tokens with a marginal of one half or more are its offending spans.
+toxic marginals (squares keep many tiny ones of a long text from adding up), fitted to the document labels and corrected for
+the sample's share of toxic rows; runs of tokens with a marginal of one half or more are its offending spans.
 
 Scoring is one pass over whole texts without a shuffle; chains are cut every WINDOW tokens, so memory is bounded.
 
@@ -32,6 +33,8 @@ from .common import mix, ngram_hashes, slices, span_hashes, text_bytes, word_bou
 
 WINDOW = 128
 MAX_TOXIC, MAX_CLEAN, MAX_CHAINS = 800, 1200, 64
+#: A word of toxic documents: in LEAST of them, ODDS times as frequent as in clean ones, and SURE bits beyond chance.
+LEAST, ODDS, SURE = 4, 20, 3
 #: Bytes between words: all ASCII but letters and digits.
 BETWEEN = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
@@ -122,6 +125,30 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
+def toxic_words(word: np.ndarray, doc: np.ndarray, left: np.ndarray, toxic: np.ndarray, n_clean: int, size: int) -> np.ndarray:
+    """Which of `size` words mark toxic documents, from the distinct pairs (word, doc).
+
+    A word is marked if it is ODDS times as frequent in toxic documents as in clean ones, and if that is no chance of so
+    many words. In each further round only the toxic documents without a marked word count, so that the words of a rare
+    language are not held against the toxic documents of all others. left: the toxic documents; it is changed.
+    """
+    clean = np.bincount(word[~toxic[doc]], minlength=size)
+    marked = np.zeros(size, bool)
+    while left.any() and n_clean:
+        hits, n = np.bincount(word[left[doc]], minlength=size), int(left.sum())
+        able = hits + clean >= LEAST
+        rate, share = hits / np.maximum(hits + clean, 1), n / (n + n_clean)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            bits = hits * np.log2(rate / share) + np.where(clean > 0, clean * np.log2((1 - rate) / (1 - share)), 0.0)
+        odds = (hits + 0.5) / (n + 1) * (n_clean + 1) / (clean + 0.5)
+        new = (hits >= LEAST) & (odds >= ODDS) & (bits >= SURE + np.log2(max(1, able.sum()))) & ~marked
+        if not new.any():
+            break
+        marked |= new
+        left[doc[new[word]]] = False
+    return marked
+
+
 def fit(texts: list[str], toxic: np.ndarray, steps: int = 40) -> Model:
     """Train on texts in memory (bounded by the caller)."""
     h, _, _, rows, _ = tokens(pa.array(texts, pa.large_string()))
@@ -144,14 +171,12 @@ def fit_tokens(h: np.ndarray, rows: np.ndarray, toxic: np.ndarray, steps: int =
     on = np.isin(row, keep)
     vocab, word = np.unique(h[on], return_inverse=True)
     pairs = np.unique(word.astype(np.int64) * count + row[on])
-    is_toxic = toxic[pairs % count]
-    p = np.bincount(pairs[is_toxic] // count, minlength=len(vocab))
-    q = np.bincount(pairs[~is_toxic] // count, minlength=len(vocab))
-    n_p, n_q = toxic[keep].sum(), (~toxic[keep]).sum()
-    odds = (p + 0.5) / (n_p + 1) * (n_q + 1) / (q + 0.5)
-    marked = (p >= max(4, 0.03 * n_p)) & (odds >= 20)
+    uses = np.bincount(pairs // count, minlength=len(vocab))
+    left = np.zeros(count, bool)
+    left[keep] = toxic[keep]
+    marked = toxic_words(pairs // count, pairs % count, left, toxic, int((~toxic[keep]).sum()), len(vocab))
     # train on the chains of the kept documents
-    known = p + q >= 3
+    known = uses >= 3
     number = np.full(len(vocab), -1)
     number[known] = np.arange(known.sum())
     feature, label = np.full(len(h), -1), np.zeros(len(h), bool)
@@ -238,7 +263,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen.select(F.col(id_col).alias("id"), "y")), "id").filter("text is not null")
     sample = texts.mapInArrow(_sampled(max_chains), texts.drop("text").schema.add("tokens", "binary")).groupBy("id", "y").agg(F.min("tokens").alias("tokens"))
     fitted = sample.repartition(1).sortWithinPartitions("id").mapInArrow(_fit, "model binary").first()
-    return pickle.loads(fitted.model) if fitted else fit_tokens(np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, bool))
+    model = pickle.loads(fitted.model) if fitted else fit_tokens(np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, bool))
+    if model.b:  # the sample holds another share of toxic rows than the labels do
+        n = {r.y: r.n for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
+        model.a += float(np.log(max(1.0, n[1] / max_toxic)) - np.log(max(1.0, n[0] / max_clean)))
+    return model
 
 
 def _sampled(max_chains: int):
