@@ -1,10 +1,10 @@
 """Exact top-k search by tiles.
 
 Candidate vectors are packed into shards and queries into blocks (one row each, a binary matrix of the narrowest integer
-type). The queries are sent to the tasks in groups of bounded size (GROUP_BYTES, GROUP_QUERIES), one pass over the shards
-for each group: a task reads its shards one by one, and each meets the group's blocks in matrix products, of which only the
-k best scores of a query are kept (partial selection) and merged with what the task has so far. Nothing but these top
-lists is shuffled; the lists of a query are then merged as a tree of fan-in 16.
+type). A join on part numbers brings each block to every part of the shards (`tiles`), so neither side passes through the
+driver. In a task, blocks stream past the part's shards; a tile is one matrix product, of which the k best scores of all its
+queries are selected at once and merged with what the block has so far. Nothing but these top lists is shuffled; the lists of
+a query are then merged as a tree.
 
 Every tile has a bounded size, so memory per task is fixed; the number of tiles is queries x vectors / tile, which is the
 search itself. Scores are exact: products run in float32 or float64 while every partial sum is an exact integer there, else
@@ -22,58 +22,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
+from .tiles import cells, merged, narrow, parts_of, rows_of, stored_packs, tiled
 
-SHARD_ROWS, BLOCK_ROWS, FAN_IN = 2048, 512, 16
-#: Components of one pack, and what one pass sends to the tasks.
-PACK_CELLS, GROUP_BYTES, GROUP_QUERIES = 1 << 22, 32 << 20, 1 << 16
-_LISTS = "query_id long, part long, ids array<long>, scores array<long>"
-_PACK = "dim int, width int, ids binary, vectors binary"
-
-
-def narrow(m: np.ndarray) -> np.ndarray:
-    """m in the smallest integer type that holds it."""
-    lo, hi = int(m.min(initial=0)), int(m.max(initial=0))
-    return m.astype(next(t for t in (np.int8, np.int16, np.int32, np.int64) if np.iinfo(t).min <= lo and hi <= np.iinfo(t).max))
-
-
-def _pack(limit: int):
-    """Rows (id, v) to packed rows of at most `limit` vectors of one length."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            lists = b.column("v")
-            ids = b.column("id").to_numpy()
-            off = lists.offsets.to_numpy().astype(np.int64)
-            flat = lists.values.to_numpy(zero_copy_only=False)
-            size = np.diff(off)
-            for dim in np.unique(size):
-                at = np.flatnonzero(size == dim)
-                rows_at_once = max(1, min(limit, PACK_CELLS // int(dim)))
-                for lo in range(0, len(at), rows_at_once):
-                    rows = at[lo : lo + rows_at_once]
-                    m = narrow(flat[off[rows][:, None] + np.arange(dim)])
-                    yield pa.RecordBatch.from_arrays([pa.array([int(dim)], pa.int32()), pa.array([m.itemsize], pa.int32()), pa.array([ids[rows].tobytes()], pa.binary()), pa.array([m.tobytes()], pa.binary())], ["dim", "width", "ids", "vectors"])
-
-    return run
-
-
-def _unpack(dim: int, width: int, ids: bytes, vectors: bytes) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(ids, np.int64), np.frombuffer(vectors, f"i{width}").reshape(-1, dim)
-
-
-def best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k highest scores, ties to smaller ids, best first; a partial selection precedes the sort."""
-    if len(ids) > k:
-        bar = np.partition(scores, len(scores) - k)[len(scores) - k]
-        on = scores >= bar
-        ids, scores = ids[on], scores[on]
-    order = np.lexsort((ids, -scores))[:k]
-    return ids[order], scores[order]
+SHARD_ROWS, BLOCK_ROWS = 2048, 512
+_LISTS = "query_id long, ids array<long>, scores array<long>"
+_MIN = np.iinfo(np.int64).min
 
 
 def products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -85,51 +42,54 @@ def products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     return (q.astype(object) @ c.astype(object).T).astype(np.int64)
 
 
-def _tiles(k: int, blocks: Broadcast):
-    """The k best candidates of each query among the shards of a task."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for b in batches:
-            for row in range(b.num_rows):
-                dim = b.column("dim")[row].as_py()
-                cid, c = _unpack(dim, *(b.column(x)[row].as_py() for x in ("width", "ids", "vectors")))
-                for qid, q in blocks.value.get(dim, ()):
-                    s = products(q, c)
-                    for j, i in enumerate(qid.tolist()):
-                        ids, scores = best(cid[cid != i], s[j][cid != i], k) if (cid == i).any() else best(cid, s[j], k)
-                        if i in held:
-                            ids, scores = best(np.r_[held[i][0], ids], np.r_[held[i][1], scores], k)
-                        held[i] = ids, scores
-        if held:
-            part = TaskContext.get().partitionId()
-            yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array([part] * len(held), pa.int64()), pa.array([x for x, _ in held.values()], pa.list_(pa.int64())), pa.array([x for _, x in held.values()], pa.list_(pa.int64()))], ["query_id", "part", "ids", "scores"])
+def select(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k highest scores of each row (ids: of the columns, ascending), ties to smaller ids, in no order."""
+    if scores.shape[1] <= k:
+        return np.broadcast_to(ids, scores.shape), scores
+    bar = np.partition(scores, scores.shape[1] - k, axis=1)[:, -k][:, None]
+    over, even = scores > bar, scores == bar
+    on = over | even & (np.cumsum(even, axis=1) <= k - over.sum(axis=1, keepdims=True))
+    at = np.nonzero(on)[1].reshape(len(scores), k)
+    return ids[at], np.take_along_axis(scores, at, axis=1)
+
+
+def join_lists(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two lists of each row as one of the k best, best first."""
+    ids, scores = np.concatenate([a[0], b[0]], axis=1), np.concatenate([a[1], b[1]], axis=1)
+    order = np.lexsort((ids, ~scores))[:, :k]
+    return np.take_along_axis(ids, order, axis=1), np.take_along_axis(scores, order, axis=1)
+
+
+def _search(k: int):
+    """The k best candidates of each query among the shards that its block meets in a row."""
+
+    def lists(queries: np.ndarray, held: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
+        real = held[1] > _MIN  # a query's own row and places without a candidate have the least number
+        flat = lambda x: pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(real.sum(axis=1))].astype(np.int32)), pa.array(x[real], pa.int64()))
+        return pa.RecordBatch.from_arrays([pa.array(queries), flat(held[0]), flat(held[1])], ["query_id", "ids", "scores"])
+
+    def run(tiles: Iterator[dict]) -> Iterator[pa.RecordBatch]:
+        block = queries = held = None
+        for t in tiles:
+            if block != (t["ids"], t["cells"]):
+                if held is not None:
+                    yield lists(queries, held)
+                block, queries, held = (t["ids"], t["cells"]), np.frombuffer(t["ids"], np.int64), None
+            ids = np.frombuffer(t["s_ids"], np.int64)
+            order = np.argsort(ids, kind="stable")
+            ids = ids[order]
+            scores = products(cells(t["width"], t["cells"], (-1, t["dim"])), cells(t["s_width"], t["s_cells"], (-1, t["dim"]))[order])
+            lo, hi = np.searchsorted(ids, queries), np.searchsorted(ids, queries, side="right")
+            for j in np.flatnonzero(hi > lo):  # the few queries whose own row is in this shard
+                scores[j, lo[j] : hi[j]] = _MIN
+            found = select(ids, scores, k)
+            held = join_lists(found if held is None else held, (found[0][:, :0], found[1][:, :0]) if held is None else found, k)
+        if held is not None:
+            yield lists(queries, held)
 
     return run
 
 
-def _groups(blocks: DataFrame) -> Iterator[dict[int, list]]:
-    """The query blocks by dimension, as many at once as the bounds allow."""
-    group: dict[int, list] = {}
-    size = queries = 0
-    for r in blocks.toLocalIterator():
-        n = len(r.ids) // 8
-        if group and (size + len(r.vectors) > GROUP_BYTES or queries + n > GROUP_QUERIES):
-            yield group
-            group, size, queries = {}, 0, 0
-        group.setdefault(r.dim, []).append(_unpack(r.dim, r.width, r.ids, r.vectors))
-        size, queries = size + len(r.vectors), queries + n
-    if group:
-        yield group
-
-
-def _merge(lists: DataFrame, keys: list[str], k: int) -> DataFrame:
-    """One list per key: a bounded number of lists of k meet in each group."""
-    one = F.transform(F.arrays_zip("ids", "scores"), lambda x: F.struct((-x["scores"]).alias("s"), x["ids"].alias("i")))
-    top = F.slice(F.array_sort(F.flatten(F.collect_list(one))), 1, k)
-    return lists.groupBy(*keys).agg(top.alias("top")).select(*keys, F.transform("top", lambda x: x["i"]).alias("ids"), F.transform("top", lambda x: -x["s"]).alias("scores"))
-
-
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
     """(id, v): floor(scale * component) as long, of the vectors that take part."""
     x = F.transform(F.col(vector_col), lambda c: c.cast("double"))
@@ -139,16 +99,9 @@ def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> D
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     """(query_id, rank, vec_id, score) of integer vectors (id, v): the k best inner products of each query over all other rows."""
-    spark = vectors.sparkSession
-    shards = stored(vectors.mapInArrow(_pack(SHARD_ROWS), _PACK), "shards")
-    blocks = stored(queries.mapInArrow(_pack(BLOCK_ROWS), _PACK), "blocks")
-    lists = spark.createDataFrame([], _LISTS)
-    for group in _groups(blocks):  # a pass over the shards for each bounded group of queries
-        found = shards.mapInArrow(_tiles(k, spark.sparkContext.broadcast(group)), _LISTS)
-        lists = lists.unionByName(stored(found, "lists"))
-    width = shards.count()  # at least the number of tasks that hold shards
-    while width > FAN_IN:  # a level of the tree: about FAN_IN lists of a query meet in each group
-        width = -(-width // FAN_IN)
-        lists = _merge(lists.withColumn("part", F.pmod(F.hash("part", F.lit(width)), F.lit(width))), ["query_id", "part"], k)
-    merged = _merge(lists, ["query_id"], k)
-    return merged.select("query_id", F.posexplode(F.arrays_zip("ids", "scores")).alias("pos", "x")).select("query_id", (F.col("pos") + 1).alias("rank"), F.col("x.ids").alias("vec_id"), F.col("x.scores").alias("score"))
+    label = F.lit(0).cast("long").alias("label")
+    shards = stored_packs(vectors.select("id", label, "v"), SHARD_ROWS, False, "shards")
+    blocks = stored_packs(queries.select("id", label, "v"), BLOCK_ROWS, False, "blocks")
+    parts, width = parts_of(shards)  # a query row has a list for each shard at most
+    lists = stored(tiled(shards, blocks, parts, _search(k), _LISTS), "lists")
+    return rows_of(merged(lists, ["query_id"], k, width), ["query_id"], "vec_id").select("query_id", "rank", "vec_id", "score")
