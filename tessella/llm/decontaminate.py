@@ -10,8 +10,8 @@
 4. For a candidate, the longest common subsequence of words with the reference decides: over `exact`, it is a leak; over
    `loose`, it is one if the window also holds the answer, the reference's rarest terms.
 
-The reference is handled in blocks of BLOCK passages, so what is sent to the tasks has a fixed size however long the
-benchmark is. Documents are read once for the counts and once for each block; nothing of them is shuffled but term counts and matches.
+The reference is handled in blocks of BLOCK passages, so at most BLOCK x SPAN terms and twice as many kilobytes are sent to
+the tasks however long the benchmark is. Documents are read once for the counts and once for each block; nothing of them is shuffled but term counts and matches.
 
 Defined results: null or empty texts match nothing, on either side; ids may be null or repeated, equal rows (one id, one
 text) are returned once; a document shorter than SPAN is one window; equal benchmark items each match; of windows that
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import lookup, row_keys, slices, stored
 from .toxicity import tokens
 
-SPAN, STEP, RANK, BLOCK = 48, 16, 192, 2048
+SPAN, STEP, RANK, BLOCK = 48, 16, 192, 512
 COSINE, COVERAGE = 0.5, 0.35
 #: Shares of the reference's words in the common subsequence.
 EXACT, LOOSE, ANSWER = 0.75, 0.5, 0.8
@@ -153,7 +153,6 @@ def _search(vocab, weight, vectors, refs, items, answers, span, step, cosine, co
     sparse = [_vector(w, vocab, weight) for w in refs]
     own = np.array([v @ vectors[t] for t, v, _ in sparse]).reshape(len(refs), vectors.shape[1])
     length = np.linalg.norm(own, axis=1)
-    latent = vectors.astype(np.float32)
     unit = (own / np.maximum(length, 1e-12)[:, None]).astype(np.float32)
     # a reference's unscaled length, which windows are measured against
     need = (coverage * np.array([n for _, _, n in sparse]) * length).astype(np.float32)
@@ -161,7 +160,8 @@ def _search(vocab, weight, vectors, refs, items, answers, span, step, cosine, co
     bar = (cosine * np.sqrt([min(1.0, len(w) / span) for w in refs])).astype(np.float32)
     terms = weight > 0
     blocks = span // step
-    scaled = (latent * weight[:, None].astype(np.float32) * np.float32(np.log(2))).astype(np.float32)
+    scaled = (vectors * (weight * np.log(2))[:, None]).astype(np.float32)
+    del vectors, own  # the tasks get `scaled` alone
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
@@ -191,7 +191,7 @@ def _search(vocab, weight, vectors, refs, items, answers, span, step, cosine, co
                 begin, owner = begin[ok], owner[ok]
                 for lo in range(0, len(begin), 8192):
                     w, r = begin[lo : lo + 8192], owner[lo : lo + 8192]
-                    x = np.zeros((len(w), latent.shape[1]), np.float32)
+                    x = np.zeros((len(w), scaled.shape[1]), np.float32)
                     for j in range(blocks):
                         at = np.minimum(np.searchsorted(live, w + j), len(live) - 1)
                         hit = (live[at] == w + j) & (block_row[at] == r)
