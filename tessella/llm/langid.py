@@ -59,11 +59,12 @@ def byte_windows(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndar
 def _run(x: np.ndarray, inputs: np.ndarray, hidden: np.ndarray, back: bool, keep: list | None = None) -> np.ndarray:
     """Hidden states (STEPS x windows x H) of one direction. keep: gets what training needs of each step."""
     steps, n, size = x.shape[1], len(x), hidden.shape[0]
-    h = np.zeros((n, size), np.float32)
-    out = np.empty((steps, n, size), np.float32)
-    half = np.concatenate([np.full(2 * size, 0.5), np.ones(size)]).astype(np.float32)
-    inputs, hidden = (inputs * half).astype(np.float32), (hidden * half).astype(np.float32)  # sigmoid(v) = (1 + tanh(v / 2)) / 2
-    a, g = np.empty((n, 3 * size), np.float32), np.empty((n, 3 * size), np.float32)
+    kind = inputs.dtype
+    h = np.zeros((n, size), kind)
+    out = np.empty((steps, n, size), kind)
+    half = np.concatenate([np.full(2 * size, 0.5), np.ones(size)]).astype(kind)
+    inputs, hidden = inputs * half, hidden * half  # sigmoid(v) = (1 + tanh(v / 2)) / 2
+    a, g = np.empty((n, 3 * size), kind), np.empty((n, 3 * size), kind)
     for t in range(steps - 1, -1, -1) if back else range(steps):
         np.take(inputs, x[:, t], axis=0, out=a)
         np.matmul(h, hidden, out=g)
@@ -97,6 +98,34 @@ def position_probabilities(model: Model, x: np.ndarray) -> np.ndarray:
     return s
 
 
+def loss_and_gradients(p: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+    """Mean cross entropy of the positions (weight: STEPS x windows), and its gradients by backpropagation through time."""
+    size, kept = p["hidden"].shape[1], ([], [])
+    hs = [_run(x, p["inputs"][d], p["hidden"][d], bool(d), kept[d]) for d in (0, 1)]
+    s = hs[0] @ p["out"][:size] + hs[1] @ p["out"][size:] + p["bias"]
+    s -= s.max(-1, keepdims=True)
+    e = np.exp(s)
+    e /= e.sum(-1, keepdims=True)
+    at, weight = np.arange(len(x)), weight / max(float(weight.sum()), 1.0)
+    loss = -float((np.log(np.maximum(e[:, at, y], 1e-30)) * weight).sum())
+    e[:, at, y] -= 1
+    e *= weight[:, :, None]
+    g = {"out": np.concatenate([np.einsum("tnh,tnl->hl", hs[d], e) for d in (0, 1)]), "bias": e.sum((0, 1)), "inputs": np.zeros_like(p["inputs"]), "hidden": np.zeros_like(p["hidden"])}
+    for d in (0, 1):
+        into = e @ p["out"][d * size : (d + 1) * size].T
+        dh = np.zeros((len(x), size), into.dtype)
+        for t, h, z, r, c, raw in reversed(kept[d]):
+            dh = dh + into[t]
+            dc = dh * (1 - z) * (1 - c * c)
+            dz = dh * (h - c) * z * (1 - z)
+            dr = dc * raw * r * (1 - r)
+            gates = np.concatenate([dz, dr, dc * r], 1)
+            g["hidden"][d] += h.T @ gates
+            np.add.at(g["inputs"][d], x[:, t], np.concatenate([dz, dr, dc], 1))
+            dh = dh * z + gates @ p["hidden"][d].T
+    return loss, g
+
+
 def fit(x: np.ndarray, real: np.ndarray, y: np.ndarray, langs: list[str], epochs: int = 8, batch: int = 128, rate: float = 0.02) -> Model:
     """Train on windows x with language numbers y."""
     rng = np.random.default_rng(7)
@@ -119,28 +148,7 @@ def fit(x: np.ndarray, real: np.ndarray, y: np.ndarray, langs: list[str], epochs
             i = order[lo : lo + batch]
             xb, yb = x[i], y[i]
             wb = (weight[i] * (len(x) / count / share[yb])[:, None]).T.astype(np.float32)
-            kept: list[list] = [[], []]
-            hs = [_run(xb, p["inputs"][d], p["hidden"][d], bool(d), kept[d]) for d in (0, 1)]
-            s = hs[0] @ p["out"][:size] + hs[1] @ p["out"][size:] + p["bias"]
-            s -= s.max(-1, keepdims=True)
-            e = np.exp(s)
-            e /= e.sum(-1, keepdims=True)
-            e[:, np.arange(len(i)), yb] -= 1
-            e *= (wb / max(float(wb.sum()), 1.0))[:, :, None]
-            g = {"out": np.concatenate([np.einsum("tnh,tnl->hl", hs[d], e) for d in (0, 1)]), "bias": e.sum((0, 1)), "inputs": np.zeros_like(p["inputs"]), "hidden": np.zeros_like(p["hidden"])}
-            for d in (0, 1):
-                into = e @ p["out"][d * size : (d + 1) * size].T
-                dh = np.zeros((len(i), size), np.float32)
-                u = p["hidden"][d]
-                for t, h, z, r, c, raw in reversed(kept[d]):
-                    dh = dh + into[t]
-                    dc = dh * (1 - z) * (1 - c * c)
-                    dz = dh * (h - c) * z * (1 - z)
-                    dr = dc * raw * r * (1 - r)
-                    gates = np.concatenate([dz, dr, dc * r], 1)
-                    g["hidden"][d] += h.T @ gates
-                    np.add.at(g["inputs"][d], xb[:, t], np.concatenate([dz, dr, dc], 1))
-                    dh = dh * z + gates @ u.T
+            _, g = loss_and_gradients(p, xb, yb, wb)
             step += 1
             pace = rate * 0.5 * (1 + np.cos(np.pi * epoch / epochs))
             norm = np.sqrt(sum(float((w * w).sum()) for w in g.values()))
