@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -41,6 +42,67 @@ def test_marginals_are_exact():
         assert np.allclose(got[c], hit / total)
 
 
+def test_scores_and_spans_by_enumeration(spark):
+    words = ["bad", "worse", "fine", "é"]
+    h = toxicity.tokens(pa.array([" ".join(words)], pa.large_string()))[0]
+    order = np.argsort(h[:2])
+    model = toxicity.Model(h[:2][order], np.array([3.0, 0.4])[order], -2.5, np.array([[0.3, -1.0], [-0.5, 1.2]]), np.array([0.1, -0.2]), -1.5, 2.0)
+    weight = {"bad": 3.0, "worse": 0.4}
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(0, 9))) for _ in range(40)] + [None, "", "BAD!Bad, fine"]
+    for r in toxicity.score(docs(spark, list(enumerate(texts))), model).collect():
+        t = r.doc.text or ""
+        found = [(m.start(), m.end(), m[0].lower()) for m in re.finditer(r"[A-Za-zé]+", t)]
+        hit, total = np.zeros(len(found)), 0.0
+        for y in itertools.product((0, 1), repeat=len(found)):
+            s = sum(weight.get(f[2], -2.5) for f, on in zip(found, y, strict=True) if on) + sum(model.trans[a, b] for a, b in zip(y, y[1:], strict=False)) + (model.start[y[0]] if y else 0)
+            total += math.exp(s)
+            hit += math.exp(s) * np.array(y)
+        p = hit / total
+        assert abs(r.score - 1 / (1 + math.exp(1.5 - 2.0 * math.log1p((p**2).sum())))) < 1e-9
+        spans, before = [], -2
+        for i in np.flatnonzero(p >= 0.5):
+            if i == before + 1:
+                spans[-1][1] = found[i][1]
+            else:
+                spans.append([found[i][0], found[i][1]])
+            before = i
+        assert [[s.start, s.end] for s in r.spans] == spans
+
+
+def test_words_of_a_rare_kind_are_marked():
+    """Toxic words of a few documents aren't held against the toxic documents of a common kind; chance is no mark."""
+    rng = random.Random(4)
+    docs_ = [{f"w{rng.randrange(3000)}" for _ in range(80)} for _ in range(700)]
+    toxic = np.arange(700) < 200
+    for i in range(170):
+        docs_[i] |= {f"common{k}" for k in range(5) if rng.random() < 0.5}
+    for i in range(170, 200):
+        docs_[i] |= {f"rare{k}" for k in range(6) if rng.random() < 0.25}
+    vocab = sorted(set().union(*docs_))
+    number = {w: n for n, w in enumerate(vocab)}
+    pairs = sorted({(number[w], i) for i, d in enumerate(docs_) for w in d})
+    word, doc = map(np.array, zip(*pairs, strict=True))
+    marked = {vocab[n] for n in np.flatnonzero(toxicity.toxic_words(word, doc, toxic.copy(), toxic, 500, len(vocab)))}
+    assert {w for w in marked if w[0] == "w"} == set()
+    assert {f"common{k}" for k in range(5)} <= marked
+    assert sum(w.startswith("rare") for w in marked) >= 4
+    assert not toxicity.toxic_words(word, doc, np.zeros(700, bool), toxic, 500, len(vocab)).any()
+    assert not toxicity.toxic_words(word, doc, toxic.copy(), toxic, 0, len(vocab)).any()
+
+
+def test_scores_follow_the_share_of_the_labels(spark):
+    """Fewer clean rows in the sample than among the labels: the score's offset says so, the ranking stays."""
+    rows, labels = toxic_rows()
+    df, lab = docs(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.train(df, lab, max_clean=50)
+    clean = sum(not y for i, y in labels if zlib.crc32(str(i).encode()) % 5)
+    few = [r.doc_id for r in lab.filter("toxic = 0").filter(~toxicity.held_out()).orderBy(F.xxhash64(F.col("doc_id"))).limit(50).collect()]
+    alone = toxicity.train(df, lab.filter((F.col("toxic") == 1) | F.col("doc_id").isin(few)), max_clean=50)
+    assert abs(model.b - alone.b) < 1e-9
+    assert abs(alone.a - model.a - math.log(clean / 50)) < 1e-9
+
+
 def toxic_rows():
     rng = random.Random(2)
     words = [f"w{k}" for k in range(200)]
@@ -105,6 +167,27 @@ def test_langid(spark):
 
 
 def test_gradients_of_the_network():
+    """Backpropagation through time against differences of the loss, in double precision."""
+    rng = np.random.default_rng(3)
+    size, count = langid.HIDDEN, 3
+    p = {"inputs": rng.normal(0, 0.4, (2, 256, 3 * size)), "hidden": rng.normal(0, 0.4, (2, size, 3 * size)), "out": rng.normal(0, 0.4, (2 * size, count)), "bias": rng.normal(size=count)}
+    x = rng.integers(97, 103, (5, 12)).astype(np.uint8)
+    y, weight = np.array([0, 1, 2, 1, 0]), (rng.random((12, 5)) < 0.8).astype(float)
+    loss, g = langid.loss_and_gradients(p, x, y, weight)
+    assert loss > 0
+    for name, grad in g.items():
+        places = np.argwhere(grad != 0)
+        for at in map(tuple, places[rng.permutation(len(places))[:25]]):
+            ends = []
+            for e in (1e-5, -1e-5):
+                moved = {k: v.copy() for k, v in p.items()}
+                moved[name][at] += e
+                ends.append(langid.loss_and_gradients(moved, x, y, weight)[0])
+            assert abs((ends[0] - ends[1]) / 2e-5 - grad[at]) < 1e-7, (name, at)
+    assert (g["inputs"][:, :97] == 0).all()  # bytes that don't occur
+
+
+def test_a_short_fit_lowers_the_loss():
     """A short fit lowers the loss of a separable task: backpropagation points downhill."""
     x = np.array([[97, 98] * 32, [99, 100] * 32] * 40, np.uint8)
     m = langid.fit(x, np.ones(x.shape, bool), np.array([0, 1] * 40), ["a", "b"], epochs=4, batch=16)

@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tessella.llm import decontaminate, license_scan, pii, queries, topk
+from tessella.llm import decontaminate, license_scan, pii, queries, tiles, topk
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -26,8 +26,8 @@ def docs(spark, rows):
 
 
 def test_topk(spark, monkeypatch):
-    for name, value in (("SHARD_ROWS", 7), ("BLOCK_ROWS", 3), ("FAN_IN", 2), ("GROUP_QUERIES", 4)):
-        monkeypatch.setattr(topk, name, value)
+    for where, name, value in ((topk, "SHARD_ROWS", 7), (topk, "BLOCK_ROWS", 3), (tiles, "FAN_IN", 2), (tiles, "PART_SHARDS", 2)):
+        monkeypatch.setattr(where, name, value)
     rng = random.Random(4)
     rows = [(i, [rng.choice([-1.0, 0.0, 0.5, 0.51]) for _ in range(4)]) for i in range(120)]
     rows += [(i, [0.5, 0.5, 0.5, 0.5]) for i in range(120, 160)]  # a common vector: ties
@@ -45,6 +45,29 @@ def test_topk(spark, monkeypatch):
     assert topk.top_k(v, v.filter("id < 0"), 5).count() == 0
 
 
+def test_topk_ignores_columns_of_clashing_names(spark):
+    rows = [(i, [float(i), 1.0], 5, 6, [7]) for i in range(1, 9)]
+    v = spark.createDataFrame(rows + [rows[7]], "vec_id long, embedding array<float>, id int, part int, cells array<int>")
+    plain = topk.quantised(v, "vec_id", "embedding", 1)
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in topk.top_k(plain, plain.filter("id < 3"), 2).collect()}
+    assert got == {(1, 1): (8, 9), (1, 2): (8, 9), (2, 1): (8, 17), (2, 2): (8, 17)}  # the repeated row counts twice
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.integers(-2, 2), min_size=9, max_size=9), min_size=1, max_size=4), st.integers(1, 10))
+def test_selection_of_whole_tiles(scores, k):
+    ids = np.array([2, 3, 3, 5, 8, 9, 11, 12, 20])
+    m = np.array(scores, np.int64)
+    found = topk.select(ids, m, k)
+    nothing = found[0][:, :0], found[1][:, :0]
+    got = topk.join_lists(found, nothing, k)
+    half = topk.join_lists(topk.select(ids[:4], m[:, :4], k), topk.select(ids[4:], m[:, 4:], k), k)
+    for j, row in enumerate(scores):
+        want = sorted(zip([-s for s in row], ids.tolist(), strict=True))[:k]
+        for x in (got, half):
+            assert [(-int(s), int(i)) for i, s in zip(x[0][j], x[1][j], strict=True)] == want
+
+
 def test_products_stay_exact():
     q = np.array([[2**40, 3]])
     assert topk.products(q, np.array([[2**20, 1]]))[0, 0] == 2**60 + 3
@@ -307,6 +330,46 @@ def test_leaks(spark, monkeypatch):
     assert decontaminate.leaks(docs(spark, rows), bench.limit(0)).count() == 0
 
 
+def test_no_leak_is_missed_on_the_small_tables(spark):
+    """Every window of every document against every passage, without the candidate search."""
+    d = "/root/testdata/sf0.001"
+    docs_, bench = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "benchmark"))
+    split = lambda t: [w.translate(LOWER) for w in re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", t or "")]
+    items = [(r.item_id, split(r.text)) for r in bench.collect()]
+    texts = [(r.doc_id, split(r.text)) for r in docs_.collect()]
+    got = {(r.did, r["item"]): r.common for r in decontaminate.leaks(docs_, bench).collect()}
+    span, step = decontaminate.SPAN, decontaminate.STEP
+    exact, seen = set(), set()
+    for item, words in items:
+        for part in np.array_split(np.array(words, object), max(1, -(-len(words) // span))):
+            part = part.tolist()
+            for i, text in texts:
+                if len(set(part) & set(text)) < decontaminate.LOOSE * len(set(part)):
+                    continue
+                for at in range(0, len(text), step):
+                    window = text[max(0, at - step) : at + span + step]
+                    share = lcs(part, window) / len(part)
+                    if share >= decontaminate.EXACT:
+                        exact.add((i, item))
+                    if share >= decontaminate.LOOSE:
+                        seen.add((i, item))
+    assert exact <= set(got) <= seen
+    assert exact
+
+
+def test_a_full_block_of_passages_is_bounded(spark):
+    """What the tasks get of a block of passages that share no word stays within tens of megabytes."""
+    rng = np.random.default_rng(3)
+    n = decontaminate.BLOCK
+    refs = [rng.integers(0, 2**63, decontaminate.SPAN).astype(np.uint64) for _ in range(n)]
+    vocab = np.unique(np.concatenate(refs))
+    rank = decontaminate.RANK
+    search = decontaminate._search(vocab, np.ones(len(vocab)), rng.normal(size=(len(vocab), rank)), refs, list(range(n)), refs, decontaminate.SPAN, decontaminate.STEP, *(0.5,) * 5)
+    arrays = [c.cell_contents for c in search.__closure__ if isinstance(c.cell_contents, np.ndarray)]
+    assert sum(a.nbytes for a in arrays) <= n * decontaminate.SPAN * (4 * rank + 16) + 4 * n * (rank + 2)
+    assert sum(a.nbytes for a in arrays) < 32 << 20
+
+
 @pytest.mark.parametrize("name", ["op5_pii", "op7_license_scan"])
 def test_queries_on_the_small_tables(spark, name):
     d = "/root/testdata/sf0.001"
