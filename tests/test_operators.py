@@ -217,6 +217,20 @@ def test_glossary_prompt(spark):
     assert "லக்னம் (Lagnam)" in got[3][1]
 
 
+def test_glossary_lowers_a_title_once_and_equals_brute_force(spark):
+    rng = random.Random(4)
+    table = {"core_time": ["Karma (x)", "abc", "(only)"], "b_and": ["K-ā", "லக்னம் (Lagnam)", "சனி"], "z": ["a", "Karma (x)"]}
+    parts = ["KARMA", "Karma", "karma", "abc", "ABC", "Time", "and", "லக்னம்", "சனி", "k-Ā", "K-ā", "q", " ", "b"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(4))) for _ in range(200)] + [None, ""]
+    want, cleans = {}, [(c, t, re.sub(r"\(.*?\)", "", t).strip(" ")) for c, ts in table.items() for t in ts]
+    for i, t in enumerate(texts):
+        hit = [] if t is None else [term for c, term, clean in cleans if any(k in t.lower() for k in c.split("_")) or clean in t or len(clean) > 3 and clean in t.lower()]
+        want[i] = list(dict.fromkeys(hit))[:3]
+    out = glossary.prompts(spark.createDataFrame(list(enumerate(texts)), "id int, title string"), glossary.glossary_table(spark, table), 3)
+    assert {r.id: (r.n_terms, r.prompt) for r in out.collect()} == {i: (len(w), ", ".join(w) or glossary.CORE_TERMS) for i, w in want.items()}
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("lower(title") == 1
+
+
 def test_knn(spark):
     v = spark.createDataFrame([(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [0.0, 1.0]), (3, [0.0, 0.0])], "id long, v array<double>")
     got = [(r.rank, r.id) for r in retrieval.nearest(v, v.filter("id = 0"), 2).orderBy("rank").collect()]
