@@ -12,6 +12,19 @@ from pyspark.sql import types as T
 from ..functions import text as tx
 
 WINDOW, TITLE_WINDOW, TITLE_SHARE = 100, 50, 0.8
+#: Tokens that a task measures at once: its memory is bounded by these, or by one longer row.
+TOKENS_AT_ONCE = 1 << 18
+
+
+def _parts(size: np.ndarray, limit: int) -> list[tuple[int, int]]:
+    """Consecutive rows (from, until) of about `limit` together, a larger row alone."""
+    block = (np.cumsum(size) - size) // limit
+    cuts = np.r_[0, np.flatnonzero(np.diff(block)) + 1, len(size)]
+    return [(lo, hi) for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True) if hi > lo]
+
+
+def _token_parts(tokens: pa.ListArray) -> list[tuple[int, int]]:
+    return _parts(pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False).astype(np.int64), TOKENS_AT_ONCE)
 
 
 def _coded(tokens: pa.ListArray, strip: bool) -> tuple[np.ndarray, np.ndarray, pa.Array]:
@@ -71,9 +84,10 @@ def title_ratios(tokens: pa.ListArray, wanted: list[list[str]], title: np.ndarra
     out = np.zeros(len(off) - 1)
     if not len(start):
         return out
-    known = [pc.index_in(pa.array(w, words.type), words).drop_null().to_numpy() for w in wanted]
+    known = pc.index_in(pa.array([x for w in wanted for x in w], words.type), words)  # all titles' words at once
     base = len(words) + 1
-    pairs = np.sort(np.concatenate([i * base + k.astype(np.int64) for i, k in enumerate(known)]))
+    pairs = np.repeat(np.arange(len(wanted)), [len(w) for w in wanted]) * base + pc.fill_null(known, 0).to_numpy()
+    pairs = np.sort(pairs[known.is_valid().to_numpy(zero_copy_only=False)])
     full = (pc.binary_length(words).to_numpy(zero_copy_only=False) > 0)[codes]
     mine = title[row] * base + codes
     at = np.minimum(np.searchsorted(pairs, mine), max(len(pairs) - 1, 0))
@@ -126,12 +140,13 @@ def collapse(words: list[str]) -> list[str]:
 
 @F.arrow_udf(T.DoubleType())
 def min_sliding_ratio(tokens: pa.Array) -> pa.Array:
-    return pa.array(min_ratios(tokens))
+    return pa.array(np.concatenate([np.zeros(0), *(min_ratios(tokens.slice(lo, hi - lo)) for lo, hi in _token_parts(tokens))]))
 
 
 @F.arrow_udf(T.BooleanType())
 def title_contamination(tokens: pa.Array, title: pa.Array) -> pa.Array:
-    return pa.array(title_matches(tokens, title.to_pylist()))
+    found = [title_matches(tokens.slice(lo, hi - lo), title.slice(lo, hi - lo).to_pylist()) for lo, hi in _token_parts(tokens)]
+    return pa.array(np.concatenate([np.zeros(0, bool), *found]))
 
 
 @F.arrow_udf(T.ArrayType(T.StringType()))

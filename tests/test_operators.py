@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -70,6 +72,36 @@ def test_collapse(words):
     assert repetition.collapse(words) == (greedy(words) if len(words) >= 6 else words)
 
 
+def _peak_mb(call):
+    tracemalloc.start()
+    try:
+        return call(), tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_large_batch_is_measured_in_bounded_parts():
+    rng = random.Random(5)
+    rows = [[f"w{rng.randrange(400)}" for _ in range(n)] for n in (120, 0, 3, 260_000)] * 2 + [["a", "b"] * 60_000] * 15
+    tokens = pa.array([*rows, None], pa.list_(pa.string()))
+    got, mb = _peak_mb(lambda: repetition.min_sliding_ratio.func(tokens).to_pylist())
+    assert mb < 120
+    assert got == [repetition.min_ratio(r) for r in [*rows, []]]
+    titles = [" ".join(f"w{i}" for i in range(300)), None] * 12
+    got, mb = _peak_mb(lambda: repetition.title_contamination.func(tokens, pa.array(titles)).to_pylist())
+    assert mb < 120
+    assert got == [repetition.title_match(r, t) for r, t in zip([*rows, []], titles, strict=True)]
+
+
+def test_all_titles_words_are_looked_up_at_once(monkeypatch):
+    calls, real = [], repetition.pc.index_in
+    monkeypatch.setattr(repetition.pc, "index_in", lambda *a, **b: calls.append(1) or real(*a, **b))
+    tokens = pa.array([[f"w{i}" for i in range(50)]] * 40)
+    got = repetition.title_matches(tokens, [" ".join(f"w{i}" for i in range(n)) for n in range(12, 52)])
+    assert len(calls) == 1
+    assert got.tolist() == [n / 50 > 0.8 for n in range(12, 51)] + [50 / 51 > 0.8]
+
+
 def test_denoise(spark):
     d = spark.createDataFrame([("one two three one two three one two three end end end",), ("",), (None,)], "t string")
     assert [r.denoised for r in repetition.denoise(d, "t").collect()] == ["one two three end", "", None]
