@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -12,8 +14,8 @@ from pyspark.sql import types as T
 from ..functions import text as tx
 
 WINDOW, TITLE_WINDOW, TITLE_SHARE = 100, 50, 0.8
-#: Tokens that a task measures at once: its memory is bounded by these, or by one longer row.
-TOKENS_AT_ONCE = 1 << 18
+#: Tokens, and characters of text, that a task measures at once: its memory is bounded by these, or by one longer row.
+TOKENS_AT_ONCE, CHARS_AT_ONCE = 1 << 18, 1 << 20
 
 
 def _parts(size: np.ndarray, limit: int) -> list[tuple[int, int]]:
@@ -126,6 +128,59 @@ def collapse_all(tokens: pa.ListArray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(new, mask=np.r_[tokens.is_null().to_numpy(zero_copy_only=False), False]), words.take(pa.array(codes)).cast(pa.string()))
 
 
+def _runs(code: np.ndarray, p: int) -> tuple[np.ndarray, np.ndarray]:
+    """Longest stretches [a, b) of 2p places or more that equal the place p later, without line breaks.
+
+    Such a stretch holds two neighbouring multiples of p and what lies between them, so only multiples of p are looked at first.
+    """
+    n = len(code)
+    at = code[::p]
+    same = (at[:-1] == at[1:]) & (at[:-1] != 10)
+    k = np.flatnonzero(same[:-1] & same[1:])
+    for d in range(1, p):
+        k = k[(code[k * p + d] == code[k * p + d + p]) & (code[k * p + d] != 10)]
+    if not len(k):
+        return k, k
+    new = np.r_[True, np.diff(k) > 1]
+    a, b = k[new] * p, (k[np.r_[new[1:], True]] + 1) * p + 1
+    left, right = np.ones(len(a), bool), np.ones(len(b), bool)
+    for _ in range(p):  # the next multiple of p on either side is no such place
+        left &= a > 0
+        left[left] = (code[a[left] - 1] == code[a[left] - 1 + p]) & (code[a[left] - 1] != 10)
+        a = a - left
+        right &= b + p < n
+        right[right] = (code[b[right]] == code[b[right] + p]) & (code[b[right]] != 10)
+        b = b + right
+    long = b - a >= 2 * p
+    return a[long], b[long]
+
+
+def deglued(texts: list[str]) -> list[str]:
+    """Texts with blocks of 2 to 20 characters repeated three or more times, once, as `functions.text.deglue` has it: at each
+    place the shortest block, from left to right."""
+    code = np.frombuffer("\n".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    ways = [(a, p, b) for p in range(2, 21) for a, b in zip(*(x.tolist() for x in _runs(code, p)), strict=True)]
+    if not ways:
+        return texts
+    heapq.heapify(ways)
+    gone, free = [], 0
+    while ways:
+        a, p, b = heapq.heappop(ways)
+        if a >= free:
+            free = a + p * (1 + (b - a) // p)
+            gone.append((a + p, free))
+        elif b - free >= 2 * p:
+            heapq.heappush(ways, (free, p, b))
+    off = np.r_[0, np.cumsum([len(t) + 1 for t in texts])]
+    row = np.searchsorted(off, [a for a, _ in gone], side="right") - 1
+    parts: dict[int, list[str]] = {}
+    done: dict[int, int] = {}
+    for i, (a, b) in zip(row.tolist(), gone, strict=True):
+        parts.setdefault(i, []).append(texts[i][done.get(i, 0) : a - off[i]])
+        done[i] = int(b - off[i])
+    return [t if i not in parts else "".join(parts[i]) + t[done[i] :] for i, t in enumerate(texts)]
+
+
 def min_ratio(words: list[str], width: int = WINDOW) -> float:
     return float(min_ratios(pa.array([list(words)], pa.list_(pa.string())), width)[0])
 
@@ -150,13 +205,18 @@ def title_contamination(tokens: pa.Array, title: pa.Array) -> pa.Array:
 
 
 @F.arrow_udf(T.ArrayType(T.StringType()))
-def collapse_phrases(tokens: pa.Array) -> pa.Array:
-    return collapse_all(tokens)
+def collapse_phrases(text: pa.Array) -> pa.Array:
+    """Stages one and two of denoise: the words of texts, repeated blocks and then repeated phrases taken once; none for null."""
+    out = []
+    for lo, hi in _parts(pc.fill_null(pc.utf8_length(text), 0).to_numpy(zero_copy_only=False).astype(np.int64), CHARS_AT_ONCE):
+        part = text.slice(lo, hi - lo)
+        out.append(collapse_all(pa.array([t.split() for t in deglued(pc.fill_null(part, "").to_pylist())], pa.list_(pa.string()))))
+    return pa.concat_arrays(out) if out else pa.array([], pa.list_(pa.string()))
 
 
 def denoise(df: DataFrame, text_col: str, out: str = "denoised") -> DataFrame:
     """Loop removal in four stages: glued blocks, phrases, word runs, suffix variants. Words end up joined by single blanks."""
-    d = df.withColumn("_w", collapse_phrases(tx.words(tx.deglue(F.col(text_col)))))
+    d = df.withColumn("_w", collapse_phrases(F.col(text_col)))
     d = d.withColumn("_w", tx.cap_runs(F.col("_w")))
     d = d.withColumn(out, F.when(F.coalesce(F.col(text_col), F.lit("")) == "", F.col(text_col)).when(F.size("_w") == 0, tx.deglue(F.col(text_col))).otherwise(F.array_join(tx.drop_variants(F.col("_w")), " ")))
     return d.drop("_w")

@@ -102,6 +102,22 @@ def test_all_titles_words_are_looked_up_at_once(monkeypatch):
     assert got.tolist() == [n / 50 > 0.8 for n in range(12, 51)] + [50 / 51 > 0.8]
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.lists(st.tuples(st.text("ab\n😀", min_size=1, max_size=21), st.integers(1, 5)), max_size=6), max_size=4))
+def test_deglued_equals_the_expression(rows):
+    texts = ["".join(x * n for x, n in row) for row in rows]
+    assert repetition.deglued(texts) == [re.sub(r"(.{2,20}?)\1{2,}", r"\1", t) for t in texts]
+
+
+def test_denoise_has_no_expression_over_whole_texts_but_for_blank_ones(spark):
+    big = ["".join(random.Random(i).choice("abcdefghij ") for _ in range(200_000)) for i in range(4)] * 8
+    want = [" ".join(t.split()) for t in repetition.deglued(big[:4])]
+    got, mb = _peak_mb(lambda: repetition.collapse_phrases.func(pa.array([*big, None, ""])).to_pylist())
+    assert mb < 250
+    assert [" ".join(x) for x in got[:4]] == want
+    assert got[-2:] == [[], []]
+
+
 def test_denoise(spark):
     d = spark.createDataFrame([("one two three one two three one two three end end end",), ("",), (None,)], "t string")
     assert [r.denoised for r in repetition.denoise(d, "t").collect()] == ["one two three end", "", None]
