@@ -5,6 +5,7 @@ from __future__ import annotations
 import codecs
 import contextlib
 import json
+import os
 import re
 from collections.abc import Iterator
 from functools import reduce
@@ -12,7 +13,7 @@ from itertools import islice
 from urllib.parse import quote
 
 import pyarrow as pa
-from pyarrow.fs import FileSelector, FileSystem, FileType
+from pyarrow.fs import FileSelector, FileSystem, FileType, LocalFileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,13 +77,28 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
             return reduce(DataFrame.unionByName, found)
 
 
+#: Entries of a folder handed on at once.
+LISTED_AT_ONCE = 10_000
+
+
+def _entries_of(folder: str) -> Iterator[tuple[str, int | None]]:
+    """(name, size) of what a folder holds, without a size for folders; a local one is read as a stream, however much it holds."""
+    files, at = FileSystem.from_uri(folder)
+    if isinstance(files, LocalFileSystem):
+        with os.scandir(at) as found:
+            for x in found:
+                yield x.name, x.stat().st_size if x.is_file() else None
+    else:
+        for x in files.get_file_info(FileSelector(at)):
+            yield x.base_name, x.size if x.type == FileType.File else None
+
+
 def _list(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for folder in b.column("path").to_pylist():
-            files, at = FileSystem.from_uri(folder)
-            rows = files.get_file_info(FileSelector(at))
-            base = folder.rstrip("/")
-            yield pa.RecordBatch.from_arrays([pa.array([f"{base}/{quote(x.base_name)}" for x in rows], pa.string()), pa.array([x.size if x.type == FileType.File else None for x in rows], pa.int64())], ["path", "size"])
+            base, entries = folder.rstrip("/"), _entries_of(folder)
+            while part := list(islice(entries, LISTED_AT_ONCE)):
+                yield pa.RecordBatch.from_arrays([pa.array([f"{base}/{quote(name)}" for name, _ in part], pa.string()), pa.array([size for _, size in part], pa.int64())], ["path", "size"])
 
 
 def _problem(path: str) -> str | None:

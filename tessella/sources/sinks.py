@@ -31,14 +31,14 @@ def write_files(files: DataFrame, root: str) -> DataFrame:
         made = set()
         for b in batches:
             sizes = []
-            for path, content in zip(b.column("path").to_pylist(), b.column("content").to_pylist(), strict=True):
-                full = f"{top}/{path}"
+            for path, content in zip(b.column("path"), b.column("content"), strict=True):  # one content at a time as a Python value
+                full = f"{top}/{path.as_py()}"
                 folder, name = full.rsplit("/", 1)
                 if folder not in made:
                     target.create_dir(folder, recursive=True)
                     made.add(folder)
                 own = f"{folder}/.{name}.{uuid.uuid4().hex}"
-                data = (content or "").encode()
+                data = (content.as_py() or "").encode()
                 with target.open_output_stream(own) as f:
                     f.write(data)
                 target.move(own, full)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -219,6 +221,21 @@ def test_listing_and_file_sink(spark, tmp_path):
     assert readers.list_files(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_a_full_folder_is_listed_in_bounded_parts(tmp_path):
+    for i in range(25_000):
+        (tmp_path / f"{i}.json").touch()
+    (tmp_path / "sub dir").mkdir()
+    tracemalloc.start()
+    sizes, found = [], 0
+    for b in readers._list(iter([pa.RecordBatch.from_pydict({"path": [f"file://{tmp_path}"]})])):
+        sizes.append(b.num_rows)
+        found += b.column("size").null_count
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (sizes, found) == ([10_000, 10_000, 5_001], 1)
+    assert peak < 6e6
+
+
 def test_handled_files_are_set_aside(spark, tmp_path):
     for i in range(12):
         write(tmp_path / "in" / f"{i:02}.json", doc(f"d{i}"))
