@@ -38,9 +38,11 @@ from .common import give_back, mix, powers, slices, text_bytes
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ALPHA, SAMPLES = 1.5, 3
 #: UTF-8 bytes of text whose lattices are held at once.
-LATTICE_BYTES = 1 << 19
+LATTICE_BYTES = 1 << 18
+#: Characters of new units whose lattices are made at once.
+ADDED_AT_ONCE = 1 << 16
 #: Pieces that the lattices of known units may hold; beyond it the units met least often are forgotten.
-STORE_EDGES = 2_000_000
+STORE_EDGES = 1_000_000
 #: New units that the vocabulary encodes in one call.
 ENCODED_AT_ONCE = 1024
 #: One in units of the summed probabilities: sums of 64-bit integers are exact in any order.
@@ -213,7 +215,10 @@ class Lattice:
         new = self.hashes[at] != names if len(self.hashes) else np.ones(len(names), bool)
         if new.any():
             fresh = len(self.begin) + np.arange(int(new.sum()))
-            self._add(codes, starts[index[new]], size[index[new]])
+            s, k = starts[index[new]], size[index[new]]
+            block = (np.cumsum(k) - k) // ADDED_AT_ONCE
+            for part in np.split(np.arange(len(k)), np.flatnonzero(np.diff(block)) + 1):
+                self._add(codes, s[part], k[part])
             order = np.argsort(every := np.r_[self.hashes, names[new]], kind="stable")
             self.hashes, self.numbers = every[order], np.r_[self.numbers, fresh][order]
         self.places, self.before = np.flatnonzero(self.cut), np.r_[0, np.cumsum(self.cut)]  # the places, and how many come before each node

@@ -7,6 +7,7 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -201,6 +202,19 @@ def test_a_short_fit_lowers_the_loss():
 VOCAB = pieces.vocabulary(pieces.MODEL)
 
 
+def test_new_words_take_bounded_memory_in_a_task():
+    rng = random.Random(1)
+    texts = [" ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(3, 9))) for _ in range(3000)) for _ in range(60)]
+    batch = pa.RecordBatch.from_pydict({"doc": list(range(60)), "key": list(range(60)), "text": texts})
+    pieces.powers(1)
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in pieces._segment(pieces.MODEL, pieces.ALPHA, pieces.SAMPLES, True)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 60
+    assert peak < 240e6
+
+
 def enumerate_all(text):
     sp = VOCAB.processor
     names = {sp.id_to_piece(i): i for i in range(sp.get_piece_size()) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i))}
