@@ -784,6 +784,10 @@ def s14_corrupt_files(spark, d):
     return readers.corrupt_files(spark, root).select(F.regexp_replace(F.col("path"), "^.*?/tree-[0-9a-f]+/", "").alias("file"), "problem")
 
 
+#: A trigger's files pass the driver by name.
+FILES_A_TRIGGER = 100_000
+
+
 @query("SELECT doc_id::VARCHAR AS video_id, length(text)::INTEGER AS n FROM documents")
 def s6_l4_queue_files(spark, d):
     """Document files as a queue that a stream works off, some files a trigger; each is handled once."""
@@ -791,8 +795,9 @@ def s6_l4_queue_files(spark, d):
     docs = table(spark, d, "documents")
     value = F.to_json(F.struct(F.struct(F.col("doc_id").cast("string").alias("video_id")).alias("metadata"), F.col("text").alias("full_text")))
     sinks.write_files(docs.select(F.concat(F.col("doc_id").cast("string"), F.lit(".json")).alias("path"), value.alias("content")), root).write.format("noop").mode("overwrite").save()
-    files = readers.queue_stream(spark, root, per_trigger=max(5, docs.count() // 4))
-    streams.append_stream(files.select("metadata.video_id", F.length("full_text").alias("n")), out, state).awaitTermination()
+    files = readers.queue_stream(spark, root, per_trigger=min(max(5, docs.count() // 4), FILES_A_TRIGGER))
+    with streams.few_listers(spark):
+        streams.append_stream(files.select("metadata.video_id", F.length("full_text").alias("n")), out, state).awaitTermination()
     return spark.read.schema("video_id string, n int").parquet(out)
 
 

@@ -272,9 +272,16 @@ def scan_log(spark: SparkSession, path: str) -> DataFrame:
     return parse_log(spark.read.text(path))
 
 
+#: Tasks of a trigger for each core: Spark counts 4 MB for opening a file, so by itself it gives a task 32 small files and the sink a part of each.
+TASKS_PER_CORE = 3
+
+
 def queue_stream(spark: SparkSession, folder: str, per_trigger: int = 5, archive: str | None = None) -> DataFrame:
-    """A folder as a work queue, a few files at a time, one document a file; handled files are moved to `archive`, if there is one."""
+    """A folder as a work queue, a few files at a time, one document a file; handled files are moved to `archive`, if there is one.
+
+    The files of a trigger are read by a number of tasks that follows the cores, each one file after another.
+    """
     r = spark.readStream.schema(TRANSCRIPT).option("maxFilesPerTrigger", per_trigger).option("multiLine", True).option("pathGlobFilter", "*.json").option("recursiveFileLookup", True)
     if archive is not None:
         r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    return r.json(folder)
+    return r.json(folder).coalesce(TASKS_PER_CORE * spark.sparkContext.defaultParallelism)

@@ -179,6 +179,25 @@ def rocksdb(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before) if before else spark.conf.unset(name)
 
 
+#: Tasks for each core that list the files of a trigger.
+LISTERS_PER_CORE = 3
+
+
+@contextmanager
+def few_listers(spark: SparkSession) -> Iterator[None]:
+    """Queries over files that run inside list a trigger's files by a few tasks a core; else Spark starts one a file, up to 10,000.
+
+    A file source reads this setting of its session at every trigger, so the block has to last as long as the query.
+    """
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name)
+    spark.conf.set(name, min(int(before), LISTERS_PER_CORE * spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def append_stream(stream: DataFrame, path: str, checkpoint: str, every: str | None = None):
     """A stream appended to a Parquet table; each batch is committed once."""
     w = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append")

@@ -92,6 +92,20 @@ def test_queue_resumes_from_its_checkpoint(spark, tmp_path):
     assert sorted(seen) == [str(i) for i in range(7)]
 
 
+def test_a_triggers_files_are_listed_and_read_by_few_tasks(spark, tmp_path):
+    for i in range(40):
+        write(tmp_path / "in" / f"{i}.json", doc(str(i)))
+    cores, name = spark.sparkContext.defaultParallelism, "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before, tracker = spark.conf.get(name), spark.sparkContext.statusTracker()
+    with streams.few_listers(spark):
+        q = streams.append_stream(readers.queue_stream(spark, str(tmp_path / "in"), 40).select("metadata.video_id"), str(tmp_path / "out"), str(tmp_path / "cp"))
+        q.awaitTermination()
+    assert spark.conf.get(name) == before
+    stages = [tracker.getStageInfo(i) for job in tracker.getJobIdsForGroup(str(q.runId)) for i in tracker.getJobInfo(job).stageIds]
+    assert len(stages) >= 2 and max(x.numTasks for x in stages) <= 3 * cores  # a task a file lists them without few_listers
+    assert sorted(int(r.video_id) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == list(range(40))
+
+
 def test_event_windows_equal_the_batch(spark, tmp_path):
     src = spark.createDataFrame([(i, "a" if i % 2 else "b") for i in range(100)], "s int, k string").select(F.timestamp_seconds(F.col("s") * 37).alias("ts"), "k")
     src.write.parquet(str(tmp_path / "ev"))
