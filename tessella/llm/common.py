@@ -20,6 +20,9 @@ NULL_ID = -(2**63)
 #: UTF-8 bytes of text handled at once inside a task.
 SLICE_BYTES = 2 << 20
 
+#: Bytes of an Arrow batch that goes to a Python worker: the JVM holds it beside its heap, and the worker once more.
+BATCH_BYTES = 4 << 20
+
 _own_dir: dict[str, str] = {}
 _written: list[str] = []
 
@@ -37,12 +40,23 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dir[app]
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of this session to BATCH_BYTES, also for results that are written after this call.
+
+    Spark's own bound is 64 MB for each task; a bound that the user has set stays.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, BATCH_BYTES)
+
+
 def stored(df: DataFrame, name: str, partitions: int | None = None) -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: lineage ends there, lost executors cost nothing.
 
     The files stay until clear_stored(), since results that are not written yet read them.
     """
     spark = df.sparkSession
+    small_batches(spark)
     path = f"{shared_dir(spark)}/tessella-{name}-{uuid.uuid4().hex}"
     _written.append(path)
     (df if partitions is None else df.coalesce(partitions)).write.parquet(path)
@@ -93,6 +107,7 @@ SPLIT_BYTES = 4 << 20
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of texts that has less than a split for each core (often one row group, so one task) is spread over them."""
+    small_batches(spark)
     df, cores = spark.read.parquet(f"{sf_dir}/{name}.parquet"), spark.sparkContext.defaultParallelism
     small = name in ("documents", "pages", "conversations") and int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < SPLIT_BYTES * cores
     return df.repartition(cores) if small else df
@@ -119,15 +134,19 @@ def slices(batches: Iterator[pa.RecordBatch], text_col: str = "text", size: int
         for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
             if hi > lo:
                 yield b.slice(int(lo), int(hi - lo))
+    give_back()
 
 
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """A 64-bit finaliser (splitmix64), vectorised."""
     with np.errstate(over="ignore"):
-        x = x.astype(np.uint64) + np.uint64((seed * 0x9E3779B97F4A7C15 + 0x9E3779B97F4A7C15) & (2**64 - 1))
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return x ^ (x >> np.uint64(31))
+        x = x.astype(np.uint64, copy=False) + np.uint64((seed * 0x9E3779B97F4A7C15 + 0x9E3779B97F4A7C15) & (2**64 - 1))
+        x ^= x >> np.uint64(30)
+        x *= np.uint64(0xBF58476D1CE4E5B9)
+        x ^= x >> np.uint64(27)
+        x *= np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(31)
+        return x
 
 
 def text_bytes(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:

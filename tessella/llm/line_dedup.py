@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, mix, row_keys, slices, span_hashes, stored, text_bytes
+from .common import NULL_ID, give_back, mix, row_keys, slices, span_hashes, stored, text_bytes
 
 MIN_CHARS, MIN_DOCS = 40, 5
 #: Keys of one shard, and document references of one salt of a shard.
@@ -143,6 +143,8 @@ def _build(groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held.append(b.slice(int(lo), int(hi - lo)))
     if held:
         yield finish()
+    held.clear()
+    give_back()
 
 
 _INDEX = "shard long, seed int, sizes binary, bits binary, mark binary, count binary, top binary, refs long"

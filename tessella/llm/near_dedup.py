@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, mix, ngram_hashes, row_keys, slices, stored, word_hashes
+from .common import NULL_ID, give_back, mix, ngram_hashes, row_keys, slices, stored, word_hashes
 from .components import components
 
 SHINGLE, BANDS, ROWS = 5, 32, 4
@@ -132,6 +132,7 @@ def _linked(percent: int):
                 both = int((y[at] == x).sum())
                 ok[i] = 100 * both >= percent * (len(x) + len(y) - both)
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(ok)], ["a", "b", "linked"])
+        give_back()
 
     return run
 

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import mix, ngram_hashes, slices, span_hashes, text_bytes, word_bounds
+from .common import give_back, mix, ngram_hashes, slices, span_hashes, text_bytes, word_bounds
 
 WINDOW = 128
 MAX_TOXIC, MAX_CLEAN, MAX_CHAINS = 800, 1200, 64
@@ -295,6 +295,8 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if parts:
         model = fit_tokens(np.concatenate(parts), np.r_[0, np.cumsum([len(x) for x in parts])], np.array(toxic) == 1)
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+        del parts, model
+    give_back()
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:

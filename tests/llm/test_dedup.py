@@ -5,10 +5,11 @@ from __future__ import annotations
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tessella.llm import line_dedup, near_dedup, substring_dedup
+from tessella.llm import common, line_dedup, near_dedup, substring_dedup
 from tessella.llm.common import NULL_ID
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -221,3 +222,19 @@ def test_lines_of_long_documents_are_dropped_in_linear_time(spark):
     got = {r.doc_id: (r._n_lines, r._n_dropped, r.text if r.doc_id < 4 else len(r.text)) for r in line_dedup.dedup_lines(df).collect()}
     assert time.time() - began < 120
     assert got == {i: (200_001, 200_000, "own line") for i in range(4)} | {4: (200_001, 0, len(text))}
+
+
+def test_batches_for_the_workers_are_bounded(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.unset(name)
+    try:
+        common.small_batches(spark)
+        rows = spark.range(0, 2000, 1, 1).selectExpr("id", "repeat('ab', 5000) AS text")  # 20 MB in fewer rows than a batch may have
+        got = rows.mapInArrow(lambda it: (pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "size"]) for b in it), "n long, size long").collect()
+        assert sum(r.n for r in got) == 2000 and max(r["size"] for r in got) <= 2 * common.BATCH_BYTES
+        spark.conf.set(name, "8m")  # the user's own bound stays
+        common.small_batches(spark)
+        assert spark.conf.get(name) == "8m"
+    finally:
+        spark.conf.set(name, before) if before else spark.conf.unset(name)
