@@ -64,17 +64,22 @@ class Vocabulary:
         self.bytes = np.zeros(256, np.int64)
         known: dict[int, int] = {}
         self.longest = 1
+        # what each piece decodes to; none for bytes and the like, whose texts the vocabulary decodes itself
+        surface: list[np.ndarray] = [np.zeros(0, np.int64)] * sp.get_piece_size()
         for i in range(sp.get_piece_size()):
             if sp.is_byte(i):
                 self.bytes[int(sp.id_to_piece(i)[3:5], 16)] = i
             elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
                 codes = np.array([ord(c) for c in sp.id_to_piece(i)], np.uint64)
                 self.longest = max(self.longest, len(codes))
+                surface[i] = codes.astype(np.int64)
                 h = np.uint64(0)
                 with np.errstate(over="ignore"):
                     for n, v in enumerate(mix(codes, 9)):
                         h = h * _B + v
                         known[int(h)] = i if n == len(codes) - 1 else known.get(int(h), _NONE)
+        surface[self.line_break] = np.array([BREAK])
+        self.surface, self.surface_off = np.concatenate(surface), np.r_[0, np.cumsum([len(x) for x in surface])]
         self.keys = np.array(list(known), np.uint64)
         self.ids = np.array(list(known.values()), np.int64)
         self.rank = np.maximum(0, np.array([-sp.get_score(i) for i in range(sp.get_piece_size())]))
@@ -88,6 +93,11 @@ class Vocabulary:
             left = left[t[slot] != left]
         self.rest = {int(self.keys[i]): int(i) for i in left}
 
+    def spells(self, ids: np.ndarray, chars: np.ndarray) -> bool:
+        """Are the pieces' own characters, end to end, these (with SPACE for spaces)? False where a piece has none."""
+        n = self.surface_off[ids + 1] - self.surface_off[ids]
+        return bool(n.all()) and int(n.sum()) == len(chars) and bool((self.surface[_gather(self.surface_off, ids, n)] == chars).all())
+
     def find(self, h: np.ndarray) -> np.ndarray:
         """Number of each prefix hash, -1 if there is none."""
         m = mix(h, 4)
@@ -333,7 +343,7 @@ class Lattice:
                 raise ValueError("the vocabulary must keep line breaks apart")
             count[part] = np.diff(np.r_[cut, len(ids)]) - 1
             found.append(np.delete(ids, cut))
-            if sp.decode(ids) != text:
+            if not self.vocab.spells(ids, np.insert(np.where(chars[x:y] == 32, SPACE, chars[x:y]), at[lo : lo + len(part)] - x, BREAK)) and sp.decode(ids) != text:
                 good[part] = [sp.decode(i) == "\n" + t for i, t in zip(np.split(ids, cut[1:]), text[1:].split("\n"), strict=True)]
         off = np.r_[0, np.cumsum(count)]
         out = np.full(int(off[-1]), self.vocab.line_break, np.int32)
@@ -355,7 +365,7 @@ class Lattice:
 
     def choose(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
         """An edge of each node by its probability."""
-        edge, stop = self.edges[node].copy(), self.edges[node + 1] - 1
+        edge, stop = self.edges[node], self.edges[node + 1] - 1
         u = (u * ONE).astype(np.int64)
         on = np.flatnonzero(edge < stop)
         while len(on):
@@ -384,10 +394,10 @@ class Lattice:
         end, stop = last[owner], np.empty(len(owner), np.int64)
         stop[:-1] = at[1:]
         stop[first + size - 1] = last
-        key = placed(key, number)[owner]
+        key, name = placed(key, number)[owner], end + (turn << 32)
         step, on, chosen, walker = 0, np.flatnonzero(at < stop), [], []
         while len(on):
-            e = self.choose(at[on], uniform(key[on], (turn << 32) + end[on] - at[on]))
+            e = self.choose(at[on], uniform(key[on], name[on] - at[on]))
             chosen.append(e)
             walker.append(on)
             at[on] = self.target[e]
@@ -509,9 +519,12 @@ def draw(lattice: Lattice, key: np.ndarray, k: int) -> tuple[list[Sample], np.nd
             counts = [np.bincount(x[2], minlength=n_rows) for x in parts]
             off = np.r_[0, np.cumsum(sum(counts))]
             edges, units, filled = np.zeros(int(off[-1]), np.int64), np.zeros(int(off[-1]), np.int64), off[:-1].copy()
-            for (x, y, r), n in zip(parts, counts, strict=True):  # a row's entries of one part lie together
-                begins = np.r_[True, r[1:] != r[:-1]] if len(r) else np.zeros(0, bool)
-                at = filled[r] + np.arange(len(r)) - np.flatnonzero(begins)[np.cumsum(begins) - 1]
+            for (x, y, r), n in zip(parts, counts, strict=True):  # a row's entries of one part lie together, but for the heads also row by row
+                if (r[1:] < r[:-1]).any():
+                    begins = np.r_[True, r[1:] != r[:-1]]
+                    at = filled[r] + np.arange(len(r)) - np.flatnonzero(begins)[np.cumsum(begins) - 1]
+                else:
+                    at = np.repeat(filled - (np.cumsum(n) - n), n) + np.arange(len(r))
                 edges[at], units[at] = x, y
                 filled += n
             fresh = np.zeros(n_rows, np.int64)

@@ -333,3 +333,15 @@ def test_queries_return_the_segmentations(spark):
                 assert len(ids) == s["n_ids"]
                 assert hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest() == s["ids_sha256"]
                 assert sp.decode(ids.tolist()) == sp.decode(np.frombuffer(r["ids"], "<u2").tolist())
+
+
+def test_pieces_that_spell_a_text_are_not_decoded_for_it():
+    vocab = pieces.vocabulary(pieces.MODEL)
+    for text in ("\nplain words of a text", "\nzwölf Boxkämpfer", "\n\u0ba4\u0bae\u0bbf\u0bb4\u0bcd x", "\n  two  spaces", "\na \U00013000 rare", "\ntab\tinside \u00a0 and \ufb01"):
+        ids = np.asarray(vocab.processor.encode(text), np.int64)[1:]
+        chars = np.array([pieces.SPACE if c == " " else ord(c) for c in text])
+        if vocab.spells(ids, chars):
+            assert vocab.processor.decode(ids.tolist()) == text
+            assert not vocab.spells(ids, np.r_[chars[:-1], 64]) and not vocab.spells(ids, chars[:-1])
+    plain = np.array([10, *map(ord, "a"), pieces.SPACE, *map(ord, "bc")])
+    assert vocab.spells(np.asarray(vocab.processor.encode("\na bc"), np.int64)[1:], plain)
