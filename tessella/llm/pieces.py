@@ -1,8 +1,8 @@
 """SentencePiece encoding and decoding, and distinct sampled segmentations by Gumbel top-k.
 
 `encode` and `decode` run the public vocabulary on whole texts. `sample` draws k different segmentations of each text
-without replacement. A text is a chain of units (a run of spaces with the letters after it, or a line break), which no
-piece crosses; each distinct unit of a batch has a lattice of pieces with weight -alpha * log(2 + rank), and backward
+without replacement. A text is a chain of units, cut wherever no piece holds the two characters side by side, so no piece
+crosses them; each distinct unit of a batch has a lattice of pieces with weight -alpha * log(2 + rank), and backward
 sums over it give the exact probability of every next piece. The search is a perturbed A*: a subtree is all segmentations
 with a common beginning, its key is the largest Gumbel-perturbed log probability in it, drawn top-down. The root's key
 belongs to the first sample, a plain ancestral draw; every decision of a sample leaves the subtree of its alternatives,
@@ -45,6 +45,8 @@ ADDED_AT_ONCE = 1 << 16
 STORE_EDGES = 1_000_000
 #: New units that the vocabulary encodes in one call.
 ENCODED_AT_ONCE = 1024
+#: Classes that the characters of longer pieces are dealt to; with more characters some share a class, then units are longer than need be.
+CLASSES = 2048
 #: One in units of the summed probabilities: sums of 64-bit integers are exact in any order.
 ONE = 2.0**62
 _NONE = np.iinfo(np.int32).min
@@ -66,11 +68,16 @@ class Vocabulary:
         self.longest = 1
         # what each piece decodes to; none for bytes and the like, whose texts the vocabulary decodes itself
         surface: list[np.ndarray] = [np.zeros(0, np.int64)] * sp.get_piece_size()
+        side_by_side: list[np.ndarray] = []
         for i in range(sp.get_piece_size()):
             if sp.is_byte(i):
                 self.bytes[int(sp.id_to_piece(i)[3:5], 16)] = i
-            elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
-                codes = np.array([ord(c) for c in sp.id_to_piece(i)], np.uint64)
+                continue
+            if sp.is_control(i) or sp.is_unknown(i):
+                continue
+            codes = np.array([ord(c) for c in sp.id_to_piece(i)], np.uint64)
+            side_by_side.append(np.stack([codes[:-1], codes[1:]]).astype(np.int64))
+            if not sp.is_unused(i):
                 self.longest = max(self.longest, len(codes))
                 surface[i] = codes.astype(np.int64)
                 h = np.uint64(0)
@@ -80,6 +87,15 @@ class Vocabulary:
                         known[int(h)] = i if n == len(codes) - 1 else known.get(int(h), _NONE)
         surface[self.line_break] = np.array([BREAK])
         self.surface, self.surface_off = np.concatenate(surface), np.r_[0, np.cumsum([len(x) for x in surface])]
+        # which characters stand side by side in a piece, by classes of characters; class 0 never does
+        left, right = np.concatenate(side_by_side, axis=1)
+        chars = np.setdiff1d(np.r_[left, right], [BREAK])
+        self.classes = min(len(chars) + 1, CLASSES)
+        self.class_of = np.zeros(0x110000, np.int16)
+        self.class_of[chars] = 1 + np.arange(len(chars)) % max(self.classes - 1, 1)
+        self.joined = np.zeros((self.classes, self.classes), bool)
+        self.joined[self.class_of[left], self.class_of[right]] = True
+        self.joined[0] = self.joined[:, 0] = False
         self.keys = np.array(list(known), np.uint64)
         self.ids = np.array(list(known.values()), np.int64)
         self.rank = np.maximum(0, np.array([-sp.get_score(i) for i in range(sp.get_piece_size())]))
@@ -98,6 +114,13 @@ class Vocabulary:
         n = self.surface_off[ids + 1] - self.surface_off[ids]
         return bool(n.all()) and int(n.sum()) == len(chars) and bool((self.surface[_gather(self.surface_off, ids, n)] == chars).all())
 
+    def apart(self, codes: np.ndarray) -> np.ndarray:
+        """Is there no piece that could hold a character and the one before it? Neither a piece nor a merge crosses there."""
+        kind = self.class_of[codes].astype(np.int64)
+        out = np.ones(len(codes), bool)
+        out[1:] = ~self.joined.ravel()[kind[:-1] * self.classes + kind[1:]]
+        return out
+
     def find(self, h: np.ndarray) -> np.ndarray:
         """Number of each prefix hash, -1 if there is none."""
         m = mix(h, 4)
@@ -208,8 +231,7 @@ class Lattice:
         bounds = points + np.r_[0, np.cumsum(n > 0)]
         first = np.zeros(len(codes), bool)
         first[bounds[:-1][at]] = True
-        before = np.r_[-1, codes[:-1]]
-        starts = np.flatnonzero(first | (codes == SPACE) & (before != SPACE) | (codes == BREAK) | (before == BREAK))
+        starts = np.flatnonzero(first | self.vocab.apart(codes))
         self.rows = np.searchsorted(starts, bounds)  # units of each row
         ends = np.r_[starts[1:], len(codes)]
         # distinct units
@@ -309,6 +331,7 @@ class Lattice:
         first = np.cumsum(degree) - degree
         before = (ends - share)[first]
         mass = ends - np.repeat(before, degree)
+        mass[first + degree - 1] = np.iinfo(np.int64).max  # the last one takes what is left
         whole = np.repeat(ends[first + degree - 1] - before, degree)
         with np.errstate(divide="ignore"):
             others = np.log((whole - share) / ONE)  # log probability of all other pieces there, -inf if there are none
@@ -365,13 +388,15 @@ class Lattice:
 
     def choose(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
         """An edge of each node by its probability."""
-        edge, stop = self.edges[node], self.edges[node + 1] - 1
+        edge = self.edges[node]
         u = (u * ONE).astype(np.int64)
-        on = np.flatnonzero(edge < stop)
+        on = np.flatnonzero(u >= self.mass[edge])
+        at, u = edge[on], u[on]
         while len(on):
-            on = on[u[on] >= self.mass[edge[on]]]
-            edge[on] += 1
-            on = on[edge[on] < stop[on]]
+            at += 1
+            edge[on] = at
+            more = np.flatnonzero(u >= self.mass[at])
+            on, at, u = on[more], at[more], u[more]
         return edge
 
     def walk(self, node: np.ndarray, last: np.ndarray, key: np.ndarray, number: np.ndarray, turn: int) -> tuple[np.ndarray, np.ndarray]:
@@ -429,13 +454,16 @@ def _best(v: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
     return np.sort(np.concatenate(out))
 
 
+#: No Gumbel of uniform() is larger; and how far below a row's beginning its subtrees are looked for first.
+GUMBEL, SPAN = 37.0, 48.0
+
+
 @dataclass
 class Sample:
-    """One segmentation of each of `rows`: decisions (edges and their units) by row, log p and perturbed log p."""
+    """One segmentation of each of `rows`: decisions (edges) by row, log p and perturbed log p."""
 
     rows: np.ndarray
     edges: np.ndarray
-    units: np.ndarray
     off: np.ndarray
     logp: np.ndarray
     key: np.ndarray
@@ -446,6 +474,35 @@ def _gather(off: np.ndarray, rows: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.repeat(off[rows] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
 
 
+def _branches(lattice: Lattice, run: np.ndarray, edges: np.ndarray, off: np.ndarray, fresh: np.ndarray, top: np.ndarray, key: np.ndarray, turn: int, n: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(row, place, key) of the n best subtrees that a sample leaves from place `fresh` on: no more of a row's can still be opened.
+
+    A Gumbel of 53 bits lies less than GUMBEL above its place. So where a beginning's log probability (run) falls below -span,
+    keys are below GUMBEL - span: a row whose n-th best key of the places before is higher needs no more of them.
+    """
+    rows, span = np.flatnonzero(np.diff(off) > fresh), float(SPAN)
+    lost = -run
+    while len(rows):
+        begin, end = off[rows], off[rows + 1]
+        stop = np.minimum(np.searchsorted(lost, lost[begin] + int(span * 2**32), side="right"), end) if span < 2**30 else end
+        start = begin + fresh[rows]
+        size = np.maximum(stop - start, 0)
+        on, row = _gather(start, np.arange(len(rows)), size), np.repeat(rows, size)
+        others = lattice.others[edges[on]]
+        able = np.flatnonzero(others > -np.inf)
+        on, row = on[able], row[able]
+        place = on - off[row]
+        phi = (run[on] - run[off[row]]) / 2**32 + others[able]
+        v = _truncated(phi, top[row], uniform(placed(key[row], place), -1000 - turn))
+        keep = _best(v, row, n)
+        row, place, v = row[keep], place[keep], v[keep]
+        enough = np.bincount(row[v > GUMBEL - span], minlength=len(off))[rows] >= n
+        done = np.zeros(len(off), bool)
+        done[rows] = enough | (stop == end)
+        yield row[done[row]], place[done[row]], v[done[row]]
+        rows, span = rows[~done[rows]], span * 8
+
+
 def draw(lattice: Lattice, key: np.ndarray, k: int) -> tuple[list[Sample], np.ndarray]:
     """k samples of each row without replacement, best first, and the key of each row's best open subtree after them.
 
@@ -467,7 +524,6 @@ def draw(lattice: Lattice, key: np.ndarray, k: int) -> tuple[list[Sample], np.nd
         if not turn:
             rows, top = np.arange(n_rows), -np.log(-np.log(uniform(key, 0)))
             edges, ends = lattice.walk(begin, last, key[unit_row], number, 0)
-            units = np.repeat(np.arange(len(begin)), np.diff(ends))
             off, fresh = ends[lattice.rows], np.zeros(n_rows, np.int64)
         else:
             cat = {c: np.concatenate(v) for c, v in open_.items()}
@@ -482,18 +538,18 @@ def draw(lattice: Lattice, key: np.ndarray, k: int) -> tuple[list[Sample], np.nd
             top = np.full(n_rows, -np.inf)
             top[rows] = best
             # beginnings, edge by edge of the parents
-            count = place
-            head, head_units, head_row, old, old_unit, before = [], [], [], np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64), np.zeros(len(rows))
+            heads, old, old_unit, before = [], np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64), np.zeros(len(rows))
             for s in np.unique(source).tolist():
                 on, parent = np.flatnonzero(source == s), samples[s]
-                at = _gather(parent.off, rows[on], count[on])
-                head.append(parent.edges[at])
-                head_units.append(parent.units[at])
-                head_row.append(np.repeat(rows[on], count[on]))
-                old[on], old_unit[on] = parent.edges[parent.off[rows[on]] + place[on]], parent.units[parent.off[rows[on]] + place[on]]
-                sums = np.r_[0, np.cumsum(lattice.fixed[parent.edges[at]])]
-                ends = np.cumsum(count[on])
-                before[on] = (sums[ends] - sums[ends - count[on]]) / 2**32
+                head = parent.edges[_gather(parent.off, rows[on], place[on])]
+                heads.append((on, head))
+                old[on] = parent.edges[parent.off[rows[on]] + place[on]]
+                ends = np.cumsum(place[on])
+                sums = np.r_[0, np.cumsum(lattice.fixed[head])]
+                before[on] = (sums[ends] - sums[ends - place[on]]) / 2**32
+                met = lattice.target[head]
+                closed = np.r_[0, np.cumsum(lattice.edges[met + 1] == lattice.edges[met])]  # a unit's end has no edges
+                old_unit[on] = lattice.rows[rows[on]] + closed[ends] - closed[ends - place[on]]
             # open the subtrees that still hold several edges: Gumbels of each, given their maximum
             several = np.flatnonzero(edge < 0)
             node = np.searchsorted(lattice.edges, old[several], side="right") - 1
@@ -510,41 +566,27 @@ def draw(lattice: Lattice, key: np.ndarray, k: int) -> tuple[list[Sample], np.nd
             c, o = child[lost], of[lost]
             # exp(-v) = exp(-best) - exp(-peak) + exp(-g), from the largest term
             add(row=rows[o], v=-np.logaddexp(-best[o], -g[lost] + np.log1p(-np.exp(np.minimum(g[lost] - peak[o], -1e-12)))), sample=source[o], place=place[o], edge=c)
-            later = np.zeros(n_rows, np.int64) + len(begin)
-            later[rows] = old_unit + 1
-            tail = np.flatnonzero(np.arange(len(begin)) >= later[unit_row])
+            rest = lattice.rows[rows + 1] - old_unit - 1
+            tail = _gather(old_unit + 1, np.arange(len(rows)), rest)
             e1, o1 = lattice.walk(lattice.target[edge], last[old_unit], key[rows], number[old_unit], 2 * turn)
-            e2, o2 = lattice.walk(begin[tail], last[tail], key[unit_row[tail]], number[tail], 2 * turn + 1)
-            parts = [(np.concatenate(head), np.concatenate(head_units), np.concatenate(head_row)), (edge, old_unit, rows), (e1, np.repeat(old_unit, np.diff(o1)), np.repeat(rows, np.diff(o1))), (e2, np.repeat(tail, np.diff(o2)), np.repeat(unit_row[tail], np.diff(o2)))]
-            counts = [np.bincount(x[2], minlength=n_rows) for x in parts]
-            off = np.r_[0, np.cumsum(sum(counts))]
-            edges, units, filled = np.zeros(int(off[-1]), np.int64), np.zeros(int(off[-1]), np.int64), off[:-1].copy()
-            for (x, y, r), n in zip(parts, counts, strict=True):  # a row's entries of one part lie together, but for the heads also row by row
-                if (r[1:] < r[:-1]).any():
-                    begins = np.r_[True, r[1:] != r[:-1]]
-                    at = filled[r] + np.arange(len(r)) - np.flatnonzero(begins)[np.cumsum(begins) - 1]
-                else:
-                    at = np.repeat(filled - (np.cumsum(n) - n), n) + np.arange(len(r))
-                edges[at], units[at] = x, y
-                filled += n
+            e2, o2 = lattice.walk(begin[tail], last[tail], np.repeat(key[rows], rest), number[tail], 2 * turn + 1)
+            n1, n2 = np.diff(o1), np.diff(o2[np.r_[0, np.cumsum(rest)]])
+            size = np.zeros(n_rows, np.int64)
+            size[rows] = place + 1 + n1 + n2
+            off = np.r_[0, np.cumsum(size)]
+            edges, every = np.empty(int(off[-1]), np.int64), np.arange(len(rows))
+            for on, head in heads:
+                edges[_gather(off, rows[on], place[on])] = head
+            edges[off[rows] + place] = edge
+            edges[_gather(off[rows] + place + 1, every, n1)] = e1
+            edges[_gather(off[rows + 1] - n2, every, n2)] = e2
             fresh = np.zeros(n_rows, np.int64)
             fresh[rows] = place + 1  # what branches off before is open already
-        size = np.diff(off)
-        base = np.repeat(off[:-1], size)
         run = np.r_[0, np.cumsum(lattice.fixed[edges])]
         logp = (run[off[1:]] - run[off[:-1]]) / 2**32
-        samples.append(Sample(rows, edges, units, off, logp, top))
-        others = lattice.others[edges]
-        able = others > -np.inf
-        if turn:
-            able &= np.arange(len(edges)) - base >= np.repeat(fresh, size)
-        on = np.flatnonzero(able)
-        row = np.repeat(np.arange(n_rows), size)[on]
-        place = on - base[on]
-        phi = (run[on] - run[base[on]]) / 2**32 + others[on]
-        v = _truncated(phi, top[row], uniform(placed(key[row], place), -1000 - turn))
-        keep = _best(v, row, k - turn)  # at most so many of a row's subtrees can still be opened or give the key after the last
-        add(row=row[keep], v=v[keep], sample=np.full(len(keep), turn), place=place[keep], edge=np.full(len(keep), -1))
+        samples.append(Sample(rows, edges, off, logp, top))
+        for row, place, v in _branches(lattice, run, edges, off, fresh, top, key, turn, k - turn):
+            add(row=row, v=v, sample=np.full(len(row), turn), place=place, edge=np.full(len(row), -1))
     kappa = np.full(n_rows, -np.inf)
     for r, v in zip(open_["row"], open_["v"], strict=True):
         np.maximum.at(kappa, r, v)
@@ -554,6 +596,8 @@ def draw(lattice: Lattice, key: np.ndarray, k: int) -> tuple[list[Sample], np.nd
 def token_ids(lattice: Lattice, vocab: Vocabulary, sample: Sample) -> tuple[np.ndarray, np.ndarray]:
     """(ids, n+1 offsets by row) of a sample; characters without a piece are spelt in bytes."""
     piece, tokens = lattice.piece[sample.edges], lattice.tokens[sample.edges]
+    if not (piece < 0).any():
+        return piece, sample.off
     ends = np.cumsum(tokens)
     ids = np.repeat(piece, tokens)
     for i in np.flatnonzero(piece < 0).tolist():
@@ -563,6 +607,8 @@ def token_ids(lattice: Lattice, vocab: Vocabulary, sample: Sample) -> tuple[np.n
 
 def _lists(values: np.ndarray, off: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The entries of these rows end to end, and their n+1 offsets."""
+    if len(rows) == len(off) - 1 and (rows[1:] > rows[:-1]).all():
+        return values, off.astype(np.int32)
     n = off[rows + 1] - off[rows]
     return values[_gather(off, rows, n)], np.r_[0, np.cumsum(n)].astype(np.int32)
 

@@ -270,6 +270,43 @@ def test_samples_are_distinct_exact_and_fair(text):
                 assert abs(second.get(g, 0) / n - want) < 0.05
 
 
+def test_units_end_where_no_piece_joins_the_characters():
+    lattice = pieces.Lattice(VOCAB, pieces.ALPHA)
+    lattice.read(pa.array(["words, words. words!!", "(words)"]))
+    assert len(lattice.unit) == 9
+    assert len(lattice.begin) == len(set(lattice.unit.tolist())) == 7  # ▁words , . !! ▁( words )
+
+
+def test_units_encode_as_whole_texts_do():
+    rng = random.Random(4)
+    parts = ["a", "the", "ing", ",", ".", "!!", "''", "(", "0", "42", "é", "ß", "ñ", "的", "是", "ا", "🙂", "e\u0301", "\u200d", "\t", "\n", "\n\n", "\r\n", " ", "  ", "    ", "▁", "</s>", "<0x41>", "http://", "=="]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(1, 60))) for _ in range(400)]
+    lattice = pieces.Lattice(VOCAB, pieces.ALPHA)
+    lattice.read(pa.array(texts))
+    ids, off = lattice.encoded()
+    for i, t in enumerate(texts):
+        assert ids[off[i] : off[i + 1]].tolist() == VOCAB.processor.encode(t), t
+    assert lattice.decoded().tolist() == [VOCAB.processor.decode(VOCAB.processor.encode(t)) == t for t in texts]
+
+
+def test_likely_beginnings_suffice_for_the_best_branches(monkeypatch):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice(["the", "reading", "of", "segmentations", "in", "Wörter"]) for _ in range(n)) for n in (20_000, 1, 30, 3000)] + ["." * 500, "." * 5000 + " reading words", ""]
+    lattice = pieces.Lattice(VOCAB, pieces.ALPHA)
+    lattice.read(pa.array(texts))
+    key, seen, truncated = mix(np.arange(len(texts), dtype=np.uint64), 12), [], pieces._truncated
+    monkeypatch.setattr(pieces, "_truncated", lambda phi, top, u: seen.append(len(phi)) or truncated(phi, top, u))
+    some, kappa = pieces.draw(lattice, key, 3)
+    looked = sum(seen)
+    seen.clear()
+    monkeypatch.setattr(pieces, "SPAN", 2.0**31)  # every place at once
+    every, same = pieces.draw(lattice, key, 3)
+    assert looked < sum(seen) / 20
+    assert kappa.tolist() == same.tolist()
+    for a, b in zip(some, every, strict=True):
+        assert all((getattr(a, c) == getattr(b, c)).all() for c in ("rows", "edges", "off", "logp", "key"))
+
+
 def test_text_without_spaces_takes_seconds():
     import time
 
