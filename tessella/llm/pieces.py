@@ -514,7 +514,7 @@ def draw(lattice: Lattice, key: np.ndarray, k: int) -> tuple[list[Sample], np.nd
     number = np.arange(len(unit_row)) - lattice.rows[:-1][unit_row]
     begin, last = lattice.begin[lattice.unit], lattice.last[lattice.unit]
     samples: list[Sample] = []
-    open_ = {c: [] for c in ("row", "v", "sample", "place", "edge")}
+    open_ = {c: [np.zeros(0, np.float64 if c == "v" else np.int64)] for c in ("row", "v", "sample", "place", "edge")}
 
     def add(**columns) -> None:
         for c, v in columns.items():

@@ -307,6 +307,22 @@ def test_likely_beginnings_suffice_for_the_best_branches(monkeypatch):
         assert all((getattr(a, c) == getattr(b, c)).all() for c in ("rows", "edges", "off", "logp", "key"))
 
 
+@pytest.mark.parametrize("texts", [[""], ["", ""], [None], [None, ""], ["."], ["", ".", None]])
+def test_slices_without_any_choice(texts):
+    lattice = pieces.Lattice(VOCAB, pieces.ALPHA)
+    lattice.read(pa.array(texts, pa.string()))
+    samples, _ = pieces.draw(lattice, mix(np.arange(len(texts), dtype=np.uint64), 12), 3)
+    assert samples[0].rows.tolist() == list(range(len(texts)))
+    batch = pa.RecordBatch.from_pydict({"doc": list(range(len(texts))), "key": [0] * len(texts), "text": pa.array(texts, pa.string())})
+    for packed in (True, False):
+        (out,) = pieces._segment(pieces.MODEL, pieces.ALPHA, pieces.SAMPLES, packed)(iter([batch]))
+        for text, n, got in zip(texts, out.column("n_ids").to_pylist(), out.column("samples").to_pylist(), strict=True):
+            if text is None:
+                assert (n, got) == (0, [])
+            elif not text:
+                assert n == 0 and [(s["n_ids"], s["inclusion"]) for s in got] == [(0, 1.0)]
+
+
 def test_text_without_spaces_takes_seconds():
     import time
 
