@@ -784,20 +784,26 @@ def s14_corrupt_files(spark, d):
     return readers.corrupt_files(spark, root).select(F.regexp_replace(F.col("path"), "^.*?/tree-[0-9a-f]+/", "").alias("file"), "problem")
 
 
-#: A trigger's files pass the driver by name.
+#: A trigger that fails is done again as a whole.
 FILES_A_TRIGGER = 100_000
+#: Files of a folder, on average: a folder is listed by one task.
+FILES_A_FOLDER = 10_000
 
 
 @query("SELECT doc_id::VARCHAR AS video_id, length(text)::INTEGER AS n FROM documents")
 def s6_l4_queue_files(spark, d):
     """Document files as a queue that a stream works off, some files a trigger; each is handled once."""
-    root, out, state = fx.work_path(spark, "queue-files"), fx.work_path(spark, "handled"), fx.work_path(spark, "queue-state")
+    root, listed, out, state = (fx.work_path(spark, n) for n in ("queue-files", "queue-names", "handled", "queue-state"))
     docs = table(spark, d, "documents")
+    n = docs.count()
+    folder = F.pmod(F.xxhash64("doc_id"), F.lit(max(1, n // FILES_A_FOLDER))).cast("string")
     value = F.to_json(F.struct(F.struct(F.col("doc_id").cast("string").alias("video_id")).alias("metadata"), F.col("text").alias("full_text")))
-    sinks.write_files(docs.select(F.concat(F.col("doc_id").cast("string"), F.lit(".json")).alias("path"), value.alias("content")), root).write.format("noop").mode("overwrite").save()
-    files = readers.queue_stream(spark, root, per_trigger=min(max(5, docs.count() // 4), FILES_A_TRIGGER))
-    with streams.few_listers(spark):
-        streams.append_stream(files.select("metadata.video_id", F.length("full_text").alias("n")), out, state).awaitTermination()
+    sinks.write_files(docs.select(F.concat(folder, F.lit("/"), F.col("doc_id").cast("string"), F.lit(".json")).alias("path"), value.alias("content")), root).write.format("noop").mode("overwrite").save()
+    per_trigger = min(max(5, n // 4), FILES_A_TRIGGER)
+    a_part = min(per_trigger, readers.NAMES_A_PART)
+    readers.list_queue(spark, root, listed, a_part)
+    files = readers.listed_queue(spark, listed, per_trigger // a_part)
+    streams.append_stream(files.select("metadata.video_id", F.length("full_text").alias("n")), out, state).awaitTermination()
     return spark.read.schema("video_id string, n int").parquet(out)
 
 

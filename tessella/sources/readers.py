@@ -60,16 +60,28 @@ def scan_rebuild(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+#: Tasks for each core that list folders or read files: Spark counts 4 MB for opening a file, so by itself it gives a task 32 small files and the sink a part of each.
+TASKS_PER_CORE = 3
+
+
+def _tasks(spark: SparkSession) -> int:
+    return TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+
+
+def _uri(path: str) -> str:
+    return path if ":" in path else f"file://{path}"
+
+
 def list_files(spark: SparkSession, root: str) -> DataFrame:
     """(path, size) of all files below root, also those of no bytes, which Spark's scans skip.
 
     The folders of one depth are dealt to tasks that list them; the driver learns how many there are at the next depth.
     """
     kind = "path string, size long"
-    level, found = spark.createDataFrame([(root if ":" in root else f"file://{root}",)], "path string"), []
+    level, found = spark.createDataFrame([(_uri(root),)], "path string"), []
     while True:
         at = work_path(spark, "listing")
-        level.repartition("path").mapInArrow(_list, kind).write.parquet(at)
+        level.repartition(_tasks(spark), "path").mapInArrow(_list, kind).write.parquet(at)  # without a number, few folders are one task's
         seen = spark.read.schema(kind).parquet(at)
         found.append(seen.filter("size is not null"))
         level = seen.filter("size is null").select("path")
@@ -272,16 +284,68 @@ def scan_log(spark: SparkSession, path: str) -> DataFrame:
     return parse_log(spark.read.text(path))
 
 
-#: Tasks of a trigger for each core: Spark counts 4 MB for opening a file, so by itself it gives a task 32 small files and the sink a part of each.
-TASKS_PER_CORE = 3
-
-
 def queue_stream(spark: SparkSession, folder: str, per_trigger: int = 5, archive: str | None = None) -> DataFrame:
     """A folder as a work queue, a few files at a time, one document a file; handled files are moved to `archive`, if there is one.
 
-    The files of a trigger are read by a number of tasks that follows the cores, each one file after another.
+    The files of a trigger are read by a number of tasks that follows the cores, each one file after another. Spark's file source
+    keeps the name of every file on the driver, about 1 KB each: a folder of many files is for `list_queue` and `listed_queue`.
     """
     r = spark.readStream.schema(TRANSCRIPT).option("maxFilesPerTrigger", per_trigger).option("multiLine", True).option("pathGlobFilter", "*.json").option("recursiveFileLookup", True)
     if archive is not None:
         r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    return r.json(folder).coalesce(TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+    return r.json(folder).coalesce(_tasks(spark))
+
+
+#: Names in a part of a queue's list; the driver knows the parts.
+NAMES_A_PART = 10_000
+
+
+def list_queue(spark: SparkSession, folder: str, names: str, a_part: int = NAMES_A_PART) -> None:
+    """Add to the table at the path `names` the JSON files of a folder that it doesn't name yet, in parts of at most `a_part` names.
+
+    Tasks list, compare and write; no file's name passes the driver. As for Spark's sources, files of no bytes don't count, nor
+    names, or folders, that begin with a dot or an underscore. Called again, also while a stream reads the table, it adds what
+    is new; one caller at a time. Both folders are made where they are missing, so that a queue can begin empty.
+    """
+    for path in (folder, names):
+        target, at = FileSystem.from_uri(_uri(path))
+        target.create_dir(at, recursive=True)
+    below = F.expr(f"substring(path, {len(_uri(folder).rstrip('/')) + 1})")
+    found = list_files(spark, folder).filter(F.col("path").endswith(".json") & (F.col("size") > 0) & ~below.rlike("/[._]")).select("path")
+    new = found.join(spark.read.schema("path string").parquet(names), "path", "left_anti")
+    if not new.isEmpty():  # else a part of no names
+        new.write.mode("append").option("maxRecordsPerFile", a_part).parquet(names)
+
+
+def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts of files, some BLOCK bytes at once; blank files give none, those in no encoding of JSON an unparsable one."""
+    for b in batches:
+        part, held = [], 0
+        for path in b.column("path"):
+            files, at = FileSystem.from_uri(path.as_py())
+            with files.open_input_stream(at) as f:
+                data = f.read()
+            try:
+                text = data.decode(json.detect_encoding(data))
+            except ValueError:
+                text = "{"
+            if text.strip(" \t\r\n"):
+                part.append(text)
+                held += len(data)
+            if held >= BLOCK:
+                yield pa.RecordBatch.from_arrays([pa.array(part, pa.string())], ["content"])
+                part, held = [], 0
+        yield pa.RecordBatch.from_arrays([pa.array(part, pa.string())], ["content"])
+
+
+def listed_queue(spark: SparkSession, names: str, parts: int = 1) -> DataFrame:
+    """The files named in a table of `list_queue` as a work queue, this many of its parts a trigger; rows as those of `queue_stream`.
+
+    The driver and the checkpoint hold the names of parts, not of files: tasks read a trigger's names and open the files. Parts
+    wait as long as they must (Spark forgets those a week older than the newest by itself).
+    """
+    listed = spark.readStream.schema("path string").option("maxFilesPerTrigger", parts).option("maxFileAge", "36500d").parquet(names)
+    texts = listed.repartition(_tasks(spark)).mapInArrow(_contents, "content string")
+    kind = f"struct<{TRANSCRIPT}>"
+    documents = F.from_json("content", f"array<{kind}>")  # of one, where a file is one object
+    return texts.select(F.explode(F.coalesce(documents, F.array(F.lit(None).cast(kind)))).alias("x")).select("x.*")

@@ -11,6 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tessella.plans import queries as plans
 from tessella.schemas import TRANSCRIPT
 from tessella.sources import readers, sinks
 from tessella.streaming import streams
@@ -106,6 +107,69 @@ def test_a_triggers_files_are_listed_and_read_by_few_tasks(spark, tmp_path):
     assert sorted(int(r.video_id) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == list(range(40))
 
 
+def odd_files(folder):
+    """Files as other writers leave them; what Spark's JSON source makes of them is the measure."""
+    write(folder / "a" / "1.json", doc("1"))
+    write(folder / "a b" / "ü %41.json", json.dumps(doc("2"), indent=1))
+    write(folder / "two.json", [doc("3"), doc("4", duration=1.5)])
+    write(folder / "none.json", [])
+    write(folder / "scalars.json", [1, "x"])
+    write(folder / "null.json", "null")
+    write(folder / "cut.json", '{"full_text": "te')
+    write(folder / "lines.json", '{"full_text": "first"}\n{"full_text": "second"}\n')
+    write(folder / "kinds.json", '{"metadata": {"video_id": 7, "duration": "x"}, "full_text": ["y"], "sentry_status": "kept", "more": 1}')
+    write(folder / "nan.json", '{"full_text": "x", "segments": [{"avg_logprob": NaN}]}')
+    write(folder / "blank.json", " \n\t")
+    write(folder / "empty.json", "")
+    write(folder / "mark.json", "\ufeff" + json.dumps(doc("5")))
+    for name, data in {"wide": json.dumps(doc("6")).encode("utf-16"), "broken": b'{"full_text": "\xff\xfe x"}'}.items():
+        (folder / f"{name}.json").write_bytes(data)
+    for name in ("x.json.tmp", "x.JSON", ".hidden.json", "_skipped.json", "_folder/y.json", ".folder/y.json"):
+        write(folder / name, doc("no"))
+
+
+def test_a_listed_queue_reads_what_the_file_source_reads(spark, tmp_path):
+    odd_files(tmp_path / "in")
+    names, rows = str(tmp_path / "names"), {}
+    readers.list_queue(spark, str(tmp_path / "in"), names)
+    for kind, stream in (("file", readers.queue_stream(spark, str(tmp_path / "in"), 100)), ("listed", readers.listed_queue(spark, names))):
+        streams.append_stream(stream, str(tmp_path / kind), str(tmp_path / f"cp-{kind}")).awaitTermination()
+        got = spark.read.schema(TRANSCRIPT).parquet(str(tmp_path / kind))
+        rows[kind] = sorted(map(str, got.collect()))
+        assert got.schema.simpleString() == stream.schema.simpleString()
+    assert rows["listed"] == rows["file"]
+    assert len(rows["listed"]) > 10
+
+
+def test_a_listed_queue_takes_new_files_and_each_once(spark, tmp_path):
+    seen: list[str] = []
+
+    def handle(batch, _):
+        got = [r.i for r in batch.select(F.col("metadata.video_id").alias("i")).collect()]
+        assert len(got) <= 6
+        seen.extend(got)
+
+    names = str(tmp_path / "names")  # neither folder is there at first
+    for had, now in ((0, 0), (0, 17), (17, 17), (17, 20)):
+        for i in range(had, now):
+            write(tmp_path / "in" / str(i % 2) / f"{i}.json", doc(str(i)))
+        readers.list_queue(spark, str(tmp_path / "in"), names, 3)
+        streams.work_queue(readers.listed_queue(spark, names, 2), handle, str(tmp_path / "cp")).awaitTermination()
+        assert sorted(seen, key=int) == [str(i) for i in range(now)]
+    assert max(spark.read.parquet(names).groupBy(F.input_file_name()).count().select("count").toPandas()["count"]) <= 3
+
+
+def test_the_queue_querys_driver_knows_no_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(plans.fx, "work_path", lambda _, name: f"file://{tmp_path}/{name}")
+    d = "/root/testdata/sf0.001"
+    got = plans.QUERIES["s6_l4_queue_files"](spark, d)
+    want = spark.read.parquet(f"{d}/documents.parquet").selectExpr("cast(doc_id as string)", "length(text)")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    log = "".join(p.read_text() for p in (tmp_path / "queue-state" / "sources").rglob("*") if p.is_file() and not p.name.startswith("."))
+    assert 1 <= log.count('"path"') <= 10  # the list's parts; there are 200 documents
+    assert ".json" not in log
+
+
 def test_event_windows_equal_the_batch(spark, tmp_path):
     src = spark.createDataFrame([(i, "a" if i % 2 else "b") for i in range(100)], "s int, k string").select(F.timestamp_seconds(F.col("s") * 37).alias("ts"), "k")
     src.write.parquet(str(tmp_path / "ev"))
